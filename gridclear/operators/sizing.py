@@ -1,0 +1,18 @@
+"""Broadcast only after a look at the size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# About 28 years of quarter-hours; a few key columns per row keep this below 64 MB.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
+    """``df`` with a broadcast hint when the caller has shown it to be small, else unchanged."""
+    return F.broadcast(df) if small else df
