@@ -14,34 +14,39 @@ from pyspark.sql import functions as F
 
 from gridclear.functions.timecode import QUARTERS_PER_DAY
 
-
-def _three_digits(product: Column) -> Column:
-    tail = F.substring(product, -3, 3)
-    return F.when(tail.rlike("^[0-9]{3}$"), tail)
+UNMATCHED = 9
 
 
-def _in_day(number: Column) -> Column:
-    return F.when(number.between(1, QUARTERS_PER_DAY), number)
+def _padded(number: Column) -> Column:
+    return F.lpad(number.cast("string"), 3, "0")
 
 
 def matched_quarter(product: Column) -> Column:
-    """The quarter-hour number a negative product code stands for, else NULL."""
-    tail = _three_digits(product).cast("int")
-    short = F.regexp_extract(product, "^NEG_([1-9][0-9]?)$", 1).try_cast("int")
+    """The quarter-hour number a negative product code stands for, 0 if it stands for none.
+
+    Never NULL, so that joins and aggregates on the number add no NULL filter, which the optimizer
+    would evaluate on every bid instead of on sums of bids.
+    """
+    tail = F.substring(product, -3, 3)
+    number = tail.try_cast("int")
+    rest = F.substring(product, 5, 2).try_cast("int")
     negative = product.startswith("NEG") | product.startswith("neg")
-    return F.when(negative, _in_day(F.coalesce(tail, short)))
+    in_day = number.between(1, QUARTERS_PER_DAY)
+    return F.coalesce(
+        F.when(negative & in_day & (F.length(product) > 5) & (tail == _padded(number)), number),
+        F.when(rest.between(1, QUARTERS_PER_DAY) & (product == F.concat(F.lit("NEG_"), rest.cast("string"))), rest),
+        F.lit(0),
+    )
 
 
-def match_tier(product: Column) -> Column:
-    """1 for the exact code, 2 for a usual other spelling, 3 for any other match, NULL without one."""
-    tail = _three_digits(product)
-    other_spelling = (
-        (product == F.concat(F.lit("NEG-"), tail))
-        | (product == F.concat(F.lit("NEG"), tail))
-        | (product == F.concat(F.lit("neg_"), tail))
-        | product.rlike("^NEG_[1-9][0-9]?$")
-    )
-    return F.when(
-        matched_quarter(product).isNotNull(),
-        F.when(product == F.concat(F.lit("NEG_"), tail), 1).when(other_spelling, 2).otherwise(3),
+def match_tier(product: Column, quarter_no: Column) -> Column:
+    """1 for the exact code, 2 for a usual other spelling, 3 for any other match, ``UNMATCHED`` without one."""
+    digits = _padded(quarter_no)
+    usual = [F.concat(F.lit(prefix), digits) for prefix in ("NEG-", "NEG", "neg_")]
+    short = F.concat(F.lit("NEG_"), quarter_no.cast("string"))
+    return (
+        F.when(quarter_no == 0, UNMATCHED)
+        .when(product == F.concat(F.lit("NEG_"), digits), 1)
+        .when(product.isin(*usual, short), 2)
+        .otherwise(3)
     )

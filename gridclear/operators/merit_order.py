@@ -1,14 +1,16 @@
 """Merit-order clearing: the price of the bid at which accumulated capacity covers the activated volume.
 
 An interval may hold a third of all bids, so no task ever sees all bids of an interval, nor even all of
-its price levels.  Prices are DECIMAL with two digits; a *band* is 10 EUR/MWh wide and so has at most
-1,000 levels.
+its price levels.  Prices are DECIMAL with two digits; a *band* is 10 EUR/MWh wide (the one around zero
+20) and so has at most 2,000 levels.
 
-1. Bids are summed per (date, quarter-hour, tier, band); the sums combine before the shuffle.
+1. Bids are summed per (date, product, band); the sums combine before the shuffle.  Product codes are
+   interpreted on these sums.
 2. Running sums over the bands of an interval, and one equi-join with the activations, tell in which
    band each interval clears.
-3. Only bids of clearing bands are read again.  They are summed per price level, and the running sum
-   within the band gives the price.
+3. Bids are read again and reduced to those of clearing bands (at most one band per interval, so the
+   list is as small as the activations).  They are summed per price level, and the running sum within the
+   band gives the price.
 
 Raw bids are never shuffled as rows.  Capacities are taken to be non-negative (see ``quality_rules``).
 """
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridclear.functions.matching import match_tier, matched_quarter
+from gridclear.functions.matching import UNMATCHED, match_tier, matched_quarter
 from gridclear.functions.timecode import (
     block_index,
     interval_start,
@@ -40,20 +42,39 @@ def total_capacity() -> Column:
     return F.coalesce(F.col("offered_capacity_mw"), F.col("allocated_capacity_mw"))
 
 
-def offers(bids: DataFrame, capacity: Column | None = None) -> DataFrame:
-    """Bids that mean some quarter-hour, reduced to what clearing needs."""
+def negative_bids(bids: DataFrame, capacity: Column | None = None) -> DataFrame:
+    """Bids whose product may mean a quarter-hour, reduced to what clearing needs."""
     capacity = total_capacity() if capacity is None else capacity
-    return bids.select(
+    product = F.col("product")
+    return bids.filter(
+        (product.startswith("NEG") | product.startswith("neg")) & F.col("delivery_date").isNotNull()
+    ).select(
         F.col("delivery_date").alias("date"),
-        matched_quarter(F.col("product")).alias("quarter_no"),
-        match_tier(F.col("product")).alias("tier"),
+        "product",
         F.col("energy_price_eur_mwh").alias("price"),
         F.coalesce(capacity, F.lit(0)).cast(POWER).alias("capacity_mw"),
-    ).filter(F.col("quarter_no").isNotNull() & F.col("date").isNotNull())
+    )
+
+
+def with_match(df: DataFrame) -> DataFrame:
+    """Adds ``quarter_no`` and ``tier`` of ``product``; 0 and ``UNMATCHED`` if it means no quarter-hour."""
+    return df.withColumn("quarter_no", matched_quarter(F.col("product"))).withColumn(
+        "tier", match_tier(F.col("product"), F.col("quarter_no"))
+    )
 
 
-def _band(price: Column) -> Column:
-    return F.floor(price / BAND_WIDTH).cast("long")
+def with_band(df: DataFrame) -> DataFrame:
+    """Adds ``band``, a number that never falls as the price rises; NULL without a price."""
+    return df.withColumn("band", F.expr(f"cast(price as bigint) div {BAND_WIDTH}"))
+
+
+def product_bands(stack: DataFrame) -> DataFrame:
+    """Capacity per date, product and band, with the quarter-hour and tier the product means."""
+    return with_match(
+        with_band(stack)
+        .groupBy("date", "product", "band")
+        .agg(F.sum("capacity_mw").alias("band_mw"), F.max("price").alias("band_top"))
+    )
 
 
 def band_sums(stack: DataFrame) -> DataFrame:
@@ -61,8 +82,9 @@ def band_sums(stack: DataFrame) -> DataFrame:
 
     Bids without a price form a last band (``band`` NULL): they count as available but set no price.
     """
-    per_band = stack.groupBy(*INTERVAL, "tier", _band(F.col("price")).alias("band")).agg(
-        F.sum("capacity_mw").alias("band_mw"), F.max("price").alias("band_top")
+    per_band = product_bands(stack).groupBy(*INTERVAL, "tier", "band").agg(
+        F.sum("band_mw").alias("band_mw"),
+        F.max("band_top").alias("band_top"),
     )
     interval = Window.partitionBy(*INTERVAL)
     ordered = interval.orderBy(F.col("band").asc_nulls_last())
@@ -104,7 +126,7 @@ def clear(
     """
     if on_short not in ("null", "last"):
         raise ValueError(f"on_short must be 'null' or 'last', not {on_short!r}")
-    stack = offers(bids, capacity)
+    stack = negative_bids(bids, capacity)
     small = is_small(demand.select(*INTERVAL))
 
     volume = F.col("activated_volume_mw")
@@ -130,8 +152,8 @@ def clear(
     )
     in_band_order = Window.partitionBy(*INTERVAL, "band").orderBy("price")
     levels = (
-        stack.withColumn("band", _band(F.col("price")))
-        .join(broadcast_if(needed, small), [*INTERVAL, "tier", "band"], "left_semi")
+        with_match(with_band(stack))
+        .join(broadcast_if(needed, small), [*INTERVAL, "tier", "band"])
         .groupBy(*INTERVAL, "band", "price")
         .agg(F.sum("capacity_mw").alias("level_mw"))
         .withColumn("mw_in_band", F.sum("level_mw").over(in_band_order.rowsBetween(Window.unboundedPreceding, 0)))
@@ -212,35 +234,52 @@ def zero_activations(activations: DataFrame) -> DataFrame:
 
 def match_bids_exact(activations: DataFrame, bids: DataFrame) -> DataFrame:
     """Every bid of every activated quarter-hour, by the exact product code."""
-    stack = offers(bids).filter(F.col("tier") == 1).drop("tier")
-    demand = activations.select(*INTERVAL, "activated_volume_mw")
-    return stack.join(broadcast_if(demand, is_small(demand)), INTERVAL)
+    demand = activations.select(
+        *INTERVAL, "activated_volume_mw", product_code(F.col("quarter_no")).alias("product")
+    )
+    return negative_bids(bids).join(broadcast_if(demand, is_small(demand)), ["date", "product"])
+
+
+def product_matches(bids: DataFrame) -> DataFrame:
+    """The negative products of every date with the quarter-hour they mean and the tier of the match."""
+    return with_match(negative_bids(bids).select("date", "product").distinct())
 
 
 def best_match_tier(bids: DataFrame) -> DataFrame:
     """The best tier that has any bid, per interval."""
-    return offers(bids).groupBy(*INTERVAL).agg(F.min("tier").alias("match_tier"))
+    best = product_matches(bids).groupBy(*INTERVAL).agg(F.min("tier").alias("match_tier"))
+    return best.filter(F.col("match_tier") < UNMATCHED)
 
 
 def match_bids_tiered(activations: DataFrame, bids: DataFrame) -> DataFrame:
     """Every bid of every activated quarter-hour, of the best tier that has bids."""
     demand = activations.select(*INTERVAL, "activated_volume_mw")
-    small = is_small(demand)
-    tiers = demand.join(best_match_tier(bids), INTERVAL).withColumnRenamed("match_tier", "tier")
-    return offers(bids).join(broadcast_if(tiers, small), [*INTERVAL, "tier"])
+    wanted = (
+        product_matches(bids)
+        .withColumn("match_tier", F.min("tier").over(Window.partitionBy(*INTERVAL)))
+        .filter("tier = match_tier")
+        .drop("tier")
+        .join(demand, INTERVAL)
+    )
+    # A few spellings per interval, so as small as the activations.
+    return negative_bids(bids).join(broadcast_if(wanted, is_small(demand)), ["date", "product"])
 
 
 def available_capacity(bids: DataFrame, capacity: Column | None = None) -> DataFrame:
     """Capacity and number of the best-tier bids per interval."""
-    per_tier = offers(bids, capacity).groupBy(*INTERVAL, "tier").agg(
-        F.sum("capacity_mw").alias("available_capacity_mw"), F.count("*").alias("bid_count")
+    per_product = negative_bids(bids, capacity).groupBy("date", "product").agg(
+        F.sum("capacity_mw").alias("mw"), F.count("*").alias("bids")
+    )
+    per_tier = with_match(per_product).groupBy(*INTERVAL, "tier").agg(
+        F.sum("mw").alias("mw"), F.sum("bids").alias("bids")
     )
     # At most three rows per interval are left, one per tier.
-    return per_tier.groupBy(*INTERVAL).agg(
+    best = per_tier.groupBy(*INTERVAL).agg(
         F.min("tier").alias("match_tier"),
-        F.min_by("available_capacity_mw", "tier").alias("available_capacity_mw"),
-        F.min_by("bid_count", "tier").alias("bid_count"),
+        F.min_by("mw", "tier").alias("available_capacity_mw"),
+        F.min_by("bids", "tier").alias("bid_count"),
     )
+    return best.filter(F.col("match_tier") < UNMATCHED)
 
 
 def intervals_without_bids(activations: DataFrame, bids: DataFrame) -> DataFrame:
@@ -254,7 +293,7 @@ def intervals_without_bids(activations: DataFrame, bids: DataFrame) -> DataFrame
         .groupBy("date")
         .agg(F.array_join(F.sort_array(F.collect_list("product")), ",").alias("neg_products"))
     )
-    covered = offers(bids).select(*INTERVAL).distinct()
+    covered = product_matches(bids).select(*INTERVAL)
     return (
         active_intervals(activations)
         .select(*INTERVAL, "activated_volume_mw")
@@ -267,10 +306,13 @@ def intervals_without_bids(activations: DataFrame, bids: DataFrame) -> DataFrame
 
 def merit_order_curve(bids: DataFrame, capacity: Column | None = None) -> DataFrame:
     """Price levels of every interval with the capacity available up to each price."""
-    stack = offers(bids, capacity).filter(F.col("price").isNotNull())
-    levels = stack.groupBy(*INTERVAL, "tier", "price").agg(
-        F.sum("capacity_mw").alias("level_mw"), F.count("*").alias("bid_count")
-    ).withColumn("band", _band(F.col("price")))
+    stack = negative_bids(bids, capacity).filter(F.col("price").isNotNull())
+    per_product = stack.groupBy("date", "product", "price").agg(
+        F.sum("capacity_mw").alias("mw"), F.count("*").alias("bids")
+    )
+    levels = with_band(with_match(per_product)).groupBy(*INTERVAL, "tier", "price", "band").agg(
+        F.sum("mw").alias("level_mw"), F.sum("bids").alias("bid_count")
+    )
     bands = band_sums(stack).select(*INTERVAL, F.col("match_tier").alias("tier"), "band", "mw_before")
     in_band = Window.partitionBy(*INTERVAL, "tier", "band").orderBy("price")
     return levels.join(bands, [*INTERVAL, "tier", "band"]).select(

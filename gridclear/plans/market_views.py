@@ -36,15 +36,12 @@ def activations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _day() -> F.Column:
-    return F.pmod(F.col("l_orderkey"), F.lit(30)).cast("int")
-
-
 def raw_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One unsigned bid per line item, with positive and negative products."""
+    day = F.pmod(F.col("l_orderkey"), F.lit(30)).cast("int")
     quarter = (F.pmod(F.col("l_partkey"), F.lit(96)) + 1).cast("int")
     return table(spark, sf_dir, "lineitem").select(
-        F.date_add(F.lit("2024-01-01").cast("date"), _day()).alias("delivery_date"),
+        F.date_add(F.lit("2024-01-01").cast("date"), day).alias("delivery_date"),
         F.concat(
             F.when(F.col("l_linestatus") == "F", "NEG_").otherwise("POS_"), F.lpad(quarter.cast("string"), 3, "0")
         ).alias("product"),
@@ -55,12 +52,14 @@ def raw_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("file_"), F.pmod(F.col("l_suppkey"), F.lit(4)).cast("string")).alias("source_file"),
         F.col("l_orderkey").alias("order_no"),
         F.col("l_linenumber").alias("line_no"),
+        F.col("l_linestatus").alias("line_status"),
+        quarter.alias("slot"),
+        day.alias("day_no"),
     )
 
 
 def all_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signed bids of both directions in the canonical column names."""
-    quarter = tc.quarter_of_product(F.col("product"))
     return raw_bids(spark, sf_dir).select(
         "delivery_date",
         "product",
@@ -69,36 +68,31 @@ def all_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
         "allocated_capacity_mw",
         F.lit(None).cast(POWER).alias("offered_capacity_mw"),
         "type_of_reserves",
-        tc.block_start(F.col("delivery_date"), quarter).alias("block_start"),
-        tc.block_end(F.col("delivery_date"), quarter).alias("block_end"),
+        tc.block_start(F.col("delivery_date"), F.col("slot")).alias("block_start"),
+        tc.block_end(F.col("delivery_date"), F.col("slot")).alias("block_end"),
         "source_file",
         "order_no",
         "line_no",
+        "line_status",
+        "slot",
+        "day_no",
     )
 
 
 def bids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signed negative-product bids."""
-    return all_bids(spark, sf_dir).filter(~F.col("product").startswith("POS_"))
+    return all_bids(spark, sf_dir).filter("line_status = 'F'")
 
 
 def messy_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same bids with product codes in five spellings and some intervals left without any."""
-    number = F.substring("product", 5, 3)
-    quarter = tc.quarter_of_product(F.col("product"))
-    day = F.pmod(F.col("order_no"), F.lit(30))
-    style = F.pmod(day + quarter, F.lit(5))
-    spelled = (
-        F.when(style == 0, F.concat(F.lit("NEG_"), number))
-        .when(style == 1, F.concat(F.lit("NEG-"), number))
-        .when(style == 2, F.concat(F.lit("neg_"), number))
-        .when(style == 3, F.concat(F.lit("NEG_"), quarter.cast("string")))
-        .otherwise(F.concat(F.lit("NEG_X"), number))
-    )
+    number = F.lpad(F.col("slot").cast("string"), 3, "0")
+    style = F.pmod(F.col("day_no") + F.col("slot"), F.lit(5))
+    prefix = F.element_at(F.array(*[F.lit(p) for p in ("NEG_", "NEG-", "neg_", "NEG_", "NEG_X")]), style + 1)
     return (
         bids(spark, sf_dir)
-        .filter(F.pmod(day * 7 + quarter, F.lit(11)) != 0)
-        .withColumn("product", spelled)
+        .filter(F.pmod(F.col("day_no") * 7 + F.col("slot"), F.lit(11)) != 0)
+        .withColumn("product", F.concat(prefix, F.when(style == 3, F.col("slot").cast("string")).otherwise(number)))
     )
 
 
