@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 QUARTERS_PER_DAY = 96
@@ -69,14 +69,10 @@ def block_label(index: Column) -> Column:
     return F.concat(full_hour(index * 4), F.lit("-"), full_hour(index * 4 + 4))
 
 
-def calendar_points(spark: SparkSession, start: str, end: str, step: str = "day") -> DataFrame:
-    """Days, first days of months or first days of years touched by ``start``..``end``, with the month's last day."""
+def calendar_points(span: DataFrame, step: str = "day") -> DataFrame:
+    """Days, first days of months or first days of years touched by ``lo``..``hi`` of each row of ``span``,
+    with the last day of their month."""
     units = {"day": "DAY", "month": "MONTH", "year": "YEAR"}
-    lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
-    first = lo if step == "day" else F.trunc(lo, units[step])
-    points = F.sequence(first, hi, F.expr(f"INTERVAL 1 {units[step]}"))
-    return (
-        spark.range(1)
-        .select(F.explode(points).alias("date"))
-        .withColumn("month_end", F.last_day("date"))
-    )
+    first = F.col("lo") if step == "day" else F.trunc("lo", units[step]).cast("date")
+    points = F.sequence(first, F.col("hi"), F.expr(f"INTERVAL 1 {units[step]}"))
+    return span.select(F.explode(points).alias("date")).withColumn("month_end", F.last_day("date"))

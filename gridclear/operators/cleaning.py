@@ -88,7 +88,7 @@ def to_activations(raw: DataFrame, zone: str = ZONE_COLUMN) -> DataFrame:
             tc.quarter_of_time(F.col("von")).alias("quarter_no"),
             ps.decimal_comma(quoted(zone)).alias("activated_volume_mw"),
             zone_name.alias("time_zone"),
-            *[F.col(c) for c in ("source_file",) if c in trimmed.columns],
+            *[F.col(c) for c in ("source_file", "load_timestamp") if c in trimmed.columns],
         )
         .withColumns(
             {

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridclear.functions import timecode as tc
-from gridclear.functions.parsing import signed_price
+from gridclear.functions.parsing import signed_price, to_decimal_comma
 from gridclear.operators.merit_order import marginal_prices
 from gridclear.schema import POWER, PRICE
 
@@ -99,3 +99,42 @@ def messy_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The marginal-price table of the messy bids."""
     return marginal_prices(activations(spark, sf_dir), messy_bids(spark, sf_dir))
+
+
+def activation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activations as a raw file spells them: German dates, decimal commas, a blank after a column name."""
+    volume = to_decimal_comma(F.col("activated_volume_mw"))
+    return activations(spark, sf_dir).select(
+        F.date_format("date", "dd.MM.yyyy").alias("Datum "),
+        F.col("time_zone").alias("Zeitzone"),
+        F.col("quarter_hour_start").alias("von"),
+        F.col("quarter_hour_end").alias("bis"),
+        volume.alias("50Hertz (Negativ)"),
+        volume.alias("Amprion (Negativ)"),
+    )
+
+
+def date_text(date: Column, day_no: Column) -> Column:
+    """A delivery date in one of the three layouts inputs use."""
+    iso = F.date_format(date, "yyyy-MM-dd")
+    style = F.pmod(day_no, F.lit(3))
+    return (
+        F.when(style == 0, iso)
+        .when(style == 1, F.concat(iso, F.lit(" 00:00:00")))
+        .otherwise(F.date_format(date, "MM/dd/yyyy"))
+    )
+
+
+def bid_text(spark: SparkSession, sf_dir: str, extra: list[str] | None = None) -> DataFrame:
+    """Unsigned bids as raw sheets spell them, every value as text."""
+    return raw_bids(spark, sf_dir).select(
+        date_text(F.col("delivery_date"), F.col("day_no")).alias("DELIVERY_DATE"),
+        F.col("product").alias("PRODUCT"),
+        to_decimal_comma(F.col("energy_price")).alias("ENERGY_PRICE_[EUR/MWh]"),
+        F.col("payment_direction").alias("ENERGY_PRICE_PAYMENT_DIRECTION"),
+        to_decimal_comma(F.col("allocated_capacity_mw")).alias("ALLOCATED_CAPACITY_[MW]"),
+        F.col("type_of_reserves").alias("TYPE_OF_RESERVES"),
+        F.lit(None).cast("string").alias("NOTE"),
+        "source_file",
+        *(extra or []),
+    )
