@@ -272,7 +272,7 @@ def date_range_filter(spark, sf):
     with_market(
         """SELECT CAST(date AS VARCHAR) AS date, quarter_no, CAST(mw AS DOUBLE) AS activated_volume_mw,
        CAST(available AS DOUBLE) AS available_mw, CAST(price AS DOUBLE) AS price FROM thinned""",
-        "demand AS (SELECT date, quarter_no, CASE WHEN v < 100 THEN 0.0005 ELSE v END AS mw FROM act)",
+        "demand AS (SELECT date, quarter_no, CASE WHEN v < 100 THEN CAST(0.0005 AS DECIMAL(38,4)) ELSE CAST(v AS DECIMAL(38,4)) END AS mw FROM act)",
         cleared("a.mw", "demand a").replace("cleared AS", "thinned AS", 1).replace("a.mw AS v", "a.mw AS mw", 1),
     )
 )

@@ -45,7 +45,7 @@ def raw_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(
             F.when(F.col("l_linestatus") == "F", "NEG_").otherwise("POS_"), F.lpad(quarter.cast("string"), 3, "0")
         ).alias("product"),
-        F.round(F.col("l_extendedprice") / 1000, 2).cast(PRICE).alias("energy_price"),
+        (F.floor(F.col("l_extendedprice") / 10 + 0.5) / 100).cast(PRICE).alias("energy_price"),
         F.when(F.col("l_returnflag") == "A", "PROVIDER_TO_GRID").otherwise("GRID_TO_PROVIDER").alias("payment_direction"),
         F.col("l_quantity").cast(POWER).alias("allocated_capacity_mw"),
         F.when(F.col("l_linenumber") <= 4, "aFRR").otherwise("mFRR").alias("type_of_reserves"),
@@ -102,9 +102,13 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def activation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_activation_text(activations(spark, sf_dir))
+
+
+def as_activation_text(rows: DataFrame) -> DataFrame:
     """Activations as a raw file spells them: German dates, decimal commas, a blank after a column name."""
     volume = to_decimal_comma(F.col("activated_volume_mw"))
-    return activations(spark, sf_dir).select(
+    return rows.select(
         F.date_format("date", "dd.MM.yyyy").alias("Datum "),
         F.col("time_zone").alias("Zeitzone"),
         F.col("quarter_hour_start").alias("von"),
