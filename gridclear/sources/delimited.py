@@ -34,7 +34,10 @@ def scan_activation_csv(spark: SparkSession, path: str, sep: str = ";") -> DataF
 
 
 def scan_bid_csv(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
-    """Bid files as text; a line that does not fit goes whole into ``_corrupt_record``."""
+    """Bid files as text; a line that does not fit goes whole into ``_corrupt_record``.
+
+    Spark refuses a query that needs no column but ``_corrupt_record``; ask for another one too.
+    """
     schema = text_schema(columns).add(CORRUPT, T.StringType(), True)
     raw = (
         spark.read.schema(schema)
@@ -42,6 +45,7 @@ def scan_bid_csv(spark: SparkSession, path: str, columns: list[str], sep: str =
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)  # a line is judged by all its values, whichever are asked for
         .csv(path)
     )
     return apply_aliases(raw.select("*", file_name(F.col("_metadata.file_path")).alias("source_file")))
@@ -66,7 +70,7 @@ def validate_delimited_files(spark: SparkSession, path: str, required: list[str]
     per_file = lines.groupBy("path").agg(
         F.min_by(F.when(first_block, F.col("value")), F.when(first_block, F.col("line"))).alias("header"),
         F.count_if(F.trim("value") != "").alias("lines"),
-        F.max(F.col("value").contains("�")).alias("undecodable"),
+        F.max(~F.is_valid_utf8("value")).alias("undecodable"),
     )
     found = [
         F.struct(

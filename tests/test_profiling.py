@@ -91,7 +91,8 @@ def test_distribution_counts_nulls_in_the_total(spark):
 def test_outliers(spark):
     df = spark.createDataFrame([(float(v),) for v in [*range(1, 12), 100, -90, None] if v is not None], "v double")
     assert sorted(r.v for r in pf.outliers(df, "v").collect()) == [-90.0, 100.0]
-    assert [r.v for r in pf.outliers(df, "v", "stddev", 2.5).collect()] == [100.0]
+    assert sorted(r.v for r in pf.outliers(df, "v", "stddev", 2.0).collect()) == [-90.0, 100.0]
+    assert pf.outliers(df, "v", "stddev").count() == 0
     assert pf.outliers(df.limit(0), "v").count() == 0
     with pytest.raises(ValueError):
         pf.outliers(df, "v", "other")
