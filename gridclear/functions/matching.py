@@ -9,7 +9,7 @@ A code can mean one quarter-hour only, so matching needs no product list and no
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridclear.functions.timecode import QUARTERS_PER_DAY
@@ -17,36 +17,34 @@ from gridclear.functions.timecode import QUARTERS_PER_DAY
 UNMATCHED = 9
 
 
-def _padded(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 3, "0")
+def with_match(df: DataFrame, product: str = "product") -> DataFrame:
+    """Adds ``quarter_no`` and ``tier`` of the product; 0 and ``UNMATCHED`` if it means no quarter-hour.
 
-
-def matched_quarter(product: Column) -> Column:
-    """The quarter-hour number a negative product code stands for, 0 if it stands for none.
-
-    Never NULL, so that joins and aggregates on the number add no NULL filter, which the optimizer
-    would evaluate on every bid instead of on sums of bids.
+    Both are never NULL, so that joins on them add no NULL filter, which would be evaluated on every bid
+    once more.  Steps are separate columns, so each is computed once per row.
     """
-    tail = F.substring(product, -3, 3)
-    number = tail.try_cast("int")
-    rest = F.substring(product, 5, 2).try_cast("int")
-    negative = product.startswith("NEG") | product.startswith("neg")
-    in_day = number.between(1, QUARTERS_PER_DAY)
-    return F.coalesce(
-        F.when(negative & in_day & (F.length(product) > 5) & (tail == _padded(number)), number),
-        F.when(rest.between(1, QUARTERS_PER_DAY) & (product == F.concat(F.lit("NEG_"), rest.cast("string"))), rest),
-        F.lit(0),
+    code = F.col(product)
+    length = F.length(code)
+    negative = code.startswith("NEG") | code.startswith("neg")
+    # Texts are checked before they are cast, because a cast that fails costs an exception per row.
+    digits = (
+        F.when(negative & code.rlike("[0-9]{3}$"), F.substring(code, -3, 3))
+        .when(code.rlike("^NEG_[1-9][0-9]?$"), F.substring(code, 5, 2))
+        .otherwise(F.lit("0"))
     )
-
-
-def match_tier(product: Column, quarter_no: Column) -> Column:
-    """1 for the exact code, 2 for a usual other spelling, 3 for any other match, ``UNMATCHED`` without one."""
-    digits = _padded(quarter_no)
-    usual = [F.concat(F.lit(prefix), digits) for prefix in ("NEG-", "NEG", "neg_")]
-    short = F.concat(F.lit("NEG_"), quarter_no.cast("string"))
     return (
-        F.when(quarter_no == 0, UNMATCHED)
-        .when(product == F.concat(F.lit("NEG_"), digits), 1)
-        .when(product.isin(*usual, short), 2)
-        .otherwise(3)
+        df.withColumn("_number", digits.try_cast("int"))
+        .withColumn(
+            "quarter_no",
+            F.coalesce(F.when(F.col("_number").between(1, QUARTERS_PER_DAY), F.col("_number")), F.lit(0)),
+        )
+        .withColumn(
+            "tier",
+            F.when(F.col("quarter_no") == 0, UNMATCHED)
+            .when((length == 7) & code.startswith("NEG_"), 1)
+            .when((length == 7) & (code.startswith("NEG-") | code.startswith("neg_")), 2)
+            .when((length < 7) & code.startswith("NEG"), 2)
+            .otherwise(3),
+        )
+        .drop("_number")
     )

@@ -4,8 +4,7 @@ An interval may hold a third of all bids, so no task ever sees all bids of an in
 its price levels.  Prices are DECIMAL with two digits; a *band* is 10 EUR/MWh wide (the one around zero
 20) and so has at most 2,000 levels.
 
-1. Bids are summed per (date, product, band); the sums combine before the shuffle.  Product codes are
-   interpreted on these sums.
+1. Bids are summed per (date, quarter-hour, tier, band); the sums combine before the shuffle.
 2. Running sums over the bands of an interval, and one equi-join with the activations, tell in which
    band each interval clears.
 3. Bids are read again and reduced to those of clearing bands (at most one band per interval, so the
@@ -20,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridclear.functions.matching import UNMATCHED, match_tier, matched_quarter
+from gridclear.functions.matching import UNMATCHED, with_match
 from gridclear.functions.timecode import (
     block_index,
     interval_start,
@@ -56,35 +55,20 @@ def negative_bids(bids: DataFrame, capacity: Column | None = None) -> DataFrame:
     )
 
 
-def with_match(df: DataFrame) -> DataFrame:
-    """Adds ``quarter_no`` and ``tier`` of ``product``; 0 and ``UNMATCHED`` if it means no quarter-hour."""
-    return df.withColumn("quarter_no", matched_quarter(F.col("product"))).withColumn(
-        "tier", match_tier(F.col("product"), F.col("quarter_no"))
-    )
-
-
 def with_band(df: DataFrame) -> DataFrame:
     """Adds ``band``, a number that never falls as the price rises; NULL without a price."""
     return df.withColumn("band", F.expr(f"cast(price as bigint) div {BAND_WIDTH}"))
 
 
-def product_bands(stack: DataFrame) -> DataFrame:
-    """Capacity per date, product and band, with the quarter-hour and tier the product means."""
-    return with_match(
-        with_band(stack)
-        .groupBy("date", "product", "band")
-        .agg(F.sum("capacity_mw").alias("band_mw"), F.max("price").alias("band_top"))
-    )
-
-
 def band_sums(stack: DataFrame) -> DataFrame:
     """Best-tier bands of every interval with the capacity before, up to and beyond them.
 
     Bids without a price form a last band (``band`` NULL): they count as available but set no price.
     """
-    per_band = product_bands(stack).groupBy(*INTERVAL, "tier", "band").agg(
-        F.sum("band_mw").alias("band_mw"),
-        F.max("band_top").alias("band_top"),
+    per_band = (
+        with_match(with_band(stack))
+        .groupBy(*INTERVAL, "tier", "band")
+        .agg(F.sum("capacity_mw").alias("band_mw"), F.max("price").alias("band_top"))
     )
     interval = Window.partitionBy(*INTERVAL)
     ordered = interval.orderBy(F.col("band").asc_nulls_last())
