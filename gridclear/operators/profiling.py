@@ -244,18 +244,29 @@ def note_analysis(df: DataFrame, note: str = "note", n: int | None = 10) -> Data
         .groupBy(quoted(note).alias("note"))
         .agg(F.count("*").alias("frequency"))
     )
-    is_error = F.lower("note").rlike("|".join(ERROR_WORDS))
-    totals = notes.agg(
+    totals = _with_error_flag(notes).agg(
         F.struct(
             F.count("*").alias("total_notes"),
-            F.count_if(is_error).alias("error_count"),
-            F.count_if(~is_error).alias("non_error_count"),
+            F.count_if("is_error").alias("error_count"),
+            F.count_if(~F.col("is_error")).alias("non_error_count"),
         )
     )
     ranked = notes if n is None else notes.orderBy(F.desc("frequency"), "note").limit(n)
-    return ranked.select(
-        F.lit(True).alias("exists"), "note", "frequency", is_error.alias("is_error"), totals.scalar().alias("t")
-    ).select("exists", "note", "frequency", "is_error", "t.*")
+    return (
+        _with_error_flag(ranked)
+        .select(F.lit(True).alias("exists"), "note", "frequency", "is_error", totals.scalar().alias("t"))
+        .select("exists", "note", "frequency", "is_error", "t.*")
+    )
+
+
+def _with_error_flag(notes: DataFrame) -> DataFrame:
+    """Whether a note holds any of the error words; each note is lower-cased once."""
+    hits = [F.col("_lower").contains(word) for word in ERROR_WORDS]
+    return (
+        notes.withColumn("_lower", F.lower("note"))
+        .withColumn("is_error", reduce(Column.__or__, hits))
+        .drop("_lower")
+    )
 
 
 def note_statistics(df: DataFrame, note: str = "note") -> DataFrame:

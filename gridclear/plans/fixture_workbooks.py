@@ -79,7 +79,7 @@ def zipped(name: str, content: bytes) -> bytes:
 
 
 def render_workbooks(df: DataFrame, rows_per_sheet: int = 20_000, sheets_per_file: int = 2, pack: bool = False) -> DataFrame:
-    """``path, content`` of workbooks that hold all rows of ``df``, written where the rows are.
+    """``path, content`` of workbooks that hold all rows of ``df``, rendered by all tasks.
 
     Every Arrow batch becomes sheets, so no workbook is larger than a batch.
     """
@@ -104,4 +104,5 @@ def render_workbooks(df: DataFrame, rows_per_sheet: int = 20_000, sheets_per_fil
                     name, content = name + ".zip", zipped(name, content)
                 yield pd.DataFrame({"path": [name], "content": [content]})
 
-    return df.mapInPandas(render, "path string, content binary")
+    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return spread.mapInPandas(render, "path string, content binary")

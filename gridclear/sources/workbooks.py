@@ -13,9 +13,12 @@ import posixpath
 import re
 import zipfile
 from collections.abc import Iterator
-from xml.etree.ElementTree import iterparse
+from itertools import chain, islice
+from xml.etree.ElementTree import fromstring, iterparse
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +28,12 @@ from gridclear.sources.landing import WORKBOOK_GLOB, file_name, read_binary
 # An XLSX sheet has at most 1,048,576 rows, so a task that reads one sheet is bounded.
 SHEET_SCHEMA = "source_file string, sheet string, sheet_no int, date1904 boolean, container binary, error string"
 ROW_SCHEMA = "source_file string, sheet string, row_no long, header array<string>, cells array<string>"
+ROW_COLUMNS = ["source_file", "sheet", "row_no", "header", "cells"]
 BATCH_ROWS = 5_000
+PIECE_BYTES = 1 << 20
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_CELL = _MAIN + "c"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 # Built-in number formats that show dates or times.
 DATE_FORMATS = [14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47]
@@ -152,31 +158,95 @@ def _cell_text(cell, strings: list[str], dates: set[int], date1904: bool) -> str
         return "true" if value == "1" else "false"
     if kind == "e":
         return None
-    if kind == "n" and int(cell.get("s", 0)) in dates:
+    if kind == "n" and dates and int(cell.get("s", 0)) in dates:
         return _serial_to_text(float(value), date1904)
     return value
 
 
+class _Irregular(Exception):
+    """A sheet whose text cannot be cut at the ends of rows."""
+
+
+def _rows_in_pieces(stream) -> Iterator:
+    """Row elements, parsed some thousand at a time: the text is cut after the last complete row.
+
+    Building whole pieces in the XML parser is several times faster than an event for every cell.
+    """
+    text, head, end = b"", None, b""
+    while True:
+        chunk = stream.read(PIECE_BYTES)
+        text += chunk
+        if head is None:
+            opened = re.search(rb"<((?:[\w.-]+:)?)sheetData(?:\s[^>]*)?>", text)
+            if not opened:
+                if chunk and len(text) < 64 * PIECE_BYTES:
+                    continue
+                raise _Irregular
+            head, text = text[: opened.end()], text[opened.end() :]
+            root = re.search(rb"<((?:[\w.-]+:)?worksheet)[\s>]", head)
+            if not root or head.startswith((b"\xff\xfe", b"\xfe\xff")) or head.endswith(b"/>"):
+                raise _Irregular
+            prefix = opened.group(1)
+            end = b"</" + prefix + b"sheetData></" + root.group(1) + b">"
+            row_end, data_end = b"</" + prefix + b"row>", b"</" + prefix + b"sheetData"
+        closed = text.find(data_end)
+        if closed >= 0:
+            text, chunk = text[:closed], b""
+        cut = text.rfind(row_end)
+        if cut >= 0:
+            piece, text = text[: cut + len(row_end)], text[cut + len(row_end) :]
+            if b"<![CDATA[" in piece or b"<!--" in piece:
+                raise _Irregular
+            yield from fromstring(head + piece + end).find(_MAIN + "sheetData")
+        if not chunk:
+            return
+
+
+def _rows_by_event(stream) -> Iterator:
+    """Row elements one by one, for sheets that cannot be cut."""
+    parent = None
+    for event, el in iterparse(stream, events=("start", "end")):
+        if event == "start" and el.tag == _MAIN + "sheetData":
+            parent = el
+        elif event == "end" and el.tag == _MAIN + "row":
+            yield el
+            parent.clear()
+
+
+def _row_elements(parts: zipfile.ZipFile) -> Iterator:
+    done = 0
+    try:
+        for element in _rows_in_pieces(parts.open("sheet.xml")):
+            yield element
+            done += 1
+    except _Irregular:
+        yield from islice(_rows_by_event(parts.open("sheet.xml")), done, None)
+
+
 def _sheet_rows(container: bytes, date1904: bool) -> Iterator[tuple[int, list[str | None]]]:
     """(row number, cell texts) in sheet order; rows may be ragged, and missing cells are None."""
     with zipfile.ZipFile(io.BytesIO(container)) as parts:
         strings, dates = _shared_strings(parts), _date_styles(parts)
-        parent, row_no = None, 0
-        for event, el in iterparse(parts.open("sheet.xml"), events=("start", "end")):
-            if event == "start":
-                if el.tag == _MAIN + "sheetData":
-                    parent = el
-                continue
-            if el.tag != _MAIN + "row":
-                continue
-            row_no = int(el.get("r", row_no + 1))
+        columns: dict[str, int] = {}
+        row_no = 0
+        for row in _row_elements(parts):
+            row_no = int(row.get("r", row_no + 1))
             cells: list[str | None] = []
-            for cell in el.iter(_MAIN + "c"):
-                at = _column_no(cell.get("r")) if cell.get("r") else len(cells)
-                cells.extend([None] * (at + 1 - len(cells)))
+            for cell in row:
+                if cell.tag != _CELL:
+                    continue
+                reference = cell.get("r")
+                if reference:
+                    letters = reference.rstrip("0123456789")
+                    at = columns.get(letters)
+                    if at is None:
+                        at = columns[letters] = _column_no(letters)
+                else:
+                    at = len(cells)
+                if at >= len(cells):
+                    cells.extend([None] * (at + 1 - len(cells)))
                 cells[at] = _cell_text(cell, strings, dates, date1904)
             yield row_no, cells
-            parent.clear()
 
 
 def _unique(names: list[str | None]) -> list[str]:
@@ -190,37 +260,64 @@ def _unique(names: list[str | None]) -> list[str]:
     return result
 
 
-def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["source_file", "sheet", "row_no", "header", "cells"]
+def _rows_batch(source: str, sheet: str, header: list[str], numbers: list[int], cells: list[list[str | None]]):
+    """Rows of one sheet as an Arrow batch; all rows share the header and are as wide as it."""
+    n, width = len(numbers), len(header)
+    offsets = pa.array(np.arange(0, (n + 1) * width, max(width, 1), dtype=np.int32)[: n + 1])
+    names = pa.array(header, pa.string()).take(pa.array(np.tile(np.arange(width), n)))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([source] * n, pa.string()),
+            pa.array([sheet] * n, pa.string()),
+            pa.array(numbers, pa.int64()),
+            pa.ListArray.from_arrays(offsets, names),
+            pa.ListArray.from_arrays(offsets, pa.array(list(chain.from_iterable(cells)), pa.string())),
+        ],
+        names=ROW_COLUMNS,
+    )
+
+
+def _header_batch(source: str, sheet: str, header: list[str]):
+    text, texts = pa.string(), pa.list_(pa.string())
+    values = [pa.array([source], text), pa.array([sheet], text), pa.array([0], pa.int64())]
+    return pa.RecordBatch.from_arrays([*values, pa.array([header], texts), pa.array([None], texts)], names=ROW_COLUMNS)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for item in batch.itertuples(index=False):
-            header, rows = None, []
-            for row_no, cells in _sheet_rows(item.container, bool(item.date1904)):
+        for item in batch.to_pylist():
+            source, sheet = item["source_file"], item["sheet"]
+            header, numbers, rows = None, [], []
+            for row_no, cells in _sheet_rows(item["container"], bool(item["date1904"])):
                 if header is None:
                     header = _unique(cells)
-                    rows.append([item.source_file, item.sheet, 0, header, None])
+                    width = len(header)
+                    yield _header_batch(source, sheet, header)
                     continue
-                if all(c is None or c == "" for c in cells):
+                if not any(cells):
                     continue
-                cells = (cells + [None] * len(header))[: len(header)]
-                rows.append([item.source_file, item.sheet, row_no, header, cells])
+                if len(cells) != width:
+                    cells = (cells + [None] * width)[:width]
+                numbers.append(row_no)
+                rows.append(cells)
                 if len(rows) >= BATCH_ROWS:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows = []
+                    yield _rows_batch(source, sheet, header, numbers, rows)
+                    numbers, rows = [], []
             if rows:
-                yield pd.DataFrame(rows, columns=columns)
+                yield _rows_batch(source, sheet, header, numbers, rows)
 
 
 def read_sheets(sheets: DataFrame, tasks: int | None = None) -> DataFrame:
     """Rows of every sheet as text: ``header`` and ``cells`` side by side.
 
     Row 0 of each sheet carries the header only, so that empty sheets are known too.  The header is the
-    first row; rows without any value are left out.
+    first row; rows without any value are left out.  Sheets spread over ``tasks`` tasks, or as many as a
+    shuffle has: a fixed number, since merging tasks by compressed size would undo the spread.
     """
     readable = sheets.filter("error IS NULL").select("source_file", "sheet", "date1904", "container")
-    keys = ["source_file", "sheet"]
-    spread = readable.repartition(tasks, *keys) if tasks else readable.repartition(*keys)
-    return spread.mapInPandas(_read, ROW_SCHEMA)
+    tasks = tasks or int(sheets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = readable.repartition(tasks, "source_file", "sheet")
+    return spread.mapInArrow(_read, ROW_SCHEMA)
 
 
 def scan_workbooks(spark: SparkSession, path: str, glob: str = WORKBOOK_GLOB) -> DataFrame:

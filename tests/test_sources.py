@@ -1,6 +1,8 @@
 """Workbooks, delimited files and landing folders."""
 
 import datetime as dt
+import io
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -158,3 +160,50 @@ def test_bad_bid_lines_are_set_apart(spark, tmp_path):
     bad = rows.filter(F.col(dl.CORRUPT).isNotNull()).select("PRODUCT", dl.CORRUPT).collect()
     assert [r.PRODUCT for r in good] == ["NEG_001"]
     assert [r[dl.CORRUPT] for r in bad] == ["2024-09-01,NEG_002,extra,more"]
+
+
+def container(sheet, strings=None):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as archive:
+        archive.writestr("sheet.xml", sheet)
+        if strings:
+            archive.writestr("strings.xml", strings)
+    return out.getvalue()
+
+
+NS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+CELLS = "".join(f'<x:row r="{r}"><x:c r="A{r}"><x:v>{r}</x:v></x:c><x:c r="C{r}" t="b"><x:v>1</x:v></x:c></x:row>' for r in range(1, 40))
+ODD = {
+    "prefix": (f'<x:worksheet xmlns:x="{NS}"><x:cols/><x:sheetData>{CELLS}</x:sheetData><x:after/></x:worksheet>', 39),
+    "plain": (f'<worksheet xmlns="{NS}"><sheetData>{CELLS.replace("x:", "")}</sheetData></worksheet>', 39),
+    "comment": (f'<worksheet xmlns="{NS}"><sheetData>{CELLS.replace("x:", "")}<!-- </row> --></sheetData></worksheet>', 39),
+    "cdata": (
+        f'<worksheet xmlns="{NS}"><sheetData>{CELLS.replace("x:", "")}<row r="40"><c r="A40" t="inlineStr"><is>'
+        "<t><![CDATA[</row>]]></t></is></c></row></sheetData></worksheet>",
+        40,
+    ),
+    "no references": (f'<worksheet xmlns="{NS}"><sheetData><row><c><v>1</v></c><c><v>2</v></c></row></sheetData></worksheet>', 1),
+    "empty": (f'<worksheet xmlns="{NS}"><sheetData/></worksheet>', 0),
+    "empty rows": (f'<worksheet xmlns="{NS}"><sheetData><row r="1"/><row r="2"><c r="A2"><v>1</v></c></row><row r="3"/></sheetData></worksheet>', 2),
+}
+
+
+@pytest.mark.parametrize("piece", [7, 64, 1 << 20])
+@pytest.mark.parametrize("name", ODD)
+def test_unusual_sheets(monkeypatch, piece, name):
+    monkeypatch.setattr(wb, "PIECE_BYTES", piece)
+    sheet, count = ODD[name]
+    rows = list(wb._sheet_rows(container(sheet), False))
+    monkeypatch.setattr(wb, "_rows_in_pieces", wb._rows_by_event)
+    by_event = [r for r in wb._sheet_rows(container(sheet), False)]
+    filled = [r for r in rows if r[1]]
+    assert filled == [r for r in by_event if r[1]]
+    assert len(rows) == count
+    if name in ("prefix", "plain"):
+        assert rows[38] == (39, ["39", None, "true"])
+
+
+def test_shared_strings_without_phonetic_hints():
+    strings = f'<sst xmlns="{NS}"><si><t>plain</t></si><si><r><t>ri</t></r><r><t>ch</t></r></si></sst>'
+    sheet = f'<worksheet xmlns="{NS}"><sheetData><row r="1"><c r="B1" t="s"><v>1</v></c><c r="A1" t="s"><v>0</v></c></row></sheetData></worksheet>'
+    assert list(wb._sheet_rows(container(sheet, strings), False)) == [(1, ["plain", "rich"])]
