@@ -85,9 +85,16 @@ def load_reconciliation(source: DataFrame, target: DataFrame, date_column: str,
     return result.join(repeated, "date", "left").withColumn("repeated_keys", F.coalesce("repeated_keys", F.lit(0)))
 
 
-def latest_per_interval(
-    rows: DataFrame, keys: list[str], order: list[str]
-) -> DataFrame:
+def upload_order(rows: DataFrame, load_columns: list[str]) -> DataFrame:
+    """Loads numbered 1, 2, 3 ... in order, with the rows each brought; there is one row per load."""
+    loads = rows.groupBy(*[quoted(c) for c in load_columns]).agg(F.count("*").alias("row_count"))
+    in_order = loads.agg(F.sort_array(F.collect_list(F.struct(*[quoted(c) for c in load_columns], "row_count"))).alias("l"))
+    return in_order.select(F.posexplode("l").alias("position", "load")).select(
+        (F.col("position") + 1).cast("long").alias("version_id"), "load.*"
+    )
+
+
+def latest_per_interval(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of every key by ``order``; other columns break ties, so the result is always the same.
 
     An aggregate rather than a ranking window: copies of one key combine before the shuffle.

@@ -279,7 +279,8 @@ def distinct_values(spark, sf):
         """SELECT product AS "PRODUCT", replace(CAST(energy_price AS VARCHAR), '.', ',') AS "ENERGY_PRICE__EUR_MWh_",
        replace(CAST(mw AS VARCHAR), '.', ',') AS "ALLOCATED_CAPACITY__MW_", source_file, COUNT(*) AS copies
 FROM all_bids GROUP BY ALL"""
-    )
+    ),
+    name="clean_column_names",
 )
 def clean_column_names_of_bids(spark, sf):
     renamed = clean_column_names(mv.bid_text(spark, sf))
@@ -293,7 +294,8 @@ def clean_column_names_of_bids(spark, sf):
         """SELECT product AS "PRODUCT", payment_direction AS "ENERGY_PRICE_PAYMENT_DIRECTION", type_of_reserves AS "TYPE_OF_RESERVES",
        source_file, CAST(NULL AS VARCHAR) AS "COUNTRY", CAST(NULL AS VARCHAR) AS "OFFERED_CAPACITY_[MW]", COUNT(*) AS n
 FROM all_bids GROUP BY ALL"""
-    )
+    ),
+    name="conform_to_schema",
 )
 def conform_to_schema_of_bids(spark, sf):
     rows = mv.bid_text(spark, sf, extra=["order_no"]).withColumnRenamed(
@@ -404,6 +406,17 @@ def latest_per_interval(spark, sf):
     return rc.latest_per_interval(_loads(spark, sf), ["date", "quarter_no"], ["load_timestamp"])
 
 
+@query(
+    with_act(
+        """SELECT CAST(row_number() OVER (ORDER BY load_timestamp) AS BIGINT) AS version_id,
+       CAST(load_timestamp AS VARCHAR) AS load_timestamp, COUNT(*) AS row_count FROM loads GROUP BY load_timestamp""",
+        VERSIONS_SQL,
+    )
+)
+def upload_order(spark, sf):
+    return rc.upload_order(_loads(spark, sf), ["load_timestamp"])
+
+
 @query(
     with_bids(
         """SELECT source_file, format('{:,}', COUNT(*)).replace(',', '.') AS rows_text,
