@@ -225,16 +225,19 @@ class InvalidSheets(ValueError):
     """An all-or-nothing import met a sheet without the required columns."""
 
 
-def route_invalid_sheets(rows: DataFrame, sheets: DataFrame, all_or_nothing: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Rows of valid sheets, and rows of the others; with ``all_or_nothing`` any invalid sheet fails the import."""
-    checked = validate_bid_columns(sheets) if "is_valid" not in sheets.columns else sheets
-    invalid = checked.filter("NOT is_valid").select("source_file", "sheet")
+def route_invalid_sheets(
+    rows: DataFrame, required: list[str] = REQUIRED_BID_COLUMNS, all_or_nothing: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of valid sheets, and rows of the others; with ``all_or_nothing`` any invalid sheet fails the import.
+
+    Every row carries its sheet's header, so both parts are filters of one scan, without a join.
+    """
+    is_valid = F.size(F.array_except(F.array(*[F.lit(c) for c in required]), F.col("header"))) == 0
     if all_or_nothing:
-        first = invalid.orderBy("source_file", "sheet").head(1)
+        first = rows.filter(~is_valid).select("source_file", "sheet").head(1)
         if first:
             raise InvalidSheets(f"{first[0]['source_file']} [{first[0]['sheet']}] lacks required columns")
-    keys = ["source_file", "sheet"]
-    return rows.join(invalid, keys, "left_anti"), rows.join(invalid, keys, "left_semi")
+    return rows.filter(is_valid), rows.filter(~is_valid)
 
 
 def validate_bids(bids: DataFrame) -> DataFrame:

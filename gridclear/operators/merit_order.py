@@ -238,15 +238,10 @@ def best_match_tier(bids: DataFrame) -> DataFrame:
 def match_bids_tiered(activations: DataFrame, bids: DataFrame) -> DataFrame:
     """Every bid of every activated quarter-hour, of the best tier that has bids."""
     demand = activations.select(*INTERVAL, "activated_volume_mw")
-    wanted = (
-        product_matches(bids)
-        .withColumn("match_tier", F.min("tier").over(Window.partitionBy(*INTERVAL)))
-        .filter("tier = match_tier")
-        .drop("tier")
-        .join(demand, INTERVAL)
-    )
-    # A few spellings per interval, so as small as the activations.
-    return negative_bids(bids).join(broadcast_if(wanted, is_small(demand)), ["date", "product"])
+    # At most one row per activation, so as small as the activations.
+    wanted = demand.join(best_match_tier(bids), INTERVAL).withColumn("tier", F.col("match_tier"))
+    matched = with_match(negative_bids(bids))
+    return matched.join(broadcast_if(wanted, is_small(demand)), [*INTERVAL, "tier"]).drop("tier")
 
 
 def available_capacity(bids: DataFrame, capacity: Column | None = None) -> DataFrame:

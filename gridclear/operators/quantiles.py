@@ -1,8 +1,8 @@
 """Exact quantiles of a column of any size.
 
-Spark's exact ``percentile`` keeps all distinct values in one task.  Here each pass counts values in
-1,024 buckets and narrows the range to the bucket that holds the wanted rank; a pass returns at most
-1,024 rows.  Once few enough values are left they are read in order.
+Spark's exact ``percentile`` keeps all distinct values in one task.  Here a pass counts values in 1,024
+buckets and narrows each wanted rank to the bucket that holds it; all ranks share the pass, and a pass
+returns at most 1,024 rows per rank.  Once few enough values are left they are read in order.
 """
 
 from __future__ import annotations
@@ -15,33 +15,54 @@ from pyspark.sql import functions as F
 BUCKETS = 1024
 SMALL = 10_000
 
+Range = tuple[float, float, int]
 
-def _value_at(values: DataFrame, rank: int, lo: float, hi: float, count: int) -> float:
-    """The value with 0-based ``rank`` among ``count`` values, all of them in ``lo``..``hi``."""
-    while lo < hi:
-        if count <= SMALL:
-            inside = values.filter(F.col("v").between(lo, hi)).groupBy("v").count().orderBy("v").collect()
-            for value, times in inside:
-                if rank < times:
-                    return value
-                rank -= times
-        width = (hi - lo) / BUCKETS
-        if width == 0.0:
-            width = hi - lo
-        bucket = F.least(F.floor((F.col("v") - lo) / width), F.lit(BUCKETS - 1))
-        parts = (
-            values.filter(F.col("v").between(lo, hi))
-            .groupBy(bucket.alias("b"))
+
+def _pick(parts: list[tuple], rank: int) -> tuple[tuple, int]:
+    """The part that holds a 0-based rank, and the rank within it; the second field of a part is its count."""
+    for part in parts:
+        if rank < part[1]:
+            return part, rank
+        rank -= part[1]
+    raise AssertionError("rank beyond the counted values")
+
+
+def _values_at(values: DataFrame, ranks: set[int], whole: Range) -> dict[int, float]:
+    """The values with the given 0-based ranks; all values lie in ``whole`` (lowest, highest, count)."""
+    found: dict[int, float] = {}
+    pending: dict[int, tuple[Range, int]] = {rank: (whole, rank) for rank in ranks}
+    while True:
+        for rank, ((lo, hi, _), _) in list(pending.items()):
+            if lo == hi:
+                found[rank] = lo
+                del pending[rank]
+        if not pending:
+            return found
+        # Ranges come from splitting the same range, so they are equal or disjoint.
+        ranges = sorted({part for part, _ in pending.values()})
+        v = F.col("v")
+        which = F.coalesce(*[F.when(v.between(lo, hi), i) for i, (lo, hi, _) in enumerate(ranges)])
+        inside = values.withColumn("part", which).filter(F.col("part").isNotNull())
+        if all(count <= SMALL for _, _, count in ranges):
+            counted = inside.groupBy("part", "v").agg(F.count("*").alias("n")).orderBy("v").collect()
+            for rank, (part, position) in pending.items():
+                rows = [(r["v"], r["n"]) for r in counted if r["part"] == ranges.index(part)]
+                found[rank] = _pick(rows, position)[0][0]
+            return found
+        slots = []
+        for i, (lo, hi, _) in enumerate(ranges):
+            width = (hi - lo) / BUCKETS or hi - lo
+            slots.append(F.when(F.col("part") == i, F.least(F.floor((v - lo) / width), F.lit(BUCKETS - 1))))
+        split = (
+            inside.groupBy("part", F.coalesce(*slots).alias("slot"))
             .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
             .orderBy("lo")
             .collect()
         )
-        for part in parts:
-            if rank < part["n"]:
-                lo, hi, count = part["lo"], part["hi"], part["n"]
-                break
-            rank -= part["n"]
-    return lo
+        for rank, (part, position) in pending.items():
+            rows = [((r["lo"], r["hi"], r["n"]), r["n"]) for r in split if r["part"] == ranges.index(part)]
+            (narrower, _), rest = _pick(rows, position)
+            pending[rank] = (narrower, rest)
 
 
 def exact_quantiles(df: DataFrame, column: Column, probabilities: list[float]) -> list[float | None]:
@@ -50,17 +71,9 @@ def exact_quantiles(df: DataFrame, column: Column, probabilities: list[float]) -
     count, lo, hi = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
     if count == 0:
         return [None for _ in probabilities]
-    known: dict[int, float] = {}
-
-    def at(rank: int) -> float:
-        if rank not in known:
-            known[rank] = _value_at(values, rank, lo, hi, count)
-        return known[rank]
-
-    result = []
-    for p in probabilities:
-        position = p * (count - 1)
-        below, above = math.floor(position), math.ceil(position)
-        a, b = at(below), at(above)
-        result.append(a + (position - below) * (b - a))
-    return result
+    positions = [p * (count - 1) for p in probabilities]
+    ranks = {f(x) for x in positions for f in (math.floor, math.ceil)}
+    at = _values_at(values, ranks, (lo, hi, count))
+    return [
+        at[math.floor(x)] + (x - math.floor(x)) * (at[math.ceil(x)] - at[math.floor(x)]) for x in positions
+    ]

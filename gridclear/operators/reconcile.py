@@ -24,12 +24,22 @@ def import_date_range(rows: DataFrame, date_column: str = "DELIVERY_DATE") -> Da
 
 
 def load_summary(sheets: DataFrame) -> DataFrame:
-    """Files, loaded sheets, loaded rows and errors of one import, also as report text.
+    """Files, loaded sheets, loaded rows and number of errors of one import, rows also as report text.
 
     ``sheets`` has ``source_file``, ``sheet``, ``row_count``, ``is_valid`` and ``missing_columns``.
     """
-    bad = ~F.col("is_valid")
-    message = F.concat(
+    summary = sheets.agg(
+        F.count_distinct("source_file").alias("files_processed"),
+        F.count_if("is_valid").alias("sheets_loaded"),
+        F.coalesce(F.sum(F.when(F.col("is_valid"), F.col("row_count"))), F.lit(0)).alias("rows_loaded"),
+        F.count_if(~F.col("is_valid")).alias("error_count"),
+    )
+    return summary.withColumn("rows_loaded_text", to_german_text(F.col("rows_loaded"), 0))
+
+
+def load_errors(sheets: DataFrame) -> DataFrame:
+    """One row per rejected sheet with the reason."""
+    reason = F.concat(
         F.lit("Missing columns ["),
         F.array_join("missing_columns", ", "),
         F.lit("] in "),
@@ -38,15 +48,7 @@ def load_summary(sheets: DataFrame) -> DataFrame:
         F.col("sheet"),
         F.lit("'"),
     )
-    # One message per rejected sheet, so the list is as long as the list of sheets at most.
-    summary = sheets.agg(
-        F.count_distinct("source_file").alias("files_processed"),
-        F.count_if("is_valid").alias("sheets_loaded"),
-        F.coalesce(F.sum(F.when(F.col("is_valid"), F.col("row_count"))), F.lit(0)).alias("rows_loaded"),
-        F.count_if(bad).alias("error_count"),
-        F.array_join(F.sort_array(F.collect_list(F.when(bad, message))), "; ").alias("errors"),
-    )
-    return summary.withColumn("rows_loaded_text", to_german_text(F.col("rows_loaded"), 0))
+    return sheets.filter("NOT is_valid").select("source_file", "sheet", reason.alias("error"))
 
 
 def files_by_date_range(bids: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ MAX_BROADCAST_ROWS = 1_000_000
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Counts the rows, in partial counts; a limit would gather them in one task."""
+    return df.count() <= max_rows
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:

@@ -197,7 +197,7 @@ FROM all_bids GROUP BY 1"""
 )
 def route_invalid_sheets(spark, sf):
     rows = _two_kinds(spark, sf)
-    loaded, quarantined = cl.route_invalid_sheets(rows, wb.sheet_manifest(rows))
+    loaded, quarantined = cl.route_invalid_sheets(rows)
 
     def counts(part, flag):
         named = wb.to_columns(part, ["PRODUCT"])

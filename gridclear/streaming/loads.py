@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridclear.operators.cleaning import clean_bids, to_activations
+from gridclear.operators.cleaning import clean_bids, route_invalid_sheets, to_activations
 from gridclear.operators.reconcile import latest_per_interval
 from gridclear.sources.delimited import text_schema
 from gridclear.sources.landing import WORKBOOK_GLOB, file_name
@@ -68,11 +68,9 @@ def bid_workbook_load(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = read_sheets(split_sheets(batch))
-        manifest = sheet_manifest(rows)
-        rejected = manifest.filter("NOT is_valid")
+        accepted, rejected = route_invalid_sheets(rows)
         if on_rejected is not None:
-            on_rejected(rejected)
-        accepted = rows.join(rejected, ["source_file", "sheet"], "left_anti")
+            on_rejected(sheet_manifest(rejected))
         table.replace_range(clean_bids(to_raw_bids(accepted)), f"stream batch {batch_id}")
 
     _drain(reader.load(landing), checkpoint, apply)

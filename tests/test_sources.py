@@ -55,12 +55,13 @@ def test_valid_and_invalid_file(spark, tmp_path):
     sheets = wb.sheet_manifest(rows)
     summary = rc.load_summary(sheets).first()
     assert (summary.files_processed, summary.sheets_loaded, summary.rows_loaded, summary.error_count) == (2, 1, 1, 1)
-    assert "ENERGY_PRICE_PAYMENT_DIRECTION" in summary.errors and "bad.XLSX" in summary.errors
-    loaded, quarantined = cl.route_invalid_sheets(rows, sheets)
+    errors = [r.error for r in rc.load_errors(sheets).collect()]
+    assert len(errors) == 1 and "ENERGY_PRICE_PAYMENT_DIRECTION" in errors[0] and "bad.XLSX" in errors[0]
+    loaded, quarantined = cl.route_invalid_sheets(rows)
     assert {r.source_file for r in loaded.collect()} == {"good.xlsx"}
     assert {r.source_file for r in quarantined.collect()} == {"bad.XLSX"}
     with pytest.raises(cl.InvalidSheets, match="bad.XLSX"):
-        cl.route_invalid_sheets(rows, sheets, all_or_nothing=True)
+        cl.route_invalid_sheets(rows, all_or_nothing=True)
 
 
 def test_unreadable_file_does_not_stop_the_others(spark, tmp_path):
