@@ -357,6 +357,12 @@ def table_samples(tables: dict[str, DataFrame], n: int = 5) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def export_database_summary(tables: dict[str, DataFrame], path: str, n: int = 5) -> None:
+    """Summaries and sample rows of all tables as JSON, in ``tables`` and ``samples`` under ``path``."""
+    table_summaries(tables).write.mode("overwrite").json(f"{path}/tables")
+    table_samples(tables, n).write.mode("overwrite").json(f"{path}/samples")
+
+
 def list_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """Table names with row and column counts; Parquet answers the row count from file footers."""
     rows = [

@@ -330,11 +330,11 @@ def replace_4h_block(spark, sf):
 
 @query(with_bids(mq.CLEAN_SELECT))
 def create_or_replace_table(spark, sf):
-    path = scratch_dir(spark, "clean")
-    for rows in (mv.bid_text(spark, sf).limit(1), mv.bid_text(spark, sf)):
-        cleaned = cl.clean_bids(rows).hint("rebalance", "delivery_date")
-        cleaned.sortWithinPartitions("delivery_date", "energy_price_eur_mwh").write.mode("overwrite").parquet(path)
-    return spark.read.schema(BIDS).parquet(path).select(*mq.CLEAN_COLUMNS)
+    root = scratch_dir(spark, "clean")
+    table = PeriodTable(spark, root, BIDS, ["delivery_date"], sort_by=["product", "energy_price_eur_mwh"])
+    for rows in (mv.all_bids(spark, sf), cl.clean_bids(mv.bid_text(spark, sf))):
+        table.overwrite(rows)
+    return table.read().select(*mq.CLEAN_COLUMNS)
 
 
 @query(
@@ -353,9 +353,9 @@ def export_csv(spark, sf):
 @query(SUMMARY_SQL)
 def database_summary_export(spark, sf):
     path = scratch_dir(spark, "summary")
-    summary = pf.table_summaries(_summarized(spark, sf))
-    summary.write.json(path)
-    return spark.read.schema(summary.schema).json(path)
+    tables = _summarized(spark, sf)
+    pf.export_database_summary(tables, path)
+    return spark.read.schema(pf.table_summaries(tables).schema).json(f"{path}/tables")
 
 
 @query(

@@ -41,8 +41,18 @@ Partition = tuple[str, ...]
 
 
 class PeriodTable:
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, partition_by: list[str]):
-        self.spark, self.root, self.schema, self.partition_by = spark, root.rstrip("/"), schema, list(partition_by)
+    """``sort_by`` orders the rows inside each file, so that scans can skip parts of files by their statistics."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: T.StructType,
+        partition_by: list[str],
+        sort_by: Iterable[str] = (),
+    ):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.partition_by, self.sort_by = list(partition_by), list(sort_by)
 
     # --- versions ---
 
@@ -118,7 +128,10 @@ class PeriodTable:
         rows = conform_to_schema(df, self.schema)
         target = f"{self.root}/data/load_id={run_id}"
         # A rebalance gathers each partition in few files and splits one that is too large for a task.
-        rows.hint("rebalance", *self.partition_by).write.mode("overwrite").partitionBy(*self.partition_by).parquet(target)
+        gathered = rows.hint("rebalance", *self.partition_by)
+        if self.sort_by:
+            gathered = gathered.sortWithinPartitions(*[quoted(c) for c in (*self.partition_by, *self.sort_by)])
+        gathered.write.mode("overwrite").partitionBy(*self.partition_by).parquet(target)
         try:
             written = self.spark.read.schema(self.schema).parquet(target)
             parts = written.select(*[quoted(c).cast("string") for c in self.partition_by]).distinct().collect()
