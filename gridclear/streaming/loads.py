@@ -78,8 +78,8 @@ def bid_workbook_load(
 
 def merge_latest(table: PeriodTable, new: DataFrame, operation: str = "upsert_interval") -> None:
     """One row per interval, the one loaded last; only days the import touches are read and rewritten."""
-    days = new.select("date").distinct()
-    kept = table.read().join(days, "date", "left_semi").select(*new.columns)
+    days = [row["date"] for row in new.select("date").distinct().collect()]  # calendar days, so a short list
+    kept = table.read().filter(F.col("date").isin(days)).select(*new.columns)
     merged = latest_per_interval(kept.unionByName(new), INTERVAL_KEY, ["load_timestamp", "source_file"])
     table.replace_partitions(merged, operation)
 
