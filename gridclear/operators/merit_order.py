@@ -60,6 +60,14 @@ def with_band(df: DataFrame) -> DataFrame:
     return df.withColumn("band", F.expr(f"cast(price as bigint) div {BAND_WIDTH}"))
 
 
+def _usable() -> Column:
+    """Whether a group's product codes mean a quarter-hour, as an aggregate.
+
+    A filter on the tier itself would be repeated on every bid that is later joined by tier.
+    """
+    return F.bool_or(F.col("tier") < UNMATCHED).alias("usable")
+
+
 def band_sums(stack: DataFrame) -> DataFrame:
     """Best-tier bands of every interval with the capacity before, up to and beyond them.
 
@@ -68,13 +76,13 @@ def band_sums(stack: DataFrame) -> DataFrame:
     per_band = (
         with_match(with_band(stack))
         .groupBy(*INTERVAL, "tier", "band")
-        .agg(F.sum("capacity_mw").alias("band_mw"), F.max("price").alias("band_top"))
+        .agg(F.sum("capacity_mw").alias("band_mw"), F.max("price").alias("band_top"), _usable())
     )
     interval = Window.partitionBy(*INTERVAL)
     ordered = interval.orderBy(F.col("band").asc_nulls_last())
     return (
         per_band.withColumn("best_tier", F.min("tier").over(interval))
-        .filter(F.col("tier") == F.col("best_tier"))
+        .filter((F.col("tier") == F.col("best_tier")) & F.col("usable"))
         .withColumn("mw_through", F.sum("band_mw").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("mw_before", F.col("mw_through") - F.col("band_mw"))
         .withColumn("available_mw", F.sum("band_mw").over(interval))
@@ -231,8 +239,8 @@ def product_matches(bids: DataFrame) -> DataFrame:
 
 def best_match_tier(bids: DataFrame) -> DataFrame:
     """The best tier that has any bid, per interval."""
-    best = product_matches(bids).groupBy(*INTERVAL).agg(F.min("tier").alias("match_tier"))
-    return best.filter(F.col("match_tier") < UNMATCHED)
+    best = product_matches(bids).groupBy(*INTERVAL).agg(F.min("tier").alias("match_tier"), _usable())
+    return best.filter("usable").drop("usable")
 
 
 def match_bids_tiered(activations: DataFrame, bids: DataFrame) -> DataFrame:
@@ -257,8 +265,9 @@ def available_capacity(bids: DataFrame, capacity: Column | None = None) -> DataF
         F.min("tier").alias("match_tier"),
         F.min_by("mw", "tier").alias("available_capacity_mw"),
         F.min_by("bids", "tier").alias("bid_count"),
+        _usable(),
     )
-    return best.filter(F.col("match_tier") < UNMATCHED)
+    return best.filter("usable").drop("usable")
 
 
 def intervals_without_bids(activations: DataFrame, bids: DataFrame) -> DataFrame:

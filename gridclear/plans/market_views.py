@@ -85,15 +85,13 @@ def bids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messy_bids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same bids with product codes in five spellings and some intervals left without any."""
+    """The same bids with product codes in five spellings; the bids of some intervals have a code that means none."""
     number = F.lpad(F.col("slot").cast("string"), 3, "0")
     style = F.pmod(F.col("day_no") + F.col("slot"), F.lit(5))
     prefix = F.element_at(F.array(*[F.lit(p) for p in ("NEG_", "NEG-", "neg_", "NEG_", "NEG_X")]), style + 1)
-    return (
-        bids(spark, sf_dir)
-        .filter(F.pmod(F.col("day_no") * 7 + F.col("slot"), F.lit(11)) != 0)
-        .withColumn("product", F.concat(prefix, F.when(style == 3, F.col("slot").cast("string")).otherwise(number)))
-    )
+    unusable = F.pmod(F.col("day_no") * 7 + F.col("slot"), F.lit(11)) == 0
+    code = F.concat(prefix, F.when(style == 3, F.col("slot").cast("string")).otherwise(number))
+    return bids(spark, sf_dir).withColumn("product", F.when(unusable, "NEG_000").otherwise(code))
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:

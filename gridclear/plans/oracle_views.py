@@ -29,13 +29,14 @@ BIDS = "bids AS (SELECT * FROM all_bids WHERE NOT starts_with(product, 'POS_'))"
 
 MESSY = """messy AS (
   SELECT * EXCLUDE (product),
-         CASE (day_no + slot) % 5
-           WHEN 0 THEN 'NEG_' || lpad(CAST(slot AS VARCHAR), 3, '0')
-           WHEN 1 THEN 'NEG-' || lpad(CAST(slot AS VARCHAR), 3, '0')
-           WHEN 2 THEN 'neg_' || lpad(CAST(slot AS VARCHAR), 3, '0')
-           WHEN 3 THEN 'NEG_' || CAST(slot AS VARCHAR)
-           ELSE 'NEG_X' || lpad(CAST(slot AS VARCHAR), 3, '0') END AS product
-  FROM bids WHERE (7 * day_no + slot) % 11 <> 0)"""
+         CASE WHEN (7 * day_no + slot) % 11 = 0 THEN 'NEG_000' ELSE
+           CASE (day_no + slot) % 5
+             WHEN 0 THEN 'NEG_' || lpad(CAST(slot AS VARCHAR), 3, '0')
+             WHEN 1 THEN 'NEG-' || lpad(CAST(slot AS VARCHAR), 3, '0')
+             WHEN 2 THEN 'neg_' || lpad(CAST(slot AS VARCHAR), 3, '0')
+             WHEN 3 THEN 'NEG_' || CAST(slot AS VARCHAR)
+             ELSE 'NEG_X' || lpad(CAST(slot AS VARCHAR), 3, '0') END END AS product
+  FROM bids)"""
 
 MATCHED = """codes AS (
   SELECT CAST(q AS INTEGER) AS q, lpad(CAST(q AS VARCHAR), 3, '0') AS n FROM range(1, 97) t(q)),

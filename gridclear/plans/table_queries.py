@@ -155,12 +155,12 @@ FROM (SELECT CAST({c} AS VARCHAR) AS value, COUNT(*) AS n FROM {table} WHERE {c}
     return "\nUNION ALL ".join(parts)
 
 
-DESCRIBED = {"event_type": False, "user_id": True, "value": True, "props": False}
+DESCRIBED = {"event_id": True, "ts": False, "user_id": True, "event_type": False, "value": True, "props": False}
 
 
 @query(_describe_sql(GAPPY_SQL, DESCRIBED))
 def describe_columns(spark, sf):
-    return pf.describe_columns(_gappy_events(spark, sf), list(DESCRIBED)).withColumn("mean", F.round("mean", 6))
+    return pf.describe_columns(_gappy_events(spark, sf)).withColumn("mean", F.round("mean", 6))
 
 
 @query(
@@ -228,13 +228,14 @@ def duplicate_rows(spark, sf):
 
 
 @query(
-    """WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_totalprice > 400000)
+    """WITH days AS (SELECT DISTINCT CAST(MAX(o_orderdate) AS DATE) AS d FROM orders GROUP BY o_custkey)
 SELECT CAST(c.d AS VARCHAR) AS missing_date
 FROM (SELECT CAST(unnest(generate_series(MIN(d), MAX(d), INTERVAL 1 DAY)) AS DATE) AS d FROM days) c
 WHERE NOT EXISTS (SELECT 1 FROM days WHERE days.d = c.d)"""
 )
 def missing_dates(spark, sf):
-    return pf.missing_dates(mv.table(spark, sf, "orders").filter("o_totalprice > 400000"), "o_orderdate")
+    last_orders = mv.table(spark, sf, "orders").groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order"))
+    return pf.missing_dates(last_orders, "last_order")
 
 
 @query(

@@ -148,6 +148,15 @@ def test_curve(spark):
     assert [(float(r.price), float(r.cumulative_mw)) for r in rows] == [(-5, 30), (-4, 60), (-3.87, 90), (10, 130)]
 
 
+def test_codes_without_meaning_are_in_no_report(spark):
+    bids = bids_of(spark, *EXAMPLE, ("NEG_000", 1, 5), ("NEG_", 1, 5), ("POS_001", 1, 5))
+    for report in (mo.merit_order_curve, mo.available_capacity, mo.best_match_tier):
+        assert {r.quarter_no for r in report(bids).collect()} == {65}
+    demand = demand_of(spark, (65, 1), (1, 1))
+    assert {r.quarter_no for r in mo.match_bids_tiered(demand, bids).collect()} == {65}
+    assert [r.quarter_no for r in mo.intervals_without_bids(demand, bids).collect()] == [1]
+
+
 def test_shortfall_report(spark):
     demand = demand_of(spark, (65, 150), (64, 1))
     rows = mo.capacity_shortfall(demand, bids_of(spark, *EXAMPLE)).collect()
