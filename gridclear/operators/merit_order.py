@@ -7,7 +7,7 @@ its price levels.  Prices are DECIMAL with two digits; a *band* is 10 EUR/MWh wi
 1. Bids are summed per (date, quarter-hour, tier, band); the sums combine before the shuffle.
 2. Running sums over the bands of an interval, and one equi-join with the activations, tell in which
    band each interval clears.
-3. Bids are read again and reduced to those of clearing bands (at most one band per interval, so the
+3. Bids are read again and reduced to those of clearing bands (at most one band per activation, so the
    list is as small as the activations).  They are summed per price level, and the running sum within the
    band gives the price.
 

@@ -385,7 +385,12 @@ def snapshot_table(spark, sf):
     return table.read().select(*SHOWN)
 
 
-@query(with_bids(f"SELECT {', '.join('CAST(' + e + ' AS ' + t + ') AS ' + n for e, t, n in [('delivery_date', 'VARCHAR', 'delivery_date'), ('product', 'VARCHAR', 'product'), ('price', 'DOUBLE', 'energy_price_eur_mwh'), ('mw', 'DOUBLE', 'allocated_capacity_mw'), ('source_file', 'VARCHAR', 'source_file')])} FROM bids"))
+@query(
+    with_bids(
+        """SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, product, CAST(price AS DOUBLE) AS energy_price_eur_mwh,
+       CAST(mw AS DOUBLE) AS allocated_capacity_mw, source_file FROM bids"""
+    )
+)
 def ensure_table(spark, sf):
     table = _bid_table(spark, "ensure")
     table.create_if_absent()

@@ -62,7 +62,8 @@ def table_schema(spark, sf):
     return pf.table_schema(mv.table(spark, sf, "lineitem"))
 
 
-SUMMARY_SQL = """SELECT 'orders' AS table_name, 'o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string' AS columns,
+SUMMARY_SQL = """SELECT 'orders' AS table_name, 'o_orderkey bigint, o_custkey bigint, o_orderstatus string, '
+         || 'o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string' AS columns,
        COUNT(*) AS row_count, 'o_orderdate' AS range_column, CAST(MIN(o_orderdate) AS VARCHAR) AS range_min,
        CAST(MAX(o_orderdate) AS VARCHAR) AS range_max FROM orders
 UNION ALL SELECT 'events', 'event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string',
