@@ -11,7 +11,8 @@ its price levels.  Prices are DECIMAL with two digits; a *band* is 10 EUR/MWh wi
    list is as small as the activations).  They are summed per price level, and the running sum within the
    band gives the price.
 
-Raw bids are never shuffled as rows.  Capacities are taken to be non-negative (see ``quality_rules``).
+Raw bids are never shuffled as rows.  A negative capacity is an input error: it counts as 0 MW, and
+``quality_rules`` reports it.
 """
 
 from __future__ import annotations
@@ -42,7 +43,10 @@ def total_capacity() -> Column:
 
 
 def negative_bids(bids: DataFrame, capacity: Column | None = None) -> DataFrame:
-    """Bids whose product may mean a quarter-hour, reduced to what clearing needs."""
+    """Bids whose product may mean a quarter-hour, reduced to what clearing needs.
+
+    A missing or negative capacity counts as 0 MW, so running sums never fall.
+    """
     capacity = total_capacity() if capacity is None else capacity
     product = F.col("product")
     return bids.filter(
@@ -51,7 +55,7 @@ def negative_bids(bids: DataFrame, capacity: Column | None = None) -> DataFrame:
         F.col("delivery_date").alias("date"),
         "product",
         F.col("energy_price_eur_mwh").alias("price"),
-        F.coalesce(capacity, F.lit(0)).cast(POWER).alias("capacity_mw"),
+        F.greatest(F.coalesce(capacity, F.lit(0)), F.lit(0)).cast(POWER).alias("capacity_mw"),
     )
 
 

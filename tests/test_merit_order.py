@@ -121,6 +121,15 @@ def test_missing_numbers(spark):
     assert (row.price, row.available_mw, row.is_short) == (None, 13, False)
 
 
+def test_negative_capacity_counts_as_none(spark):
+    rows = cleared(spark, [(1, 6)], [("NEG_001", -50, 5), ("NEG_001", 1, -4), ("NEG_001", 60, 5), ("NEG_001", 90, 1)])
+    assert [(r.price, r.available_mw, r.cleared_mw) for r in rows] == [(60, 11, 10)]
+
+
+def test_negative_volume_takes_the_first_bid(spark):
+    assert [r.price for r in cleared(spark, [(1, -3)], [("NEG_001", 7, 5), ("NEG_001", 90, 5)])] == [7]
+
+
 def test_bands_around_zero_and_far_apart(spark):
     bids = [("NEG_001", p, 1) for p in (-15000, -10.01, -10, -9.99, -0.01, 0, 0.01, 9.99, 10, 19.99, 15000.5)]
     for n, expected in enumerate((-15000, -10.01, -10, -9.99, -0.01, 0, 0.01, 9.99, 10, 19.99, 15000.5), 1):
