@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -39,3 +41,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{tempfile.mkdtemp(prefix='run-', dir='/tmp')}/{name}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's code to the executors, once per application, for functions that run in Python workers."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    shipped = f"{os.path.basename(package)}.zip"
+    if any(file.endswith(shipped) for file in spark.sparkContext.listFiles):
+        return
+    folder = tempfile.mkdtemp(prefix="ship-")
+    archive = shutil.make_archive(
+        os.path.join(folder, os.path.basename(package)), "zip", os.path.dirname(package), os.path.basename(package)
+    )
+    spark.sparkContext.addPyFile(archive)

@@ -3,9 +3,10 @@
 import pytest
 from compare import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from gridclear.plans import all_queries, comparison_sql
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = all_queries(), comparison_sql()
 
 
 @pytest.fixture(scope="module")
