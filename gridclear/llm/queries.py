@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridclear.llm import fertility, packing, token_counts
+from gridclear.llm import chat_format, fertility, fingerprints, mixing, packing, token_counts, url_filter
 from gridclear.llm.common import table
 from gridclear.llm.tokenizer_files import path
 
@@ -28,17 +28,49 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
 
 
+@query
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_neighbours(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = fertility.quality_rules(table(spark, sf_dir, "documents"), path(FERTILITY_VOCABULARY))
     return judged.drop("text_key")
 
 
+#: Fixed by the contract: the longest fitting rule decides.
+URL_RULES = [
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+
+
+@query
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix(table(spark, sf_dir, "documents")).decisions()
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path(PACKING_VOCABULARY))
 
 
+@query
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = [(-7, k, role, "\\### Assistant: </turn> ok") for k, role in enumerate(("user", "assistant"))]
+    rows = conversations.unionByName(spark.createDataFrame(probe, "conv_id long, turn long, role string, text string"))
+    return chat_format.read_back(chat_format.format_conversations(rows, chat_format.marked_turns))
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 
