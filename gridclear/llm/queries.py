@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridclear.llm import chat_format, fertility, fingerprints, mixing, packing, token_counts, url_filter
+from gridclear.llm import chat_format, fertility, fingerprints, language_id, mixing, packing, token_counts, url_filter
 from gridclear.llm.common import table
 from gridclear.llm.tokenizer_files import path
 
@@ -58,6 +58,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(table(spark, sf_dir, "documents")).decisions()
 
 
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path(PACKING_VOCABULARY))
