@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridclear.llm import chat_format, fertility, fingerprints, language_id, mixing, packing, token_counts, url_filter
+from gridclear.llm import chat_format, fertility, fingerprints, jaccard_groups, language_id, mixing, packing, token_counts, url_filter
 from gridclear.llm.common import table
 from gridclear.llm.tokenizer_files import path
 
@@ -39,6 +39,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text_key")
 
 
+@query
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups.similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 #: Fixed by the contract: the longest fitting rule decides.
 URL_RULES = [
     url_filter.Rule("block", "net", "/"),
