@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is stored as Parquet and read again as the next one's
 documents.  All but the last return the columns of documents.
+
+Stages that reject documents find the keys of those to go, (doc_id, hash of the text), and take them out by an anti join:
+verdicts depend on nothing else, so repeated rows share them.
 """
 
 from __future__ import annotations
@@ -9,26 +12,79 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridclear.llm import fertility, packing
+from gridclear.llm import fertility, jaccard_groups, language_id, mixing, packing
 from gridclear.llm.common import table, written
 from gridclear.llm.queries import FERTILITY_VOCABULARY, PACKING_VOCABULARY
 from gridclear.llm.tokenizer_files import path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: A text whose most likely language has less than this mean probability is of no known language.
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose (doc_id, text_key) is in ``rejected``."""
+    rejected = rejected.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key"))
+    return docs.withColumn("text_key", fertility.text_key(F.col("text"))).join(rejected, same, "left_anti").drop("text_key")
+
+
+def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and whose tokenizer fertility is within the bands of their language."""
+    judged = fertility.quality_rules(docs, path(FERTILITY_VOCABULARY))
+    return without(docs, judged.filter("NOT kept"))
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the network knows."""
+    predicted = language_id.identify(docs)
+    unknown = (F.col("lang_pred") == language_id.UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SCORE)
+    return without(docs, predicted.filter(unknown))
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near duplicates; all that have no shingles."""
+    found = written(jaccard_groups.similar_documents(docs), "groups")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    stay = written(found.groupBy("component").agg(least.alias("least")).select("least.row"), "stay")
+    key = ["doc_id", "text_key"]
+    kept = found.join(stay, "row").select(*key, "n_shingles")
+    left = without(docs, found.join(stay, "row", "left_anti").select(*key).subtract(kept.select(*key)))
+    # Repeated rows have equal keys, so the anti join spares all of them.
+    repeated = written(
+        found.filter("n_shingles > 0").groupBy(*key).agg(F.count("*").alias("rows")).filter("rows > 1").drop("rows"), "repeated"
+    )
+    if repeated.isEmpty():
+        return left
+    once = without(left, kept.select(*key).subtract(repeated)).withColumn("text_key", fertility.text_key(F.col("text")))
+    return without(left, repeated).unionByName(once.dropDuplicates(key).drop("text_key"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.Mix(docs).documents()
+
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, path(PACKING_VOCABULARY))
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", pack_sequences)]
-ORACLE_SQL = None
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", apply_quality_rules),
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", keep_one_of_each_group),
+    ("mixing sources", mix_sources),
+    ("packing", pack_sequences),
+]
+ORACLE_SQL = None  # three stages use trained or published models
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages applied to documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

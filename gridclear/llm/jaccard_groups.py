@@ -324,7 +324,7 @@ class Join:
 
 
 def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """(row, doc_id, text_key, n_shingles, component_id) of each row of ``docs`` (doc_id, text), whatever else it has.
+    """(row, component, doc_id, text_key, n_shingles, component_id) of each row of ``docs`` (doc_id, text), whatever else it has.
 
     Two documents link when 100 * shared >= percent * union of their sets of distinct ``size``-word shingles (A-Z lower-cased; all
     words as one shingle where there are fewer).  ``component_id`` is the least doc_id reachable by links, itself included.
@@ -336,4 +336,4 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> Data
     least = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     joined = found.join(least, "component")
     alone = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("row", "doc_id", "text_key", F.col("n").alias("n_shingles"), alone.alias("component_id"))
+    return joined.select("row", "component", "doc_id", "text_key", F.col("n").alias("n_shingles"), alone.alias("component_id"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridclear.llm import chat_format, fertility, fingerprints, jaccard_groups, language_id, mixing, packing, token_counts, url_filter
+from gridclear.llm import chat_format, fertility, fingerprints, jaccard_groups, language_id, license_scan, mixing, packing, token_counts, url_filter
 from gridclear.llm.common import table
 from gridclear.llm.tokenizer_files import path
 
@@ -23,6 +24,17 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    confirmed = F.filter("findings", lambda f: f["confirmed"])
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_paragraphs", F.array_join("families", ",").alias("families"), F.size(confirmed).cast("long").alias("n_confirmed"),
+        (F.size("findings") - F.size(confirmed)).cast("long").alias("n_unconfirmed"),
+        F.try_element_at(confirmed, F.lit(1))["start"].alias("first_start"), F.try_element_at(confirmed, F.lit(1))["end"].alias("first_end"),
+    )
+
+
 @query
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
