@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +56,14 @@ def ship_package(spark: SparkSession) -> None:
         os.path.join(folder, os.path.basename(package)), "zip", os.path.dirname(package), os.path.basename(package)
     )
     spark.sparkContext.addPyFile(archive)
+
+
+def shipped(function: Callable) -> Callable:
+    """``function``, whose first argument is the session, with the package's code sent to the executors before it."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, *args):
+        ship_package(spark)
+        return function(spark, *args)
+
+    return run
