@@ -18,6 +18,7 @@ from gridclear.llm import fertility, jaccard_groups, language_id, mixing, packin
 from gridclear.llm.common import table, written
 from gridclear.llm.queries import FERTILITY_VOCABULARY, PACKING_VOCABULARY
 from gridclear.llm.tokenizer_files import path
+from gridclear.session import shipped
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -73,11 +74,11 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("quality rules", apply_quality_rules),
-    ("language ID", identify_language),
-    ("n-gram Jaccard join", keep_one_of_each_group),
-    ("mixing sources", mix_sources),
-    ("packing", pack_sequences),
+    ("quality rules", shipped(apply_quality_rules)),
+    ("language ID", shipped(identify_language)),
+    ("n-gram Jaccard join", shipped(keep_one_of_each_group)),
+    ("mixing sources", shipped(mix_sources)),
+    ("packing", shipped(pack_sequences)),
 ]
 ORACLE_SQL = None  # three stages use trained or published models
 
