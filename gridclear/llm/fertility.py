@@ -1,9 +1,9 @@
 """Quality rules by tokenizer fertility.
 
 Base rules count words, repeated three-word windows, repeated lines and symbols.  What passes them is judged by a public
-vocabulary with byte fallback: characters per token, share of byte-fallback tokens, and token entropy (as a share of
-the largest entropy possible for that many tokens).  Each language, or script where the language is unknown, has its own
-rejection bands around the median of all its passing documents.
+vocabulary with byte fallback: characters per token, share of byte-fallback tokens, and token entropy in bits.  Each
+language, or script where the language is unknown, has its own rejection bands around the median of all its passing documents
+of like length: entropy grows with length, so lengths are taken by powers of two.
 """
 
 from __future__ import annotations
@@ -41,16 +41,16 @@ SCRIPTS = {
 SCRIPT_PATTERNS = {name: re.compile(f"[{ranges}]") for name, ranges in SCRIPTS.items()}
 MEMO = 1 << 16  # words whose pieces a worker keeps
 
-MEASURES = ["chars_per_token", "byte_share", "entropy_share"]
+MEASURES = ["chars_per_token", "byte_share", "entropy_bits"]
 
 
 @dataclass(frozen=True)
 class Bands:
-    """How far from its group's median a measure may lie, in interquartile ranges, each of at least a share of 1."""
+    """How far from its group's median a measure may lie: so many interquartile ranges, each taken as ``least`` at least."""
 
-    ranges: float = 6.0
-    least: float = 0.02
-    min_documents: int = 50  # groups with fewer documents are judged by the bands of all documents
+    ranges: tuple[float, float, float] = (5.0, 5.0, 3.0)
+    least: tuple[float, float, float] = (0.05, 0.02, 0.05)
+    min_documents: int = 30  # smaller groups are judged by all documents of that length, if these are as many
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -102,16 +102,16 @@ class Fertility:
                 memo[word] = np.array(ids, self.kind).tobytes()
         return np.frombuffer(b"".join(map(memo.__getitem__, words)), self.kind)
 
-    def measures(self, words: list[bytes], chars: int) -> tuple[float, float, float]:
+    def measures(self, words: list[bytes], chars: int) -> tuple[float, float, float, int]:
         ids = self.ids(words)
         n = len(ids)
         if n < 2:
-            return float(chars), 0.0, 1.0
+            return float(chars), 0.0, 0.0, n
         counts = np.bincount(ids)
         bytes_used = counts[self.byte_ids[: len(counts)]].sum()
         counts = counts[counts > 0].astype(float)
         entropy = math.log2(n) - (counts * np.log2(counts)).sum() / n
-        return chars / n, float(bytes_used / n), float(entropy / math.log2(n))
+        return chars / n, float(bytes_used / n), float(entropy), n
 
 
 @lru_cache(maxsize=2)
@@ -124,7 +124,7 @@ COLUMNS = [
     ("doc_id", pa.int64()), ("text_key", pa.int64()), ("lang", pa.string()), ("script", pa.string()),
     ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()),
     ("n_repeat_words", pa.int64()), ("base_failed", pa.bool_()), ("chars_per_token", pa.float64()),
-    ("byte_share", pa.float64()), ("entropy_share", pa.float64()),
+    ("byte_share", pa.float64()), ("entropy_bits", pa.float64()), ("n_tokens", pa.int64()),
 ]
 
 
@@ -162,40 +162,42 @@ def measure(docs: DataFrame, file: str) -> DataFrame:
 
 
 def band_table(measured: DataFrame, bands: Bands) -> DataFrame:
-    """Lower and upper bound of each measure by language, or by script where the language is unknown; ``group`` null: all.
+    """Lower and upper bound of each measure by group and length; ``group`` null: all languages and scripts.
 
     Quartiles are mergeable sketches over all documents that pass the base rules.
     """
     passing = measured.filter(~F.col("base_failed"))
-    grouped = passing.select(F.explode(F.array(group_of(), F.lit(None).cast("string"))).alias("group"), *MEASURES)
-    quartiles = grouped.groupBy("group").agg(
+    grouped = passing.select(F.explode(F.array(group_of(), F.lit(None).cast("string"))).alias("group"), octave(), *MEASURES)
+    quartiles = grouped.groupBy("group", "octave").agg(
         F.count("*").alias("documents"), *(F.percentile_approx(m, [0.25, 0.5, 0.75], 10_000).alias(m) for m in MEASURES)
     )
     columns = []
-    for m in MEASURES:
-        spread = bands.ranges * F.greatest(F.col(m)[2] - F.col(m)[0], F.lit(bands.least))
+    for m, ranges, least in zip(MEASURES, bands.ranges, bands.least):
+        spread = ranges * F.greatest(F.col(m)[2] - F.col(m)[0], F.lit(least))
         columns += [(F.col(m)[1] - spread).alias(f"{m}_low"), (F.col(m)[1] + spread).alias(f"{m}_high")]
-    return quartiles.filter(F.col("group").isNull() | (F.col("documents") >= bands.min_documents)).select("group", *columns)
+    return quartiles.filter(F.col("documents") >= bands.min_documents).select("group", "octave", *columns)
 
 
 def group_of() -> Column:
     return F.coalesce(F.col("lang"), F.col("script"))
 
 
+def octave() -> Column:
+    return F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))).alias("octave")
+
+
 def judge(measured: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """``measured`` with ``kept`` and ``reason`` (null when kept)."""
     table = written(band_table(measured, bands), "bands")
-    bounds = [c for c in table.columns if c != "group"]
-    own = table.filter("group IS NOT NULL").select("group", *(F.col(c).alias(f"own_{c}") for c in bounds))
-    overall = table.filter("group IS NULL").drop("group").head()
-    joined = measured.withColumn("group", group_of()).join(own, "group", "left")
+    bounds = [c for c in table.columns if c not in ("group", "octave")]
+    own = table.filter("group IS NOT NULL").select("group", "octave", *(F.col(c).alias(f"own_{c}") for c in bounds))
+    overall = table.filter("group IS NULL").drop("group")
+    joined = measured.withColumns({"group": group_of(), "octave": octave()})
+    joined = joined.join(own, ["group", "octave"], "left").join(overall, "octave", "left")
     reason = F.when(F.col("base_failed"), "base")
     for m in MEASURES:
-        for side in ("low", "high"):
-            default = overall[f"{m}_{side}"] if overall else None
-            bound = F.coalesce(F.col(f"own_{m}_{side}"), F.lit(default).cast("double"))
-            outside = F.col(m) < bound if side == "low" else F.col(m) > bound
-            reason = reason.when(outside, f"{m} {side}")
+        low, high = (F.coalesce(F.col(f"own_{m}_{side}"), F.col(f"{m}_{side}")) for side in ("low", "high"))
+        reason = reason.when(F.col(m) < low, f"{m} low").when(F.col(m) > high, f"{m} high")
     return joined.withColumn("reason", reason).withColumn("kept", F.col("reason").isNull()).select(*measured.columns, "kept", "reason")
 
 
@@ -203,7 +205,7 @@ def quality_rules(docs: DataFrame, file: str, bands: Bands = Bands()) -> DataFra
     """Base counts, fertility measures and verdict of each row of ``docs`` (doc_id, text, lang; other columns are ignored).
 
     A null or empty text has no words and fails the base rules.  A null language is judged by the text's script; groups too
-    small for bands of their own by the bands of all documents.  Rows with equal ids are judged each for itself;
+    small for bands of their own by the bands of all documents of that length, and by none if these are few too.  Rows with equal ids are judged each for itself;
     null ids stay null; an empty table gives no rows.
     """
     return judge(written(measure(docs, file), "fertility"), bands)
