@@ -50,7 +50,7 @@ class Bands:
 
     ranges: tuple[float, float, float] = (5.0, 5.0, 3.0)
     least: tuple[float, float, float] = (0.05, 0.02, 0.05)
-    min_documents: int = 30  # smaller groups are judged by all documents of that length, if these are as many
+    min_documents: int = 30  # smaller groups have no bands of their own
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -161,14 +161,18 @@ def measure(docs: DataFrame, file: str) -> DataFrame:
     return map_batches(chosen, rows, ", ".join(f"{n} {types[k]}" for n, k in COLUMNS))
 
 
+#: Where a document's bands come from, first choice first; entropy is only compared at like length.
+LEVELS = [("group", "octave"), ("group",), ("octave",), ()]
+
+
 def band_table(measured: DataFrame, bands: Bands) -> DataFrame:
-    """Lower and upper bound of each measure by group and length; ``group`` null: all languages and scripts.
+    """Lower and upper bound of each measure by group and length; a null ``group`` or ``octave`` stands for all.
 
     Quartiles are mergeable sketches over all documents that pass the base rules.
     """
-    passing = measured.filter(~F.col("base_failed"))
-    grouped = passing.select(F.explode(F.array(group_of(), F.lit(None).cast("string"))).alias("group"), octave(), *MEASURES)
-    quartiles = grouped.groupBy("group", "octave").agg(
+    passing = measured.filter(~F.col("base_failed")).select(group_of().alias("group"), octave(), *MEASURES)
+    keys = [F.struct(*((F.col(c) if c in level else F.lit(None)).alias(c) for c in ("group", "octave"))) for level in LEVELS]
+    quartiles = passing.select(F.explode(F.array(*keys)).alias("key"), *MEASURES).groupBy("key.group", "key.octave").agg(
         F.count("*").alias("documents"), *(F.percentile_approx(m, [0.25, 0.5, 0.75], 10_000).alias(m) for m in MEASURES)
     )
     columns = []
@@ -189,14 +193,22 @@ def octave() -> Column:
 def judge(measured: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """``measured`` with ``kept`` and ``reason`` (null when kept)."""
     table = written(band_table(measured, bands), "bands")
-    bounds = [c for c in table.columns if c not in ("group", "octave")]
-    own = table.filter("group IS NOT NULL").select("group", "octave", *(F.col(c).alias(f"own_{c}") for c in bounds))
-    overall = table.filter("group IS NULL").drop("group")
     joined = measured.withColumns({"group": group_of(), "octave": octave()})
-    joined = joined.join(own, ["group", "octave"], "left").join(overall, "octave", "left")
+    bounds = [c for c in table.columns if c not in ("group", "octave")]
+    for k, level in enumerate(LEVELS):
+        same = F.lit(True)
+        for c in ("group", "octave"):
+            same = same & (F.col(c).isNotNull() if c in level else F.col(c).isNull())
+        side = table.filter(same).select(*level, *(F.col(c).alias(f"{c}_{k}") for c in bounds))
+        if level:
+            joined = joined.join(side, list(level), "left")
+        else:
+            overall = side.head()
+            joined = joined.withColumns({f"{c}_{k}": F.lit(overall[f"{c}_{k}"] if overall else None).cast("double") for c in bounds})
     reason = F.when(F.col("base_failed"), "base")
     for m in MEASURES:
-        low, high = (F.coalesce(F.col(f"own_{m}_{side}"), F.col(f"{m}_{side}")) for side in ("low", "high"))
+        levels = [k for k, level in enumerate(LEVELS) if m != "entropy_bits" or "octave" in level]
+        low, high = (F.coalesce(*(F.col(f"{m}_{side}_{k}") for k in levels)) for side in ("low", "high"))
         reason = reason.when(F.col(m) < low, f"{m} low").when(F.col(m) > high, f"{m} high")
     return joined.withColumn("reason", reason).withColumn("kept", F.col("reason").isNull()).select(*measured.columns, "kept", "reason")
 
@@ -205,7 +217,7 @@ def quality_rules(docs: DataFrame, file: str, bands: Bands = Bands()) -> DataFra
     """Base counts, fertility measures and verdict of each row of ``docs`` (doc_id, text, lang; other columns are ignored).
 
     A null or empty text has no words and fails the base rules.  A null language is judged by the text's script; groups too
-    small for bands of their own by the bands of all documents of that length, and by none if these are few too.  Rows with equal ids are judged each for itself;
+    small for bands of their own by those of more documents (see ``LEVELS``), and by none if these are few too.  Rows with equal ids are judged each for itself;
     null ids stay null; an empty table gives no rows.
     """
     return judge(written(measure(docs, file), "fertility"), bands)
