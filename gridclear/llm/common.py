@@ -41,15 +41,23 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
 
 
+def small_batches(batches: Iterable[pa.RecordBatch], most_bytes: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Non-empty slices of the batches, of about ``most_bytes`` at most (a larger row is alone), to bound a worker's memory."""
+    for batch in batches:
+        if batch.num_rows:
+            step = max(1, min(batch.num_rows, batch.num_rows * most_bytes // max(batch.nbytes, 1)))
+            for start in range(0, batch.num_rows, step):
+                yield batch.slice(start, step)
+
+
 def map_batches(
     df: DataFrame, rows: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
 ) -> DataFrame:
-    """``rows`` applied to each batch of rows inside the tasks, without a shuffle."""
+    """``rows`` applied to slices of rows inside the tasks, without a shuffle."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield rows(batch)
+        for batch in small_batches(batches):
+            yield rows(batch)
 
     return df.mapInArrow(run, schema)
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,41 +21,80 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridclear.llm.common import small_batches, texts
 from gridclear.llm.tokenizer_files import PreTokens, pretokens_of
 
-MEMO = 1 << 17  # words whose ids a worker keeps
+MEMO = 1 << 19  # words of a generation whose ids a worker keeps: two of them take about 200 MB
+GO = 1 << 13  # words encoded at a time
 ID_BYTES = 4
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
 
-_memos: dict[str, dict[str, bytes]] = {}
-
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit numbers, from a bounded memo of words."""
+    """Ids of texts as little-endian 32-bit numbers, from a bounded memo of words.
+
+    The memo has two generations: when the younger is full it becomes the older, whose words come back when they are met.
+    """
 
     def __init__(self, file: str):
         self.rule: PreTokens = pretokens_of(file)
-        self.memo = _memos.setdefault(file, {})
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.special = {t: np.array([i], "<u4").tobytes() for t, i in self.rule.special.items()}
-
-    def ids(self, text: str) -> bytes:
-        out = []
-        for k, part in enumerate(self.rule.parts(text)):
-            out.append(self.special[part] if k % 2 else self.plain(part))
-        return b"".join(out)
-
-    def plain(self, segment: str) -> bytes:
-        words, memo = self.rule.split(segment), self.memo
-        missing = [w for w in set(words) if w not in memo]
-        if missing:
-            if len(memo) + len(missing) > MEMO:
-                memo.clear()
-                missing = list(set(words))
-            for word, ids in zip(missing, self.rule.encode(missing)):
-                memo[word] = np.array(ids, "<u4").tobytes()
-        return b"".join(map(memo.__getitem__, words))
+        suffix = getattr(self.rule.tokenizer.model, "end_of_word_suffix", None)
+        names = sorted((i, token) for token, i in self.rule.tokenizer.get_vocab().items())
+        self.ends = np.array([token.endswith(suffix) for _, token in names]) if suffix else None
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        if len(self.young) >= MEMO:
+            self.old, self.young = self.young, {}
+        known = self.young.get
+        cut, holes = [], []
+        for text in texts:
+            pieces = []
+            for k, part in enumerate(self.rule.parts(text)):
+                if k % 2:
+                    pieces.append([self.special[part]])
+                else:
+                    words = self.rule.split(part)
+                    found = list(map(known, words))
+                    holes += [(found, i, words[i]) for i, f in enumerate(found) if f is None]
+                    pieces.append(found)
+            cut.append(pieces)
+        self.learn(dict.fromkeys(word for _, _, word in holes))
+        for found, i, word in holes:
+            found[i] = self.young[word]
+        return [b"".join(chain.from_iterable(pieces)) for pieces in cut]
+
+    def learn(self, words: Iterable[str]) -> None:
+        new = []
+        for word in words:
+            known = self.old.get(word)
+            if known is None:
+                new.append(word)
+            else:
+                self.young[word] = known
+        for k in range(0, len(new), GO):
+            some = new[k : k + GO]
+            self.young.update(zip(some, self.encoded(some)))
+
+    def encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of each word; where each word has a last token that no other position can have, from one text of them all."""
+        if self.ends is not None:
+            ids = np.array(self.rule.encode([" ".join(words)])[0], "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(words):
+                data, bounds = ids.tobytes(), [0, *(stops * ID_BYTES).tolist()]
+                return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+        return [np.array(ids, "<u4").tobytes() for ids in self.rule.encode(words)]
+
+
+@lru_cache(maxsize=2)
+def encoder_of(file: str) -> Encoder:
+    """One instance per worker process."""
+    return Encoder(file)
 
 
 def reciprocal_sizes(capacity: int) -> dict[int, int]:
@@ -135,11 +176,11 @@ def pack(docs: DataFrame, file: str, capacity: int = 2048, end_id: int = 1) -> D
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(file)
+        encoder = encoder_of(file)
         packer = HarmonicPacker(capacity, TaskContext.get().partitionId() << 40)
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                packer.add(doc_id, encoder.ids(text.as_py() or "") + end)
+        for batch in small_batches(batches):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(texts(batch))):
+                packer.add(doc_id, ids + end)
             yield packer.take()
         packer.close()
         yield packer.take()
