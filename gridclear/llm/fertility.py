@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridclear.llm.common import WHITE, map_batches, written
+from gridclear.llm.tokenizer_files import BEYOND_LATIN
 
 #: Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -39,7 +40,8 @@ SCRIPTS = {
     "Hangul": "가-힣",
 }
 SCRIPT_PATTERNS = {name: re.compile(f"[{ranges}]") for name, ranges in SCRIPTS.items()}
-MEMO = 1 << 16  # words whose pieces a worker keeps
+PLAIN_WORD = re.compile("[!-~¡-¬®-ɏ]+")
+MEMO = 1 << 18  # words of a generation whose pieces a worker keeps: two of them take about 100 MB
 
 MEASURES = ["chars_per_token", "byte_share", "entropy_bits"]
 
@@ -75,7 +77,7 @@ def repeated_lines(text: bytes) -> int:
 
 
 def script_of(text: str) -> str:
-    if text.isascii():
+    if not BEYOND_LATIN.search(text):
         return "Latin"
     counts = {name: len(p.findall(text)) for name, p in SCRIPT_PATTERNS.items()}
     best = max(counts, key=counts.get)
@@ -88,19 +90,49 @@ class Fertility:
     def __init__(self, file: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=file)
         self.byte_ids = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
+        self.begins = np.array([self.model.id_to_piece(i).startswith("\u2581") for i in range(self.model.get_piece_size())])
         self.kind = "<u2" if len(self.byte_ids) < 1 << 16 else "<u4"
-        self.memo: dict[bytes, bytes] = {}
+        # When the younger generation is full it becomes the older, whose words come back when they are met.
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        memo = self.memo
-        missing = [w for w in set(words) if w not in memo]
-        if missing:
-            if len(memo) + len(missing) > MEMO:
-                memo.clear()
-                missing = list(set(words))
-            for word, ids in zip(missing, self.model.encode([w.decode() for w in missing], num_threads=1)):
-                memo[word] = np.array(ids, self.kind).tobytes()
-        return np.frombuffer(b"".join(map(memo.__getitem__, words)), self.kind)
+        if len(self.young) >= MEMO:
+            self.old, self.young = self.young, {}
+        found = list(map(self.young.get, words))
+        holes = [i for i, f in enumerate(found) if f is None]
+        if holes:
+            self.learn({words[i] for i in holes})
+            for i in holes:
+                found[i] = self.young[words[i]]
+        return np.frombuffer(b"".join(found), self.kind)
+
+    def learn(self, words: set[bytes]) -> None:
+        plain, other = [], []
+        for word in words:
+            known = self.old.get(word)
+            if known is None:
+                text = word.decode()
+                (plain if PLAIN_WORD.fullmatch(text) else other).append(text)
+            else:
+                self.young[word] = known
+        for some, ids in ((plain, self.together(plain)), (other, self.alone(other))):
+            self.young.update(zip(map(str.encode, some), ids))
+
+    def alone(self, words: list[str]) -> list[bytes]:
+        return [np.array(i, self.kind).tobytes() for i in self.model.encode(words, num_threads=1)]
+
+    def together(self, words: list[str]) -> list[bytes]:
+        """Ids of words of plain characters, from one text of them all: each begins with a piece that marks a beginning.
+
+        Normalising can cut a word in two, never join two; the pieces would then be more than the words.
+        """
+        ids = np.array(self.model.encode(" ".join(words)), self.kind)
+        starts = np.flatnonzero(self.begins[ids]) if len(ids) else ids
+        if len(starts) == len(words) and len(words):
+            data, bounds = ids.tobytes(), [*(starts * ids.itemsize).tolist(), len(ids) * ids.itemsize]
+            return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+        return self.alone(words)
 
     def measures(self, words: list[bytes], chars: int) -> tuple[float, float, float, int]:
         ids = self.ids(words)

@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 from helpers import WORDS, empty, frame, odd_texts, words_of
 
 from gridclear.llm import fertility as fe
@@ -67,3 +68,16 @@ def test_measures_match_the_library():
     assert model.ids(words).tolist() == ids
     chars, share, bits, n = model.measures(words, 20)
     assert n == len(ids) and chars == 20 / n and share == sum(map(model.model.is_byte, ids)) / n and bits > 0
+
+
+def test_words_encoded_together_or_alone():
+    rng = random.Random(3)
+    alphabet = "aé中\u2581\u200b\u0301\u3000\xa0ﬁ½<s>\x00😀"
+    words = [w for w in ("".join(rng.choices(alphabet, k=rng.randint(1, 6))) for _ in range(400))]
+    model = fe.Fertility(FILE)
+    for k in range(0, len(words), 5):
+        some = [w.encode() for w in words[k : k + 5]]
+        alone = [i for w in some for i in model.model.encode(w.decode())]
+        assert model.ids(some).tolist() == alone, some
+    plain = ["".join(rng.choices("aé½¨´ß<s>.,", k=rng.randint(1, 6))) for _ in range(400)]
+    assert model.together(plain) == model.alone(plain) and model.together([]) == []
