@@ -232,7 +232,8 @@ def route_invalid_sheets(
 
     Every row carries its sheet's header, so both parts are filters of one scan, without a join.
     """
-    is_valid = F.size(F.array_except(F.array(*[F.lit(c) for c in required]), F.col("header"))) == 0
+    complete = F.size(F.array_except(F.array(*[F.lit(c) for c in required]), F.col("header"))) == 0
+    is_valid = F.coalesce(complete, F.lit(False))  # rows of a sheet without a header are not valid
     if all_or_nothing:
         first = rows.filter(~is_valid).select("source_file", "sheet").head(1)
         if first:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridclear.functions.parsing import parse_date, to_german_text
@@ -23,12 +23,17 @@ def import_date_range(rows: DataFrame, date_column: str = "DELIVERY_DATE") -> Da
     return per_sheet.unionByName(overall)
 
 
-def load_summary(sheets: DataFrame) -> DataFrame:
+def load_summary(sheets: DataFrame, unreadable: DataFrame | None = None) -> DataFrame:
     """Files, loaded sheets, loaded rows and number of errors of one import, rows also as report text.
 
-    ``sheets`` has ``source_file``, ``sheet``, ``row_count``, ``is_valid`` and ``missing_columns``.
+    ``sheets`` has ``source_file``, ``sheet``, ``row_count``, ``is_valid`` and ``missing_columns``; ``unreadable`` has
+    ``source_file`` and ``sheet``: such sheets count as processed and as errors.
     """
-    summary = sheets.agg(
+    every = sheets.select("source_file", "sheet", "is_valid", "row_count")
+    if unreadable is not None:
+        failed = unreadable.select("source_file", "sheet", F.lit(False).alias("is_valid"), F.lit(0).cast("long").alias("row_count"))
+        every = every.join(failed.select("source_file", "sheet"), ["source_file", "sheet"], "left_anti").unionByName(failed)
+    summary = every.agg(
         F.count_distinct("source_file").alias("files_processed"),
         F.count_if("is_valid").alias("sheets_loaded"),
         F.coalesce(F.sum(F.when(F.col("is_valid"), F.col("row_count"))), F.lit(0)).alias("rows_loaded"),
@@ -37,18 +42,12 @@ def load_summary(sheets: DataFrame) -> DataFrame:
     return summary.withColumn("rows_loaded_text", to_german_text(F.col("rows_loaded"), 0))
 
 
-def load_errors(sheets: DataFrame) -> DataFrame:
+def load_errors(sheets: DataFrame, unreadable: DataFrame | None = None) -> DataFrame:
     """One row per rejected sheet with the reason."""
-    reason = F.concat(
-        F.lit("Missing columns ["),
-        F.array_join("missing_columns", ", "),
-        F.lit("] in "),
-        F.col("source_file"),
-        F.lit(" sheet '"),
-        F.col("sheet"),
-        F.lit("'"),
-    )
-    return sheets.filter("NOT is_valid").select("source_file", "sheet", reason.alias("error"))
+    lacking = F.concat(F.lit("required columns absent: "), F.array_join("missing_columns", ", "))
+    reason = F.when(F.size("missing_columns") > 0, lacking).otherwise(F.lit("values beyond the header"))
+    found = sheets.filter("NOT is_valid").select("source_file", "sheet", reason.alias("error"))
+    return found if unreadable is None else found.unionByName(unreadable.select("source_file", "sheet", "error"))
 
 
 def files_by_date_range(bids: DataFrame) -> DataFrame:
@@ -87,13 +86,27 @@ def load_reconciliation(source: DataFrame, target: DataFrame, date_column: str,
     return result.join(repeated, "date", "left").withColumn("repeated_keys", F.coalesce("repeated_keys", F.lit(0)))
 
 
+def numbered(rows: DataFrame, period: Column, order: list[str], name: str) -> DataFrame:
+    """``rows`` with their position 1, 2, 3 ... by ``order``, whose first column ``period`` rises with.
+
+    Rows are ordered within their period; the counts of the periods before, one row each, give where it begins.
+    """
+    placed = rows.withColumn("_period", period)
+    before = Window.orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("_period").agg(F.count("*").alias("_rows"))
+    starts = counts.select("_period", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_period").orderBy(*[quoted(c) for c in order]))
+    found = placed.withColumn("_within", within).join(starts.withColumnRenamed("_period", "_of"), F.col("_period").eqNullSafe(F.col("_of")))
+    return found.select((F.col("_start") + F.col("_within")).cast("long").alias(name), *[quoted(c) for c in rows.columns])
+
+
 def upload_order(rows: DataFrame, load_columns: list[str]) -> DataFrame:
-    """Loads numbered 1, 2, 3 ... in order, with the rows each brought; there is one row per load."""
+    """Loads numbered 1, 2, 3 ... in order, with the rows each brought; there is one row per load.
+
+    The first of ``load_columns`` is a date or a time.
+    """
     loads = rows.groupBy(*[quoted(c) for c in load_columns]).agg(F.count("*").alias("row_count"))
-    in_order = loads.agg(F.sort_array(F.collect_list(F.struct(*[quoted(c) for c in load_columns], "row_count"))).alias("l"))
-    return in_order.select(F.posexplode("l").alias("position", "load")).select(
-        (F.col("position") + 1).cast("long").alias("version_id"), "load.*"
-    )
+    return numbered(loads, F.to_date(quoted(load_columns[0])), load_columns, "version_id")
 
 
 def latest_per_interval(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

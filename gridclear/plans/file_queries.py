@@ -12,7 +12,7 @@ from gridclear.operators import profiling as pf
 from gridclear.operators import reconcile as rc
 from gridclear.plans import market_views as mv
 from gridclear.plans import market_queries as mq
-from gridclear.plans.fixture_workbooks import render_workbooks
+from gridclear.plans.fixture_workbooks import land_broken_file, land_sheets
 from gridclear.plans.oracle_views import END, START, with_act, with_bids, with_prices
 from gridclear.plans.registry import query
 from gridclear.plans.table_queries import SUMMARY_SQL, _summarized
@@ -81,35 +81,44 @@ BID_TEXT_SQL = with_bids(
 )
 
 
-def _bid_rows(spark, sf, pack=False):
-    return wb.read_sheets(wb.split_sheets(render_workbooks(mv.bid_text(spark, sf).select(*BID_TEXT, "NOTE"), pack=pack)))
+def _bid_rows(spark, sf, label, compression="none"):
+    path = scratch_dir(spark, label)
+    land_sheets(mv.bid_text(spark, sf).select(*[f"`{c}`" for c in BID_TEXT], "NOTE"), path, compression=compression)
+    return wb.scan_sheets(spark, path)
 
 
 @query(BID_TEXT_SQL)
 def scan_bid_workbooks(spark, sf):
-    return wb.to_raw_bids(_bid_rows(spark, sf)).select(*[f"`{c}`" for c in BID_TEXT])
+    return wb.to_raw_bids(_bid_rows(spark, sf, "sheets")).select(*[f"`{c}`" for c in BID_TEXT])
 
 
 @query(BID_TEXT_SQL)
 def scan_zipped_workbooks(spark, sf):
-    return wb.to_raw_bids(_bid_rows(spark, sf, pack=True)).select(*[f"`{c}`" for c in BID_TEXT])
+    return wb.to_raw_bids(_bid_rows(spark, sf, "zipped", "gzip")).select(*[f"`{c}`" for c in BID_TEXT])
 
 
 @query(BID_TEXT_SQL)
 def scan_bid_csv(spark, sf):
+    """Files of two column orders."""
     path = scratch_dir(spark, "bids")
-    mv.bid_text(spark, sf).select(*[f"`{c}`" for c in BID_TEXT]).write.option("header", True).csv(path)
-    rows = dl.scan_bid_csv(spark, path, BID_TEXT)
-    return rows.filter(F.col(dl.CORRUPT).isNull()).select(*[f"`{c}`" for c in BID_TEXT])
+    rows = mv.bid_text(spark, sf)
+    for part, order in (("a", BID_TEXT), ("b", BID_TEXT[::-1])):
+        half = rows.filter((F.col("TYPE_OF_RESERVES") == "aFRR") == (part == "a"))
+        half.select(*[f"`{c}`" for c in order]).write.option("header", True).csv(f"{path}/{part}")
+    return dl.scan_bid_csv(spark, f"{path}/*", BID_TEXT).filter(F.col(dl.CORRUPT).isNull()).select(*[f"`{c}`" for c in BID_TEXT])
 
 
-@query(with_bids("""SELECT product AS "PRODUCT", payment_direction, COUNT(*) AS bids FROM all_bids GROUP BY ALL"""))
+@query(
+    with_bids("""SELECT CAST(delivery_date AS VARCHAR) AS "DELIVERY_DATE", product AS "PRODUCT", payment_direction, COUNT(*) AS bids
+FROM all_bids GROUP BY ALL""")
+)
 def convert_workbooks_to_csv(spark, sf):
     path = scratch_dir(spark, "converted")
-    wb.convert_workbooks(_bid_rows(spark, sf), path)
-    rows = spark.read.schema(wb.ROW_SCHEMA).parquet(path)
-    named = wb.to_columns(rows, BID_TEXT).withColumnRenamed("ENERGY_PRICE_PAYMENT_DIRECTION", "payment_direction")
-    return named.groupBy("PRODUCT", "payment_direction").agg(F.count("*").alias("bids"))
+    wb.convert_workbooks(_bid_rows(spark, sf, "sheets"), path, BID_TEXT)
+    rows = spark.read.schema(dl.text_schema([*BID_TEXT, *wb.SHEET])).option("header", True).csv(path)
+    dated = cl.standardize_date_column(rows, "DELIVERY_DATE").withColumn("DELIVERY_DATE", F.to_date("DELIVERY_DATE"))
+    named = dated.withColumnRenamed("ENERGY_PRICE_PAYMENT_DIRECTION", "payment_direction")
+    return named.groupBy("DELIVERY_DATE", "PRODUCT", "payment_direction").agg(F.count("*").alias("bids"))
 
 
 @query(with_act("SELECT 'day=' || CAST(date AS VARCHAR) AS folder, CAST(1 AS BIGINT) AS files FROM (SELECT DISTINCT date FROM act)"))
@@ -162,13 +171,14 @@ def validate_delimited_files(spark, sf):
 
 
 def _two_kinds(spark, sf):
-    """Sheets of both reserve types; those of the second lack two required columns."""
-    text = mv.bid_text(spark, sf)
+    """Sheets of both reserve types, of which those of the second lack two required columns, and a file that is no sheet."""
+    text, path = mv.bid_text(spark, sf), scratch_dir(spark, "two-kinds")
     good = text.filter("TYPE_OF_RESERVES = 'aFRR'").select(*[f"`{c}`" for c in BID_TEXT], "NOTE")
     short = text.filter("TYPE_OF_RESERVES = 'mFRR'").select("DELIVERY_DATE", "PRODUCT", "`ENERGY_PRICE_[EUR/MWh]`")
-    one = wb.read_sheets(wb.split_sheets(render_workbooks(good)))
-    two = wb.read_sheets(wb.split_sheets(render_workbooks(short)))
-    return one.unionByName(two.withColumn("source_file", F.concat(F.lit("short_"), "source_file")))
+    land_sheets(good, path)
+    land_sheets(short, path, "short")
+    land_broken_file(spark, path)
+    return wb.scan_sheets(spark, path), path
 
 
 @query(
@@ -179,7 +189,7 @@ def _two_kinds(spark, sf):
     )
 )
 def validate_bid_columns(spark, sf):
-    sheets = wb.sheet_manifest(_two_kinds(spark, sf)).drop("missing_columns", "is_valid")
+    sheets = wb.sheet_manifest(_two_kinds(spark, sf)[0]).drop("missing_columns", "is_valid")
     checked = cl.validate_bid_columns(sheets, REQUIRED_BID_COLUMNS)
     filled = F.size(F.array_except("header", F.array(F.lit("NOTE"))))
     return (
@@ -191,12 +201,12 @@ def validate_bid_columns(spark, sf):
 
 @query(
     with_bids(
-        """SELECT type_of_reserves = 'aFRR' AS is_loaded, COUNT(*) AS n_rows, COUNT(DISTINCT product) AS products
-FROM all_bids GROUP BY 1"""
+        """SELECT 'sheets' AS what, type_of_reserves = 'aFRR' AS is_loaded, COUNT(*) AS n_rows, COUNT(DISTINCT product) AS products
+FROM all_bids GROUP BY 2 UNION ALL SELECT 'unreadable', FALSE, 0, 1"""
     )
 )
 def route_invalid_sheets(spark, sf):
-    rows = _two_kinds(spark, sf)
+    rows, path = _two_kinds(spark, sf)
     loaded, quarantined = cl.route_invalid_sheets(rows)
 
     def counts(part, flag):
@@ -206,18 +216,23 @@ def route_invalid_sheets(spark, sf):
             F.lit(flag).alias("is_loaded"), F.sum("n").alias("n_rows"), F.count("PRODUCT").alias("products")
         )
 
-    return counts(loaded, True).unionByName(counts(quarantined, False))
+    broken = wb.unreadable_files(spark, path, rows).agg(
+        F.lit(False).alias("is_loaded"), F.lit(0).cast("long").alias("n_rows"), F.count("*").alias("products")
+    )
+    routed = counts(loaded, True).unionByName(counts(quarantined, False))
+    return routed.withColumn("what", F.lit("sheets")).unionByName(broken.withColumn("what", F.lit("unreadable")))
 
 
 @query(
     with_bids(
-        """SELECT COUNT(*) FILTER (type_of_reserves = 'aFRR') AS rows_loaded, COUNT(DISTINCT type_of_reserves) = 2 AS has_errors,
+        """SELECT CAST(9 AS BIGINT) AS files_processed, COUNT(*) FILTER (type_of_reserves = 'aFRR') AS rows_loaded, CAST(9 AS BIGINT) AS error_count,
        format('{:,}', COUNT(*) FILTER (type_of_reserves = 'aFRR')).replace(',', '.') AS rows_loaded_text FROM all_bids"""
     )
 )
 def load_summary(spark, sf):
-    found = rc.load_summary(wb.sheet_manifest(_two_kinds(spark, sf)))
-    return found.select("rows_loaded", (F.col("error_count") > 0).alias("has_errors"), "rows_loaded_text")
+    rows, path = _two_kinds(spark, sf)
+    found = rc.load_summary(wb.sheet_manifest(rows), wb.unreadable_files(spark, path, rows))
+    return found.select("files_processed", "rows_loaded", "error_count", "rows_loaded_text")
 
 
 # --- sinks ---------------------------------------------------------------------------------------
@@ -289,7 +304,7 @@ def replace_result_range(spark, sf):
     )
 )
 def upsert_interval(spark, sf):
-    table = _activation_table(spark, scratch_dir(spark, "upsert"))
+    table = _activation_table(spark, scratch_dir(spark, "upsert"), ("year", "month"))
     rows = _stamped(spark, sf).drop("interval_start", "quarter_hour_start", "quarter_hour_end")
     rows = rows.select(*[f.name for f in LOADED_ACTIVATIONS.fields])
     table.replace_partitions(rows)
@@ -369,18 +384,21 @@ def append_lineage(spark, sf):
     table = _activation_table(spark, scratch_dir(spark, "lineage"))
     rows = _stamped(spark, sf)
     for half, condition in ((1, "date < DATE '2024-01-16'"), (2, "date >= DATE '2024-01-16'")):
-        table.replace_range(rows.filter(condition), f"afrr_update_{half}", [f"half_{half}.csv"])
-    served = table.read(with_load_id=True).groupBy(F.col("load_id").alias("run_id")).agg(F.count("*").alias("current_rows"))
-    return table.history().join(served, "run_id").select("version_id", "operation_type", "source_files", "current_rows")
+        name = f"half_{half}.csv"
+        table.replace_range(rows.filter(condition).withColumn("source_file", F.lit(name)), f"afrr_update_{half}", [name])
+    served = table.read().groupBy(F.col("source_file").alias("source_files")).agg(F.count("*").alias("current_rows"))
+    return table.history().join(served, "source_files").select("version_id", "operation_type", "source_files", "current_rows")
 
 
 @query(with_act("SELECT CAST(date AS VARCHAR) AS date, quarter_no, CAST(v AS DOUBLE) AS activated_volume_mw FROM act"))
 def snapshot_table(spark, sf):
     table = _activation_table(spark, scratch_dir(spark, "snapshot"))
     rows = _stamped(spark, sf)
-    first = table.replace_range(rows)
+    table.replace_range(rows)
+    table.snapshot()
+    before = table.snapshot()
     table.replace_range(rows.withColumn("activated_volume_mw", F.lit(0).cast(POWER)))
-    table.restore(first)
+    table.restore(before)
     table.drop_old_snapshots(keep=1)
     return table.read().select(*SHOWN)
 
@@ -393,11 +411,10 @@ def snapshot_table(spark, sf):
 )
 def ensure_table(spark, sf):
     table = _bid_table(spark, "ensure")
-    table.create_if_absent()
-    empty = table.read()
+    was_empty = table.read().isEmpty()
     table.replace_partitions(mv.bids(spark, sf))
     table.create_if_absent()
-    return empty.unionByName(table.read()).select(*BID_SHOWN)
+    return table.read().filter(F.lit(was_empty)).select(*BID_SHOWN)
 
 
 @query(
@@ -436,7 +453,7 @@ def incremental_landing_load(spark, sf):
     root = scratch_dir(spark, "stream")
     table = _activation_table(spark, f"{root}/table")
     for delivery in _drops(spark, sf):
-        _land_activations(delivery.coalesce(1), f"{root}/landing")
+        _land_activations(delivery, f"{root}/landing")
         stream = st.activation_stream(spark, f"{root}/landing", RAW_NAMES)
         st.incremental_landing_load(stream, table, f"{root}/checkpoint")
     return table.read().select(*SHOWN)
@@ -447,7 +464,7 @@ def latest_activation_stream(spark, sf):
     root = scratch_dir(spark, "latest")
     table = _activation_table(spark, f"{root}/table")
     for delivery in _drops(spark, sf):
-        _land_activations(delivery.coalesce(1), f"{root}/landing")
+        _land_activations(delivery, f"{root}/landing")
         stream = st.activation_stream(spark, f"{root}/landing", RAW_NAMES)
         st.latest_activation_stream(stream, table, f"{root}/checkpoint")
     return table.read().select(*SHOWN)

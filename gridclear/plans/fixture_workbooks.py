@@ -1,108 +1,34 @@
-"""Small XLSX workbooks rendered from DataFrames, as input for the workbook reader."""
+"""Sheets written by Spark's XML writer, as input for the sheet reader."""
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator
-from xml.sax.saxutils import escape, quoteattr
-
-import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-_NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-_RELS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-
+from gridclear.schema import quoted
 
-def _letters(i: int) -> str:
-    text = ""
-    i += 1
-    while i:
-        i, rest = divmod(i - 1, 26)
-        text = chr(65 + rest) + text
-    return text
 
+def land_sheets(df: DataFrame, path: str, prefix: str = "book", sheets: int = 8, compression: str = "none") -> None:
+    """All rows of ``df`` as unpacked workbooks of two sheets each, every sheet with a header row."""
 
-def workbook(sheets: dict[str, list[list]], shared: bool = False, date_columns: dict[int, int] | None = None) -> bytes:
-    """XLSX bytes of ``{sheet name: rows}``; the first row is the header.
+    def cell(value):
+        return F.struct(F.struct(F.coalesce(value.cast("string"), F.lit("")).alias("t")).alias("is"))
 
-    ``shared`` stores texts in the shared-string table.  ``date_columns`` maps a column to 1 to style its
-    numbers as dates.
-    """
-    strings: dict[str, int] = {}
-    parts: dict[str, str] = {}
-    for no, rows in enumerate(sheets.values(), 1):
-        lines = []
-        for r, row in enumerate(rows, 1):
-            cells = []
-            for c, value in enumerate(row):
-                at = f'r="{_letters(c)}{r}"'
-                if value is None:
-                    continue
-                if isinstance(value, (int, float)) and not isinstance(value, bool):
-                    style = f' s="{date_columns[c]}"' if date_columns and c in date_columns else ""
-                    cells.append(f"<c {at}{style}><v>{value}</v></c>")
-                elif shared:
-                    cells.append(f'<c {at} t="s"><v>{strings.setdefault(str(value), len(strings))}</v></c>')
-                else:
-                    cells.append(f'<c {at} t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>')
-            lines.append(f'<row r="{r}">{"".join(cells)}</row>')
-        parts[f"xl/worksheets/sheet{no}.xml"] = f"<worksheet {_NS}><sheetData>{''.join(lines)}</sheetData></worksheet>"
-    listed = "".join(f'<sheet name={quoteattr(n)} sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(sheets, 1))
-    parts["xl/workbook.xml"] = f'<workbook {_NS} xmlns:r="{_RELS}"><sheets>{listed}</sheets></workbook>'
-    targets = "".join(
-        f'<Relationship Id="rId{i}" Type="{_RELS}/worksheet" Target="worksheets/sheet{i}.xml"/>'
-        for i in range(1, len(sheets) + 1)
-    )
-    parts["xl/_rels/workbook.xml.rels"] = (
-        f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{targets}</Relationships>'
+    numbered = df.withColumn("_id", F.monotonically_increasing_id())
+    data = numbered.select(
+        (F.col("_id") + 2).alias("_r"), F.array(*[cell(quoted(c)) for c in df.columns]).alias("c"), F.pmod("_id", F.lit(sheets)).alias("_no")
     )
-    parts["xl/styles.xml"] = (
-        f'<styleSheet {_NS}><numFmts count="1"><numFmt numFmtId="165" formatCode="yyyy\\-mm\\-dd"/></numFmts>'
-        '<cellXfs count="3"><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="165"/></cellXfs></styleSheet>'
+    header = df.sparkSession.range(sheets).select(
+        F.lit(1).cast("long").alias("_r"), F.array(*[cell(F.lit(c)) for c in df.columns]).alias("c"), F.col("id").alias("_no")
     )
-    if shared:
-        items = "".join(f"<si><t xml:space=\"preserve\">{escape(s)}</t></si>" for s in strings)
-        parts["xl/sharedStrings.xml"] = f"<sst {_NS}>{items}</sst>"
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-        for name, text in parts.items():
-            archive.writestr(name, '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>' + text)
-    return out.getvalue()
-
-
-def zipped(name: str, content: bytes) -> bytes:
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as archive:
-        archive.writestr(name, content)
-    return out.getvalue()
+    book = F.concat(F.lit(prefix), F.floor(F.col("_no") / 2).cast("string"), F.lit(".xlsx"))
+    named = header.unionByName(data).select("_r", "c", book.alias("source_file"), F.concat(F.lit("S"), F.pmod("_no", F.lit(2)).cast("string")).alias("sheet"))
+    writer = named.write.mode("append").partitionBy("source_file", "sheet").format("xml")
+    writer.options(rootTag="worksheet", rowTag="row", compression=compression).save(path)
 
 
-def render_workbooks(df: DataFrame, rows_per_sheet: int = 20_000, sheets_per_file: int = 2, pack: bool = False) -> DataFrame:
-    """``path, content`` of workbooks that hold all rows of ``df``, rendered by all tasks.
-
-    Every Arrow batch becomes sheets, so no workbook is larger than a batch.
-    """
-    names = df.columns
-
-    def render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        task, count = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            step = rows_per_sheet * sheets_per_file
-            for start in range(0, len(batch), step):
-                block = batch.iloc[start : start + step]
-                sheets = {}
-                for no, at in enumerate(range(0, len(block), rows_per_sheet), 1):
-                    body = block.iloc[at : at + rows_per_sheet].astype(object)
-                    sheets[f"Sheet{no}"] = [names, *body.where(body.notna(), None).values.tolist()]
-                count += 1
-                name = f"bids_{task:05d}_{count:05d}.xlsx"
-                content = workbook(sheets, shared=count % 2 == 0)
-                if pack:
-                    name, content = name + ".zip", zipped(name, content)
-                yield pd.DataFrame({"path": [name], "content": [content]})
-
-    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    return spread.mapInPandas(render, "path string, content binary")
+def land_broken_file(spark, path: str, name: str = "broken.xlsx") -> None:
+    """A file in the place of a sheet that holds no sheet."""
+    spark.createDataFrame([("this is no sheet",)], "value string").coalesce(1).write.mode("append").text(
+        f"{path}/source_file={name}/sheet=S0"
+    )

@@ -11,9 +11,8 @@ from gridclear.operators.merit_order import date_range, marginal_prices
 from gridclear.schema import ACTIVATIONS, BIDS, MARGINAL_PRICES
 from gridclear.session import scratch_dir
 from gridclear.sources.delimited import scan_activation_csv
-from gridclear.sources.landing import WORKBOOK_GLOB
 from gridclear.sources.period_table import PeriodTable
-from gridclear.sources.workbooks import scan_workbooks, sheet_manifest, to_raw_bids
+from gridclear.sources.workbooks import scan_sheets, sheet_manifest, to_raw_bids, unreadable_files
 
 
 class InvalidActivations(ValueError):
@@ -46,20 +45,23 @@ def load_activations(
     return table.replace_partitions(rows, "activation_load", [path])
 
 
-def load_bids(
-    spark: SparkSession, path: str, table: PeriodTable, glob: str = WORKBOOK_GLOB, all_or_nothing: bool = False
-) -> tuple[DataFrame, DataFrame]:
+def load_bids(spark: SparkSession, path: str, table: PeriodTable, all_or_nothing: bool = False) -> tuple[DataFrame, DataFrame]:
     """Replaces the days from the first to the last of the valid sheets; returns the summary and the errors.
 
-    Workbooks are parsed once, into a staging folder; checks and load read that.
+    Sheets are parsed once, into a staging folder; checks and load read that.  Unreadable sheets are errors: they fail an
+    ``all_or_nothing`` import, and otherwise only days with rows are replaced, as the days of such sheets are not known.
     """
     staging = scratch_dir(spark, "staging")
-    scan_workbooks(spark, path, glob).write.parquet(staging)
+    scan_sheets(spark, path).write.parquet(staging)
     rows = spark.read.parquet(staging)
-    manifest = sheet_manifest(rows)
+    manifest, unreadable = sheet_manifest(rows), unreadable_files(spark, path, rows)
+    errors = rc.load_errors(manifest, unreadable)
+    first = unreadable.head()
+    if first and all_or_nothing:
+        raise cl.InvalidSheets(f"{first['source_file']} [{first['sheet']}]: {first['error']}")
     valid, _ = cl.route_invalid_sheets(rows, all_or_nothing=all_or_nothing)
-    table.replace_range(cl.clean_bids(to_raw_bids(valid)), "bid_load", [path])
-    return rc.load_summary(manifest), rc.load_errors(manifest)
+    (table.replace_partitions if first else table.replace_range)(cl.clean_bids(to_raw_bids(valid)), "bid_load", [path])
+    return rc.load_summary(manifest, unreadable), errors
 
 
 def update_marginal_prices(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +20,7 @@ def text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType(), True) for name in names])
 
 
-def scan_activation_csv(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+def scan_activation_csv(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
     """Activation files as text columns with trimmed names and their ``source_file``.
 
     Types are never guessed; the header of every file must agree.
@@ -28,27 +30,43 @@ def scan_activation_csv(spark: SparkSession, path: str, sep: str = ";") -> DataF
         .option("header", True)
         .option("inferSchema", False)
         .option("enforceSchema", False)
+        .option("encoding", encoding)
         .csv(path)
     )
     return trim_column_names(raw.select("*", file_name(F.col("_metadata.file_path")).alias("source_file")))
 
 
-def scan_bid_csv(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
-    """Bid files as text; a line that does not fit goes whole into ``_corrupt_record``.
+def scan_bid_csv(spark: SparkSession, path: str, columns: list[str], sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+    """The named columns of bid files as text, found by each file's own header, NULL where a file lacks one.
 
-    Spark refuses a query that needs no column but ``_corrupt_record``; ask for another one too.
+    A line with more values than its header, or fewer, goes whole into ``_corrupt_record``.
     """
-    schema = text_schema(columns).add(CORRUPT, T.StringType(), True)
-    raw = (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("columnPruning", False)  # a line is judged by all its values, whichever are asked for
-        .csv(path)
-    )
-    return apply_aliases(raw.select("*", file_name(F.col("_metadata.file_path")).alias("source_file")))
+    # Whole lines: the text source knows UTF-8 only, the CSV source any encoding.
+    whole = spark.read.schema("value string").option("sep", "\u0001").option("quote", "").option("encoding", encoding).csv(path)
+    lines = (
+        whole.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("line"), "value")
+        .filter(F.trim("value") != "")
+    )
+    first = F.when(F.col("block") == 0, F.col("line"))
+    heads = lines.groupBy("path").agg(F.min(first).alias("head"), F.min_by(F.when(first.isNotNull(), F.col("value")), first).alias("header"))
+    names = F.transform(_values(F.col("header"), sep), F.trim)
+    data = lines.join(heads.select("path", "head", names.alias("names")), "path").filter(F.col("line") != F.col("head"))
+    parsed = data.select("path", "names", "value", _values(F.col("value"), sep).alias("values"))
+    fits = F.size("names") == F.size("values")
+    wanted = []
+    for c in columns:
+        place = F.array_position("names", c)
+        wanted.append(F.when(fits & (place > 0), F.nullif(F.get("values", (place - 1).cast("int")), F.lit(""))).alias(c))
+    found = parsed.select(*wanted, F.when(~fits, F.col("value")).alias(CORRUPT), file_name(F.col("path")).alias("source_file"))
+    return apply_aliases(found)
+
+
+def _values(line: Column, sep: str) -> Column:
+    """Values of a line; a separator inside quotes does not part them, and a doubled quote stands for one."""
+    part = re.escape(sep)
+    outside = f'{part}(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    return F.transform(F.split(line, outside), lambda v: F.replace(F.regexp_replace(v, '^"|"$', ""), F.lit('""'), F.lit('"')))
 
 
 def validate_delimited_files(spark: SparkSession, path: str, required: list[str], recursive: bool = False) -> DataFrame:

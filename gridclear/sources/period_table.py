@@ -1,43 +1,35 @@
-"""Partitioned Parquet tables whose periods are replaced as a whole, in one step.
+"""Partitioned Parquet tables of Spark's catalog, whose periods are replaced as a whole.
 
-A table is a folder with
-
-* ``data/load_id=<id>/<partition>=<value>/``: what each load wrote; never changed afterwards;
-* ``versions/``: one small file per load, listing which load serves each partition from then on.
-
-A load writes its rows first and then the version file, so readers see all of a load or nothing of it,
-and a load costs as much as its own rows, whatever the size of the table.  Partitions are days, months or
-four-hour blocks: the lists the driver handles grow with the calendar, not with the rows.  One writer at a
-time; a load that dies before its version file leaves no trace but unused data.
+A ``PeriodTable`` is an external table at ``<root>/rows``, partitioned by days, months or four-hour blocks.  Loads are
+Spark's own dynamic partition overwrites: the partitions that an import has rows for are swapped when its job commits, all others stay,
+and a failed job changes nothing.  Next to it lie ``<root>/lineage``, a plain appended table with a row per load, and
+``<root>/snapshots``, copies taken on demand.  The catalog prunes partitions before any file is listed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import getpass
-import json
+import hashlib
 import uuid
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridclear.operators.reconcile import numbered
 from gridclear.schema import conform_to_schema, quoted
 
-VERSION_SCHEMA = T.StructType(
+LINEAGE_SCHEMA = T.StructType(
     [
-        T.StructField("version_id", T.LongType()),
         T.StructField("run_id", T.StringType()),
         T.StructField("timestamp", T.TimestampType()),
         T.StructField("operation_type", T.StringType()),
         T.StructField("source_files", T.StringType()),
         T.StructField("username", T.StringType()),
-        T.StructField("partitions", T.StringType()),
     ]
 )
-Partition = tuple[str, ...]
 
 
 class PeriodTable:
@@ -53,144 +45,122 @@ class PeriodTable:
     ):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.partition_by, self.sort_by = list(partition_by), list(sort_by)
+        self.name = f"period_{hashlib.md5(self.root.encode()).hexdigest()[:20]}"
+        data = [f for f in schema.fields if f.name not in self.partition_by]
+        self.columns = [f.name for f in data] + self.partition_by
+        self.create_if_absent()
 
-    # --- versions ---
-
-    def _versions(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(VERSION_SCHEMA).parquet(f"{self.root}/versions")
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return self.spark.createDataFrame([], VERSION_SCHEMA)
-
-    def _live(self, version_id: int | None = None) -> tuple[int, dict[Partition, str]]:
-        """The version read, and the load that serves each of its partitions."""
-        versions = self._versions()
-        if version_id is not None:
-            versions = versions.filter(F.col("version_id") == version_id)
-        newest = versions.orderBy(F.desc("version_id")).limit(1).collect()
-        if not newest:
-            if version_id is not None:
-                raise ValueError(f"no version {version_id}")
-            return 0, {}
-        served = {
-            tuple(values): load for load, parts in json.loads(newest[0]["partitions"]).items() for values in parts
-        }
-        return newest[0]["version_id"], served
-
-    def _publish(self, served: dict[Partition, str], run_id: str, operation: str, source_files: Iterable[str]) -> int:
-        by_load: dict[str, list[list[str]]] = {}
-        for values, load in sorted(served.items()):
-            by_load.setdefault(load, []).append(list(values))
-        version_id = self._live()[0] + 1
-        row = (
-            version_id,
-            run_id,
-            dt.datetime.now(dt.timezone.utc),
-            operation,
-            ",".join(source_files),
-            getpass.getuser(),
-            json.dumps(by_load),
+    def create_if_absent(self) -> None:
+        """The table in the catalog, empty at first; partitions that lie in its folder already are found."""
+        if self.spark.catalog.tableExists(self.name):
+            return
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
+        parts = ", ".join(f"`{c}`" for c in self.partition_by)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet OPTIONS ('partitionOverwriteMode' = 'dynamic') "
+            f"PARTITIONED BY ({parts}) LOCATION '{self.root}/rows'"
         )
-        self.spark.createDataFrame([row], VERSION_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/versions")
-        return version_id
+        if self._folder("rows"):
+            self.spark.sql(f"MSCK REPAIR TABLE {self.name}")
 
-    def history(self) -> DataFrame:
-        """Lineage: one row per load or restore."""
-        return self._versions().drop("partitions")
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def create_if_absent(self) -> None:
-        """An empty first version, so that the table can be read before its first load."""
-        if self._live()[0] == 0:
-            self._publish({}, uuid.uuid4().hex, "create", [])
-
-    # --- reading ---
-
-    def read(self, version_id: int | None = None, with_load_id: bool = False) -> DataFrame:
-        """The current rows, or those of an earlier version."""
-        served = self._live(version_id)[1]
-        paths = [
-            f"{self.root}/data/load_id={load}/" + "/".join(f"{c}={v}" for c, v in zip(self.partition_by, values))
-            for values, load in sorted(served.items())
-        ]
-        names = [f.name for f in self.schema.fields] + (["load_id"] if with_load_id else [])
-        full = T.StructType([*self.schema.fields, T.StructField("load_id", T.StringType())])
-        if not paths:
-            return self.spark.createDataFrame([], full).select(*[quoted(n) for n in names])
-        data = self.spark.read.schema(full).option("basePath", f"{self.root}/data").parquet(*paths)
-        return data.select(*[quoted(n) for n in names])
-
-    # --- writing ---
-
-    def _write(self, df: DataFrame, run_id: str) -> set[Partition]:
-        """Writes the rows of one load and returns the partitions it touched."""
+    def _folder(self, name: str) -> list[str]:
+        """Names in one of the table's folders, none if it is absent."""
+        path, system = self._path(name)
+        return [f.getPath().getName() for f in system.listStatus(path)] if system.exists(path) else []
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name).select(*[quoted(f.name) for f in self.schema.fields])
+
+    # --- loads ---
+
+    def _gathered(self, df: DataFrame) -> DataFrame:
+        """Rows in the table's columns, few files per partition; one without its period fails the job before it commits."""
         rows = conform_to_schema(df, self.schema)
-        target = f"{self.root}/data/load_id={run_id}"
-        # A rebalance gathers each partition in few files and splits one that is too large for a task.
+        for c in self.partition_by:
+            refused = F.raise_error(F.lit(f"rows without {c} cannot be loaded; quarantine them first"))
+            rows = rows.withColumn(c, F.when(quoted(c).isNull(), refused.cast(self.schema[c].dataType)).otherwise(quoted(c)))
+        # A rebalance splits a partition that is too large for a task.
         gathered = rows.hint("rebalance", *self.partition_by)
         if self.sort_by:
             gathered = gathered.sortWithinPartitions(*[quoted(c) for c in (*self.partition_by, *self.sort_by)])
-        gathered.write.mode("overwrite").partitionBy(*self.partition_by).parquet(target)
-        try:
-            written = self.spark.read.schema(self.schema).parquet(target)
-            parts = written.select(*[quoted(c).cast("string") for c in self.partition_by]).distinct().collect()
-        except AnalysisException:
-            return set()
-        touched = {tuple(row) for row in parts}
-        if any(value is None for values in touched for value in values):
-            raise ValueError(f"rows without {self.partition_by} cannot be loaded; quarantine them first")
-        return touched
-
-    def _load(self, df: DataFrame, operation: str, source_files: Iterable[str], superseded) -> int:
-        run_id = "r" + uuid.uuid4().hex
-        touched = self._write(df, run_id)
-        if not touched:
-            return self._live()[0]
-        served = self._live()[1]
-        gone = superseded(touched)
-        served = {values: load for values, load in served.items() if not gone(values)}
-        served.update({values: run_id for values in touched})
-        return self._publish(served, run_id, operation, source_files)
-
-    def replace_partitions(self, df: DataFrame, operation: str = "replace_partitions", source_files: Iterable[str] = ()) -> int:
-        """Replaces every partition the import has rows for (a month, or a four-hour block)."""
-        return self._load(df, operation, source_files, lambda touched: lambda values: values in touched)
-
-    def replace_range(self, df: DataFrame, operation: str = "replace_range", source_files: Iterable[str] = ()) -> int:
-        """Replaces everything between the first and the last date of the import, days it lacks included.
-
-        The first partition column is the date, in ISO form, so its text orders like the date.
+        return gathered.select(*[quoted(c) for c in self.columns])
+
+    def replace_partitions(self, df: DataFrame, operation: str = "replace_partitions", source_files: Iterable[str] = ()) -> str:
+        """Replaces every partition that the import has rows for (a month, a day or a four-hour block)."""
+        self._gathered(df).write.mode("overwrite").insertInto(self.name)
+        return self.append_lineage(operation, source_files)
+
+    def replace_range(self, df: DataFrame, operation: str = "replace_range", source_files: Iterable[str] = ()) -> str:
+        """Replaces everything between the first and the last date of the import, days that it lacks included.
+
+        The first partition column is the date.  The days are observed while the rows are written; those that the import lacks are
+        then emptied, one statement per partition.
         """
+        day, seen = self.partition_by[0], Observation()
+        observed = self._gathered(df).observe(seen, F.collect_set(quoted(day)).alias("days"))
+        observed.write.mode("overwrite").insertInto(self.name)
+        days = seen.get["days"]
+        if days:
+            self._empty_partitions(F.col(day).between(F.lit(min(days)), F.lit(max(days))) & ~F.col(day).isin(list(days)))
+        return self.append_lineage(operation, source_files)
+
+    def _empty_partitions(self, condition: Column) -> None:
+        stored = self.spark.table(self.name).filter(condition).select(*[quoted(c) for c in self.partition_by]).distinct()
+        nulls = ", ".join(
+            f"CAST(NULL AS {f.dataType.simpleString()})" for f in self.schema.fields if f.name not in self.partition_by
+        )
+        for values in stored.collect():  # calendar days
+            spec = ", ".join(f"`{c}` = '{v}'" for c, v in zip(self.partition_by, values))
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION ({spec}) SELECT {nulls} WHERE FALSE")
+
+    def overwrite(self, df: DataFrame, operation: str = "create_or_replace", source_files: Iterable[str] = ()) -> str:
+        """Replaces the whole table, which the rows must not come from."""
+        writer = self._gathered(df).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*self.partition_by).parquet(f"{self.root}/rows")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")  # external: the rows stay
+        self.create_if_absent()
+        return self.append_lineage(operation, source_files)
+
+    # --- lineage ---
+
+    def append_lineage(self, operation: str, source_files: Iterable[str]) -> str:
+        run_id = uuid.uuid4().hex
+        row = (run_id, dt.datetime.now(dt.timezone.utc), operation, ",".join(source_files), getpass.getuser())
+        self.spark.createDataFrame([row], LINEAGE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/lineage")
+        return run_id
 
-        def superseded(touched: set[Partition]):
-            lo, hi = min(v[0] for v in touched), max(v[0] for v in touched)
-            return lambda values: lo <= values[0] <= hi
+    def history(self) -> DataFrame:
+        """One row per load, numbered in order."""
+        empty = self.spark.createDataFrame([], LINEAGE_SCHEMA)
+        if not self._folder("lineage"):
+            return empty.select(F.lit(0).cast("long").alias("version_id"), "*")
+        rows = self.spark.read.schema(LINEAGE_SCHEMA).parquet(f"{self.root}/lineage")
+        return numbered(rows, F.to_date("timestamp"), ["timestamp", "run_id"], "version_id")
 
-        return self._load(df, operation, source_files, superseded)
+    # --- snapshots ---
 
-    def overwrite(self, df: DataFrame, operation: str = "create_or_replace", source_files: Iterable[str] = ()) -> int:
-        """Replaces the whole table; earlier versions can still be read."""
-        run_id = "r" + uuid.uuid4().hex
-        touched = self._write(df, run_id)
-        return self._publish({values: run_id for values in touched}, run_id, operation, source_files)
+    def snapshot(self) -> str:
+        """Copies the current rows; returns the name to restore them by."""
+        name = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+        self.read().write.partitionBy(*self.partition_by).parquet(f"{self.root}/snapshots/taken={name}")
+        return name
 
-    def restore(self, version_id: int) -> int:
-        """Makes an earlier version the current one again."""
-        served = self._live(version_id)[1]
-        return self._publish(served, uuid.uuid4().hex, f"restore {version_id}", [])
+    def restore(self, snapshot: str) -> str:
+        rows = self.spark.read.schema(self.schema).parquet(f"{self.root}/snapshots/taken={snapshot}")
+        return self.overwrite(rows, f"restore {snapshot}")
 
-    def snapshots(self, keep: int = 3) -> DataFrame:
-        """The newest ``keep`` versions, which are those a restore may name."""
-        return self.history().orderBy(F.desc("version_id")).limit(keep)
+    def snapshots(self) -> list[str]:
+        """Names of all snapshots, newest first."""
+        return sorted((name.removeprefix("taken=") for name in self._folder("snapshots")), reverse=True)
 
     def drop_old_snapshots(self, keep: int = 3) -> list[str]:
-        """Deletes the data of loads that none of the newest ``keep`` versions reads; returns their ids."""
-        rows = self._versions().orderBy(F.desc("version_id")).select("partitions").collect()
-        loads = [set(json.loads(r["partitions"])) for r in rows]
-        unused = sorted(set().union(*loads[keep:]) - set().union(*loads[:keep])) if loads[keep:] else []
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for load in unused:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/data/load_id={load}")
-            path.getFileSystem(conf).delete(path, True)
-        return unused
+        """Deletes all but the newest ``keep`` snapshots; returns those deleted."""
+        old = self.snapshots()[keep:]
+        for name in old:
+            path, system = self._path(f"snapshots/taken={name}")
+            system.delete(path, True)
+        return old

@@ -1,352 +1,116 @@
-"""XLSX workbooks as DataFrames: one task per (file, sheet), and no sheet is ever whole in memory.
+"""Sheets of unpacked workbooks, read by Spark's XML source.
 
-``split_sheets`` opens the zip container of each file and hands out, per sheet, the still compressed
-sheet with what is needed to read it.  ``read_sheets`` streams the rows of each sheet.  Both take any
-DataFrame with ``path`` and ``content``, such as the ``binaryFile`` source gives.
+A workbook lands as a folder per sheet, ``source_file=<workbook>/sheet=<name>/``, with the sheet's XML inside, plain or
+compressed by gzip: ``row`` elements with their number ``r``, of ``c`` elements that may name their place (``r="B7"``) and
+hold a value ``v`` or an inline text ``is/t``.  Rows are read by all tasks; large files are split.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import io
-import posixpath
-import re
-import zipfile
-from collections.abc import Iterator
-from itertools import chain, islice
-from xml.etree.ElementTree import fromstring, iterparse
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridclear.schema import BIDS_RAW, REQUIRED_BID_COLUMNS, apply_aliases, conform_to_schema
-from gridclear.sources.landing import WORKBOOK_GLOB, file_name, read_binary
-
-# An XLSX sheet has at most 1,048,576 rows, so a task that reads one sheet is bounded.
-SHEET_SCHEMA = "source_file string, sheet string, sheet_no int, date1904 boolean, container binary, error string"
-ROW_SCHEMA = "source_file string, sheet string, row_no long, header array<string>, cells array<string>"
-ROW_COLUMNS = ["source_file", "sheet", "row_no", "header", "cells"]
-BATCH_ROWS = 5_000
-PIECE_BYTES = 1 << 20
-
-_MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-_CELL = _MAIN + "c"
-_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
-# Built-in number formats that show dates or times.
-DATE_FORMATS = [14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47]
-
-
-def _workbook_bytes(content: bytes) -> bytes:
-    """The workbook itself, taken out of an outer zip file if need be."""
-    with zipfile.ZipFile(io.BytesIO(content)) as outer:
-        names = outer.namelist()
-        if "xl/workbook.xml" in names:
-            return content
-        inner = [n for n in names if n.lower().endswith(".xlsx")]
-        if len(inner) != 1:
-            raise ValueError(f"expected one workbook in the archive, found {len(inner)}")
-        return outer.read(inner[0])
-
-
-def _sheet_members(book: zipfile.ZipFile) -> tuple[list[tuple[str, str]], bool]:
-    """(sheet name, zip member) in workbook order, and whether dates count from 1904."""
-    targets = {}
-    for _, el in iterparse(book.open("xl/_rels/workbook.xml.rels")):
-        if el.tag.endswith("}Relationship"):
-            target = el.get("Target")
-            targets[el.get("Id")] = target.lstrip("/") if target.startswith("/") else posixpath.normpath(f"xl/{target}")
-    sheets, date1904 = [], False
-    for _, el in iterparse(book.open("xl/workbook.xml")):
-        if el.tag == _MAIN + "sheet":
-            sheets.append((el.get("name"), targets[el.get(_REL + "id")]))
-        elif el.tag == _MAIN + "workbookPr":
-            date1904 = el.get("date1904") in ("1", "true")
-    return sheets, date1904
-
-
-def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["source_file", "sheet", "sheet_no", "date1904", "container", "error"]
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            try:
-                with zipfile.ZipFile(io.BytesIO(_workbook_bytes(content))) as book:
-                    members = set(book.namelist())
-                    sheets, date1904 = _sheet_members(book)
-                    for no, (name, member) in enumerate(sheets, 1):
-                        part = io.BytesIO()
-                        with zipfile.ZipFile(part, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as out:
-                            for source, target in (
-                                (member, "sheet.xml"),
-                                ("xl/sharedStrings.xml", "strings.xml"),
-                                ("xl/styles.xml", "styles.xml"),
-                            ):
-                                if source in members:
-                                    with book.open(source) as src, out.open(target, "w", force_zip64=True) as dst:
-                                        while chunk := src.read(1 << 20):
-                                            dst.write(chunk)
-                        yield pd.DataFrame([[path, name, no, date1904, part.getvalue(), None]], columns=columns)
-            except Exception as problem:  # one unreadable file must not stop the others
-                yield pd.DataFrame([[path, None, None, None, None, f"{type(problem).__name__}: {problem}"]], columns=columns)
-
-
-def split_sheets(files: DataFrame) -> DataFrame:
-    """One row per sheet with its compressed parts; an unreadable file gives one row with ``error``."""
-    return files.select(file_name(F.col("path")).alias("path"), "content").mapInPandas(_split, SHEET_SCHEMA)
-
-
-def _text(element) -> str:
-    """Text of a string item, without phonetic hints."""
-    return "".join(t.text or "" for t in element.iter(_MAIN + "t")) if element is not None else ""
-
-
-def _shared_strings(parts: zipfile.ZipFile) -> list[str]:
-    if "strings.xml" not in parts.namelist():
-        return []
-    strings = []
-    for _, el in iterparse(parts.open("strings.xml")):
-        if el.tag == _MAIN + "si":
-            strings.append(_text(el))
-            el.clear()
-    return strings
-
-
-def _date_styles(parts: zipfile.ZipFile) -> set[int]:
-    """Positions of the cell styles that show a date or time."""
-    if "styles.xml" not in parts.namelist():
-        return set()
-    dates, formats, inside = set(DATE_FORMATS), [], False
-    for event, el in iterparse(parts.open("styles.xml"), events=("start", "end")):
-        if el.tag == _MAIN + "cellXfs":
-            inside = event == "start"
-        elif event == "end" and el.tag == _MAIN + "numFmt":
-            code = re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", el.get("formatCode", ""))
-            if re.search("[dmyhs]", code, re.IGNORECASE):
-                dates.add(int(el.get("numFmtId")))
-        elif event == "end" and inside and el.tag == _MAIN + "xf":
-            formats.append(int(el.get("numFmtId", 0)))
-    return {i for i, number in enumerate(formats) if number in dates}
-
-
-def _column_no(reference: str) -> int:
-    number = 0
-    for letter in reference:
-        if not letter.isalpha():
-            break
-        number = number * 26 + ord(letter.upper()) - 64
-    return number - 1
-
-
-def _serial_to_text(serial: float, date1904: bool) -> str:
-    moment = dt.datetime(1904, 1, 1) if date1904 else dt.datetime(1899, 12, 30)
-    moment += dt.timedelta(seconds=round(serial * 86400))
-    return moment.strftime("%Y-%m-%d" if moment.time() == dt.time(0) else "%Y-%m-%d %H:%M:%S")
-
-
-def _cell_text(cell, strings: list[str], dates: set[int], date1904: bool) -> str | None:
-    kind = cell.get("t", "n")
-    if kind == "inlineStr":
-        return _text(cell.find(_MAIN + "is"))
-    value = cell.findtext(_MAIN + "v")
-    if value is None:
-        return None
-    if kind == "s":
-        return strings[int(value)]
-    if kind == "b":
-        return "true" if value == "1" else "false"
-    if kind == "e":
-        return None
-    if kind == "n" and dates and int(cell.get("s", 0)) in dates:
-        return _serial_to_text(float(value), date1904)
-    return value
-
-
-class _Irregular(Exception):
-    """A sheet whose text cannot be cut at the ends of rows."""
-
-
-def _rows_in_pieces(stream) -> Iterator:
-    """Row elements, parsed some thousand at a time: the text is cut after the last complete row.
-
-    Building whole pieces in the XML parser is several times faster than an event for every cell.
+from gridclear.sources.landing import read_binary
+
+CORRUPT = "_corrupt_record"
+_CELL = T.StructType(
+    [
+        T.StructField("_r", T.StringType()),
+        T.StructField("is", T.StructType([T.StructField("t", T.StringType())])),
+        T.StructField("v", T.StringType()),
+    ]
+)
+XML_SCHEMA = T.StructType(
+    [
+        T.StructField("_r", T.LongType()),
+        T.StructField("c", T.ArrayType(_CELL)),
+        T.StructField(CORRUPT, T.StringType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("sheet", T.StringType()),
+    ]
+)
+XML_OPTIONS = {"rowTag": "row", "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+SHEET = ["source_file", "sheet"]
+
+
+def scan_sheets(spark: SparkSession, *paths: str, base: str | None = None) -> DataFrame:
+    """Rows of every sheet as text: ``source_file, sheet, row_no, header, cells, corrupt``.
+
+    Row 1 is the header; it comes with NULL cells, so that empty sheets are known too.  Rows without any value are left out.
+    A row that is no XML has only its text, in ``corrupt``.
     """
-    text, head, end = b"", None, b""
-    while True:
-        chunk = stream.read(PIECE_BYTES)
-        text += chunk
-        if head is None:
-            opened = re.search(rb"<((?:[\w.-]+:)?)sheetData(?:\s[^>]*)?>", text)
-            if not opened:
-                if chunk and len(text) < 64 * PIECE_BYTES:
-                    continue
-                raise _Irregular
-            head, text = text[: opened.end()], text[opened.end() :]
-            root = re.search(rb"<((?:[\w.-]+:)?worksheet)[\s>]", head)
-            if not root or head.startswith((b"\xff\xfe", b"\xfe\xff")) or head.endswith(b"/>"):
-                raise _Irregular
-            prefix = opened.group(1)
-            end = b"</" + prefix + b"sheetData></" + root.group(1) + b">"
-            row_end, data_end = b"</" + prefix + b"row>", b"</" + prefix + b"sheetData"
-        closed = text.find(data_end)
-        if closed >= 0:
-            text, chunk = text[:closed], b""
-        cut = text.rfind(row_end)
-        if cut >= 0:
-            piece, text = text[: cut + len(row_end)], text[cut + len(row_end) :]
-            if b"<![CDATA[" in piece or b"<!--" in piece:
-                raise _Irregular
-            yield from fromstring(head + piece + end).find(_MAIN + "sheetData")
-        if not chunk:
-            return
-
-
-def _rows_by_event(stream) -> Iterator:
-    """Row elements one by one, for sheets that cannot be cut."""
-    parent = None
-    for event, el in iterparse(stream, events=("start", "end")):
-        if event == "start" and el.tag == _MAIN + "sheetData":
-            parent = el
-        elif event == "end" and el.tag == _MAIN + "row":
-            yield el
-            parent.clear()
-
-
-def _row_elements(parts: zipfile.ZipFile) -> Iterator:
-    done = 0
-    try:
-        for element in _rows_in_pieces(parts.open("sheet.xml")):
-            yield element
-            done += 1
-    except _Irregular:
-        yield from islice(_rows_by_event(parts.open("sheet.xml")), done, None)
-
-
-def _sheet_rows(container: bytes, date1904: bool) -> Iterator[tuple[int, list[str | None]]]:
-    """(row number, cell texts) in sheet order; rows may be ragged, and missing cells are None."""
-    with zipfile.ZipFile(io.BytesIO(container)) as parts:
-        strings, dates = _shared_strings(parts), _date_styles(parts)
-        columns: dict[str, int] = {}
-        row_no = 0
-        for row in _row_elements(parts):
-            row_no = int(row.get("r", row_no + 1))
-            cells: list[str | None] = []
-            for cell in row:
-                if cell.tag != _CELL:
-                    continue
-                reference = cell.get("r")
-                if reference:
-                    letters = reference.rstrip("0123456789")
-                    at = columns.get(letters)
-                    if at is None:
-                        at = columns[letters] = _column_no(letters)
-                else:
-                    at = len(cells)
-                if at >= len(cells):
-                    cells.extend([None] * (at + 1 - len(cells)))
-                cells[at] = _cell_text(cell, strings, dates, date1904)
-            yield row_no, cells
-
-
-def _unique(names: list[str | None]) -> list[str]:
-    """Trimmed header names; blanks and repeats are numbered."""
-    seen: dict[str, int] = {}
-    result = []
-    for i, name in enumerate(names):
-        text = (name or "").strip() or f"column_{i + 1}"
-        seen[text] = seen.get(text, 0) + 1
-        result.append(text if seen[text] == 1 else f"{text}_{seen[text]}")
-    return result
-
-
-def _rows_batch(source: str, sheet: str, header: list[str], numbers: list[int], cells: list[list[str | None]]):
-    """Rows of one sheet as an Arrow batch; all rows share the header and are as wide as it."""
-    n, width = len(numbers), len(header)
-    offsets = pa.array(np.arange(0, (n + 1) * width, max(width, 1), dtype=np.int32)[: n + 1])
-    names = pa.array(header, pa.string()).take(pa.array(np.tile(np.arange(width), n)))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([source] * n, pa.string()),
-            pa.array([sheet] * n, pa.string()),
-            pa.array(numbers, pa.int64()),
-            pa.ListArray.from_arrays(offsets, names),
-            pa.ListArray.from_arrays(offsets, pa.array(list(chain.from_iterable(cells)), pa.string())),
-        ],
-        names=ROW_COLUMNS,
+    raw = spark.read.format("xml").schema(XML_SCHEMA).options(**XML_OPTIONS)
+    raw = (raw.option("basePath", base) if base else raw).load(list(paths))
+    value = F.transform("c", lambda c: F.coalesce(c["is"]["t"], c["v"]))
+    rows = raw.select(*SHEET, F.col("_r").alias("row_no"), _in_place(F.col("c"), value).alias("cells"), F.col(CORRUPT).alias("corrupt"))
+    headers = rows.filter("row_no = 1 AND corrupt IS NULL").groupBy(*SHEET).agg(_unique(F.first("cells")).alias("header"))
+    filled = F.exists("cells", lambda c: F.coalesce(c, F.lit("")) != "")
+    data = rows.filter(F.col("corrupt").isNotNull() | ((F.col("row_no") > 1) & filled)).join(headers, SHEET, "left")
+    columns = [*SHEET, "row_no", "header", "cells", "corrupt"]
+    nothing = {"row_no": F.lit(0).cast("long"), "cells": F.lit(None).cast("array<string>"), "corrupt": F.lit(None).cast("string")}
+    return headers.withColumns(nothing).select(*columns).unionByName(data.select(*columns))
+
+
+def _in_place(cells: Column, values: Column) -> Column:
+    """Values at the places their cells name (``B7`` is the second), else in the order they come."""
+    letters = F.transform(cells, lambda c: F.split(F.regexp_extract(c["_r"], "^[A-Z]+", 0), ""))
+    places = F.transform(
+        letters, lambda chars: F.aggregate(F.filter(chars, lambda x: x != ""), F.lit(0), lambda n, x: n * 26 + F.ascii(x) - 64)
     )
+    by_place = F.map_from_arrays(places, values)
+    named = F.transform(F.sequence(F.lit(1), F.array_max(places)), lambda k: F.try_element_at(by_place, k))
+    return F.when(F.forall(cells, lambda c: c["_r"].isNotNull()) & (F.size(cells) > 0), named).otherwise(values)
 
 
-def _header_batch(source: str, sheet: str, header: list[str]):
-    text, texts = pa.string(), pa.list_(pa.string())
-    values = [pa.array([source], text), pa.array([sheet], text), pa.array([0], pa.int64())]
-    return pa.RecordBatch.from_arrays([*values, pa.array([header], texts), pa.array([None], texts)], names=ROW_COLUMNS)
-
+def _unique(header: Column) -> Column:
+    """A name that occurs again gets its count: ``when``, ``when_2``."""
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for item in batch.to_pylist():
-            source, sheet = item["source_file"], item["sheet"]
-            header, numbers, rows = None, [], []
-            for row_no, cells in _sheet_rows(item["container"], bool(item["date1904"])):
-                if header is None:
-                    header = _unique(cells)
-                    width = len(header)
-                    yield _header_batch(source, sheet, header)
-                    continue
-                if not any(cells):
-                    continue
-                if len(cells) != width:
-                    cells = (cells + [None] * width)[:width]
-                numbers.append(row_no)
-                rows.append(cells)
-                if len(rows) >= BATCH_ROWS:
-                    yield _rows_batch(source, sheet, header, numbers, rows)
-                    numbers, rows = [], []
-            if rows:
-                yield _rows_batch(source, sheet, header, numbers, rows)
+    def told_apart(name: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(header, F.lit(1), i), lambda x: x == name))
+        return F.when(before > 0, F.concat(name, F.lit("_"), (before + 1).cast("string"))).otherwise(name)
 
+    return F.transform(F.transform(header, lambda h: F.coalesce(F.trim(h), F.lit(""))), told_apart)
 
-def read_sheets(sheets: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Rows of every sheet as text: ``header`` and ``cells`` side by side.
 
-    Row 0 of each sheet carries the header only, so that empty sheets are known too.  The header is the
-    first row; rows without any value are left out.  Sheets spread over ``tasks`` tasks, or as many as a
-    shuffle has: a fixed number, since merging tasks by compressed size would undo the spread.
-    """
-    readable = sheets.filter("error IS NULL").select("source_file", "sheet", "date1904", "container")
-    tasks = tasks or int(sheets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = readable.repartition(tasks, "source_file", "sheet")
-    return spread.mapInArrow(_read, ROW_SCHEMA)
+def unreadable_files(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """``unreadable_sheets`` of all files in the folder; Spark does not list files of no bytes."""
+    return unreadable_sheets(read_binary(spark, path, "*", recursive=True).select("path"), rows)
 
 
-def scan_workbooks(spark: SparkSession, path: str, glob: str = WORKBOOK_GLOB) -> DataFrame:
-    """Rows of all sheets of all matching workbooks, zipped ones included if the glob names them."""
-    return read_sheets(split_sheets(read_binary(spark, path, glob)))
+def unreadable_sheets(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """(source_file, sheet, error) of sheets among ``files`` (path) of which no header or not all rows could be read.
 
-
-def unreadable_files(sheets: DataFrame) -> DataFrame:
-    return sheets.filter("error IS NOT NULL").select("source_file", "error")
+    ``rows`` are those of the scan, corrupt ones included.
+    """
+    part = [F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)).alias(c) for c in SHEET]
+    state = rows.groupBy(*SHEET).agg(F.count_if(F.col("header").isNotNull()).alias("read"), F.count("corrupt").alias("corrupt"))
+    found = files.select(*part).distinct().join(state, SHEET, "left").filter("coalesce(read, 0) = 0 OR corrupt > 0")
+    error = F.when(F.coalesce("read", F.lit(0)) == 0, "no header row").otherwise(F.concat(F.col("corrupt").cast("string"), F.lit(" unreadable rows")))
+    return found.select(*SHEET, error.alias("error"))
 
 
 def sheet_manifest(rows: DataFrame, required: list[str] = REQUIRED_BID_COLUMNS) -> DataFrame:
-    """Per sheet: its columns, rows, missing required columns, and whether it can be loaded.
+    """Per sheet: its columns, rows, rows with values beyond the header, missing required columns, and whether it can be loaded.
 
     A last column without any value is not counted as a column.
     """
+    good = rows.filter("header IS NOT NULL AND corrupt IS NULL")
     last_filled = F.count_if(F.coalesce(F.get("cells", F.size("header") - 1), F.lit("")) != "")
-    per_sheet = rows.groupBy("source_file", "sheet", "header").agg(
-        F.count("cells").alias("row_count"), last_filled.alias("last_filled")
+    beyond = F.exists(F.slice("cells", F.size("header") + 1, F.greatest(F.size("cells"), F.lit(0))), lambda c: F.coalesce(c, F.lit("")) != "")
+    per_sheet = good.groupBy(*SHEET, "header").agg(
+        F.count("cells").alias("row_count"), last_filled.alias("last_filled"), F.count_if(beyond).alias("beyond_header")
     )
     shown = F.when(F.col("last_filled") > 0, F.col("header")).otherwise(F.slice("header", 1, F.size("header") - 1))
     absent = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("header"))
     return per_sheet.select(
-        "source_file",
-        "sheet",
+        *SHEET,
         shown.alias("header"),
         "row_count",
+        "beyond_header",
         absent.alias("missing_columns"),
-        (F.size(absent) == 0).alias("is_valid"),
+        ((F.size(absent) == 0) & (F.col("beyond_header") == 0)).alias("is_valid"),
     )
 
 
@@ -355,19 +119,20 @@ def to_columns(rows: DataFrame, names: list[str]) -> DataFrame:
     data = rows.filter(F.col("cells").isNotNull())
     position = {n: F.array_position("header", n).cast("int") for n in names}
     value = {n: F.when(p > 0, F.nullif(F.get("cells", p - 1), F.lit(""))) for n, p in position.items()}
-    return data.select("source_file", "sheet", "row_no", *[v.alias(n) for n, v in value.items()])
+    return data.select(*SHEET, "row_no", *[v.alias(n) for n, v in value.items()])
 
 
 def to_raw_bids(rows: DataFrame, names: list[str] | None = None) -> DataFrame:
     """Sheet rows in the raw bid schema with file, sheet and load time."""
-    wanted = names or [f.name for f in BIDS_RAW.fields if f.name not in ("source_file", "sheet")]
+    wanted = names or [f.name for f in BIDS_RAW.fields if f.name not in SHEET]
     named = conform_to_schema(apply_aliases(to_columns(rows, wanted)), BIDS_RAW)
     return named.withColumn("load_timestamp", F.current_timestamp())
 
 
-def convert_workbooks(rows: DataFrame, path: str) -> None:
-    """Sheet rows as Parquet, one folder per file and sheet."""
-    rows.filter(F.col("cells").isNotNull()).write.mode("append").partitionBy("source_file", "sheet").parquet(path)
+def convert_workbooks(rows: DataFrame, path: str, names: list[str]) -> None:
+    """Sheet rows as CSV with a header, one folder per file and sheet."""
+    named = to_columns(rows, names).drop("row_no")
+    named.write.mode("append").partitionBy(*SHEET).option("header", True).csv(path)
 
 
 def not_yet_converted(listing: DataFrame, manifest: DataFrame) -> DataFrame:

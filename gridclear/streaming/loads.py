@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridclear.operators.cleaning import clean_bids, route_invalid_sheets, to_activations
-from gridclear.operators.reconcile import latest_per_interval
+from gridclear.operators.reconcile import latest_per_interval, load_errors
+from gridclear.schema import conform_to_schema
 from gridclear.sources.delimited import text_schema
-from gridclear.sources.landing import WORKBOOK_GLOB, file_name
+from gridclear.sources.landing import file_name
 from gridclear.sources.period_table import PeriodTable
-from gridclear.sources.workbooks import read_sheets, sheet_manifest, split_sheets, to_raw_bids
+from gridclear.sources.workbooks import scan_sheets, sheet_manifest, to_raw_bids, unreadable_sheets
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+FILES_PER_BATCH = 1000  # names of files that the driver handles at a time
 INTERVAL_KEY = ["date", "quarter_no", "time_zone"]
 
 
@@ -32,9 +34,15 @@ def _drain(stream: DataFrame, checkpoint: str, apply: Callable[[DataFrame, int],
     query.awaitTermination()
 
 
-def activation_stream(spark: SparkSession, landing: str, columns: list[str], archive: str | None = None) -> DataFrame:
-    """New activation files of a landing folder, as text; processed files move to ``archive`` if given."""
+def activation_stream(
+    spark: SparkSession, landing: str, columns: list[str], archive: str | None = None, encoding: str = "UTF-8"
+) -> DataFrame:
+    """New activation files of a landing folder, as text; processed files move to ``archive`` if given.
+
+    The header of every file must name ``columns`` in this order: another one fails the batch instead of swapping columns.
+    """
     reader = spark.readStream.schema(text_schema(columns)).option("sep", ";").option("header", True)
+    reader = reader.option("enforceSchema", False).option("encoding", encoding)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.csv(landing).select(
@@ -44,11 +52,25 @@ def activation_stream(spark: SparkSession, landing: str, columns: list[str], arc
     )
 
 
+def replace_days(table: PeriodTable, new: DataFrame, operation: str = "replace_days") -> None:
+    """Replaces the days that ``new`` has rows for; all other days stay, whatever the table's partitions."""
+    days = new.select("date").distinct()
+    kept = _touched(table, new).join(days, "date", "left_anti")
+    table.replace_partitions(kept.unionByName(new.select(*kept.columns)), operation)
+
+
+def _touched(table: PeriodTable, new: DataFrame) -> DataFrame:
+    """All rows of the partitions that ``new`` falls in: a write swaps whole partitions."""
+    parts = new.select(*table.partition_by).distinct()
+    return table.read().join(parts, table.partition_by, "left_semi").select(*[f.name for f in table.schema.fields])
+
+
 def incremental_landing_load(stream: DataFrame, table: PeriodTable, checkpoint: str) -> None:
-    """Loads what is new; the days from the first to the last of a batch are replaced."""
+    """Loads what is new; the days that a batch has rows for are replaced."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.replace_range(to_activations(batch), f"stream batch {batch_id}")
+        rows = conform_to_schema(to_activations(batch), table.schema)
+        replace_days(table, rows, f"stream batch {batch_id}")
 
     _drain(stream, checkpoint, apply)
 
@@ -61,26 +83,35 @@ def bid_workbook_load(
     archive: str | None = None,
     on_rejected: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Loads new bid workbooks; sheets without the required columns are handed to ``on_rejected``."""
-    reader = spark.readStream.format("binaryFile").schema(BINARY_SCHEMA).option("pathGlobFilter", WORKBOOK_GLOB)
+    """Loads new sheets of bid workbooks; ``on_rejected`` gets (source_file, sheet, error) of those that cannot be loaded.
+
+    A batch with unreadable sheets replaces only the days it has rows for, since nobody knows the days of the others.
+    """
+    reader = spark.readStream.format("binaryFile").schema(BINARY_SCHEMA).option("recursiveFileLookup", True)
+    reader = reader.option("maxFilesPerTrigger", FILES_PER_BATCH)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = read_sheets(split_sheets(batch))
-        accepted, rejected = route_invalid_sheets(rows)
+        paths = [row["path"] for row in batch.select("path").collect()]  # FILES_PER_BATCH at most
+        if not paths:
+            return
+        rows = scan_sheets(spark, *paths, base=landing)
+        landed = spark.createDataFrame([(p,) for p in paths], "path string")
+        unreadable = unreadable_sheets(landed, rows)
         if on_rejected is not None:
-            on_rejected(sheet_manifest(rejected))
-        table.replace_range(clean_bids(to_raw_bids(accepted)), f"stream batch {batch_id}")
+            on_rejected(load_errors(sheet_manifest(rows), unreadable))
+        accepted, _ = route_invalid_sheets(rows)
+        bids = clean_bids(to_raw_bids(accepted))
+        replace = table.replace_range if unreadable.isEmpty() else table.replace_partitions
+        replace(bids, f"stream batch {batch_id}")
 
-    _drain(reader.load(landing), checkpoint, apply)
+    _drain(reader.load(landing).select("path"), checkpoint, apply)
 
 
 def merge_latest(table: PeriodTable, new: DataFrame, operation: str = "upsert_interval") -> None:
-    """One row per interval, the one loaded last; only days the import touches are read and rewritten."""
-    days = [row["date"] for row in new.select("date").distinct().collect()]  # calendar days, so a short list
-    kept = table.read().filter(F.col("date").isin(days)).select(*new.columns)
-    merged = latest_per_interval(kept.unionByName(new), INTERVAL_KEY, ["load_timestamp", "source_file"])
+    """One row per interval, the one loaded last; the partitions that the import falls in are read and rewritten as a whole."""
+    merged = latest_per_interval(_touched(table, new).unionByName(new), INTERVAL_KEY, ["load_timestamp", "source_file"])
     table.replace_partitions(merged, operation)
 
 
@@ -88,7 +119,6 @@ def latest_activation_stream(stream: DataFrame, table: PeriodTable, checkpoint:
     """A corrected value replaces the earlier one of its interval."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        new = to_activations(batch)
-        merge_latest(table, new.select(*[f.name for f in table.schema.fields]), f"stream batch {batch_id}")
+        merge_latest(table, conform_to_schema(to_activations(batch), table.schema), f"stream batch {batch_id}")
 
     _drain(stream, checkpoint, apply)

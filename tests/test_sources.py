@@ -1,15 +1,13 @@
 """Workbooks, delimited files and landing folders."""
 
 import datetime as dt
-import io
-import zipfile
 
 import pytest
 from pyspark.sql import functions as F
+from sheet_files import land, sheet_xml
 
 from gridclear.operators import cleaning as cl
 from gridclear.operators import reconcile as rc
-from gridclear.plans.fixture_workbooks import workbook, zipped
 from gridclear.schema import ACTIVATION_COLUMNS, REQUIRED_BID_COLUMNS
 from gridclear.sources import delimited as dl
 from gridclear.sources import landing as ln
@@ -19,21 +17,19 @@ HEADER = [*REQUIRED_BID_COLUMNS, "NOTE"]
 ROW = ["2024-09-01", "NEG_001", 100.0, "PROVIDER_TO_GRID", 5, None]
 
 
-def land(folder, **files):
+def land_bytes(folder, **files):
     for name, content in files.items():
         (folder / name.replace("__", ".")).write_bytes(content)
     return str(folder)
 
 
-def manifest(spark, path, glob=ln.WORKBOOK_GLOB):
-    rows = wb.scan_workbooks(spark, path, glob)
-    return {(r.source_file, r.sheet): r for r in wb.sheet_manifest(rows).collect()}
+def manifest(spark, path):
+    return {(r.source_file, r.sheet): r for r in wb.sheet_manifest(wb.scan_sheets(spark, path)).collect()}
 
 
-@pytest.mark.parametrize("shared", [False, True])
-def test_two_sheets_with_empty_note(spark, tmp_path, shared):
-    book = workbook({"Sheet1": [HEADER, ROW, ROW], "Sheet2": [HEADER, ROW]}, shared=shared)
-    found = manifest(spark, land(tmp_path, a__xlsx=book))
+@pytest.mark.parametrize("places", [False, True])
+def test_two_sheets_with_empty_note(spark, tmp_path, places):
+    found = manifest(spark, land(tmp_path, "a.xlsx", {"Sheet1": [HEADER, ROW, ROW], "Sheet2": [HEADER, ROW]}, places=places))
     assert {k: (v.row_count, len(v.header)) for k, v in found.items()} == {
         ("a.xlsx", "Sheet1"): (2, 5),
         ("a.xlsx", "Sheet2"): (1, 5),
@@ -41,22 +37,21 @@ def test_two_sheets_with_empty_note(spark, tmp_path, shared):
 
 
 def test_filled_last_column_is_kept(spark, tmp_path):
-    book = workbook({"S": [["A", "B", "NOTE"], [1, 2, ""], [3, 4, "something"]]})
-    path = land(tmp_path, a__xlsx=book)
+    path = land(tmp_path, "a.xlsx", {"S": [["A", "B", "NOTE"], [1, 2, ""], [3, 4, "something"]]})
     assert manifest(spark, path)["a.xlsx", "S"].header == ["A", "B", "NOTE"]
-    rows = wb.to_columns(wb.scan_workbooks(spark, path), ["A", "NOTE", "absent"]).orderBy("row_no").collect()
+    rows = wb.to_columns(wb.scan_sheets(spark, path), ["A", "NOTE", "absent"]).orderBy("row_no").collect()
     assert [(r.A, r.NOTE, r.absent) for r in rows] == [("1", None, None), ("3", "something", None)]
 
 
 def test_valid_and_invalid_file(spark, tmp_path):
-    bad = workbook({"S": [["DELIVERY_DATE", "PRODUCT"], ["2024-09-01", "NEG_001"]]})
-    path = land(tmp_path, good__xlsx=workbook({"S": [HEADER, ROW]}), bad__XLSX=bad)
-    rows = wb.scan_workbooks(spark, path)
+    land(tmp_path, "good.xlsx", {"S": [HEADER, ROW]})
+    path = land(tmp_path, "bad.XLSX", {"S": [["DELIVERY_DATE", "PRODUCT"], ["2024-09-01", "NEG_001"]]})
+    rows = wb.scan_sheets(spark, path)
     sheets = wb.sheet_manifest(rows)
     summary = rc.load_summary(sheets).first()
     assert (summary.files_processed, summary.sheets_loaded, summary.rows_loaded, summary.error_count) == (2, 1, 1, 1)
-    errors = [r.error for r in rc.load_errors(sheets).collect()]
-    assert len(errors) == 1 and "ENERGY_PRICE_PAYMENT_DIRECTION" in errors[0] and "bad.XLSX" in errors[0]
+    (error,) = rc.load_errors(sheets).collect()
+    assert error.source_file == "bad.XLSX" and "ENERGY_PRICE_PAYMENT_DIRECTION" in error.error
     loaded, quarantined = cl.route_invalid_sheets(rows)
     assert {r.source_file for r in loaded.collect()} == {"good.xlsx"}
     assert {r.source_file for r in quarantined.collect()} == {"bad.XLSX"}
@@ -64,38 +59,59 @@ def test_valid_and_invalid_file(spark, tmp_path):
         cl.route_invalid_sheets(rows, all_or_nothing=True)
 
 
-def test_unreadable_file_does_not_stop_the_others(spark, tmp_path):
-    path = land(tmp_path, a__xlsx=workbook({"S": [HEADER, ROW]}), b__xlsx=b"no zip")
-    sheets = wb.split_sheets(ln.read_binary(spark, path))
-    assert [r.source_file for r in wb.unreadable_files(sheets).collect()] == ["b.xlsx"]
-    assert wb.to_raw_bids(wb.read_sheets(sheets)).count() == 1
+def test_unreadable_file_is_an_error_and_does_not_stop_the_others(spark, tmp_path):
+    land(tmp_path, "a.xlsx", {"S": [HEADER, ROW]})
+    land(tmp_path, "blank.xlsx", {"S": "\n"})
+    cut = sheet_xml([HEADER, ROW])
+    land(tmp_path, "cut.xlsx", {"S": cut[: cut.index("100.0")] + "<v></row></worksheet>"})
+    path = land(tmp_path, "b.xlsx", {"S": "no sheet"})
+    rows = wb.scan_sheets(spark, path)
+    unreadable = wb.unreadable_files(spark, path, rows)
+    assert {r.source_file for r in unreadable.collect()} == {"b.xlsx", "blank.xlsx", "cut.xlsx"}
+    summary = rc.load_summary(wb.sheet_manifest(rows), unreadable).first()
+    assert (summary.files_processed, summary.sheets_loaded, summary.rows_loaded, summary.error_count) == (4, 1, 1, 3)
+    assert {r.source_file for r in rc.load_errors(wb.sheet_manifest(rows), unreadable).collect()} == {"b.xlsx", "blank.xlsx", "cut.xlsx"}
+    assert wb.to_raw_bids(rows).count() == 1
 
 
-def test_zipped_workbook(spark, tmp_path):
-    path = land(tmp_path, a__xlsx__zip=zipped("a.xlsx", workbook({"S": [HEADER, ROW]})))
-    assert manifest(spark, path, ln.ZIPPED_WORKBOOK_GLOB)["a.xlsx.zip", "S"].row_count == 1
+def test_values_beyond_the_header_are_reported_and_kept(spark, tmp_path):
+    path = land(tmp_path, "a.xlsx", {"S": [["A", "B"], [1, 2, "lost?"], [3, 4, ""]]})
+    rows = wb.scan_sheets(spark, path)
+    assert [r.cells for r in rows.filter("row_no = 2").collect()] == [["1", "2", "lost?"]]
+    sheet = wb.sheet_manifest(rows, ["A"]).first()
+    assert sheet.beyond_header == 1 and not sheet.is_valid
+    assert [r.error for r in rc.load_errors(wb.sheet_manifest(rows, ["A"])).collect()] == ["values beyond the header"]
 
 
-def test_dates_gaps_and_blank_rows(spark, tmp_path):
-    days = (dt.date(2024, 9, 1) - dt.date(1899, 12, 30)).days
-    rows = [["when", "styled", "plain", "when"], [days, days + 0.5, days, None], [None] * 4, [None, None, "", "x"]]
-    path = land(tmp_path, a__xlsx=workbook({"S": rows}, date_columns={0: 1, 1: 2}))
-    got = wb.to_columns(wb.scan_workbooks(spark, path), ["when", "styled", "plain", "when_2"]).orderBy("row_no").collect()
-    assert [tuple(r)[2:] for r in got] == [
-        (2, "2024-09-01", "2024-09-01 12:00:00", str(days), None),
-        (4, None, None, None, "x"),
-    ]
+def test_compressed_sheet(spark, tmp_path):
+    path = land(tmp_path, "a.xlsx", {"S": [HEADER, ROW]}, packed=True)
+    assert manifest(spark, path)["a.xlsx", "S"].row_count == 1
+
+
+@pytest.mark.parametrize("places", [False, True])
+def test_gaps_blank_rows_and_repeated_names(spark, tmp_path, places):
+    rows = [["when", "b", "plain", "when"], ["x", None, 7, None], [None] * 4, [None, None, "", " y "]]
+    path = land(tmp_path, "a.xlsx", {"S": rows}, places=places)
+    got = wb.to_columns(wb.scan_sheets(spark, path), ["when", "b", "plain", "when_2"]).orderBy("row_no").collect()
+    assert [tuple(r)[2:] for r in got] == [(2, "x", None, "7", None), (4, None, None, None, " y ")]
 
 
-def test_workbook_to_clean_bids(spark, tmp_path):
+def test_sheet_to_clean_bids(spark, tmp_path):
     rows = [HEADER, ROW, ["2024-09-01", "POS_001", 1, "GRID_TO_PROVIDER", 1, None]]
-    raw = wb.to_raw_bids(wb.scan_workbooks(spark, land(tmp_path, a__xlsx=workbook({"S": rows}))))
+    raw = wb.to_raw_bids(wb.scan_sheets(spark, land(tmp_path, "a.xlsx", {"S": rows})))
     row = cl.clean_bids(raw).collect()
     assert [(float(r.energy_price_eur_mwh), r.source_file) for r in row] == [(-100.0, "a.xlsx")]
 
 
+def test_conversion_to_csv(spark, tmp_path):
+    land(tmp_path / "in", "a.xlsx", {"S": [HEADER, ROW], "T": [HEADER, ROW, ROW]})
+    wb.convert_workbooks(wb.scan_sheets(spark, str(tmp_path / "in")), str(tmp_path / "out"), HEADER)
+    rows = spark.read.option("header", True).csv(str(tmp_path / "out")).collect()
+    assert sorted((r.source_file, r.sheet, r.PRODUCT) for r in rows) == [("a.xlsx", "S", "NEG_001"), ("a.xlsx", "T", "NEG_001"), ("a.xlsx", "T", "NEG_001")]
+
+
 def test_convert_only_new_files(spark, tmp_path):
-    listing = ln.discover_landing_files(spark, land(tmp_path, a__xlsx=b"1", b__xlsx=b"2"))
+    listing = ln.discover_landing_files(spark, land_bytes(tmp_path, a__xlsx=b"1", b__xlsx=b"2"))
     done = listing.filter("file_name = 'a.xlsx'")
     assert [r.file_name for r in wb.not_yet_converted(listing, done).collect()] == ["b.xlsx"]
     newer = done.withColumn("modificationTime", F.expr("modificationTime - INTERVAL 1 DAY"))
@@ -103,7 +119,7 @@ def test_convert_only_new_files(spark, tmp_path):
 
 
 def test_listing(spark, tmp_path):
-    path = land(tmp_path, b__XLSX=b"12", a__xlsx=b"1", c__csv=b"1")
+    path = land_bytes(tmp_path, b__XLSX=b"12", a__xlsx=b"1", c__csv=b"1")
     assert [(r.file_name, r.length) for r in ln.discover_landing_files(spark, path).collect()] == [("a.xlsx", 1), ("b.XLSX", 2)]
 
 
@@ -122,7 +138,7 @@ CSV = "Datum ;Zeitzone;von;bis;50Hertz (Negativ)\n01.09.2024;CEST;00:00;00:15;4,
 
 
 def test_activation_csv(spark, tmp_path):
-    path = land(tmp_path, a__csv=CSV.encode())
+    path = land_bytes(tmp_path, a__csv=CSV.encode())
     raw = dl.scan_activation_csv(spark, path)
     assert raw.columns == ["Datum", "Zeitzone", "von", "bis", "50Hertz (Negativ)", "source_file"]
     rows = cl.to_activations(raw).orderBy("quarter_no").collect()
@@ -133,7 +149,7 @@ def test_activation_csv(spark, tmp_path):
 
 
 def test_delimited_file_checks(spark, tmp_path):
-    path = land(
+    path = land_bytes(
         tmp_path,
         good__csv=CSV.encode(),
         comma__csv=b"Datum,von,bis\n1,2,3\n",
@@ -155,7 +171,7 @@ def test_delimited_file_checks(spark, tmp_path):
 
 
 def test_bad_bid_lines_are_set_apart(spark, tmp_path):
-    path = land(tmp_path, a__csv=b"DELIVERY_DATE,PRODUCT\n2024-09-01,NEG_001\n2024-09-01,NEG_002,extra,more\n")
+    path = land_bytes(tmp_path, a__csv=b"DELIVERY_DATE,PRODUCT\n2024-09-01,NEG_001\n2024-09-01,NEG_002,extra,more\n")
     rows = dl.scan_bid_csv(spark, path, ["DELIVERY_DATE", "PRODUCT"])
     good = rows.filter(F.col(dl.CORRUPT).isNull()).select("PRODUCT").collect()
     bad = rows.filter(F.col(dl.CORRUPT).isNotNull()).select("PRODUCT", dl.CORRUPT).collect()
@@ -163,48 +179,11 @@ def test_bad_bid_lines_are_set_apart(spark, tmp_path):
     assert [r[dl.CORRUPT] for r in bad] == ["2024-09-01,NEG_002,extra,more"]
 
 
-def container(sheet, strings=None):
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as archive:
-        archive.writestr("sheet.xml", sheet)
-        if strings:
-            archive.writestr("strings.xml", strings)
-    return out.getvalue()
-
-
-NS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-CELLS = "".join(f'<x:row r="{r}"><x:c r="A{r}"><x:v>{r}</x:v></x:c><x:c r="C{r}" t="b"><x:v>1</x:v></x:c></x:row>' for r in range(1, 40))
-ODD = {
-    "prefix": (f'<x:worksheet xmlns:x="{NS}"><x:cols/><x:sheetData>{CELLS}</x:sheetData><x:after/></x:worksheet>', 39),
-    "plain": (f'<worksheet xmlns="{NS}"><sheetData>{CELLS.replace("x:", "")}</sheetData></worksheet>', 39),
-    "comment": (f'<worksheet xmlns="{NS}"><sheetData>{CELLS.replace("x:", "")}<!-- </row> --></sheetData></worksheet>', 39),
-    "cdata": (
-        f'<worksheet xmlns="{NS}"><sheetData>{CELLS.replace("x:", "")}<row r="40"><c r="A40" t="inlineStr"><is>'
-        "<t><![CDATA[</row>]]></t></is></c></row></sheetData></worksheet>",
-        40,
-    ),
-    "no references": (f'<worksheet xmlns="{NS}"><sheetData><row><c><v>1</v></c><c><v>2</v></c></row></sheetData></worksheet>', 1),
-    "empty": (f'<worksheet xmlns="{NS}"><sheetData/></worksheet>', 0),
-    "empty rows": (f'<worksheet xmlns="{NS}"><sheetData><row r="1"/><row r="2"><c r="A2"><v>1</v></c></row><row r="3"/></sheetData></worksheet>', 2),
-}
-
-
-@pytest.mark.parametrize("piece", [7, 64, 1 << 20])
-@pytest.mark.parametrize("name", ODD)
-def test_unusual_sheets(monkeypatch, piece, name):
-    monkeypatch.setattr(wb, "PIECE_BYTES", piece)
-    sheet, count = ODD[name]
-    rows = list(wb._sheet_rows(container(sheet), False))
-    monkeypatch.setattr(wb, "_rows_in_pieces", wb._rows_by_event)
-    by_event = [r for r in wb._sheet_rows(container(sheet), False)]
-    filled = [r for r in rows if r[1]]
-    assert filled == [r for r in by_event if r[1]]
-    assert len(rows) == count
-    if name in ("prefix", "plain"):
-        assert rows[38] == (39, ["39", None, "true"])
-
-
-def test_shared_strings_without_phonetic_hints():
-    strings = f'<sst xmlns="{NS}"><si><t>plain</t></si><si><r><t>ri</t></r><r><t>ch</t></r></si></sst>'
-    sheet = f'<worksheet xmlns="{NS}"><sheetData><row r="1"><c r="B1" t="s"><v>1</v></c><c r="A1" t="s"><v>0</v></c></row></sheetData></worksheet>'
-    assert list(wb._sheet_rows(container(sheet, strings), False)) == [(1, ["plain", "rich"])]
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = land_bytes(tmp_path, a__csv=b"A,B\n1,2\n", b__csv=b"B,A\n20,10\n", c__csv="B\n\u00fc\n".encode("latin1"))
+    rows = dl.scan_bid_csv(spark, path, ["A", "B"], encoding="ISO-8859-1")
+    assert sorted((r.A or "", r.B, r.source_file) for r in rows.filter(F.col(dl.CORRUPT).isNull()).collect()) == [
+        ("", "\u00fc", "c.csv"), ("1", "2", "a.csv"), ("10", "20", "b.csv"),
+    ]
+    raw = dl.scan_activation_csv(spark, land_bytes(tmp_path / "..", x__csv=b"Datum;von\n\xfc;1\n") + "/x.csv", encoding="ISO-8859-1")
+    assert raw.first().Datum == "\u00fc"

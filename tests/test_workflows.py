@@ -1,10 +1,10 @@
 """From files to prices."""
 
 import pytest
+from sheet_files import land
 
 from gridclear.operators import profiling as pf
 from gridclear.plans import workflows as wf
-from gridclear.plans.fixture_workbooks import workbook
 from gridclear.schema import REQUIRED_BID_COLUMNS
 from gridclear.sources import tables as tb
 
@@ -17,12 +17,6 @@ def land_activations(folder, *lines):
     return str(folder)
 
 
-def land_bids(folder, name, sheets):
-    folder.mkdir(exist_ok=True)
-    (folder / name).write_bytes(workbook(sheets))
-    return str(folder)
-
-
 def test_files_to_prices(spark, tmp_path):
     activations = wf.activation_table(spark, str(tmp_path / "activations"))
     bids = wf.bid_table(spark, str(tmp_path / "bids"))
@@ -42,7 +36,7 @@ def test_files_to_prices(spark, tmp_path):
         ["2024-04-17", "POS_065", 1, "GRID_TO_PROVIDER", 999],
     ]
     sheets = {"S1": [REQUIRED_BID_COLUMNS, *rows[:2]], "S2": [REQUIRED_BID_COLUMNS, *rows[2:]], "Bad": [["A"], [1]]}
-    summary, errors = wf.load_bids(spark, land_bids(tmp_path / "xlsx", "b.xlsx", sheets), bids)
+    summary, errors = wf.load_bids(spark, land(tmp_path / "xlsx", "b.xlsx", sheets), bids)
     assert tuple(summary.first())[:4] == (1, 2, 5, 1)
     assert [r.sheet for r in errors.collect()] == ["Bad"]
     for _ in range(2):
@@ -70,12 +64,31 @@ def test_bad_activations_are_refused(spark, tmp_path):
 def test_all_or_nothing(spark, tmp_path):
     bids = wf.bid_table(spark, str(tmp_path / "bids"))
     row = ["2024-04-17", "NEG_065", 1, "GRID_TO_PROVIDER", 1]
-    path = land_bids(tmp_path / "xlsx", "b.xlsx", {"S": [REQUIRED_BID_COLUMNS, row], "Bad": [["A"], [1]]})
+    path = land(tmp_path / "xlsx", "b.xlsx", {"S": [REQUIRED_BID_COLUMNS, row], "Bad": [["A"], [1]]})
     with pytest.raises(ValueError, match="Bad"):
         wf.load_bids(spark, path, bids, all_or_nothing=True)
     assert bids.read().count() == 0
 
 
+def test_a_broken_file_fails_the_import_or_spares_its_days(spark, tmp_path):
+    bids = wf.bid_table(spark, str(tmp_path / "bids"))
+
+    def row(day):
+        return ["2024-04-" + day, "NEG_065", 1, "GRID_TO_PROVIDER", 1]
+
+    for day in ("16", "17", "18"):
+        land(tmp_path / "xlsx", f"{day}.xlsx", {"S": [REQUIRED_BID_COLUMNS, row(day)]})
+    wf.load_bids(spark, str(tmp_path / "xlsx"), bids)
+    assert bids.read().count() == 3
+    path = land(tmp_path / "xlsx", "17.xlsx", {"S": "broken"})
+    with pytest.raises(ValueError, match="17.xlsx"):
+        wf.load_bids(spark, path, bids, all_or_nothing=True)
+    summary, errors = wf.load_bids(spark, path, bids)
+    assert tuple(summary.first())[:4] == (3, 2, 2, 1)
+    assert [r.source_file for r in errors.collect()] == ["17.xlsx"]
+    assert sorted(str(r.delivery_date) for r in bids.read().collect()) == ["2024-04-16", "2024-04-17", "2024-04-18"]
+
+
 def test_tables_by_name(spark, tmp_path):
     df = spark.range(3)
     df.createOrReplaceTempView("three")
