@@ -18,6 +18,13 @@ def decimal_comma(text: Column, kind: T.DataType = POWER) -> Column:
     return F.replace(F.trim(text.cast("string")), F.lit(","), F.lit(".")).try_cast(kind)
 
 
+def unreadable_number(text: Column, kind: T.DataType = POWER) -> Column:
+    """Whether a filled text is no number, or one that the type would round."""
+    wide = decimal_comma(text, T.DecimalType(38, 12))
+    exact = decimal_comma(text, kind).cast(T.DecimalType(38, 12)) == wide
+    return (F.trim(text.cast("string")) != "") & ~F.coalesce(exact, F.lit(False))
+
+
 def parse_date(text: Column, layouts: tuple[str, ...] = DATE_LAYOUTS) -> Column:
     """The first layout that fits, else NULL."""
     trimmed = F.trim(text.cast("string"))

@@ -146,22 +146,42 @@ def standardize_date_column(df: DataFrame, column: str, layout: str | None = Non
 
 
 def drop_positive_products(df: DataFrame, product: str = "PRODUCT") -> DataFrame:
-    """Rows whose product does not begin with ``POS_``; rows without a product are left out (see quarantine)."""
+    """Rows whose product does not begin with ``POS_``; rows without a product are left out (see ``without_product``)."""
     return df.filter(~quoted(product).startswith("POS_"))
 
 
+def bid_problem() -> Column:
+    """Why a raw bid cannot be loaded, NULL if it can: no product, or a date or number that is not to be read as it is."""
+    date = F.col("DELIVERY_DATE")
+    reason = F.when(F.col("PRODUCT").isNull() | (F.trim("PRODUCT") == ""), "no product")
+    reason = reason.when(ps.parse_date(date).isNull(), "unreadable date")
+    reason = reason.when(ps.unreadable_number(quoted("ENERGY_PRICE_[EUR/MWh]"), PRICE), "unreadable price")
+    for name in ("ALLOCATED_CAPACITY_[MW]", "OFFERED_CAPACITY_[MW]"):
+        reason = reason.when(ps.unreadable_number(quoted(name)), "unreadable capacity")
+    return reason
+
+
+def quarantined_bids(raw: DataFrame) -> DataFrame:
+    """Raw bids that ``clean_bids`` leaves out, as they came, with the ``reason``."""
+    named = conform_to_schema(apply_aliases(raw), BIDS_RAW)
+    return named.withColumn("reason", bid_problem()).filter(F.col("reason").isNotNull())
+
+
 def without_product(df: DataFrame, product: str = "PRODUCT") -> DataFrame:
     """Rows to quarantine because they name no product."""
     return df.filter(quoted(product).isNull())
 
 
 def clean_bids(raw: DataFrame) -> DataFrame:
-    """Raw bid text to the canonical table: negative products, signed prices, typed dates and numbers."""
+    """Raw bid text to the canonical table: negative products, signed prices, typed dates and numbers.
+
+    No value is rounded or replaced: bids with one that cannot be read are those of ``quarantined_bids``.  Empty numbers stay NULL.
+    """
     named = conform_to_schema(apply_aliases(raw), BIDS_RAW)
     price = ps.decimal_comma(quoted("ENERGY_PRICE_[EUR/MWh]"), PRICE)
     direction = F.col("ENERGY_PRICE_PAYMENT_DIRECTION")
     quarter = tc.quarter_of_product(F.col("PRODUCT"))
-    typed = drop_positive_products(named).select(
+    typed = drop_positive_products(named.filter(bid_problem().isNull())).select(
         ps.parse_date(F.col("DELIVERY_DATE")).alias("delivery_date"),
         F.col("PRODUCT").alias("product"),
         ps.signed_price(price, direction).cast(PRICE).alias("energy_price_eur_mwh"),

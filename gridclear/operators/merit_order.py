@@ -1,8 +1,8 @@
 """Merit-order clearing: the price of the bid at which accumulated capacity covers the activated volume.
 
 An interval may hold a third of all bids, so no task ever sees all bids of an interval, nor even all of
-its price levels.  Prices are DECIMAL with two digits; a *band* is 10 EUR/MWh wide (the one around zero
-20) and so has at most 2,000 levels.
+its price levels.  Prices are DECIMAL with three digits; a *band* is 10 EUR/MWh wide (the one around zero
+20) and so has at most 20,000 levels.
 
 1. Bids are summed per (date, quarter-hour, tier, band); the sums combine before the shuffle.
 2. Running sums over the bands of an interval, and one equi-join with the activations, tell in which
@@ -11,8 +11,9 @@ its price levels.  Prices are DECIMAL with two digits; a *band* is 10 EUR/MWh wi
    list is as small as the activations).  They are summed per price level, and the running sum within the
    band gives the price.
 
-Raw bids are never shuffled as rows.  A negative capacity is an input error: it counts as 0 MW, and
-``quality_rules`` reports it.
+Raw bids are never shuffled as rows.  Where a capacity is negative, running sums can fall again, and a band's sum does not tell
+whether they reached the volume inside it: such intervals, which an input error makes, are cleared on all
+their price levels instead.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ from gridclear.functions.timecode import (
     quarter_of_product,
     quarter_start,
 )
-from gridclear.operators.sizing import broadcast_if, is_small
 from gridclear.schema import POWER
 
 BAND_WIDTH = 10
@@ -45,7 +45,7 @@ def total_capacity() -> Column:
 def negative_bids(bids: DataFrame, capacity: Column | None = None) -> DataFrame:
     """Bids whose product may mean a quarter-hour, reduced to what clearing needs.
 
-    A missing or negative capacity counts as 0 MW, so running sums never fall.
+    A missing capacity counts as 0 MW; a negative one is summed as it is.
     """
     capacity = total_capacity() if capacity is None else capacity
     product = F.col("product")
@@ -55,7 +55,7 @@ def negative_bids(bids: DataFrame, capacity: Column | None = None) -> DataFrame:
         F.col("delivery_date").alias("date"),
         "product",
         F.col("energy_price_eur_mwh").alias("price"),
-        F.greatest(F.coalesce(capacity, F.lit(0)), F.lit(0)).cast(POWER).alias("capacity_mw"),
+        F.coalesce(capacity, F.lit(0)).cast(POWER).alias("capacity_mw"),
     )
 
 
@@ -75,22 +75,32 @@ def _usable() -> Column:
 def band_sums(stack: DataFrame) -> DataFrame:
     """Best-tier bands of every interval with the capacity before, up to and beyond them.
 
-    Bids without a price form a last band (``band`` NULL): they count as available but set no price.
+    Bids without a price never clear: they count in ``available_mw``, not in ``priced_mw``.  An interval with no other bids
+    keeps one row, with band NULL and 0 MW.
     """
     per_band = (
         with_match(with_band(stack))
         .groupBy(*INTERVAL, "tier", "band")
-        .agg(F.sum("capacity_mw").alias("band_mw"), F.max("price").alias("band_top"), _usable())
+        .agg(
+            F.sum("capacity_mw").alias("band_mw"),
+            F.max("price").alias("band_top"),
+            F.bool_or((F.col("capacity_mw") < 0) & F.col("price").isNotNull()).alias("falls"),
+            _usable(),
+        )
     )
     interval = Window.partitionBy(*INTERVAL)
     ordered = interval.orderBy(F.col("band").asc_nulls_last())
     return (
         per_band.withColumn("best_tier", F.min("tier").over(interval))
         .filter((F.col("tier") == F.col("best_tier")) & F.col("usable"))
-        .withColumn("mw_through", F.sum("band_mw").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("mw_before", F.col("mw_through") - F.col("band_mw"))
         .withColumn("available_mw", F.sum("band_mw").over(interval))
         .withColumn("top_price", F.max("band_top").over(interval))
+        .withColumn("band_mw", F.when(F.col("band").isNull(), F.lit(0)).otherwise(F.col("band_mw")))
+        .withColumn("priced_mw", F.sum("band_mw").over(interval))
+        .withColumn("falls", F.max("falls").over(interval))
+        .filter(F.col("band").isNotNull() | F.col("top_price").isNull())
+        .withColumn("mw_through", F.sum("band_mw").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("mw_before", F.col("mw_through") - F.col("band_mw"))
         .withColumn("is_first", F.row_number().over(ordered) == 1)
         .withColumn("is_last", F.lead("tier").over(ordered).isNull())
         .select(
@@ -100,7 +110,9 @@ def band_sums(stack: DataFrame) -> DataFrame:
             "mw_before",
             "mw_through",
             "available_mw",
+            "priced_mw",
             "top_price",
+            "falls",
             "is_first",
             "is_last",
         )
@@ -117,13 +129,12 @@ def clear(
 
     ``demand`` has ``date``, ``quarter_no``, ``activated_volume_mw`` and any further columns, which are
     kept.  Added: ``available_mw``, ``cleared_mw``, ``price``, ``match_tier``, ``is_short``.  A volume
-    below 0.001 MW, or an interval without bids, has no price and 0 MW.  If all bids together do not
-    cover the volume, ``on_short`` chooses between no price (``"null"``) and the highest bid (``"last"``).
+    below 0.001 MW, or an interval without bids, has no price and 0 MW.  If all bids with a price together do
+    not cover the volume, ``on_short`` chooses between no price (``"null"``) and the highest bid (``"last"``).
     """
     if on_short not in ("null", "last"):
         raise ValueError(f"on_short must be 'null' or 'last', not {on_short!r}")
     stack = negative_bids(bids, capacity)
-    small = is_small(demand.select(*INTERVAL))
 
     volume = F.col("activated_volume_mw")
     active = F.coalesce(F.abs(volume) >= ZERO_VOLUME, F.lit(True))
@@ -133,13 +144,16 @@ def clear(
     same_interval = (F.col("d.date") == F.col("b.date")) & (F.col("d.quarter_no") == F.col("b.quarter_no"))
     located = (
         demand.alias("d")
-        .join(bands, same_interval & active & (in_band | beyond), "left")
+        .join(bands, same_interval & active & F.when(F.col("b.falls"), F.col("b.is_last")).otherwise(in_band | beyond), "left")
         .select(
             "d.*",
-            *[F.col(f"b.{name}") for name in ("match_tier", "band", "mw_before", "available_mw", "top_price")],
-            F.coalesce(volume > F.col("b.available_mw"), F.lit(False)).alias("is_short"),
+            *[F.col(f"b.{name}") for name in ("match_tier", "band", "mw_before", "available_mw", "priced_mw", "top_price")],
+            F.coalesce(volume > F.col("b.priced_mw"), F.lit(False)).alias("is_short"),
+            F.coalesce(F.col("b.falls"), F.lit(False)).alias("falls"),
         )
     )
+    falling = _cleared_on_levels(located.filter("falls"), stack, demand.columns, on_short)
+    located = located.filter("NOT falls")
 
     needed = (
         located.filter(~F.col("is_short") & F.col("band").isNotNull())
@@ -149,7 +163,7 @@ def clear(
     in_band_order = Window.partitionBy(*INTERVAL, "band").orderBy("price")
     levels = (
         with_match(with_band(stack))
-        .join(broadcast_if(needed, small), [*INTERVAL, "tier", "band"])
+        .join(needed, [*INTERVAL, "tier", "band"])
         .groupBy(*INTERVAL, "band", "price")
         .agg(F.sum("capacity_mw").alias("level_mw"))
         .withColumn("mw_in_band", F.sum("level_mw").over(in_band_order.rowsBetween(Window.unboundedPreceding, 0)))
@@ -160,13 +174,13 @@ def clear(
     at_level = (rest <= F.col("l.mw_in_band")) & ((rest > F.col("l.mw_in_band") - F.col("l.level_mw")) | F.col("lowest"))
     same_band = [F.col(f"c.{name}") == F.col(f"l.{name}") for name in (*INTERVAL, "band")]
     short_price = F.col("top_price") if on_short == "last" else F.lit(None)
-    return (
+    in_bands = (
         located.alias("c")
         .join(levels, same_band[0] & same_band[1] & same_band[2] & ~F.col("is_short") & at_level, "left")
         .select(
             *[F.col(f"c.`{name}`") for name in demand.columns],
             F.coalesce(F.col("available_mw"), F.lit(0)).cast(POWER).alias("available_mw"),
-            F.when(F.col("is_short"), F.col("available_mw"))
+            F.when(F.col("is_short"), F.col("priced_mw"))
             .when(F.col("available_mw").isNull(), F.lit(0))
             .otherwise(F.col("mw_before") + F.col("mw_in_band"))
             .cast(POWER)
@@ -176,6 +190,39 @@ def clear(
             "is_short",
         )
     )
+    return in_bands.unionByName(falling)
+
+
+def _cleared_on_levels(located: DataFrame, stack: DataFrame, kept: list[str], on_short: str) -> DataFrame:
+    """Rows of ``located`` cleared at the first price level whose running sum reaches the volume, whatever it does afterwards."""
+    wanted = located.select(*INTERVAL, F.col("match_tier").alias("tier")).distinct()
+    order = Window.partitionBy(*INTERVAL).orderBy("price")
+    levels = (
+        with_match(stack.filter("price IS NOT NULL"))
+        .join(wanted, [*INTERVAL, "tier"])
+        .groupBy(*INTERVAL, "price")
+        .agg(F.sum("capacity_mw").alias("level_mw"))
+        .withColumn("mw_through", F.sum("level_mw").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("reached", F.max("mw_through").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+        .alias("l")
+    )
+    volume = F.col("c.activated_volume_mw")
+    first = (volume <= F.col("l.mw_through")) & (F.col("l.reached").isNull() | (F.col("l.reached") < volume))
+    same = [F.col(f"c.{name}") == F.col(f"l.{name}") for name in INTERVAL]
+    short_price = F.col("top_price") if on_short == "last" else F.lit(None)
+    short = F.col("l.price").isNull() & volume.isNotNull()
+    return (
+        located.alias("c")
+        .join(levels, same[0] & same[1] & first, "left")
+        .select(
+            *[F.col(f"c.`{name}`") for name in kept],
+            F.col("available_mw").cast(POWER).alias("available_mw"),
+            F.when(short, F.col("priced_mw")).otherwise(F.col("l.mw_through")).cast(POWER).alias("cleared_mw"),
+            F.when(short, short_price).otherwise(F.col("l.price")).alias("price"),
+            "match_tier",
+            short.alias("is_short"),
+        )
+    )
 
 
 def marginal_prices(
@@ -233,7 +280,7 @@ def match_bids_exact(activations: DataFrame, bids: DataFrame) -> DataFrame:
     demand = activations.select(
         *INTERVAL, "activated_volume_mw", product_code(F.col("quarter_no")).alias("product")
     )
-    return negative_bids(bids).join(broadcast_if(demand, is_small(demand)), ["date", "product"])
+    return negative_bids(bids).join(demand, ["date", "product"])
 
 
 def product_matches(bids: DataFrame) -> DataFrame:
@@ -253,7 +300,7 @@ def match_bids_tiered(activations: DataFrame, bids: DataFrame) -> DataFrame:
     # At most one row per activation, so as small as the activations.
     wanted = demand.join(best_match_tier(bids), INTERVAL).withColumn("tier", F.col("match_tier"))
     matched = with_match(negative_bids(bids))
-    return matched.join(broadcast_if(wanted, is_small(demand)), [*INTERVAL, "tier"]).drop("tier")
+    return matched.join(wanted, [*INTERVAL, "tier"]).drop("tier")
 
 
 def available_capacity(bids: DataFrame, capacity: Column | None = None) -> DataFrame:
@@ -358,6 +405,23 @@ def what_if_price(
     return clear(scenarios(activations, factors, absolute_mw), bids, **options)
 
 
+def active_bids(activations: DataFrame, bids: DataFrame) -> DataFrame:
+    """Every bid whose four-hour block covers the end of an activated quarter-hour, a row per interval and bid.
+
+    An interval that ends with its block is covered by that block.  A day's block of bids meets its sixteen quarter-hours at most, so
+    rows grow with the bids.  Store the result where it is asked for often.
+    """
+    offered = bids.select(
+        F.col("delivery_date").alias("date"),
+        block_index(quarter_of_product(F.col("product"))).alias("block_index"),
+        "product",
+        F.col("energy_price_eur_mwh").alias("price"),
+        total_capacity().alias("capacity_mw"),
+    )
+    wanted = activations.select(*INTERVAL, "activated_volume_mw").withColumn("block_index", block_index(F.col("quarter_no")))
+    return wanted.join(offered, ["date", "block_index"])
+
+
 def bids_overlapping_interval(activations: DataFrame, bids: DataFrame) -> DataFrame:
     """Quarter-hours with the number and capacity of all bids whose four-hour block covers them.
 
@@ -383,6 +447,7 @@ def bids_overlapping_interval(activations: DataFrame, bids: DataFrame) -> DataFr
         activations.select(*INTERVAL, "activated_volume_mw")
         .withColumn("block_index", block_index(F.col("quarter_no")))
         .join(blocks, ["date", "block_index"], "left")
+        .withColumn("active_bids", F.coalesce("active_bids", F.lit(0)))
     )
 
 

@@ -16,13 +16,19 @@ ERROR_WORDS = ["error", "fail", "invalid", "missing", "cannot", "wrong"]
 NOTE_KEYWORDS = ["error", "warning", "invalid", "missing", "correction"]
 
 
+def row_key(names: list[str]) -> Column:
+    """256 bits that stand for the values of some columns, NULL like any other value: no text goes through a shuffle."""
+    values = F.to_json(F.struct(*[quoted(c).alias(f"c{i}") for i, c in enumerate(names)]), {"ignoreNullFields": "false"})
+    return F.unhex(F.sha2(values, 256))
+
+
 def table_profile(df: DataFrame) -> DataFrame:
     """Rows, distinct rows, duplicates, and the columns.
 
-    One aggregation over all columns; copies of a row combine before the shuffle.
+    One aggregation by a hash of the whole row; copies of a row combine before the shuffle.
     """
     names = df.columns
-    per_row = df.groupBy(*[quoted(c) for c in names]).agg(F.count("*").alias("_copies"))
+    per_row = df.groupBy(row_key(names).alias("_key")).agg(F.count("*").alias("_copies"))
     return per_row.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("row_count"), F.count("*").alias("distinct_rows")
     ).select(
@@ -49,74 +55,55 @@ def table_schema(df: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``(column_name, value, n)`` for every distinct value of every column, from one scan.
+    """``(column_name, value, n)`` for every distinct value of every column, values as text.
 
-    Values are compared as text, so each (column, value) pair is one small key, and equal values combine
-    before the shuffle.
+    Each column is counted by itself, in its own type, from a scan of that column alone; equal values combine before the shuffle.
     """
-    names = columns or df.columns
-    as_text = df.select(*[quoted(c).cast("string").alias(f"c{i}") for i, c in enumerate(names)])
-    position = F.create_map(*[x for i, c in enumerate(names) for x in (F.lit(f"c{i}"), F.lit(c))])
-    return (
-        as_text.unpivot([], [f"c{i}" for i in range(len(names))], "k", "value")
-        .groupBy("k", "value")
+    counted = [
+        df.groupBy(quoted(c).alias("value"))
         .agg(F.count("*").alias("n"))
-        .select(position[F.col("k")].alias("column_name"), "value", "n")
-    )
+        .select(F.lit(c).alias("column_name"), F.col("value").cast("string").alias("value"), "n")
+        for c in columns or df.columns
+    ]
+    return reduce(DataFrame.unionByName, counted)
 
 
-def _extremes(df: DataFrame, names: list[str]) -> DataFrame:
-    """Lowest and highest value of each column, compared in the column's own type and shown as text."""
-    typed = df.agg(
-        *[F.min(quoted(c)).alias(f"lo{i}") for i, c in enumerate(names)],
-        *[F.max(quoted(c)).alias(f"hi{i}") for i, c in enumerate(names)],
-    )
-    rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"lo{i}").cast("string").alias("min_value"),
-            F.col(f"hi{i}").cast("string").alias("max_value"),
-        )
-        for i, c in enumerate(names)
-    ]
-    return typed.select(F.inline(F.array(*rows)))
+def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column_name, unique_values)``, each from a scan of one column; texts are told apart by a hash of 256 bits."""
+    kinds = dict(df.dtypes)
+    counted = []
+    for c in columns:
+        value = F.unhex(F.sha2(quoted(c), 256)) if kinds[c] == "string" else quoted(c)
+        distinct = df.filter(quoted(c).isNotNull()).select(value.alias("value")).distinct()
+        counted.append(distinct.agg(F.count("*").alias("unique_values")).select(F.lit(c).alias("column_name"), "unique_values"))
+    return reduce(DataFrame.unionByName, counted)
 
 
 def column_profile(df: DataFrame, columns: list[str] | None = None, approximate: bool = False) -> DataFrame:
     """Per column: rows, distinct values, NULLs, extremes, uniqueness and completeness.
 
-    ``approximate`` estimates distinct values instead of shuffling them.
+    All but the distinct values come from one aggregation; ``approximate`` estimates these there too.
     """
     names = columns or df.columns
-    if approximate:
-        aggs = []
-        for i, c in enumerate(names):
-            aggs += [F.count(quoted(c)).alias(f"f{i}"), F.approx_count_distinct(quoted(c), 0.01).alias(f"d{i}")]
-        wide = df.agg(F.count("*").alias("total"), *aggs)
-        rows = [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col("total").alias("total_count"),
-                F.col(f"d{i}").alias("unique_values"),
-                F.col(f"f{i}").alias("filled_count"),
-            )
-            for i, c in enumerate(names)
-        ]
-        counts = wide.select(F.inline(F.array(*rows)))
-    else:
-        counts = (
-            value_counts(df, names)
-            .groupBy("column_name")
-            .agg(
-                F.sum("n").alias("total_count"),
-                F.count("value").alias("unique_values"),
-                F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("filled_count"),
-            )
-        )
+    aggs = []
+    for i, c in enumerate(names):
+        value = quoted(c)
+        aggs += [F.count(value).alias(f"f{i}"), F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}")]
+        if approximate:
+            aggs.append(F.approx_count_distinct(value, 0.01).alias(f"d{i}"))
+    rows = []
+    for i, c in enumerate(names):
+        fields = [
+            F.lit(c).alias("column_name"), F.col("total").alias("total_count"), F.col(f"f{i}").alias("filled_count"),
+            F.col(f"lo{i}").cast("string").alias("min_value"), F.col(f"hi{i}").cast("string").alias("max_value"),
+        ]
+        rows.append(F.struct(*fields, *([F.col(f"d{i}").alias("unique_values")] if approximate else [])))
+    counts = df.agg(F.count("*").alias("total"), *aggs).select(F.inline(F.array(*rows)))
+    if not approximate:
+        counts = counts.join(distinct_counts(df, names), "column_name")
     ratio = F.coalesce(F.try_divide(F.col("unique_values").cast("double"), F.col("filled_count")), F.lit(0.0))
     full = F.coalesce(F.try_divide(F.col("filled_count").cast("double"), F.col("total_count")), F.lit(0.0))
-    # One row per column of the table on both sides.
-    return counts.join(F.broadcast(_extremes(df, names)), "column_name").select(
+    return counts.select(
         "column_name",
         "total_count",
         "unique_values",
@@ -179,8 +166,7 @@ def describe_columns(df: DataFrame, columns: list[str] | None = None) -> DataFra
         )
     )
     return (
-        F.broadcast(means)
-        .join(counts, "column_name", "left")
+        means.join(counts, "column_name", "left")
         .select(
             "column_name",
             F.coalesce("count", F.lit(0)).alias("count"),
@@ -208,7 +194,8 @@ def column_distribution(df: DataFrame, column: str, n: int = 100) -> DataFrame:
 def outliers(df: DataFrame, column: str, method: str = "iqr", multiplier: float | None = None) -> DataFrame:
     """Rows outside ``q1 - k*iqr .. q3 + k*iqr``, or outside ``mean -/+ k*std``.
 
-    The fences become literals, so the scan filters on them.
+    The fences become literals, so the scan filters on them.  Mean and deviation are those of the finite values; infinite values lie
+    outside, NaN and NULL are no outliers.
     """
     number = quoted(column).cast("double")
     if method == "iqr":
@@ -217,13 +204,14 @@ def outliers(df: DataFrame, column: str, method: str = "iqr", multiplier: float
         fences = None if q1 is None else (q1 - k * (q3 - q1), q3 + k * (q3 - q1))
     elif method == "stddev":
         k = 3.0 if multiplier is None else multiplier
-        mean, std = df.agg(F.avg(number), F.stddev_samp(number)).first()
+        finite = F.when(F.abs(number) < F.lit(float("inf")), number)
+        mean, std = df.agg(F.avg(finite), F.stddev_samp(finite)).first()
         fences = None if std is None else (mean - k * std, mean + k * std)
     else:
         raise ValueError("method must be 'iqr' or 'stddev'")
     if fences is None:
         return df.limit(0)
-    return df.filter((number < fences[0]) | (number > fences[1]))
+    return df.filter(~F.isnan(number) & ((number < fences[0]) | (number > fences[1])))
 
 
 def note_analysis(df: DataFrame, note: str = "note", n: int | None = 10) -> DataFrame:
@@ -297,16 +285,12 @@ def note_statistics(df: DataFrame, note: str = "note") -> DataFrame:
 def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key occurs more than once, with the count; NULL keys count as equal.
 
-    Keys are counted with partial sums, then joined back.  A key that holds much of the table makes one
+    Keys are counted by a hash, with partial sums, then joined back.  A key that holds much of the table makes one
     large join partition on the row side only, which adaptive execution splits.
     """
-    counts = (
-        df.groupBy(*[quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        .agg(F.count("*").alias("duplicate_count"))
-        .filter("duplicate_count > 1")
-    )
-    same = reduce(Column.__and__, [quoted(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-    return df.join(counts, same).drop(*[f"_k{i}" for i in range(len(keys))])
+    keyed = df.withColumn("_key", row_key(keys))
+    counts = keyed.groupBy("_key").agg(F.count("*").alias("duplicate_count")).filter("duplicate_count > 1")
+    return keyed.join(counts, "_key").drop("_key")
 
 
 def missing_dates(df: DataFrame, column: str) -> DataFrame:

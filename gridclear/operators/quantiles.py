@@ -51,7 +51,7 @@ def _values_at(values: DataFrame, ranks: set[int], whole: Range) -> dict[int, fl
             return found
         slots = []
         for i, (lo, hi, _) in enumerate(ranges):
-            width = (hi - lo) / BUCKETS or hi - lo
+            width = hi / BUCKETS - lo / BUCKETS or hi - lo  # the difference itself may exceed all numbers
             slots.append(F.when(F.col("part") == i, F.least(F.floor((v - lo) / width), F.lit(BUCKETS - 1))))
         split = (
             inside.groupBy("part", F.coalesce(*slots).alias("slot"))
@@ -66,14 +66,27 @@ def _values_at(values: DataFrame, ranks: set[int], whole: Range) -> dict[int, fl
 
 
 def exact_quantiles(df: DataFrame, column: Column, probabilities: list[float]) -> list[float | None]:
-    """Interpolated quantiles of the non-NULL values, as SQL's ``percentile_cont`` defines them."""
-    values = df.select(column.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    count, lo, hi = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    """Interpolated quantiles of the values that are neither NULL nor NaN, as SQL's ``percentile_cont`` defines them.
+
+    Infinite values are only counted: they are the first and the last in order.  Every pass narrows the finite ranges to a slot of
+    1,024, so their number is bounded by the digits of a double.
+    """
+    numbers = df.select(column.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    least, most = F.lit(-math.inf), F.lit(math.inf)
+    finite = (F.col("v") > least) & (F.col("v") < most)
+    count, below, inside, lo, hi = numbers.agg(
+        F.count("*"), F.count_if(F.col("v") == least), F.count_if(finite), F.min(F.when(finite, F.col("v"))), F.max(F.when(finite, F.col("v")))
+    ).first()
     if count == 0:
         return [None for _ in probabilities]
     positions = [p * (count - 1) for p in probabilities]
     ranks = {f(x) for x in positions for f in (math.floor, math.ceil)}
-    at = _values_at(values, ranks, (lo, hi, count))
-    return [
-        at[math.floor(x)] + (x - math.floor(x)) * (at[math.ceil(x)] - at[math.floor(x)]) for x in positions
-    ]
+    middle = {r - below for r in ranks if below <= r < below + inside}
+    found = _values_at(numbers.filter(finite), middle, (lo, hi, inside)) if middle else {}
+    at = {r: -math.inf if r < below else math.inf if r >= below + inside else found[r - below] for r in ranks}
+
+    def between(x: float) -> float:
+        a, b = at[math.floor(x)], at[math.ceil(x)]
+        return a if a == b or x == math.floor(x) else a + (x - math.floor(x)) * (b - a)
+
+    return [between(x) for x in positions]

@@ -15,7 +15,7 @@ from gridclear.plans import market_queries as mq
 from gridclear.plans.fixture_workbooks import land_broken_file, land_sheets
 from gridclear.plans.oracle_views import END, START, with_act, with_bids, with_prices
 from gridclear.plans.registry import query
-from gridclear.plans.table_queries import SUMMARY_SQL, _summarized
+from gridclear.plans.table_queries import EXPORT_SQL, _all_tables
 from gridclear.schema import ACTIVATION_COLUMNS, BIDS, MARGINAL_PRICES, POWER, REQUIRED_BID_COLUMNS, conform_to_schema
 from gridclear.session import scratch_dir
 from gridclear.sources import delimited as dl
@@ -354,7 +354,7 @@ def create_or_replace_table(spark, sf):
 
 @query(
     with_prices(
-        """SELECT CAST(date AS VARCHAR) AS date, quarter_hour_start, product_code, CAST(CAST(marginal_price AS DECIMAL(18,2)) AS VARCHAR)
+        """SELECT CAST(date AS VARCHAR) AS date, quarter_hour_start, product_code, CAST(CAST(marginal_price AS DECIMAL(18,3)) AS VARCHAR)
        AS marginal_price FROM prices WHERE date = DATE '2024-01-15'"""
     )
 )
@@ -365,12 +365,14 @@ def export_csv(spark, sf):
     return rows.select("date", "quarter_hour_start", "product_code", "marginal_price")
 
 
-@query(SUMMARY_SQL)
+@query(EXPORT_SQL)
 def database_summary_export(spark, sf):
     path = scratch_dir(spark, "summary")
-    tables = _summarized(spark, sf)
+    tables = _all_tables(spark, sf)
     pf.export_database_summary(tables, path)
-    return spark.read.schema(pf.table_summaries(tables).schema).json(f"{path}/tables")
+    summaries = spark.read.schema(pf.table_summaries(tables).schema).json(f"{path}/tables")
+    samples = spark.read.schema("table_name string, row string").json(f"{path}/samples")
+    return summaries.join(samples.groupBy("table_name").agg(F.count("row").alias("sample_rows")), "table_name", "left")
 
 
 @query(

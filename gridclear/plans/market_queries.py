@@ -25,6 +25,7 @@ from gridclear.plans.oracle_views import (
 )
 from gridclear.plans.registry import query
 from gridclear.schema import PRICE
+from gridclear.session import scratch_dir
 
 DAY = "2024-01-15"
 
@@ -172,14 +173,28 @@ def capacity_shortfall(spark, sf):
        CAST((a.quarter_no - 1) // 16 AS INTEGER) AS block_index, COUNT(b.mw) AS active_bids,
        CAST(SUM(b.mw) AS DOUBLE) AS active_capacity_mw, CAST(MIN(b.price) AS DOUBLE) AS lowest_price,
        CAST(MAX(b.price) AS DOUBLE) AS highest_price
-FROM act a JOIN bids b ON b.delivery_date = a.date AND (b.slot - 1) // 16 = (a.quarter_no - 1) // 16
+FROM act a LEFT JOIN bids b ON b.delivery_date = a.date AND (b.slot - 1) // 16 = (a.quarter_no - 1) // 16
 GROUP BY ALL""",
         ACT,
     )
 )
 def bids_overlapping_interval(spark, sf):
-    found = mo.bids_overlapping_interval(mv.activations(spark, sf), mv.bids(spark, sf))
-    return found.filter("active_bids IS NOT NULL")
+    return mo.bids_overlapping_interval(mv.activations(spark, sf), mv.bids(spark, sf))
+
+
+@query(
+    with_bids(
+        """SELECT CAST(a.date AS VARCHAR) AS date, a.quarter_no, CAST(a.v AS DOUBLE) AS activated_volume_mw,
+       CAST((a.quarter_no - 1) // 16 AS INTEGER) AS block_index, b.product, CAST(b.price AS DOUBLE) AS price, CAST(b.mw AS DOUBLE) AS capacity_mw
+FROM act a JOIN bids b ON b.delivery_date = a.date AND (b.slot - 1) // 16 = (a.quarter_no - 1) // 16""",
+        ACT,
+    )
+)
+def active_bids(spark, sf):
+    """The view is stored and read again, as reports that ask for it often do."""
+    path = scratch_dir(spark, "active-bids")
+    mo.active_bids(mv.activations(spark, sf), mv.bids(spark, sf)).write.partitionBy("date").parquet(path)
+    return spark.read.parquet(path)
 
 
 @query(
@@ -369,6 +384,27 @@ def clean_bids(spark, sf):
     return cl.clean_bids(mv.bid_text(spark, sf)).select(*CLEAN_COLUMNS)
 
 
+@query(
+    with_bids(
+        """SELECT CASE WHEN order_no % 11 = 0 THEN 'no product' WHEN order_no % 7 = 0 THEN 'unreadable date'
+         WHEN order_no % 5 = 0 THEN 'unreadable price' WHEN order_no % 3 = 0 THEN 'unreadable capacity' ELSE 'loaded' END AS reason,
+       COUNT(*) FILTER (order_no % 11 = 0 OR order_no % 7 = 0 OR order_no % 5 = 0 OR order_no % 3 = 0 OR NOT starts_with(product, 'POS_')) AS n
+FROM all_bids GROUP BY 1"""
+    )
+)
+def quarantined_bids(spark, sf):
+    """Bids with a missing product, an impossible date, a price that is no number, or too many decimals, by reason; and those loaded."""
+    text = mv.bid_text(spark, sf, ["order_no"])
+
+    def spoilt(name, divisor, value):
+        return F.when(F.col("order_no") % divisor == 0, F.lit(value)).otherwise(F.col(f"`{name}`"))
+
+    changes = {"PRODUCT": (11, None), "DELIVERY_DATE": (7, "31.31.2024"), "ENERGY_PRICE_[EUR/MWh]": (5, "1.234,56"), "ALLOCATED_CAPACITY_[MW]": (3, "1,2345")}
+    raw = text.withColumns({name: spoilt(name, *change) for name, change in changes.items()})
+    loaded = cl.clean_bids(raw).agg(F.lit("loaded").alias("reason"), F.count("*").alias("n"))
+    return cl.quarantined_bids(raw).groupBy("reason").agg(F.count("*").alias("n")).unionByName(loaded)
+
+
 @query(
     with_bids(
         """SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, CAST(price AS DOUBLE) AS energy_price_eur_mwh, product,

@@ -12,7 +12,7 @@ RAW = """raw AS (
   SELECT DATE '2024-01-01' + CAST(l_orderkey % 30 AS INTEGER) AS delivery_date,
          CASE WHEN l_linestatus = 'F' THEN 'NEG_' ELSE 'POS_' END
            || lpad(CAST(l_partkey % 96 + 1 AS VARCHAR), 3, '0') AS product,
-         CAST(floor(l_extendedprice / 10 + 0.5) / 100 AS DECIMAL(18,2)) AS energy_price,
+         CAST(floor(l_extendedprice / 10 + 0.5) / 100 AS DECIMAL(18,3)) AS energy_price,
          CASE WHEN l_returnflag = 'A' THEN 'PROVIDER_TO_GRID' ELSE 'GRID_TO_PROVIDER' END AS payment_direction,
          CAST(l_quantity AS DECIMAL(18,3)) AS mw,
          CASE WHEN l_linenumber <= 4 THEN 'aFRR' ELSE 'mFRR' END AS type_of_reserves,

@@ -31,7 +31,7 @@ NAMES = [
 ]
 # Column types of the given tables as SQL of the other engine names them, and as Spark does.
 TYPE_NAMES = """CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
-  WHEN 'INTEGER' THEN 'int' ELSE lower(data_type) END"""
+  WHEN 'INTEGER' THEN 'int' WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(data_type) END"""
 
 
 def _all_tables(spark, sf):
@@ -62,22 +62,27 @@ def table_schema(spark, sf):
     return pf.table_schema(mv.table(spark, sf, "lineitem"))
 
 
-SUMMARY_SQL = """SELECT 'orders' AS table_name, 'o_orderkey bigint, o_custkey bigint, o_orderstatus string, '
-         || 'o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string' AS columns,
-       COUNT(*) AS row_count, 'o_orderdate' AS range_column, CAST(MIN(o_orderdate) AS VARCHAR) AS range_min,
-       CAST(MAX(o_orderdate) AS VARCHAR) AS range_max FROM orders
-UNION ALL SELECT 'events', 'event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string',
-       COUNT(*), 'ts', CAST(MIN(ts) AS VARCHAR), CAST(MAX(ts) AS VARCHAR) FROM events
-UNION ALL SELECT 'labels', 'doc_id bigint, quality int, toxic int', COUNT(*), NULL, NULL, NULL FROM labels"""
+RANGES = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 
 
-def _summarized(spark, sf):
-    return {name: mv.table(spark, sf, name) for name in ("orders", "events", "labels")}
+def _summary_sql(name: str, more: str = "") -> str:
+    column = RANGES.get(name)
+    lo, hi = (f"CAST({f}({column}) AS VARCHAR)" if column else "CAST(NULL AS VARCHAR)" for f in ("MIN", "MAX"))
+    columns = f"(SELECT string_agg(column_name || ' ' || {TYPE_NAMES.replace('data_type', 'column_type')}, ', ') FROM (DESCRIBE {name}))"
+    shown = f"'{column}'" if column else "CAST(NULL AS VARCHAR)"
+    return (
+        f"SELECT '{name}' AS table_name, {columns} AS columns, COUNT(*) AS row_count, {shown} AS range_column, "
+        f"{lo} AS range_min, {hi} AS range_max{more} FROM {name}"
+    )
+
+
+SUMMARY_SQL = "\nUNION ALL ".join(map(_summary_sql, NAMES))
+EXPORT_SQL = "\nUNION ALL ".join(_summary_sql(n, ", least(5, COUNT(*)) AS sample_rows") for n in NAMES)
 
 
 @query(SUMMARY_SQL)
 def table_summary(spark, sf):
-    return pf.table_summaries(_summarized(spark, sf))
+    return pf.table_summaries(_all_tables(spark, sf))
 
 
 @query(
@@ -240,10 +245,10 @@ def missing_dates(spark, sf):
 
 
 @query(
-    """SELECT doc_id, lang, source, n_chars FROM documents WHERE text LIKE '%error%' ORDER BY doc_id LIMIT 100"""
+    """SELECT doc_id, lang, source, n_chars FROM documents WHERE text LIKE '%MIT License%' ORDER BY doc_id LIMIT 100"""
 )
 def search_rows(spark, sf):
-    found = pf.search_rows(mv.table(spark, sf, "documents"), "text", "%error%", 100, ["doc_id"])
+    found = pf.search_rows(mv.table(spark, sf, "documents"), "text", "%MIT License%", 100, ["doc_id"])
     return found.select("doc_id", "lang", "source", "n_chars")
 
 

@@ -49,7 +49,8 @@ def load_bids(spark: SparkSession, path: str, table: PeriodTable, all_or_nothing
     """Replaces the days from the first to the last of the valid sheets; returns the summary and the errors.
 
     Sheets are parsed once, into a staging folder; checks and load read that.  Unreadable sheets are errors: they fail an
-    ``all_or_nothing`` import, and otherwise only days with rows are replaced, as the days of such sheets are not known.
+    ``all_or_nothing`` import, and otherwise only days with rows are replaced, as the days of such sheets are not known.  Bids that
+    cannot be read go to ``quarantine`` next to the table, and are counted in the errors.
     """
     staging = scratch_dir(spark, "staging")
     scan_sheets(spark, path).write.parquet(staging)
@@ -60,8 +61,13 @@ def load_bids(spark: SparkSession, path: str, table: PeriodTable, all_or_nothing
     if first and all_or_nothing:
         raise cl.InvalidSheets(f"{first['source_file']} [{first['sheet']}]: {first['error']}")
     valid, _ = cl.route_invalid_sheets(rows, all_or_nothing=all_or_nothing)
-    (table.replace_partitions if first else table.replace_range)(cl.clean_bids(to_raw_bids(valid)), "bid_load", [path])
-    return rc.load_summary(manifest, unreadable), errors
+    raw = to_raw_bids(valid)
+    refused = cl.quarantined_bids(raw)
+    refused.write.mode("append").parquet(f"{table.root}/quarantine")
+    (table.replace_partitions if first else table.replace_range)(cl.clean_bids(raw), "bid_load", [path])
+    counted = refused.groupBy("source_file", "sheet", "reason").agg(F.count("*").alias("n"))
+    rows = counted.select("source_file", "sheet", F.concat_ws(" ", F.col("n").cast("string"), F.lit("rows in quarantine:"), "reason").alias("error"))
+    return rc.load_summary(manifest, unreadable), errors.unionByName(rows)
 
 
 def update_marginal_prices(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PRICE = T.DecimalType(18, 2)
+PRICE = T.DecimalType(18, 3)
 POWER = T.DecimalType(18, 3)
 
 

@@ -118,12 +118,22 @@ def test_missing_numbers(spark):
     bids = [("NEG_001", 1, None), ("NEG_001", 2, 3), ("NEG_001", None, 10)]
     assert cleared(spark, [(1, 3)], bids)[0].price == 2
     row = cleared(spark, [(1, 5)], bids)[0]
-    assert (row.price, row.available_mw, row.is_short) == (None, 13, False)
+    assert (row.price, row.available_mw, row.cleared_mw, row.is_short) == (None, 13, 3, True)
+    assert cleared(spark, [(1, 5)], bids, on_short="last")[0].price == 2
+    row = cleared(spark, [(1, 5)], [("NEG_001", None, 10)], on_short="last")[0]
+    assert (row.price, row.available_mw, row.cleared_mw, row.is_short) == (None, 10, 0, True)
 
 
-def test_negative_capacity_counts_as_none(spark):
-    rows = cleared(spark, [(1, 6)], [("NEG_001", -50, 5), ("NEG_001", 1, -4), ("NEG_001", 60, 5), ("NEG_001", 90, 1)])
-    assert [(r.price, r.available_mw, r.cleared_mw) for r in rows] == [(60, 11, 10)]
+def test_negative_capacity_is_summed_as_it_is(spark):
+    bids = [("NEG_001", -50, 5), ("NEG_001", 1, -4), ("NEG_001", 60, 5), ("NEG_001", 90, 1)]
+    for volume, price, through in ((5, -50, 5), (5.5, 60, 6), (6, 60, 6), (7, 90, 7), (-1, -50, 5)):
+        (row,) = cleared(spark, [(1, volume)], bids)
+        assert (row.price, row.available_mw, row.cleared_mw, row.is_short) == (price, 7, through, False)
+    (row,) = cleared(spark, [(1, 8)], bids, on_short="last")
+    assert (row.price, row.cleared_mw, row.is_short) == (90, 7, True)
+    # Inside one band the sum reaches the volume and falls again.
+    (row,) = cleared(spark, [(1, 9)], [("NEG_001", 1, 9), ("NEG_001", 2, -9), ("NEG_001", 3, 1)])
+    assert (row.price, row.available_mw, row.cleared_mw, row.is_short) == (1, 1, 9, False)
 
 
 def test_negative_volume_takes_the_first_bid(spark):
@@ -179,13 +189,31 @@ def test_date_range_is_inclusive_and_open(spark):
     assert mo.date_range(days, "date", None, None).count() == 3
 
 
-def test_no_broadcast_beyond_the_bound(spark, monkeypatch):
-    """The plan for many intervals gives the same prices without broadcast hints."""
+def test_same_prices_without_broadcasts(spark):
     demand = [(q, q) for q in range(1, 30)]
     bids = [(f"NEG_{q:03d}", p, 4) for q in range(1, 30) for p in (-20, 0, 5, 300)]
     expected = sorted(cleared(spark, demand, bids))
-    monkeypatch.setattr(mo, "is_small", lambda df: False)
-    assert sorted(cleared(spark, demand, bids)) == expected
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(cleared(spark, demand, bids)) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_building_a_plan_starts_no_job(spark):
+    spark.sparkContext.setJobGroup("plans", "no job")
+    frames = demand_of(spark, (1, 1)), bids_of(spark, *EXAMPLE)
+    mo.clear(*frames)
+    mo.match_bids_exact(frames[0], frames[1])
+    mo.match_bids_tiered(frames[0], frames[1])
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plans")) == []
+
+
+def test_bids_active_in_an_interval(spark):
+    rows = mo.active_bids(demand_of(spark, (64, 1), (65, 2)), bids_of(spark, *EXAMPLE, ("NEG_049", 7, 1), ("NEG_080", 8, 1))).collect()
+    assert sorted((r.quarter_no, float(r.price)) for r in rows) == [
+        (64, 7.0), (65, -5.0), (65, -4.0), (65, -3.87), (65, 8.0), (65, 10.0),
+    ]
 
 
 SPELLINGS = ["NEG_{0:03d}", "NEG-{0:03d}", "NEG{0:03d}", "neg_{0:03d}", "NEG_{0}", "NEG_X{0:03d}", "neg-{0:03d}", "POS_{0:03d}"]
@@ -205,8 +233,8 @@ def stepwise(volume, quarter, bids):
         offers = sorted((price, mw) for product, price, mw in bids if fits(product))
         if offers:
             total = Decimal(0)
-            for price, mw in offers:
-                total += mw
+            for price in sorted({p for p, _ in offers}):  # equal prices clear together
+                total += sum(m for p, m in offers if p == price)
                 if total >= volume:
                     return price, sum(m for _, m in offers)
             return None, sum(m for _, m in offers)
@@ -221,7 +249,7 @@ def test_random_stacks(spark, seed):
         (
             rng.choice(SPELLINGS).format(rng.choice(quarters)),
             Decimal(rng.choice([rng.randint(-3000, 3000), rng.randint(-100000, 100000)])) / 100,
-            Decimal(rng.randint(0, 8000)) / 1000,
+            Decimal(rng.randint(-2000 if seed == 2 else 0, 8000)) / 1000,
         )
         for _ in range(400)
     ]

@@ -197,3 +197,24 @@ def test_block_reports(spark):
     assert [(r.product, r.time, r.bid_count, r.block_min) for r in odd] == [("NEG_002", "00:15", 3, 2)]
     stats = {r.block: (r.min_bids, r.max_bids, r.products) for r in cv.block_statistics(counts).collect()}
     assert stats == {"00:00-04:00": (2, 3, 2), "04:00-08:00": (1, 1, 1)}
+
+
+def test_infinite_values_and_nan_end(spark):
+    import math
+
+    rows = [(float(k),) for k in range(3000)] + [(math.inf,), (-math.inf,), (math.nan,), (None,), (1.7e308,), (-1.7e308,)]
+    df = spark.createDataFrame(rows, "v double")
+    from pyspark.sql import functions as F
+
+    from gridclear.operators import quantiles
+
+    small, quantiles.SMALL = quantiles.SMALL, 10
+    try:
+        found = quantiles.exact_quantiles(df, F.col("v"), [0.0, 0.25, 0.5, 1.0])
+    finally:
+        quantiles.SMALL = small
+    assert found == [-math.inf, 748.75, 1499.5, math.inf]
+    assert {r.v for r in pf.outliers(df, "v").collect()} == {math.inf, -math.inf, 1.7e308, -1.7e308}
+    usual = df.filter("abs(v) < 1e300D OR abs(v) = double('infinity') OR v IS NULL OR isnan(v)")
+    assert {r.v for r in pf.outliers(usual, "v", "stddev").collect()} == {math.inf, -math.inf}
+    assert quantiles.exact_quantiles(df.filter("v > 1e308D"), F.col("v"), [0.5])[0] == math.inf
