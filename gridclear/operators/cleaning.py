@@ -19,6 +19,7 @@ from gridclear.schema import (
 )
 
 ZONE_COLUMN = "50Hertz (Negativ)"
+# How times of day and product codes are spelt.
 TIME_PATTERN = r"^\d{2}:\d{2}(:\d{2})?$"
 PRODUCT_PATTERN = r"^[A-Z]+_\d+"
 
@@ -49,32 +50,30 @@ def clean_activations(selected: DataFrame, zone: str = ZONE_COLUMN) -> DataFrame
 
 
 def validate_activations(cleaned: DataFrame, zone: str = ZONE_COLUMN) -> DataFrame:
-    """One row: ``valid`` and the message of the first rule that fails."""
+    """One row: ``valid``, and as ``message`` the code of the first rule that fails with the rows at fault, else ``ok``."""
     columns = [*ACTIVATION_COLUMNS[:3], zone]
     missing = [name for name in columns if name not in cleaned.columns]
     if missing:
-        message = F.lit(f"Missing required columns: {missing}")
+        message = F.lit(f"columns_absent: {', '.join(missing)}")
         return cleaned.sparkSession.range(1).select(F.lit(False).alias("valid"), message.alias("message"))
 
     def bad_times(name: str) -> Column:
         return F.count_if(~F.coalesce(F.col(name).rlike(TIME_PATTERN), F.lit(False)))
 
     typed_date = dict(cleaned.dtypes)["Datum"] in ("date", "timestamp", "timestamp_ntz")
-    counts = cleaned.agg(
-        F.count("*").alias("row_count"),
-        bad_times("von").alias("bad_von"),
-        bad_times("bis").alias("bad_bis"),
-        F.count_if(quoted(zone).isNull()).alias("bad_volume"),
+    undated = F.count_if(F.lit(not typed_date))
+    return first_failure(
+        cleaned, {"date_not_typed": undated, "start_time": bad_times("von"), "end_time": bad_times("bis"), "volume_not_numeric": F.count_if(quoted(zone).isNull())}
     )
-    message = (
-        F.when(F.col("row_count") == 0, "Data is empty")
-        .when(F.lit(not typed_date), "Datum column is not in datetime format")
-        .when(F.col("bad_von") > 0, "von column contains invalid time formats")
-        .when(F.col("bad_bis") > 0, "bis column contains invalid time formats")
-        .when(F.col("bad_volume") > 0, f"{zone} column contains invalid numeric values")
-        .otherwise("Validation passed")
-    )
-    return counts.select((message == "Validation passed").alias("valid"), message.alias("message"))
+
+
+def first_failure(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """One row (valid, message) from counts of the rows that break each rule, in one pass; ``no_rows`` if there are none."""
+    counts = df.agg(F.count("*").alias("rows"), *[count.alias(name) for name, count in rules.items()])
+    message = F.when(F.col("rows") == 0, "no_rows")
+    for name in rules:
+        message = message.when(F.col(name) > 0, F.concat(F.lit(f"{name}: "), F.col(name).cast("string")))
+    return counts.select(message.isNull().alias("valid"), F.coalesce(message, F.lit("ok")).alias("message"))
 
 
 def to_activations(raw: DataFrame, zone: str = ZONE_COLUMN) -> DataFrame:
@@ -262,27 +261,14 @@ def route_invalid_sheets(
 
 
 def validate_bids(bids: DataFrame) -> DataFrame:
-    """One row: ``valid`` and the message of the first rule that fails."""
+    """One row: ``valid``, and as ``message`` the code of the first rule that fails with the rows at fault, else ``ok``."""
     needed = ["delivery_date", "product", "energy_price_eur_mwh", "allocated_capacity_mw"]
     absent = [name for name in needed if name not in bids.columns]
     if absent:
-        raise ValueError(f"missing columns after cleaning: {absent}")
-    counts = bids.agg(
-        F.count("*").alias("row_count"),
-        F.count_if(F.col("delivery_date").isNull()).alias("bad_date"),
-        F.count_if(F.col("energy_price_eur_mwh").isNull()).alias("bad_price"),
-        F.count_if(F.col("allocated_capacity_mw").isNull()).alias("bad_capacity"),
-        F.count_if(~F.coalesce(F.col("product").rlike(PRODUCT_PATTERN), F.lit(False))).alias("bad_product"),
-    )
-    message = (
-        F.when(F.col("row_count") == 0, "DataFrame is empty")
-        .when(F.col("bad_date") > 0, "delivery_date is not in datetime format")
-        .when(F.col("bad_price") > 0, "energy_price_eur_mwh is not numeric")
-        .when(F.col("bad_capacity") > 0, "allocated_capacity_mw is not numeric")
-        .when(F.col("bad_product") > 0, "product contains invalid formats")
-        .otherwise("Validation passed")
-    )
-    return counts.select((message == "Validation passed").alias("valid"), message.alias("message"), "bad_product")
+        raise ValueError(f"columns absent after cleaning: {absent}")
+    rules = {f"{name}_absent": F.count_if(F.col(name).isNull()) for name in needed if name != "product"}
+    rules["product_code"] = F.count_if(~F.coalesce(F.col("product").rlike(PRODUCT_PATTERN), F.lit(False)))
+    return first_failure(bids, rules)
 
 
 def quality_rules(

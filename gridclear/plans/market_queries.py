@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridclear.functions import parsing as ps
@@ -257,14 +260,30 @@ def clean_activations(spark, sf):
     return cl.clean_activations(cl.select_activation_columns(mv.activation_text(spark, sf)))
 
 
+def _verdicts(frames, validate):
+    """The verdict on each of several inputs by name."""
+    found = [validate(df).withColumn("input", F.lit(name)) for name, df in frames.items()]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 @query(
     with_act(
-        """SELECT COUNT(*) > 0 AND COUNT(v) = COUNT(*) AS valid, CASE WHEN COUNT(*) > 0 AND COUNT(v) = COUNT(*)
-       THEN 'Validation passed' ELSE 'failed' END AS message FROM act"""
+        """SELECT 'as it is' AS input, TRUE AS valid, 'ok' AS message
+UNION ALL SELECT 'empty', FALSE, 'no_rows'
+UNION ALL SELECT 'late quarters without start', FALSE, 'start_time: ' || CAST(COUNT(*) FILTER (quarter_no > 90) AS VARCHAR) FROM act
+UNION ALL SELECT 'early volumes as words', FALSE, 'volume_not_numeric: ' || CAST(COUNT(*) FILTER (quarter_no <= 10) AS VARCHAR) FROM act
+UNION ALL SELECT 'no end', FALSE, 'columns_absent: bis'"""
     )
 )
 def validate_activations(spark, sf):
-    return cl.validate_activations(cl.clean_activations(cl.select_activation_columns(mv.activation_text(spark, sf))))
+    text = mv.activation_text(spark, sf).withColumn("quarter", F.substring("von", 1, 2).cast("int") * 4 + F.substring("von", 4, 2).cast("int") / 15 + 1)
+    zone = cl.ZONE_COLUMN
+    wordy = text.withColumn(zone, F.when(F.col("quarter") <= 10, "abc").otherwise(F.col(f"`{zone}`")))
+    no_start = text.withColumn("von", F.when(F.col("quarter") > 90, "noon").otherwise(F.col("von")))
+    inputs = {"as it is": text, "empty": text.filter(F.lit(False)), "late quarters without start": no_start, "early volumes as words": wordy}
+    frames = {name: cl.clean_activations(cl.select_activation_columns(df)) for name, df in inputs.items()}
+    frames["no end"] = frames["as it is"].drop("bis")
+    return _verdicts(frames, cl.validate_activations)
 
 
 @query(with_act("SELECT CAST(date AS VARCHAR) AS date, quarter_no, month(date)::INT AS month, year(date)::INT AS year FROM act"))
@@ -514,11 +533,21 @@ def period_bucket(spark, sf):
 
 @query(
     with_bids(
-        """SELECT COUNT(*) > 0 AS valid, 'Validation passed' AS message, CAST(0 AS BIGINT) AS bad_product FROM bids"""
+        """SELECT 'as it is' AS input, TRUE AS valid, 'ok' AS message
+UNION ALL SELECT 'empty', FALSE, 'no_rows'
+UNION ALL SELECT 'fourth lines without price', FALSE, 'energy_price_eur_mwh_absent: ' || CAST(COUNT(*) FILTER (line_no = 4) AS VARCHAR) FROM bids
+UNION ALL SELECT 'messy codes', FALSE, 'product_code: ' || CAST(COUNT(*) FILTER (NOT regexp_matches(product, '^[A-Z]+_[0-9]+')) AS VARCHAR) FROM messy""",
+        MESSY,
     )
 )
 def validate_bids(spark, sf):
-    return cl.validate_bids(mv.bids(spark, sf))
+    bids = mv.bids(spark, sf)
+    price = F.when(F.col("line_no") != 4, F.col("energy_price_eur_mwh"))
+    frames = {
+        "as it is": bids, "empty": bids.filter(F.lit(False)), "messy codes": mv.messy_bids(spark, sf),
+        "fourth lines without price": bids.withColumn("energy_price_eur_mwh", price),
+    }
+    return _verdicts(frames, cl.validate_bids)
 
 
 @query(

@@ -57,13 +57,13 @@ def verdict(df):
 
 def test_validate_activations(spark):
     good = cl.clean_activations(cl.select_activation_columns(activations(spark, *TWO)))
-    assert verdict(good) == (True, "Validation passed")
-    assert verdict(good.limit(0)) == (False, "Data is empty")
-    assert verdict(good.withColumn("von", F.lit("9:00"))) == (False, "von column contains invalid time formats")
+    assert verdict(good) == (True, "ok")
+    assert verdict(good.limit(0)) == (False, "no_rows")
+    assert verdict(good.withColumn("von", F.lit("9:00"))) == (False, "start_time: 2")
     assert verdict(good.withColumn("bis", F.lit(None).cast("string")))[0] is False
-    assert verdict(good.withColumn("Datum", F.lit("x"))) == (False, "Datum column is not in datetime format")
+    assert verdict(good.withColumn("Datum", F.lit("x"))) == (False, "date_not_typed: 2")
     assert "numeric" in verdict(good.withColumn("50Hertz (Negativ)", F.lit(None).cast("double")))[1]
-    assert "Missing" in verdict(good.drop("bis"))[1]
+    assert "columns_absent: bis" == verdict(good.drop("bis"))[1]
 
 
 def test_to_activations_keeps_both_hours_of_the_long_day(spark):
