@@ -81,20 +81,25 @@ BID_TEXT_SQL = with_bids(
 )
 
 
-def _bid_rows(spark, sf, label, compression="none"):
+def land_bid_sheets(spark, sf, label="sheets", compression="none"):
+    """The bids as unpacked workbooks in a new folder."""
     path = scratch_dir(spark, label)
     land_sheets(mv.bid_text(spark, sf).select(*[f"`{c}`" for c in BID_TEXT], "NOTE"), path, compression=compression)
-    return wb.scan_sheets(spark, path)
+    return path
+
+
+def landed_bids(spark, path):
+    return wb.to_raw_bids(wb.scan_sheets(spark, path)).select(*[f"`{c}`" for c in BID_TEXT])
 
 
 @query(BID_TEXT_SQL)
 def scan_bid_workbooks(spark, sf):
-    return wb.to_raw_bids(_bid_rows(spark, sf, "sheets")).select(*[f"`{c}`" for c in BID_TEXT])
+    return landed_bids(spark, land_bid_sheets(spark, sf))
 
 
 @query(BID_TEXT_SQL)
 def scan_zipped_workbooks(spark, sf):
-    return wb.to_raw_bids(_bid_rows(spark, sf, "zipped", "gzip")).select(*[f"`{c}`" for c in BID_TEXT])
+    return landed_bids(spark, land_bid_sheets(spark, sf, "zipped", "gzip"))
 
 
 @query(BID_TEXT_SQL)
@@ -114,7 +119,7 @@ FROM all_bids GROUP BY ALL""")
 )
 def convert_workbooks_to_csv(spark, sf):
     path = scratch_dir(spark, "converted")
-    wb.convert_workbooks(_bid_rows(spark, sf, "sheets"), path, BID_TEXT)
+    wb.convert_workbooks(wb.scan_sheets(spark, land_bid_sheets(spark, sf)), path, BID_TEXT)
     rows = spark.read.schema(dl.text_schema([*BID_TEXT, *wb.SHEET])).option("header", True).csv(path)
     dated = cl.standardize_date_column(rows, "DELIVERY_DATE").withColumn("DELIVERY_DATE", F.to_date("DELIVERY_DATE"))
     named = dated.withColumnRenamed("ENERGY_PRICE_PAYMENT_DIRECTION", "payment_direction")
