@@ -20,11 +20,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` stored in the shared scratch folder and read back: computed once, and safe from lost executors."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` stored in the shared scratch folder and read back: computed once, and safe from lost executors.
+
+    Meanwhile rows go to Python in small batches, so that neither side holds much text at a time.
+    """
+    spark = df.sparkSession
+    path, usual = scratch_dir(spark, label), spark.conf.get(ROWS_PER_BATCH)
+    spark.conf.set(ROWS_PER_BATCH, "1000")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ROWS_PER_BATCH, usual)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def word_count(text: Column) -> Column:
