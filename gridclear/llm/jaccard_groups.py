@@ -4,12 +4,12 @@ Every document is the set of its distinct word shingles; two link when the sets
 
 1. Order and prefix.  Shingles have one order for all documents: by hash, but frequent ones last.  Two sets that link share a
    shingle among the first ``n - needed(n) + 1`` of each, so only these are looked up.
-2. Groups.  Similar documents are brought together first: each shares most of its prefix with some document, is compared with
-   it, and the links found partition the documents into groups.
-3. Token-group matrix.  A row per prefix shingle and group that has it.  A document and another group are a candidate if they
-   meet there.  Each candidate group's token union, as a row of bits, bounds the overlap with any of its
-   members; only groups that reach the needed overlap are opened.
-4. Opened groups.  Members of fitting size are bounded by their own bits, then compared exactly.  The links join groups.
+2. Groups.  Similar documents are brought together first: each is compared with the document it shares most of its prefix
+   with.  Those that may be alike enough form a group; links found join documents of a group.
+3. Token-group matrix.  A row per prefix shingle and group that has it.  A document and a group are a candidate if the group has
+   a document there to which the first is not joined.  The token unions of the group's parts, as rows of bits, bound
+   the overlap with their members; only parts that reach the needed overlap are opened.
+4. Opened parts.  Members of fitting size are bounded by their own bits, then compared exactly.  The links join documents.
 
 Sets travel only in steps 2 and 4, for documents whose bounds allow a link.  Copies of a set are compared once.
 """
@@ -25,15 +25,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridclear.llm import shingles as sh
-from gridclear.llm.common import texts, written
+from gridclear.llm.common import small_batches, texts, written
 from gridclear.llm.components import connected_components
 
-BLOCK = 1 << 22  # shingles whose repetitions a task counts together
-FREQUENT = 32  # a shingle repeated this often within blocks comes last in the order
+BLOCK = 1 << 21  # shingles whose repetitions a task counts together
+FREQUENT = 4  # a shingle repeated this often within blocks comes last in the order
 MAX_FREQUENT = 1 << 17  # of these, the most frequent are told to all tasks: 1 MB
+CLOSE = 50  # percent of likeness at which documents are put in a group
+ROUNDS = 1  # of comparisons before the matrix is made
 FILTER_BITS = 22  # size of the filter that spares most texts a second shingling: half a MB
 
+PART = 32  # members of a group that share a token union
+
 LONGS = pa.list_(pa.int64())
+PARTS = pa.schema(
+    [(c, pa.int64()) for c in ("group", "low", "high")] + [(c, LONGS) for c in ("rows", "sizes", "others", "components")] + [("bits", pa.binary())]
+)
 
 
 def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
@@ -55,7 +62,7 @@ def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
                 [pa.array(values[often].astype(np.int64)), pa.array(counts[often].astype(np.int64))], names=["token", "n"]
             )
 
-        for batch in batches:
+        for batch in small_batches(batches):
             for found in sh.shingle_sets(texts(batch), size):
                 key = sh.digest(found)
                 if key not in seen:
@@ -98,7 +105,7 @@ def described(docs: DataFrame, size: int, percent: int, frequent: np.ndarray) ->
                 return rare, found[often][: length - len(rare)]
             return found[:length], found[:0]
 
-        for batch in batches:
+        for batch in small_batches(batches):
             columns: list[list] = [[] for _ in range(7)]
             for found in sh.shingle_sets(texts(batch), size):
                 key = sh.digest(found)
@@ -117,36 +124,69 @@ def described(docs: DataFrame, size: int, percent: int, frequent: np.ndarray) ->
 
 
 def meetings(described: DataFrame) -> DataFrame:
-    """(token, row, center): prefix shingles that several rows have, and the least row that has each.
+    """(token, row): prefix shingles that several rows have.
 
-    Frequent shingles are few and known: their least rows are summed in the tasks and broadcast (one row for each of at most
-    ``MAX_FREQUENT``), so a hot shingle moves no rows.  All others are dealt out once by shingle.
+    Frequent shingles are few and known: they are counted in the tasks first and the result is broadcast (at most
+    ``MAX_FREQUENT`` rows), so a hot shingle moves no rows.  All others are dealt out once by shingle.
     """
     rare = described.select("row", F.explode("rare").alias("token")).repartition("token")
-    centers = rare.groupBy("token").agg(F.min("row").alias("center"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
+    several = rare.groupBy("token").agg(F.count("*").alias("rows")).filter("rows > 1").select("token")
     often = described.select("row", F.explode("frequent").alias("token"))
-    often_centers = often.groupBy("token").agg(F.min("row").alias("center"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
-    met = rare.join(centers.hint("shuffle_hash"), "token").unionAll(often.join(F.broadcast(often_centers), "token"))
-    return met.select("token", "row", "center")
+    often_several = often.groupBy("token").agg(F.count("*").alias("rows")).filter("rows > 1").select("token")
+    return rare.join(several.hint("shuffle_hash"), "token").unionAll(often.join(F.broadcast(often_several), "token")).select("token", "row")
+
+
+def allowed(n_a: int, bits_a: np.ndarray, n_b: np.ndarray, bits_b: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets b, given by sizes and rows of bits, may link with the set a."""
+    not_in_b, not_in_a = sh.missing_bits(bits_a, bits_b)
+    shared = np.minimum(n_a - not_in_b, n_b - not_in_a)
+    return 100 * shared >= percent * (n_a + n_b - shared)
 
 
-def bound_by_bits(pairs: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (a, n_a, bits_a, b, n_b, bits_b) whose rows of bits allow a link, as (a, b); ``n_b`` null: b is a group."""
+def bound_by_bits(pairs: DataFrame, least: int, percent: int) -> DataFrame:
+    """``pairs`` (a, n_a, bits_a, b, n_b, bits_b) whose rows of bits allow a likeness of ``least``, as (a, b, may_link): may_link tells
+    whether they allow one of ``percent``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
+        for batch in small_batches(batches):
+            near, may_link = [], []
             for n_a, bits_a, n_b, bits_b in zip(*(batch.column(c).to_pylist() for c in ("n_a", "bits_a", "n_b", "bits_b"))):
-                shared = n_a - sh.missing_bits(bits_a, bits_b)
-                if n_b is None:
-                    keep.append(shared >= sh.needed(n_a, percent))
-                else:
-                    shared = min(shared, n_b - sh.missing_bits(bits_b, bits_a))
-                    keep.append(100 * shared >= percent * (n_a + n_b - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                sets = n_a, np.frombuffer(bits_a, np.uint8), np.array([n_b]), np.frombuffer(bits_b, np.uint8)[None]
+                near.append(bool(allowed(*sets, least)[0]))
+                may_link.append(near[-1] and bool(allowed(*sets, percent)[0]))
+            out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(may_link, pa.bool_())], names=["a", "b", "may_link"])
+            yield out.filter(pa.array(near, pa.bool_()))
 
-    chosen = pairs.select("a", "b", F.col("n_a").cast("long"), "bits_a", F.col("n_b").cast("long"), "bits_b")
-    return chosen.mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long, may_link boolean")
+
+
+def opened(queries: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that bits allow, from ``queries``: a document (a, n_a, bits_a, joined, component) and a part of a group.
+
+    The part's token union comes first; only if it has enough of the document's shingles are its members looked at.  Of two
+    documents the one joined to fewer others is the query.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("a", "n_a", "bits_a", "joined", "component", "rows", "sizes", "others", "components", "bits")
+        for batch in small_batches(batches):
+            left, right = [], []
+            for a, n_a, bits_a, joined, component, rows, sizes, others, components, bits in zip(*(batch.column(c).to_pylist() for c in names)):
+                query = np.frombuffer(bits_a, np.uint8)
+                members = np.frombuffer(bits, np.uint8).reshape(len(rows), -1)
+                union = np.bitwise_or.reduce(members, axis=0)[None]
+                if n_a - sh.missing_bits(query, union)[0][0] >= sh.needed(n_a, percent):
+                    sizes, others, components = np.array(sizes), np.array(others), np.array(components)
+                    fit = 100 * np.minimum(sizes, n_a) >= percent * np.maximum(sizes, n_a)
+                    fit &= (others > joined) | ((others == joined) & (components > component))
+                    at = np.flatnonzero(fit & allowed(n_a, query, sizes, members, percent))
+                    left += [a] * len(at)
+                    right += [rows[k] for k in at]
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    return queries.select(
+        "a", "n_a", "bits_a", "joined", "component", "rows", "sizes", "others", "components", "bits"
+    ).mapInArrow(run, "a long, b long")
 
 
 def sizes_fit(n_a: Column, n_b: Column, percent: int) -> Column:
@@ -171,11 +211,11 @@ class Join:
             self.small.join(least, ["high", "low"]).select("row", "doc_id", "text_key", "n", "high", "low", "first"), "classes"
         )
 
-    def with_bits(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of rows (a, b) with sizes and bits of both."""
+    def with_bits(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """Pairs of rows (a, b) of fitting sizes, with sizes and bits of both."""
         a = self.bits.select(F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
         b = self.bits.select(F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
-        return pairs.join(a, "a").join(b, "b").filter(sizes_fit(F.col("n_a"), F.col("n_b"), self.percent))
+        return pairs.join(a, "a").join(b, "b").filter(sizes_fit(F.col("n_a"), F.col("n_b"), percent))
 
     def fetched(self, wanted: DataFrame) -> DataFrame:
         """``wanted`` (high, low, place and others) with the sets of these digests, by shingling their texts once more.
@@ -194,7 +234,7 @@ class Join:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep = np.unpackbits(known.value, bitorder="little").astype(bool)
             seen: set[tuple[int, int]] = set()
-            for batch in batches:
+            for batch in small_batches(batches):
                 batch = batch.filter(pa.array(keep[batch.column("place").to_numpy() - 1]))
                 rows = []
                 for found in sh.shingle_sets(texts(batch), size):
@@ -227,79 +267,104 @@ class Join:
         return written(with_a.join(with_b, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long"), "links")
 
     def first_groups(self, met: DataFrame) -> DataFrame:
-        """(row, component) of rows with links to the row that they share most of their prefix with, or copies."""
-        firsts = self.classes.select("row", "first")
-        shared = met.filter("row <> center").groupBy("row", "center").agg(F.count("*").alias("shared"))
-        best = shared.groupBy("row").agg(F.max_by("center", F.struct("shared", -F.col("center"))).alias("b"))
-        pairs = best.select(F.col("row").alias("a"), "b")
-        pairs = written(bound_by_bits(self.with_bits(pairs), self.percent), "stars")
-        links = self.verified(pairs)
-        copies = self.bits.select("row").join(firsts, "row").filter("row <> first").select(F.col("row").alias("a"), F.col("first").alias("b"))
-        return written(connected_components(links.unionAll(copies)).select(F.col("node").alias("row"), "component"), "groups")
-
-    def unions(self, members: DataFrame) -> DataFrame:
-        """(component, bits): token unions of the groups in ``members`` (component, bits), merged within tasks, then by group.
+        """(row, component, group) of rows that are like others: documents of a component are joined by links, those of a group by
+        links and comparisons that came close.
 
-        A large group may keep several, each the union of some of its members; each bounds the members it covers.
+        In a round each row is compared with one row of another component, of those that it meets (the least row of the least and
+        of the greatest component at each shingle) the one with most shingles in common that it was not compared with before.
+        """
+        firsts = self.classes.select("row", "first")
+        links = self.bits.select("row").join(firsts, "row").filter("row <> first").select(F.col("row").alias("a"), F.col("first").alias("b"))
+        close = links = written(links, "copies")
+        joined = self.components_of(links)
+        tried: DataFrame | None = None
+        least = min(CLOSE, self.percent)
+        for _ in range(ROUNDS):
+            at = met.join(joined, "row", "left").withColumn("component", F.coalesce("component", "row"))
+            ends = at.groupBy("token").agg(F.min(F.struct("component", "row")).alias("x"), F.max(F.struct("component", "row")).alias("y"))
+            apart = at.join(ends.filter("x.component <> y.component"), "token")
+            other = F.when(F.col("component") != F.col("x.component"), F.col("x.row")).otherwise(F.col("y.row"))
+            shared = apart.select("row", other.alias("b")).groupBy("row", "b").agg(F.count("*").alias("shared"))
+            if tried is not None:
+                shared = shared.join(tried.withColumnRenamed("a", "row"), ["row", "b"], "left_anti")
+            best = shared.groupBy("row").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
+            chosen = written(best.select(F.col("row").alias("a"), "b"), "chosen")
+            tried = chosen if tried is None else tried.unionAll(chosen)
+            near = written(bound_by_bits(self.with_bits(chosen, least), least, self.percent), "near")
+            close = close.unionAll(near.select("a", "b"))
+            found = self.verified(near.filter("may_link").select("a", "b"))
+            if found.isEmpty():
+                break
+            links = links.unionAll(found)
+            joined = self.components_of(links)
+        groups = self.components_of(close).withColumnRenamed("component", "group")
+        return written(groups.join(joined, "row", "left").withColumn("component", F.coalesce("component", "row")), "groups")
+
+    def components_of(self, links: DataFrame) -> DataFrame:
+        return written(connected_components(links).select(F.col("node").alias("row"), "component"), "joined")
+
+    def parts(self, members: DataFrame) -> DataFrame:
+        """Groups as parts of at most ``PART`` members of like size: arrays of their rows, sizes and components with their counts,
+        and ``bits``, their rows of bits one after the other, of one length in a part.
+
+        ``members`` has group, group_rows, row, n, joined, component, bits; a large group is dealt to many tasks.
         """
 
-        def merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: dict[int, np.ndarray] = {}
-
-            def out() -> pa.RecordBatch:
-                rows = [pa.array(list(held), pa.int64()), pa.array([v.tobytes() for v in held.values()], pa.binary())]
-                return pa.RecordBatch.from_arrays(rows, names=["component", "bits"])
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = ("group", "n", "row", "joined", "component", "bits")
+            held: list[tuple] = []
+
+            def part() -> dict:
+                group, sizes, rows, others, components, bits = zip(*held)
+                return {
+                    "group": group[0], "low": sizes[0], "high": sizes[-1], "rows": rows, "sizes": sizes, "others": others,
+                    "components": components, "bits": b"".join(bits),
+                }
+
+            for batch in small_batches(batches):
+                done = []
+                for member in zip(*(batch.column(c).to_pylist() for c in names)):
+                    if held and (len(held) == PART or member[0] != held[0][0] or len(member[-1]) != len(held[0][-1])):
+                        done.append(part())
+                        held = []
+                    held.append(member)
+                yield pa.RecordBatch.from_pylist(done, schema=PARTS)
+            if held:
+                yield pa.RecordBatch.from_pylist([part()], schema=PARTS)
+
+        deals = (F.floor(F.col("group_rows") / (16 * PART)) + 1).cast("long")
+        dealt = members.repartition("group", F.pmod("row", deals))
+        ordered = dealt.sortWithinPartitions("group", "n", "row").select("group", "n", "row", "joined", "component", "bits")
+        return ordered.mapInArrow(
+            run, "group long, low long, high long, rows array<long>, sizes array<long>, others array<long>, components array<long>, bits binary"
+        )
 
-            for batch in batches:
-                for component, bits in zip(batch.column("component").to_pylist(), batch.column("bits").to_pylist()):
-                    row, before = np.frombuffer(bits, np.uint8), held.get(component)
-                    if before is not None:
-                        n = min(len(row), len(before))
-                        row = sh.folded(row, n) | sh.folded(before, n)
-                    held[component] = row
-                if len(held) > 10_000:
-                    yield out()
-                    held = {}
-            yield out()
-
-        schema = "component long, bits binary"
-        return members.select("component", "bits").mapInArrow(merged, schema).repartition("component").mapInArrow(merged, schema)
+    def may_fit(self, n: Column, low: Column, high: Column) -> Column:
+        return (F.lit(100) * high >= F.lit(self.percent) * n) & (F.lit(self.percent) * low <= F.lit(100) * n)
 
     def cross_links(self, met: DataFrame, groups: DataFrame) -> DataFrame:
-        """Links between documents of different groups, as (a, b) of the groups' names."""
-        grouped = (
-            met.select("row").distinct().join(self.bits.select("row", "n"), "row").join(groups, "row", "left")
-            .withColumn("component", F.coalesce("component", "row"))
-        )
-        grouped = written(grouped, "grouped")
-        ranges = grouped.groupBy("component").agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high"))
-        placed = written(met.select("token", "row").join(grouped, "row").join(ranges.select("component", "rows"), "component"), "placed")
+        """Links between documents of different components, as (a, b) of the components' names."""
+        named = met.select("row").distinct().join(self.bits.select("row", "n"), "row").join(groups, "row", "left")
+        named = written(named.withColumns({c: F.coalesce(c, "row") for c in ("component", "group")}), "named")
+        joined = named.groupBy("component").agg(F.count("*").alias("joined"))
+        named = written(named.join(joined, "component"), "named")
+        ranges = named.groupBy("group").agg(F.count("*").alias("group_rows"), F.min("n").alias("low"), F.max("n").alias("high"))
+        placed = written(met.join(named, "row").select("token", "row", "n", "joined", "component", "group"), "placed")
         several = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
         placed = placed.join(several, "token", "left_semi")
-        matrix = placed.select("token", F.col("component").alias("group"), F.col("rows").alias("group_rows")).distinct()
-        # A pair of groups is looked at from its smaller one.
-        meet = placed.join(matrix, "token").filter(
-            F.struct("rows", "component") < F.struct(F.col("group_rows").alias("rows"), F.col("group").alias("component"))
-        )
-        candidates = meet.select("row", "n", "group").distinct().join(ranges.withColumnRenamed("component", "group"), "group")
-        fitting = written(
-            candidates.filter(
-                (F.lit(100) * F.col("high") >= F.lit(self.percent) * F.col("n")) & (F.lit(self.percent) * F.col("low") <= F.lit(100) * F.col("n"))
-            ).select("row", "n", "group"),
-            "candidates",
-        )
-        named = fitting.select(F.col("group").alias("component")).distinct()
-        members = written(grouped.join(named, "component").join(self.bits.select("row", "bits"), "row"), "members")
-        unions = self.unions(members)
-        bounded = (
-            fitting.join(self.bits.select("row", F.col("bits").alias("bits_a")), "row").join(unions.withColumnRenamed("component", "group"), "group")
-            .select(F.col("row").alias("a"), F.col("n").alias("n_a"), "bits_a", F.col("group").alias("b"), F.col("bits").alias("bits_b"), F.lit(None).cast("long").alias("n_b"))
-        )
-        opened = bound_by_bits(bounded, self.percent).select(F.col("a"), F.col("b").alias("component")).distinct()
-        pairs = opened.join(members.select("component", F.col("row").alias("b")), "component").select("a", "b")
-        pairs = written(bound_by_bits(self.with_bits(pairs), self.percent), "pairs")
+        order = F.struct("joined", "component")
+        matrix = placed.groupBy("token", "group").agg(F.max(order).alias("top"))
+        meet = placed.withColumnRenamed("group", "own").join(matrix, "token").filter(order < F.col("top"))
+        candidates = meet.select("row", "n", "joined", "component", "group").distinct().join(ranges, "group")
+        fits = self.may_fit(F.col("n"), F.col("low"), F.col("high"))
+        fitting = written(candidates.filter(fits).select("row", "n", "joined", "component", "group"), "candidates")
+        members = named.join(fitting.select("group").distinct(), "group").join(ranges.select("group", "group_rows"), "group")
+        parts = self.parts(members.join(self.bits.select("row", "bits"), "row"))
+        queries = fitting.join(self.bits.select("row", F.col("bits").alias("bits_a")), "row").join(parts, "group")
+        queries = queries.filter(self.may_fit(F.col("n"), F.col("low"), F.col("high")))
+        pairs = written(opened(queries.withColumnsRenamed({"row": "a", "n": "n_a"}), self.percent), "pairs")
         links = self.verified(pairs)
-        names = grouped.select("row", "component")
+        names = named.select("row", "component")
         return (
             links.join(names.select(F.col("row").alias("a"), F.col("component").alias("x")), "a")
             .join(names.select(F.col("row").alias("b"), F.col("component").alias("y")), "b")
@@ -312,7 +377,7 @@ class Join:
         groups = self.first_groups(met)
         joined = connected_components(self.cross_links(met, groups))
         merged = joined.select(F.col("node").alias("component"), F.col("component").alias("merged"))
-        # Groups of one document have no row in ``groups``: their name is the document's row.
+        # Documents that meet no other have no row in ``groups``: their component's name is their row.
         with_groups = self.classes.join(groups.select(F.col("row").alias("first"), "component"), "first", "left").withColumn(
             "component", F.coalesce("component", "first")
         )

@@ -8,7 +8,7 @@ import xxhash
 #: Shingle hashes have this many bits: in a pair of sets of a thousand shingles each, a false match has
 #: a probability below 1e-8.
 HASH_BITS = 48
-SLICE = 1 << 21  # bytes of text hashed in one go
+SLICE = 1 << 20  # bytes of text hashed in one go
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -129,11 +129,15 @@ def folded(row: np.ndarray, n_bytes: int) -> np.ndarray:
     return np.bitwise_or.reduce(row.reshape(-1, n_bytes), axis=0)
 
 
-def missing_bits(query: bytes, other: bytes) -> int:
-    """Bits of ``query`` that ``other`` lacks: that many shingles of the query at least are not in the other set."""
-    n = min(len(query), len(other))
-    a, b = (folded(np.frombuffer(x, np.uint8), n) for x in (query, other))
-    return int.from_bytes((a & ~b).tobytes(), "little").bit_count()
+def missing_bits(query: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of ``query`` that each row of ``others`` lacks, and the reverse.
+
+    That many shingles of the one set at least are not in the other.
+    """
+    n = min(len(query), others.shape[1])
+    query = folded(query, n)
+    others = np.bitwise_or.reduce(others.reshape(len(others), -1, n), axis=1)
+    return np.bitwise_count(query & ~others).sum(axis=1, dtype=np.int64), np.bitwise_count(others & ~query).sum(axis=1, dtype=np.int64)
 
 
 def needed(n: int, percent: int) -> int:
