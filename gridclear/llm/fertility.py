@@ -41,7 +41,7 @@ SCRIPTS = {
 }
 SCRIPT_PATTERNS = {name: re.compile(f"[{ranges}]") for name, ranges in SCRIPTS.items()}
 PLAIN_WORD = re.compile("[!-~¡-¬®-ɏ]+")
-MEMO = 1 << 18  # words of a generation whose pieces a worker keeps: two of them take about 100 MB
+MEMO = 1 << 17  # words of a generation whose pieces a worker keeps: two of them take about 50 MB
 
 MEASURES = ["chars_per_token", "byte_share", "entropy_bits"]
 

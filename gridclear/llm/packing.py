@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from gridclear.llm.common import small_batches, texts
 from gridclear.llm.tokenizer_files import PreTokens, pretokens_of
 
-MEMO = 1 << 19  # words of a generation whose ids a worker keeps: two of them take about 200 MB
+MEMO = 1 << 18  # words of a generation whose ids a worker keeps: two of them take about 100 MB
 GO = 1 << 13  # words encoded at a time
 ID_BYTES = 4
 SCHEMA = (
