@@ -227,18 +227,17 @@ def note_analysis(df: DataFrame, note: str = "note", n: int | None = 10) -> Data
             F.lit(None).cast("boolean").alias("is_error"),
             *[F.lit(None).cast("long").alias(c) for c in ("total_notes", "error_count", "non_error_count")],
         )
-    notes = (
-        df.filter(quoted(note).isNotNull() & (quoted(note) != ""))
-        .groupBy(quoted(note).alias("note"))
-        .agg(F.count("*").alias("frequency"))
-    )
-    totals = _with_error_flag(notes).agg(
+    filled = df.filter(quoted(note).isNotNull() & (quoted(note) != "")).select(quoted(note).alias("note"))
+    # Totals go by hashes, so texts are shuffled for the frequencies alone.
+    kinds = _with_error_flag(filled).groupBy(F.unhex(F.sha2("note", 256)).alias("key")).agg(F.max("is_error").alias("is_error"))
+    totals = kinds.agg(
         F.struct(
             F.count("*").alias("total_notes"),
             F.count_if("is_error").alias("error_count"),
             F.count_if(~F.col("is_error")).alias("non_error_count"),
         )
     )
+    notes = filled.groupBy("note").agg(F.count("*").alias("frequency"))
     ranked = notes if n is None else notes.orderBy(F.desc("frequency"), "note").limit(n)
     return (
         _with_error_flag(ranked)
