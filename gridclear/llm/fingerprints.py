@@ -185,10 +185,12 @@ def fingerprint_neighbours(docs: DataFrame, rows_per_bucket: int = 4096) -> Data
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     docs = docs.withColumn("key", F.coalesce("doc_id", F.lit(-LARGEST)))
-    buckets = max(1, docs.count() // rows_per_bucket)
+    # A task reads its buckets as a stream, so a few per task are enough whatever the size of the table.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(1, min(docs.count() // rows_per_bucket, 4 * tasks))
     ordered = (
         with_next(docs, buckets)
-        .repartition(buckets, "bucket")
+        .repartition(min(buckets, tasks), "bucket")
         .sortWithinPartitions("bucket", F.desc("main"), F.desc("key"), "text")
     )
     names = [c.split()[0] for c in SCHEMA.split(", ")]
