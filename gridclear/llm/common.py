@@ -73,6 +73,23 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+_model: dict[tuple, object] = {}
+
+
+def resident(key: tuple, build: Callable[[], object]) -> object:
+    """A worker's model by key, with whatever it has learned; only one is kept, so that the next stage finds memory."""
+    if key not in _model:
+        release()
+        _model[key] = build()
+    return _model[key]
+
+
+def release() -> None:
+    """Gives up what a worker has kept for earlier stages."""
+    _model.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def batch_of(**columns: tuple[list, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(values, kind) for values, kind in columns.values()], names=list(columns)

@@ -11,7 +11,6 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridclear.llm.common import WHITE, map_batches, written
+from gridclear.llm.common import WHITE, map_batches, resident, written
 from gridclear.llm.tokenizer_files import BEYOND_LATIN
 
 #: Fixed values of the base rules.
@@ -146,10 +145,9 @@ class Fertility:
         return chars / n, float(bytes_used / n), float(entropy), n
 
 
-@lru_cache(maxsize=2)
 def fertility_of(file: str) -> Fertility:
     """One instance per worker process."""
-    return Fertility(file)
+    return resident(("fertility", file), lambda: Fertility(file))
 
 
 COLUMNS = [

@@ -25,11 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridclear.llm import shingles as sh
-from gridclear.llm.common import small_batches, texts, written
+from gridclear.llm.common import release, small_batches, texts, written
 from gridclear.llm.components import connected_components
 
 BLOCK = 1 << 21  # shingles whose repetitions a task counts together
-FREQUENT = 4  # a shingle repeated this often within blocks comes last in the order
+FREQUENT = 32  # a shingle repeated this often within blocks comes last in the order
 MAX_FREQUENT = 1 << 17  # of these, the most frequent are told to all tasks: 1 MB
 CLOSE = 50  # percent of likeness at which documents are put in a group
 ROUNDS = 1  # of comparisons before the matrix is made
@@ -51,6 +51,7 @@ def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held: list[np.ndarray] = []
         seen: set[tuple[int, int]] = set()
         total = 0
@@ -89,6 +90,7 @@ def described(docs: DataFrame, size: int, percent: int, frequent: np.ndarray) ->
     kinds = [pa.int64()] * 6 + [LONGS, LONGS, pa.binary()]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         row = TaskContext.get().partitionId() << 40
         seen: set[tuple[int, int]] = set()
         filter_ = np.zeros(1 << 20, bool)
@@ -232,6 +234,7 @@ class Join:
         size = self.size
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release()
             keep = np.unpackbits(known.value, bitorder="little").astype(bool)
             seen: set[tuple[int, int]] = set()
             for batch in small_batches(batches):

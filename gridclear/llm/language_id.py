@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridclear.llm.common import map_batches, texts
+from gridclear.llm.common import map_batches, release, texts
 
 UNKNOWN = "und"
 WINDOW = 64  # bytes read in one go
@@ -256,6 +256,7 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         if stored.value is not None and not loaded:
+            release()
             loaded.append(Network.from_bytes(stored.value))
         all_texts = texts(batch)
         known = [has_letter(t) for t in all_texts]

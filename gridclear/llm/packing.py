@@ -12,7 +12,6 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -21,8 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridclear.llm.common import small_batches, texts
-from gridclear.llm.tokenizer_files import PreTokens, pretokens_of
+from gridclear.llm.common import resident, small_batches, texts
+from gridclear.llm.tokenizer_files import PreTokens
 
 MEMO = 1 << 18  # words of a generation whose ids a worker keeps: two of them take about 100 MB
 GO = 1 << 13  # words encoded at a time
@@ -39,7 +38,7 @@ class Encoder:
     """
 
     def __init__(self, file: str):
-        self.rule: PreTokens = pretokens_of(file)
+        self.rule = PreTokens(file)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.special = {t: np.array([i], "<u4").tobytes() for t, i in self.rule.special.items()}
@@ -91,10 +90,9 @@ class Encoder:
         return [np.array(ids, "<u4").tobytes() for ids in self.rule.encode(words)]
 
 
-@lru_cache(maxsize=2)
 def encoder_of(file: str) -> Encoder:
     """One instance per worker process."""
-    return Encoder(file)
+    return resident(("encoder", file), lambda: Encoder(file))
 
 
 def reciprocal_sizes(capacity: int) -> dict[int, int]:

@@ -11,7 +11,8 @@ import json
 import os
 import re
 from collections.abc import Callable
-from functools import lru_cache
+
+from gridclear.llm.common import resident
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -77,7 +78,6 @@ class PreTokens:
         return [e.ids for e in self.tokenizer.encode_batch_fast(pretokens, add_special_tokens=False)]
 
 
-@lru_cache(maxsize=4)
 def pretokens_of(file: str) -> PreTokens:
     """One instance per worker process."""
-    return PreTokens(file)
+    return resident(("pretokens", file), lambda: PreTokens(file))
