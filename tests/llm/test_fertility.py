@@ -1,7 +1,6 @@
 import random
 from collections import Counter
 
-import numpy as np
 from helpers import WORDS, empty, frame, odd_texts, words_of
 
 from gridclear.llm import fertility as fe
