@@ -26,6 +26,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 MIN_LANGUAGE_SCORE = 0.5
 
 
+#: Words that a worker keeps: few, as its memory is shared with what other stages leave in the executor.
+QUALITY_MEMO, PACKING_MEMO = 1 << 15, 1 << 16
+
+
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """``docs`` without the rows whose (doc_id, text_key) is in ``rejected``."""
     rejected = rejected.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
@@ -35,7 +39,7 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose tokenizer fertility is within the bands of their language."""
-    judged = fertility.quality_rules(docs, path(FERTILITY_VOCABULARY))
+    judged = fertility.quality_rules(docs, path(FERTILITY_VOCABULARY), memo=QUALITY_MEMO)
     return without(docs, judged.filter("NOT kept"))
 
 
@@ -70,7 +74,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, path(PACKING_VOCABULARY))
+    return packing.pack(docs, path(PACKING_VOCABULARY), memo=PACKING_MEMO)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -88,6 +89,9 @@ def release() -> None:
     """Gives up what a worker has kept for earlier stages."""
     _model.clear()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim is not None:
+        trim(0)
 
 
 def batch_of(**columns: tuple[list, pa.DataType]) -> pa.RecordBatch:

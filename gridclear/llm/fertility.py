@@ -86,7 +86,8 @@ def script_of(text: str) -> str:
 class Fertility:
     """Measures of a text's words under a vocabulary with byte fallback."""
 
-    def __init__(self, file: str):
+    def __init__(self, file: str, memo: int = MEMO):
+        self.memo = memo
         self.model = sentencepiece.SentencePieceProcessor(model_file=file)
         self.byte_ids = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
         self.begins = np.array([self.model.id_to_piece(i).startswith("\u2581") for i in range(self.model.get_piece_size())])
@@ -96,7 +97,7 @@ class Fertility:
         self.old: dict[bytes, bytes] = {}
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        if len(self.young) >= MEMO:
+        if len(self.young) >= self.memo:
             self.old, self.young = self.young, {}
         found = list(map(self.young.get, words))
         holes = [i for i, f in enumerate(found) if f is None]
@@ -145,9 +146,9 @@ class Fertility:
         return chars / n, float(bytes_used / n), float(entropy), n
 
 
-def fertility_of(file: str) -> Fertility:
+def fertility_of(file: str, memo: int) -> Fertility:
     """One instance per worker process."""
-    return resident(("fertility", file), lambda: Fertility(file))
+    return resident(("fertility", file, memo), lambda: Fertility(file, memo))
 
 
 COLUMNS = [
@@ -162,12 +163,12 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text, F.length(text))
 
 
-def measure(docs: DataFrame, file: str) -> DataFrame:
+def measure(docs: DataFrame, file: str, memo: int = MEMO) -> DataFrame:
     """Base counts and fertility measures of each row of ``docs`` (doc_id, text, lang)."""
     names = [n for n, _ in COLUMNS]
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model = fertility_of(file)
+        model = fertility_of(file, memo)
         out: list[tuple] = []
         for doc_id, key, lang, value in zip(*(batch.column(c) for c in ("doc_id", "text_key", "lang", "text"))):
             text = value.as_py() or ""
@@ -243,11 +244,11 @@ def judge(measured: DataFrame, bands: Bands = Bands()) -> DataFrame:
     return joined.withColumn("reason", reason).withColumn("kept", F.col("reason").isNull()).select(*measured.columns, "kept", "reason")
 
 
-def quality_rules(docs: DataFrame, file: str, bands: Bands = Bands()) -> DataFrame:
+def quality_rules(docs: DataFrame, file: str, bands: Bands = Bands(), memo: int = MEMO) -> DataFrame:
     """Base counts, fertility measures and verdict of each row of ``docs`` (doc_id, text, lang; other columns are ignored).
 
     A null or empty text has no words and fails the base rules.  A null language is judged by the text's script; groups too
     small for bands of their own by those of more documents (see ``LEVELS``), and by none if these are few too.  Rows with equal ids are judged each for itself;
-    null ids stay null; an empty table gives no rows.
+    null ids stay null; an empty table gives no rows.  ``memo`` trades a worker's memory for time.
     """
-    return judge(written(measure(docs, file), "fertility"), bands)
+    return judge(written(measure(docs, file, memo), "fertility"), bands)

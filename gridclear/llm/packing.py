@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from gridclear.llm.common import resident, small_batches, texts
 from gridclear.llm.tokenizer_files import PreTokens
 
-MEMO = 1 << 18  # words of a generation whose ids a worker keeps: two of them take about 100 MB
+MEMO = 1 << 19  # words of a generation whose ids a worker keeps: two of them take about 200 MB
 GO = 1 << 13  # words encoded at a time
 ID_BYTES = 4
 SCHEMA = (
@@ -37,8 +37,8 @@ class Encoder:
     The memo has two generations: when the younger is full it becomes the older, whose words come back when they are met.
     """
 
-    def __init__(self, file: str):
-        self.rule = PreTokens(file)
+    def __init__(self, file: str, memo: int = MEMO):
+        self.rule, self.memo = PreTokens(file), memo
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.special = {t: np.array([i], "<u4").tobytes() for t, i in self.rule.special.items()}
@@ -47,7 +47,7 @@ class Encoder:
         self.ends = np.array([token.endswith(suffix) for _, token in names]) if suffix else None
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.young) >= MEMO:
+        if len(self.young) >= self.memo:
             self.old, self.young = self.young, {}
         known = self.young.get
         cut, holes = [], []
@@ -90,9 +90,9 @@ class Encoder:
         return [np.array(ids, "<u4").tobytes() for ids in self.rule.encode(words)]
 
 
-def encoder_of(file: str) -> Encoder:
+def encoder_of(file: str, memo: int) -> Encoder:
     """One instance per worker process."""
-    return resident(("encoder", file), lambda: Encoder(file))
+    return resident(("encoder", file, memo), lambda: Encoder(file, memo))
 
 
 def reciprocal_sizes(capacity: int) -> dict[int, int]:
@@ -161,20 +161,20 @@ class HarmonicPacker:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
 
-def pack(docs: DataFrame, file: str, capacity: int = 2048, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, file: str, capacity: int = 2048, end_id: int = 1, memo: int = MEMO) -> DataFrame:
     """One row per piece of each document of ``docs`` (doc_id, text): where it lies in its document and in its sequence.
 
     A document is its ids, without special tokens added, then ``end_id``; a null or empty text is ``end_id`` alone.
     ``sequence_id`` is unique; ``offset`` runs without gaps from 0.  Rows with equal ids are packed each for itself; a null
     id stays null; an empty table gives no rows.  Sequences are padded to ``capacity`` (a power of two) unless
-    their tokens are a power of two.
+    their tokens are a power of two.  ``memo`` trades a worker's memory for time.
     """
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(file)
+        encoder = encoder_of(file, memo)
         packer = HarmonicPacker(capacity, TaskContext.get().partitionId() << 40)
         for batch in small_batches(batches):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(texts(batch))):

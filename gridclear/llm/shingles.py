@@ -8,7 +8,7 @@ import xxhash
 #: Shingle hashes have this many bits: in a pair of sets of a thousand shingles each, a false match has
 #: a probability below 1e-8.
 HASH_BITS = 48
-SLICE = 1 << 20  # bytes of text hashed in one go
+SLICE = 1 << 18  # bytes of text hashed in one go
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
