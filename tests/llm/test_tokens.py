@@ -110,9 +110,8 @@ def test_small_capacities_and_nothing(spark):
         packing.pack(empty(spark), WORDS, 100)
 
 
-def test_memo_generations(monkeypatch):
-    monkeypatch.setattr(packing, "MEMO", 40)
-    encoder = packing.Encoder(WORDS)
+def test_memo_generations():
+    encoder = packing.Encoder(WORDS, 40)
     texts = [t or "" for t in corpus()[:-1]]
     got = [ids for k in range(0, len(texts), 5) for ids in encoder.ids(texts[k : k + 5])]
     assert [np.frombuffer(b, "<u4").tolist() for b in got] == library_ids(WORDS, texts)
