@@ -74,7 +74,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, path(PACKING_VOCABULARY), memo=PACKING_MEMO)
+    """Stored here, as that keeps the batches of text small that wait for Python."""
+    return written(packing.pack(docs, path(PACKING_VOCABULARY), memo=PACKING_MEMO), "packed")
 
 
 STAGES: list[tuple[str, Stage]] = [
