@@ -2,8 +2,8 @@
 
 Base rules count words, repeated three-word windows, repeated lines and symbols.  What passes them is judged by a public
 vocabulary with byte fallback: characters per token, share of byte-fallback tokens, and token entropy in bits.  Each
-language, or script where the language is unknown, has its own rejection bands around the median of all its passing documents
-of like length: entropy grows with length, so lengths are taken by powers of two.
+language, or script where the language is unknown, has its own rejection bands around the median of all its distinct passing
+texts of like length: entropy grows with length, so lengths are taken by powers of two.
 """
 
 from __future__ import annotations
@@ -47,11 +47,11 @@ MEASURES = ["chars_per_token", "byte_share", "entropy_bits"]
 
 @dataclass(frozen=True)
 class Bands:
-    """How far from its group's median a measure may lie: so many interquartile ranges, each taken as ``least`` at least."""
+    """How far from its group's median a measure may lie: so many interquartile ranges, each taken as ``least`` and as the typical one at least."""
 
     ranges: tuple[float, float, float] = (5.0, 5.0, 3.0)
     least: tuple[float, float, float] = (0.05, 0.02, 0.05)
-    min_documents: int = 30  # smaller groups have no bands of their own
+    min_documents: int = 30  # groups of fewer distinct texts have no bands of their own
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -199,18 +199,37 @@ LEVELS = [("group", "octave"), ("group",), ("octave",), ()]
 def band_table(measured: DataFrame, bands: Bands) -> DataFrame:
     """Lower and upper bound of each measure by group and length; a null ``group`` or ``octave`` stands for all.
 
-    Quartiles are mergeable sketches over all documents that pass the base rules.
+    Quartiles are mergeable sketches over the distinct texts that pass the base rules, so copies count once.  Near copies are
+    distinct and can still make up most of a cell; so no range is taken as less than the typical one (see ``typical_ranges``).
     """
-    passing = measured.filter(~F.col("base_failed")).select(group_of().alias("group"), octave(), *MEASURES)
+    passing = measured.filter(~F.col("base_failed")).select("text_key", group_of().alias("group"), octave(), *MEASURES).distinct()
     keys = [F.struct(*((F.col(c) if c in level else F.lit(None)).alias(c) for c in ("group", "octave"))) for level in LEVELS]
     quartiles = passing.select(F.explode(F.array(*keys)).alias("key"), *MEASURES).groupBy("key.group", "key.octave").agg(
         F.count("*").alias("documents"), *(F.percentile_approx(m, [0.25, 0.5, 0.75], 10_000).alias(m) for m in MEASURES)
     )
+    cells = typical_ranges(written(quartiles.filter(F.col("documents") >= bands.min_documents), "quartiles"))
     columns = []
     for m, ranges, least in zip(MEASURES, bands.ranges, bands.least):
-        spread = ranges * F.greatest(F.col(m)[2] - F.col(m)[0], F.lit(least))
+        spread = ranges * F.greatest(F.col(m)[2] - F.col(m)[0], F.col(f"{m}_typical"), F.lit(least))
         columns += [(F.col(m)[1] - spread).alias(f"{m}_low"), (F.col(m)[1] + spread).alias(f"{m}_high")]
-    return quartiles.filter(F.col("documents") >= bands.min_documents).select("group", "octave", *columns)
+    return cells.select("group", "octave", *columns)
+
+
+def typical_ranges(cells: DataFrame) -> DataFrame:
+    """``cells`` with the median, the upper one of an even number, of each measure's interquartile ranges over all groups at like length.
+
+    A length that fewer than two groups have takes that of all cells by group and length; it is null if there are none.
+    """
+
+    def medians(suffix: str) -> list[Column]:
+        return [(-F.percentile_approx(F.col(m)[0] - F.col(m)[2], 0.5, 10_000)).alias(m + suffix) for m in MEASURES]
+
+    groups = cells.filter("group IS NOT NULL")
+    alike = groups.groupBy(F.col("octave").alias("like_octave")).agg(F.count("*").alias("groups"), *medians("_alike"))
+    overall = groups.filter("octave IS NOT NULL").agg(*medians("_overall"))
+    joined = cells.join(F.broadcast(alike), F.col("octave").eqNullSafe(F.col("like_octave")), "left").crossJoin(F.broadcast(overall))
+    found = {f"{m}_typical": F.when(F.col("groups") > 1, F.col(f"{m}_alike")).otherwise(F.col(f"{m}_overall")) for m in MEASURES}
+    return joined.withColumns(found).select(*cells.columns, *found)
 
 
 def group_of() -> Column:

@@ -51,6 +51,18 @@ def test_bands_reject_junk_and_keep_clean(spark):
     assert got[164].byte_share > 0.5
 
 
+def test_copies_do_not_narrow_bands(spark):
+    rng = random.Random(4)
+    clean = {"en": language(rng, ["the", "ing", "er", "st", "on"]), "de": language(rng, ["ung", "sch", "ein", "ver", "ß"])}
+    langs = ["en"] * 80 + ["de"] * 80 + ["en"] * 300
+    near = [f"{clean['en'][0]} {''.join(rng.choices('aeiou', k=4))}" for _ in range(300)]
+    for more in ([clean["en"][0]] * 300, near):
+        got = {r.doc_id: r for r in fe.quality_rules(frame(spark, clean["en"] + clean["de"] + more, langs=langs), FILE).collect()}
+        assert sum(got[i].kept for i in range(160)) >= 158
+        junk = clean["en"] + clean["de"] + more[:-1] + [" ".join("".join(rng.choices("ͷ꙰ꔀ𐎀𒀀", k=4)) for _ in range(60))]
+        assert [r.kept for r in fe.quality_rules(frame(spark, junk, langs=langs), FILE).filter("doc_id = 459").collect()] == [False]
+
+
 def test_unknown_language_goes_by_script(spark):
     assert fe.script_of("Привет, мир") == "Cyrillic"
     assert fe.script_of("é") == fe.script_of("plain") == "Latin"
