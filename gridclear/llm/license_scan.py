@@ -79,6 +79,9 @@ TEMPLATES: dict[str, list[str]] = {
         "Licensed under the Mozilla Public License, version 2.0.",
     ],
     "Proprietary": [
+        "Copyright. All rights reserved.",
+        "All rights reserved worldwide.",
+        "Copyright 2020 the author. All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher.",
         "This document is proprietary and confidential. Unauthorized copying of this file, via any medium, is strictly prohibited.",
     ],
@@ -95,6 +98,8 @@ ORDINARY = [
     "The conditions on the road were poor and the notice came late.",
     "The Apache helicopters were seen in the north, under heavy rain.",
     "Any later reader may find the source of the story in the archive.",
+    "The singer reserved all rights to the film for her children.",
+    "The table was reserved, and all rights of way were closed that year.",
 ]
 
 WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")

@@ -83,3 +83,16 @@ def test_scan_of_a_table_finds_its_license_lines(spark, sf_dir):
     got = {r.doc_id: r.families for r in ls.scan(docs).collect()}
     for doc_id, text in docs.select("doc_id", "text").collect():
         assert got[doc_id] == sorted({f for line, f in lines.items() if line in text.split("\n")})
+
+
+def test_short_reservations_of_rights(spark, sf_dir, model):
+    for text in ("All rights reserved.", "Copyright 2020 X. All rights reserved.", "(c) 1999 Some Company, Inc. All Rights Reserved"):
+        found, shared = family(model, text)
+        assert found == "Proprietary" and shared >= 0.5, text
+    for text in ("She reserved all rights to the book.", "All rights to the land were reserved for the town.", "The rights reserved to the states are many."):
+        found, shared = family(model, text)
+        assert found == ls.UNKNOWN or shared < 0.5, text
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = {r.doc_id for r in ls.scan(docs).collect() if "Proprietary" in r.families}
+    want = {doc_id for doc_id, text in docs.select("doc_id", "text").collect() if "All rights reserved." in text.split("\n")}
+    assert len(want) == 3 and got == want
