@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is stored
 documents.  All but the last return the columns of documents.
 
 Stages that reject documents find the keys of those to go, (doc_id, hash of the text), and take them out by an anti join:
-verdicts depend on nothing else, so repeated rows share them.
+verdicts depend on nothing else, so repeated rows share them.  Those of the quality rules depend on lang too, which their key has.
 """
 
 from __future__ import annotations
@@ -30,17 +30,20 @@ MIN_LANGUAGE_SCORE = 0.5
 QUALITY_MEMO, PACKING_MEMO = 1 << 15, 1 << 16
 
 
-def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose (doc_id, text_key) is in ``rejected``."""
-    rejected = rejected.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+def without(docs: DataFrame, rejected: DataFrame, *more: str) -> DataFrame:
+    """``docs`` without the rows whose (doc_id, text_key), and columns ``more``, are in ``rejected``."""
+    gone = [F.col(c).alias(f"gone_{c}") for c in more]
+    rejected = rejected.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), *gone).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key"))
+    for c in more:
+        same = same & F.col(c).eqNullSafe(F.col(f"gone_{c}"))
     return docs.withColumn("text_key", fertility.text_key(F.col("text"))).join(rejected, same, "left_anti").drop("text_key")
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose tokenizer fertility is within the bands of their language."""
     judged = fertility.quality_rules(docs, path(FERTILITY_VOCABULARY), memo=QUALITY_MEMO)
-    return without(docs, judged.filter("NOT kept"))
+    return without(docs, judged.filter("NOT kept"), "lang")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

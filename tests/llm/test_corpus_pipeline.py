@@ -75,6 +75,17 @@ def test_one_row_of_each_group_stays(spark, sf_dir):
     assert len(got) == 6
 
 
+def test_quality_verdicts_go_by_language(spark, sf_dir):
+    rng = random.Random(3)
+    plain = [sentence(rng, 100) for _ in range(60)]
+    other = [" ".join("".join(rng.choices("абвгд", k=5)) for _ in range(100)) for _ in range(60)]
+    docs = frame(spark, plain + other + [plain[0]] * 2, [*range(120), None, None], ["en"] * 60 + ["ru"] * 60 + ["en", "ru"])
+    judged = {r.lang: r.kept for r in queries.fertility.quality_rules(docs, queries.path(queries.FERTILITY_VOCABULARY)).filter("doc_id IS NULL").collect()}
+    assert judged == {"en": True, "ru": False}
+    got = cp.apply_quality_rules(spark, docs, sf_dir)
+    assert [r.lang for r in got.filter("doc_id IS NULL").collect()] == ["en"] and got.columns == COLUMNS
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
