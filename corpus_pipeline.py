@@ -47,8 +47,14 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the network knows."""
-    predicted = language_id.identify(docs)
+    """Documents in a language that the network knows.
+
+    If nothing could be learned, as no row has a usable label, only null texts and texts without letters are rejected.
+    """
+    network = language_id.fit(docs)
+    if network is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    predicted = language_id.predict(docs, network)
     unknown = (F.col("lang_pred") == language_id.UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SCORE)
     return without(docs, predicted.filter(unknown))
 

@@ -86,6 +86,13 @@ def test_quality_verdicts_go_by_language(spark, sf_dir):
     assert [r.lang for r in got.filter("doc_id IS NULL").collect()] == ["en"] and got.columns == COLUMNS
 
 
+def test_language_stage_without_labels(spark, sf_dir):
+    texts = [*odd_texts(), "1 2 3", "plain text"]
+    docs = frame(spark, texts)
+    got = cp.identify_language(spark, docs, sf_dir)
+    assert ids(got) == [i for i, t in enumerate(texts) if any(map(str.isalpha, t or ""))] and got.columns == COLUMNS
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
