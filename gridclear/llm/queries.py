@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridclear.llm import chat_format, fertility, fingerprints, jaccard_groups, language_id, license_scan, mixing, packing, token_counts, url_filter
+from gridclear.llm import chat_format, fertility, fingerprints, jaccard_groups, language_id, license_scan, mixing, packing, token_counts, toxicity, url_filter
 from gridclear.llm.common import table
 from gridclear.llm.tokenizer_files import path
 
@@ -93,6 +93,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(rows, chat_format.marked_turns))
 
 
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 # ---------------------------------------------------------------------------------------------------------------------
 # SQL with the same rows, for the queries that it can express.
 
