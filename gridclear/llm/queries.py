@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridclear.llm import chat_format, fertility, fingerprints, jaccard_groups, language_id, license_scan, mixing, packing, token_counts, toxicity, url_filter
+from gridclear.llm import chat_format, fertility, fingerprints, jaccard_groups, language_id, license_scan, mixing, packing, spelling, token_counts, toxicity, url_filter
 from gridclear.llm.common import table
 from gridclear.llm.tokenizer_files import path
 
@@ -93,6 +93,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_conversations(rows, chat_format.marked_turns))
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -207,6 +212,45 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+#: The checksum is computed byte by byte from a table that its polynomial gives.
+SQL_SPELLING = f"""
+WITH RECURSIVE polynomial AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), '{spelling.UPPER}', '{spelling.LOWER}'), '[a-zÀ-ÿ]{{{spelling.LEAST_LENGTH},}}')) AS run
+  FROM documents),
+counted AS (SELECT run, hex(encode(id || ':' || run)) AS digits, count(*) AS k FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(1, length(digits), 2), lambda i: CAST('0x' || substr(digits, i, 2) AS BIGINT))),
+    lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1]))) AS h
+  FROM counted, polynomial),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, CAST(sum(k) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= {spelling.LEAST_LENGTH} AND sum(k) >= {spelling.LEAST_COUNT}),
+cuts AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS near FROM cuts a JOIN cuts b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+  UNION SELECT cuts.word, words.word FROM cuts JOIN words ON cut = words.word
+  UNION SELECT words.word, cuts.word FROM cuts JOIN words ON cut = words.word),
+ranked AS (
+  SELECT near.word, near, v.n AS near_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY v.n DESC, near) AS place
+  FROM near JOIN words v ON near = v.word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= {spelling.DOMINANCE} * w.n THEN near END AS form,
+    CASE WHEN near_n >= {spelling.DOMINANCE} * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND place = 1),
+chain AS (
+  SELECT word, word AS root, form AS next_form FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON c.next_form = f.word)
+SELECT formed.word, form, root, n, n_near, form_n FROM formed JOIN chain ON formed.word = chain.word AND next_form IS NULL
+"""
+
+ORACLE["op11_spelling_variants"] = SQL_SPELLING
 ORACLE["op6_ngram_jaccard_join"] = SQL_JACCARD
 ORACLE["op10_chat_formatting"] = SQL_CHAT
 ORACLE["op5_url_filters"] = url_sql()
