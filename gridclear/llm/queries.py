@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridclear.llm import chat_format, fertility, fingerprints, jaccard_groups, language_id, license_scan, mixing, packing, spelling, token_counts, toxicity, url_filter
+from gridclear.llm import chat_format, conversation_repair, fertility, fingerprints, jaccard_groups, language_id, license_scan, mixing, packing, spelling, token_counts, toxicity, url_filter
 from gridclear.llm.common import table
 from gridclear.llm.tokenizer_files import path
 
@@ -98,6 +98,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
