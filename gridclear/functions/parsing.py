@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,24 +13,37 @@ from gridclear.schema import POWER
 # Date layouts met in bid inputs, in order of preference.
 DATE_LAYOUTS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy")
 GERMAN_DATE = "dd.MM.yyyy"
+# What the parts of a layout look like.
+PARTS = {"yyyy": r"\d{4}", "MM": r"(0[1-9]|1[0-2])", "dd": r"(0[1-9]|[12]\d|3[01])", "HH": r"([01]\d|2[0-3])", "mm": r"[0-5]\d", "ss": r"[0-5]\d"}
+NUMBER = r"^[+-]?(\d+[.,]?\d*|[.,]\d+)([eE][+-]?\d+)?$"
+
+
+def layout_pattern(layout: str) -> str:
+    """The texts that a layout may fit: whoever asks it first spares the parser those that would make it throw."""
+    return "^" + re.sub("|".join(PARTS), lambda part: PARTS[part[0]], re.escape(layout)) + "$"
 
 
 def decimal_comma(text: Column, kind: T.DataType = POWER) -> Column:
-    """``1,5`` and ``1.5`` alike; NULL for anything that is no number."""
-    return F.replace(F.trim(text.cast("string")), F.lit(","), F.lit(".")).try_cast(kind)
+    """``1,5`` and ``1.5`` alike; NULL for anything that is no number, which a pattern tells before the cast would throw."""
+    trimmed = F.trim(text.cast("string"))
+    return F.when(trimmed.rlike(NUMBER), F.replace(trimmed, F.lit(","), F.lit(".")).try_cast(kind))
 
 
 def unreadable_number(text: Column, kind: T.DataType = POWER) -> Column:
     """Whether a filled text is no number, or one that the type would round."""
     wide = decimal_comma(text, T.DecimalType(38, 12))
-    exact = decimal_comma(text, kind).cast(T.DecimalType(38, 12)) == wide
+    exact = wide.try_cast(kind) == wide
     return (F.trim(text.cast("string")) != "") & ~F.coalesce(exact, F.lit(False))
 
 
 def parse_date(text: Column, layouts: tuple[str, ...] = DATE_LAYOUTS) -> Column:
-    """The first layout that fits, else NULL."""
+    """The date of the first layout that fits, else NULL; each layout has a year, month and day at fixed places."""
     trimmed = F.trim(text.cast("string"))
-    return F.coalesce(*[F.try_to_date(trimmed, layout) for layout in layouts])
+    iso = F.when(F.lit(False), F.lit(None).cast("string"))
+    for layout in layouts:
+        parts = [F.substring(trimmed, layout.index(part) + 1, len(part)) for part in ("yyyy", "MM", "dd")]
+        iso = iso.when(trimmed.rlike(layout_pattern(layout)), F.concat_ws("-", *parts))
+    return iso.try_cast("date")
 
 
 def german_date(text: Column) -> Column:

@@ -9,6 +9,7 @@ from gridclear.functions import parsing as ps
 from gridclear.functions import timecode as tc
 from gridclear.schema import (
     ACTIVATION_COLUMNS,
+    BIDS,
     BIDS_RAW,
     PRICE,
     REQUIRED_BID_COLUMNS,
@@ -101,6 +102,16 @@ def to_activations(raw: DataFrame, zone: str = ZONE_COLUMN) -> DataFrame:
     )
 
 
+def activation_problem(zone: str = ZONE_COLUMN) -> Column:
+    """Why a raw activation row cannot be loaded, NULL if it can: a date, time of day or volume that is not to be read as it is."""
+    date, volume = F.trim("Datum"), quoted(zone)
+    readable = date.rlike(ps.layout_pattern(ps.GERMAN_DATE)) & F.try_to_date(date, ps.GERMAN_DATE).isNotNull()
+    reason = F.when(~F.coalesce(readable, F.lit(False)), "unreadable date")
+    for name in ("von", "bis"):
+        reason = reason.when(~F.coalesce(ps.with_seconds(F.col(name)).rlike(TIME_PATTERN), F.lit(False)), "unreadable time")
+    return reason.when(ps.decimal_comma(volume).isNull() | ps.unreadable_number(volume), "unreadable volume")
+
+
 def add_month_year(df: DataFrame, date_column: str = "date") -> DataFrame:
     return df.withColumns({"month": F.month(date_column), "year": F.year(date_column)})
 
@@ -132,7 +143,8 @@ def standardize_date_column(df: DataFrame, column: str, layout: str | None = Non
     elif layout:
         parsed = F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz")
     else:
-        parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in ps.DATE_LAYOUTS]).cast("timestamp_ntz")
+        known = [F.when(text.rlike(ps.layout_pattern(p)), F.try_to_timestamp(text, F.lit(p))) for p in ps.DATE_LAYOUTS]
+        parsed = F.coalesce(*known).cast("timestamp_ntz")
         if strict:
             unreadable = F.concat(F.lit(f"unreadable date in {column}: "), text)
             parsed = F.when(text.isNull() | parsed.isNotNull(), parsed).otherwise(
@@ -162,8 +174,7 @@ def bid_problem() -> Column:
 
 def quarantined_bids(raw: DataFrame) -> DataFrame:
     """Raw bids that ``clean_bids`` leaves out, as they came, with the ``reason``."""
-    named = conform_to_schema(apply_aliases(raw), BIDS_RAW)
-    return named.withColumn("reason", bid_problem()).filter(F.col("reason").isNotNull())
+    return refused_bids(read_bids(raw))
 
 
 def without_product(df: DataFrame, product: str = "PRODUCT") -> DataFrame:
@@ -171,16 +182,16 @@ def without_product(df: DataFrame, product: str = "PRODUCT") -> DataFrame:
     return df.filter(quoted(product).isNull())
 
 
-def clean_bids(raw: DataFrame) -> DataFrame:
-    """Raw bid text to the canonical table: negative products, signed prices, typed dates and numbers.
+def read_bids(raw: DataFrame) -> DataFrame:
+    """Raw bid text read once: the typed columns of the canonical table, the ``reason`` why a bid cannot be loaded, and the row as it came.
 
-    No value is rounded or replaced: bids with one that cannot be read are those of ``quarantined_bids``.  Empty numbers stay NULL.
+    Store the result where loaded bids, refused ones and counts are all wanted.
     """
     named = conform_to_schema(apply_aliases(raw), BIDS_RAW)
     price = ps.decimal_comma(quoted("ENERGY_PRICE_[EUR/MWh]"), PRICE)
     direction = F.col("ENERGY_PRICE_PAYMENT_DIRECTION")
     quarter = tc.quarter_of_product(F.col("PRODUCT"))
-    typed = drop_positive_products(named.filter(bid_problem().isNull())).select(
+    return named.select(
         ps.parse_date(F.col("DELIVERY_DATE")).alias("delivery_date"),
         F.col("PRODUCT").alias("product"),
         ps.signed_price(price, direction).cast(PRICE).alias("energy_price_eur_mwh"),
@@ -190,16 +201,33 @@ def clean_bids(raw: DataFrame) -> DataFrame:
         F.col("TYPE_OF_RESERVES").alias("type_of_reserves"),
         F.col("COUNTRY").alias("country"),
         F.col("NOTE").alias("note"),
-        quarter.alias("_quarter"),
         "source_file",
-        F.current_timestamp().alias("load_timestamp"),
+        quarter.alias("quarter"),
+        bid_problem().alias("reason"),
+        F.struct(*[quoted(f.name) for f in BIDS_RAW.fields]).alias("raw"),
     )
+
+
+def accepted_bids(read: DataFrame) -> DataFrame:
+    """The canonical table of bids that ``read_bids`` found nothing against, without positive products."""
+    typed = drop_positive_products(read.filter("reason IS NULL"), "product")
+    date, quarter = F.col("delivery_date"), F.col("quarter")
     return typed.withColumns(
-        {
-            "block_start": tc.block_start(F.col("delivery_date"), F.col("_quarter")),
-            "block_end": tc.block_end(F.col("delivery_date"), F.col("_quarter")),
-        }
-    ).drop("_quarter")
+        {"block_start": tc.block_start(date, quarter), "block_end": tc.block_end(date, quarter), "load_timestamp": F.current_timestamp()}
+    ).select(*[f.name for f in BIDS.fields])
+
+
+def refused_bids(read: DataFrame) -> DataFrame:
+    """Bids that ``read_bids`` found a reason against, as they came."""
+    return read.filter("reason IS NOT NULL").select("raw.*", "reason")
+
+
+def clean_bids(raw: DataFrame) -> DataFrame:
+    """Raw bid text to the canonical table: negative products, signed prices, typed dates and numbers.
+
+    No value is rounded or replaced: bids with one that cannot be read are those of ``quarantined_bids``.  Empty numbers stay NULL.
+    """
+    return accepted_bids(read_bids(raw))
 
 
 def sort_clean_bids(bids: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridclear.functions import parsing as ps
 from gridclear.functions import timecode as tc
 from gridclear.operators import cleaning as cl
 from gridclear.operators import coverage as cv
@@ -12,6 +13,7 @@ from gridclear.operators import profiling as pf
 from gridclear.operators import reconcile as rc
 from gridclear.plans import market_views as mv
 from gridclear.plans import market_queries as mq
+from gridclear.plans import workflows as wf
 from gridclear.plans.fixture_workbooks import land_broken_file, land_sheets
 from gridclear.plans.oracle_views import END, START, with_act, with_bids, with_prices
 from gridclear.plans.registry import query
@@ -22,6 +24,7 @@ from gridclear.sources import delimited as dl
 from gridclear.sources import landing as ln
 from gridclear.sources import workbooks as wb
 from gridclear.sources.period_table import PeriodTable
+from gridclear.streaming import ledger as lg
 from gridclear.streaming import loads as st
 
 RAW_NAMES = ["Datum", "Zeitzone", "von", "bis", "50Hertz (Negativ)", "Amprion (Negativ)"]
@@ -461,11 +464,88 @@ def incremental_landing_load(spark, sf):
     table = _activation_table(spark, f"{root}/table")
     for delivery in _drops(spark, sf):
         _land_activations(delivery, f"{root}/landing")
-        stream = st.activation_stream(spark, f"{root}/landing", RAW_NAMES)
-        st.incremental_landing_load(stream, table, f"{root}/checkpoint")
+        st.load_activation_files(spark, f"{root}/landing", table, f"{root}/checkpoint", archive=f"{root}/archive")
     return table.read().select(*SHOWN)
 
 
+@query(
+    with_act(
+        """SELECT 'stored' AS what, CAST(date AS VARCHAR) AS date, quarter_no,
+  CAST(CASE WHEN date >= DATE '2024-01-16' AND NOT (date = DATE '2024-01-20' AND quarter_no % 2 = 0) THEN v + 3 ELSE v END AS DOUBLE) AS activated_volume_mw,
+  CAST(NULL AS VARCHAR) AS reason FROM act
+UNION ALL SELECT 'refused', NULL, NULL, NULL, 'unreadable volume' FROM act WHERE date = DATE '2024-01-20' AND quarter_no % 2 = 0
+UNION ALL SELECT 'refused', NULL, NULL, NULL, 'columns absent: von, 50Hertz (Negativ)'"""
+    )
+)
+def isolated_landing_load(spark, sf):
+    """All days, then corrected later days, among them a day with unreadable volumes, and a file without the columns."""
+    root = scratch_dir(spark, "isolated")
+    table, landing = _activation_table(spark, f"{root}/table"), f"{root}/landing"
+
+    def load():
+        st.load_activation_files(spark, landing, table, f"{root}/checkpoint", archive=f"{root}/archive", rejected=f"{root}/rejected")
+
+    first, corrected = _drops(spark, sf)
+    _land_activations(first, f"{landing}/one")
+    load()
+    quarter = tc.quarter_of_time(F.col("von"))
+    spoilt = (F.col("Datum ") == "20.01.2024") & (quarter % 2 == 0)
+    _land_activations(corrected.withColumn("50Hertz (Negativ)", F.when(spoilt, "?").otherwise(F.col("50Hertz (Negativ)"))), f"{landing}/two")
+    spark.createDataFrame([("01.01.2024", "00:15")], "Datum string, bis string").coalesce(1).write.option("header", True).option("sep", ";").csv(f"{landing}/three")
+    load()
+    load()
+    stored = table.read().select(F.lit("stored").alias("what"), *SHOWN, F.lit(None).cast("string").alias("reason"))
+    letters = lg.dead_letters(spark, table).select(F.lit("refused").alias("what"), "reason")
+    return stored.unionByName(letters, allowMissingColumns=True)
+
+
+REFUSED_SQL = with_bids(
+    """SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, product, CAST(CASE WHEN delivery_date = DATE '2024-01-12' THEN price
+       WHEN payment_direction = 'PROVIDER_TO_GRID' THEN price - 1000 ELSE price + 1000 END AS DOUBLE) AS energy_price_eur_mwh,
+       CAST(mw AS DOUBLE) AS allocated_capacity_mw, 0::BIGINT AS refused FROM bids WHERE delivery_date <> DATE '2024-01-20'
+UNION ALL SELECT NULL, NULL, NULL, NULL, COUNT(*) FROM all_bids WHERE delivery_date = DATE '2024-01-12'"""
+)
+
+
+def _second_delivery(spark, sf):
+    """Prices raised by 1000; those of one day cannot be read, and another day is missing."""
+    text = mv.bid_text(spark, sf)
+    price, day = F.col("`ENERGY_PRICE_[EUR/MWh]`"), ps.parse_date(F.col("DELIVERY_DATE"))
+    raised = ps.to_decimal_comma((ps.decimal_comma(price) + 1000).cast(POWER))
+    told = text.filter(day != F.lit("2024-01-20").cast("date"))
+    return told.withColumn("ENERGY_PRICE_[EUR/MWh]", F.when(day == F.lit("2024-01-12").cast("date"), "abc").otherwise(raised))
+
+
+def _land_sheet_rows(text, path):
+    land_sheets(text.select(*[f"`{c}`" for c in BID_TEXT], "NOTE"), path)
+
+
+def _kept(table, refused):
+    rows = table.read().select(*[c for c in BID_SHOWN if c != "source_file"], F.lit(0).cast("long").alias("refused"))
+    return rows.unionByName(refused.agg(F.count("*").alias("refused")), allowMissingColumns=True)
+
+
+@query(REFUSED_SQL)
+def refused_bids_keep_their_day(spark, sf):
+    root = scratch_dir(spark, "refused")
+    table = _bid_table(spark, "refused-table")
+    _land_sheet_rows(mv.bid_text(spark, sf), f"{root}/one")
+    _land_sheet_rows(_second_delivery(spark, sf), f"{root}/two")
+    for part in ("one", "two"):
+        wf.load_bids(spark, f"{root}/{part}", table)
+    return _kept(table, spark.read.parquet(f"{table.root}/quarantine"))
+
+
+@query(REFUSED_SQL)
+def refused_bids_keep_their_day_in_streams(spark, sf):
+    root = scratch_dir(spark, "refused-stream")
+    table = _bid_table(spark, "refused-stream-table")
+    for prefix, rows in (("first", mv.bid_text(spark, sf)), ("second", _second_delivery(spark, sf))):
+        land_sheets(rows.select(*[f"`{c}`" for c in BID_TEXT], "NOTE"), f"{root}/landing", prefix)
+        st.bid_workbook_load(spark, f"{root}/landing", table, f"{root}/checkpoint")
+    return _kept(table, lg.dead_letters(spark, table))
+
+
 @query(STREAM_SQL)
 def latest_activation_stream(spark, sf):
     root = scratch_dir(spark, "latest")

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridclear.operators import cleaning as cl
-from gridclear.operators import reconcile as rc
 from gridclear.operators.merit_order import date_range, marginal_prices
 from gridclear.schema import ACTIVATIONS, BIDS, MARGINAL_PRICES
-from gridclear.session import scratch_dir
+from gridclear.sources.bid_import import BidImport
 from gridclear.sources.delimited import scan_activation_csv
+from gridclear.sources.landing import read_binary
 from gridclear.sources.period_table import PeriodTable
-from gridclear.sources.workbooks import scan_sheets, sheet_manifest, to_raw_bids, unreadable_files
+from gridclear.sources.workbooks import scan_sheets
 
 
 class InvalidActivations(ValueError):
@@ -48,26 +48,18 @@ def load_activations(
 def load_bids(spark: SparkSession, path: str, table: PeriodTable, all_or_nothing: bool = False) -> tuple[DataFrame, DataFrame]:
     """Replaces the days from the first to the last of the valid sheets; returns the summary and the errors.
 
-    Sheets are parsed once, into a staging folder; checks and load read that.  Unreadable sheets are errors: they fail an
-    ``all_or_nothing`` import, and otherwise only days with rows are replaced, as the days of such sheets are not known.  Bids that
-    cannot be read go to ``quarantine`` next to the table, and are counted in the errors.
+    Sheets that cannot be loaded are errors; an unreadable one, or one without the required columns, fails an ``all_or_nothing`` import.
+    Bids that cannot be read go to ``quarantine`` next to the table, and are counted in the errors.  Neither empties a stored day.
     """
-    staging = scratch_dir(spark, "staging")
-    scan_sheets(spark, path).write.parquet(staging)
-    rows = spark.read.parquet(staging)
-    manifest, unreadable = sheet_manifest(rows), unreadable_files(spark, path, rows)
-    errors = rc.load_errors(manifest, unreadable)
-    first = unreadable.head()
-    if first and all_or_nothing:
-        raise cl.InvalidSheets(f"{first['source_file']} [{first['sheet']}]: {first['error']}")
-    valid, _ = cl.route_invalid_sheets(rows, all_or_nothing=all_or_nothing)
-    raw = to_raw_bids(valid)
-    refused = cl.quarantined_bids(raw)
-    refused.write.mode("append").parquet(f"{table.root}/quarantine")
-    (table.replace_partitions if first else table.replace_range)(cl.clean_bids(raw), "bid_load", [path])
-    counted = refused.groupBy("source_file", "sheet", "reason").agg(F.count("*").alias("n"))
-    rows = counted.select("source_file", "sheet", F.concat_ws(" ", F.col("n").cast("string"), F.lit("rows in quarantine:"), "reason").alias("error"))
-    return rc.load_summary(manifest, unreadable), errors.unionByName(rows)
+    found = BidImport(spark, scan_sheets(spark, path), read_binary(spark, path, "*", recursive=True).select("path"))
+    if all_or_nothing:
+        first = found.first_unreadable
+        if first:
+            raise cl.InvalidSheets(f"{first['source_file']} [{first['sheet']}]: {first['error']}")
+        cl.route_invalid_sheets(found.rows, all_or_nothing=True)
+    found.refused().write.mode("append").parquet(f"{table.root}/quarantine")
+    found.store(table, "bid_load", [path])
+    return found.summary(), found.errors()
 
 
 def update_marginal_prices(

@@ -36,6 +36,45 @@ def scan_activation_csv(spark: SparkSession, path: str, sep: str = ";", encoding
     return trim_column_names(raw.select("*", file_name(F.col("_metadata.file_path")).alias("source_file")))
 
 
+def file_headers(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> DataFrame:
+    """(path, header): the first line of each file that has one."""
+    whole = spark.read.schema("value string").option("sep", "\u0001").option("quote", "").option("encoding", encoding).csv(paths)
+    lines = whole.filter(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value"
+    )
+    return lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "line").alias("header"))
+
+
+def scan_by_header(
+    spark: SparkSession, headers: dict[str, str], columns: list[str], sep: str = ";", encoding: str = "UTF-8"
+) -> DataFrame:
+    """``columns`` of files as text, each found by its own file's header (path to header line), with ``source_file`` and ``load_timestamp``.
+
+    Files of one header are read together by the CSV source, so quoted separators and line ends are its matter; there are as many scans as headers.
+    """
+    groups: dict[str, list[str]] = {}
+    for path, header in headers.items():
+        groups.setdefault(header, []).append(path)
+    found = spark.createDataFrame([], text_schema([*columns, "source_file"])).withColumn("load_timestamp", F.lit(None).cast("timestamp"))
+    for header, paths in sorted(groups.items()):
+        names = header_names(header, sep)
+        reader = spark.read.schema(text_schema([f"c{i}" for i in range(len(names))])).option("sep", sep).option("header", True)
+        rows = reader.option("encoding", encoding).csv(sorted(paths))
+        found = found.unionByName(
+            rows.select(
+                *[F.col(f"c{names.index(c)}").alias(c) for c in columns],
+                file_name(F.col("_metadata.file_path")).alias("source_file"),
+                F.col("_metadata.file_modification_time").alias("load_timestamp"),
+            )
+        )
+    return found
+
+
+def header_names(header: str, sep: str) -> list[str]:
+    """Names of a header line, without quotes, blanks and a byte order mark."""
+    return [name.strip().strip('"').strip() for name in header.lstrip("\ufeff").split(sep)]
+
+
 def scan_bid_csv(spark: SparkSession, path: str, columns: list[str], sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """The named columns of bid files as text, found by each file's own header, NULL where a file lacks one.
 

@@ -11,15 +11,17 @@ from __future__ import annotations
 import datetime as dt
 import getpass
 import hashlib
+import json
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridclear.operators.reconcile import numbered
 from gridclear.schema import conform_to_schema, quoted
+from gridclear.sources.small_files import delete, names_in, read_note, write_note
 
 LINEAGE_SCHEMA = T.StructType(
     [
@@ -94,28 +96,66 @@ class PeriodTable:
         self._gathered(df).write.mode("overwrite").insertInto(self.name)
         return self.append_lineage(operation, source_files)
 
-    def replace_range(self, df: DataFrame, operation: str = "replace_range", source_files: Iterable[str] = ()) -> str:
-        """Replaces everything between the first and the last date of the import, days that it lacks included.
+    def replace_range(
+        self, df: DataFrame, operation: str = "replace_range", source_files: Iterable[str] = (), spare: Iterable[dt.date] = ()
+    ) -> str:
+        """Replaces everything between the first and the last date of the import; days that it lacks are emptied but for those to ``spare``.
 
-        The first partition column is the date.  The days are observed while the rows are written; those that the import lacks are
-        then emptied, one statement per partition.
+        The first partition column is the date.  One job commits the rows, and observes their days.  Partitions to be emptied are then noted
+        in ``pending`` and leave the catalog by one statement; if anything stops in between, ``recover`` carries the note
+        out.  It runs before the next such load, and can be called at any time.
         """
+        self.recover()
         day, seen = self.partition_by[0], Observation()
+        note = {"operation": operation, "source_files": list(source_files), "gone": None}
+        path = self._pending(uuid.uuid4().hex)
+        write_note(self.spark, path, json.dumps(note))
         observed = self._gathered(df).observe(seen, F.collect_set(quoted(day)).alias("days"))
         observed.write.mode("overwrite").insertInto(self.name)
         days = seen.get["days"]
+        gone = []
         if days:
-            self._empty_partitions(F.col(day).between(F.lit(min(days)), F.lit(max(days))) & ~F.col(day).isin(list(days)))
-        return self.append_lineage(operation, source_files)
+            lost = F.col(day).between(F.lit(min(days)), F.lit(max(days))) & ~F.col(day).isin([*days, *spare])
+            gone = self.spark.table(self.name).filter(lost).select(*[quoted(c) for c in self.partition_by]).distinct().collect()  # calendar days
+        write_note(self.spark, path, json.dumps({**note, "gone": [[str(v) for v in row] for row in gone]}))
+        return self._complete(path)
 
-    def _empty_partitions(self, condition: Column) -> None:
-        stored = self.spark.table(self.name).filter(condition).select(*[quoted(c) for c in self.partition_by]).distinct()
-        nulls = ", ".join(
-            f"CAST(NULL AS {f.dataType.simpleString()})" for f in self.schema.fields if f.name not in self.partition_by
-        )
-        for values in stored.collect():  # calendar days
-            spec = ", ".join(f"`{c}` = '{v}'" for c, v in zip(self.partition_by, values))
-            self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION ({spec}) SELECT {nulls} WHERE FALSE")
+    def _pending(self, name: str) -> str:
+        return f"{self.root}/pending/{name}"
+
+    def recover(self) -> list[str]:
+        """Completes loads that stopped after their rows were committed; returns the operations of those that stopped before and must be repeated.
+
+        A load that stopped earlier has either changed nothing or committed its rows; its days were not emptied.  Only one process
+        may load a table at a time.
+        """
+        repeat = []
+        for name in sorted({n.removesuffix(".part") for n in names_in(self.spark, f"{self.root}/pending")}):
+            path = self._pending(name)
+            note = json.loads(read_note(self.spark, path) or "{}")
+            if note.get("gone") is None:
+                repeat.append(note.get("operation", "unknown"))
+                delete(self.spark, path)
+                delete(self.spark, f"{path}.part")
+            else:
+                self._complete(path)
+        return repeat
+
+    def _complete(self, path: str) -> str:
+        """Empties the partitions of a note, all by one statement, and takes the note away; each step may be repeated."""
+        note = json.loads(read_note(self.spark, path))
+        if note["gone"]:
+            self._drop_partitions(note["gone"])
+        run_id = self.append_lineage(note["operation"], note["source_files"])
+        delete(self.spark, path)
+        delete(self.spark, f"{path}.part")
+        return run_id
+
+    def _drop_partitions(self, gone: list[list[str]]) -> None:
+        specs = ", ".join("PARTITION (" + ", ".join(f"`{c}` = '{v}'" for c, v in zip(self.partition_by, values)) + ")" for values in gone)
+        self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {specs}")
+        for values in gone:  # the table is external: files stay until they are deleted, but no reader finds them
+            delete(self.spark, f"{self.root}/rows/" + "/".join(f"{c}={v}" for c, v in zip(self.partition_by, values)))
 
     def overwrite(self, df: DataFrame, operation: str = "create_or_replace", source_files: Iterable[str] = ()) -> str:
         """Replaces the whole table, which the rows must not come from."""
