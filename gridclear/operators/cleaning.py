@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridclear.functions import parsing as ps
 from gridclear.functions import timecode as tc
@@ -11,6 +14,7 @@ from gridclear.schema import (
     ACTIVATION_COLUMNS,
     BIDS,
     BIDS_RAW,
+    POWER,
     PRICE,
     REQUIRED_BID_COLUMNS,
     apply_aliases,
@@ -161,14 +165,24 @@ def drop_positive_products(df: DataFrame, product: str = "PRODUCT") -> DataFrame
     return df.filter(~quoted(product).startswith("POS_"))
 
 
+#: Numbers of a bid: where the raw text is, the typed column, and what a number that cannot be read is called.
+BID_NUMBERS = [
+    ("ENERGY_PRICE_[EUR/MWh]", "energy_price_eur_mwh", "unreadable price"),
+    ("ALLOCATED_CAPACITY_[MW]", "allocated_capacity_mw", "unreadable capacity"),
+    ("OFFERED_CAPACITY_[MW]", "offered_capacity_mw", "unreadable capacity"),
+]
+
+
 def bid_problem() -> Column:
-    """Why a raw bid cannot be loaded, NULL if it can: no product, or a date or number that is not to be read as it is."""
-    date = F.col("DELIVERY_DATE")
-    reason = F.when(F.col("PRODUCT").isNull() | (F.trim("PRODUCT") == ""), "no product")
-    reason = reason.when(ps.parse_date(date).isNull(), "unreadable date")
-    reason = reason.when(ps.unreadable_number(quoted("ENERGY_PRICE_[EUR/MWh]"), PRICE), "unreadable price")
-    for name in ("ALLOCATED_CAPACITY_[MW]", "OFFERED_CAPACITY_[MW]"):
-        reason = reason.when(ps.unreadable_number(quoted(name)), "unreadable capacity")
+    """Why a raw bid cannot be loaded, NULL if it can: no product, or a date or number that is not to be read as it is.
+
+    Asked of typed columns beside the raw text, so nothing is parsed for it.
+    """
+    reason = F.when(F.col("product").isNull() | (F.trim("product") == ""), "no product")
+    reason = reason.when(F.col("delivery_date").isNull(), "unreadable date")
+    for text, typed, problem in BID_NUMBERS:
+        exact = F.coalesce(F.col(typed).try_cast(PRICE) == F.col(typed), F.lit(False))
+        reason = reason.when((F.trim(F.col("raw")[text]) != "") & ~exact, problem)
     return reason
 
 
@@ -188,29 +202,35 @@ def read_bids(raw: DataFrame) -> DataFrame:
     Store the result where loaded bids, refused ones and counts are all wanted.
     """
     named = conform_to_schema(apply_aliases(raw), BIDS_RAW)
-    price = ps.decimal_comma(quoted("ENERGY_PRICE_[EUR/MWh]"), PRICE)
-    direction = F.col("ENERGY_PRICE_PAYMENT_DIRECTION")
-    quarter = tc.quarter_of_product(F.col("PRODUCT"))
-    return named.select(
+    wide = T.DecimalType(38, 12)
+    parsed = named.select(
+        F.struct(*[quoted(f.name) for f in BIDS_RAW.fields]).alias("raw"),
         ps.parse_date(F.col("DELIVERY_DATE")).alias("delivery_date"),
         F.col("PRODUCT").alias("product"),
-        ps.signed_price(price, direction).cast(PRICE).alias("energy_price_eur_mwh"),
-        direction.alias("payment_direction"),
-        ps.decimal_comma(quoted("ALLOCATED_CAPACITY_[MW]")).alias("allocated_capacity_mw"),
-        ps.decimal_comma(quoted("OFFERED_CAPACITY_[MW]")).alias("offered_capacity_mw"),
+        *[ps.decimal_comma(quoted(text), wide).alias(typed) for text, typed, _ in BID_NUMBERS],
+        F.col("ENERGY_PRICE_PAYMENT_DIRECTION").alias("payment_direction"),
         F.col("TYPE_OF_RESERVES").alias("type_of_reserves"),
         F.col("COUNTRY").alias("country"),
         F.col("NOTE").alias("note"),
         "source_file",
-        quarter.alias("quarter"),
-        bid_problem().alias("reason"),
-        F.struct(*[quoted(f.name) for f in BIDS_RAW.fields]).alias("raw"),
+        tc.quarter_of_product(F.col("PRODUCT")).alias("quarter"),
     )
+    price = F.col("energy_price_eur_mwh").try_cast(PRICE)
+    typed = {
+        "energy_price_eur_mwh": ps.signed_price(price, F.col("payment_direction")).cast(PRICE),
+        **{name: F.col(name).try_cast(POWER) for _, name, _ in BID_NUMBERS[1:]},
+    }
+    return parsed.select(*[typed.get(c, F.col(c)).alias(c) for c in parsed.columns], bid_problem().alias("reason"))
 
 
 def accepted_bids(read: DataFrame) -> DataFrame:
-    """The canonical table of bids that ``read_bids`` found nothing against, without positive products."""
-    typed = drop_positive_products(read.filter("reason IS NULL"), "product")
+    """The canonical table of bids that ``read_bids`` found nothing against, without positive products.
+
+    How many rows are read and refused is observed, for listeners of the session.  Filters do not pass an observation, so the optimizer
+    doesn't repeat the parsing in them.
+    """
+    counts = [F.count("*").alias("read"), F.count("reason").alias("refused")]
+    typed = drop_positive_products(read.observe(f"bids-{uuid.uuid4().hex}", *counts).filter("reason IS NULL"), "product")
     date, quarter = F.col("delivery_date"), F.col("quarter")
     return typed.withColumns(
         {"block_start": tc.block_start(date, quarter), "block_end": tc.block_end(date, quarter), "load_timestamp": F.current_timestamp()}
