@@ -11,9 +11,9 @@ its price levels.  Prices are DECIMAL with three digits; a *band* is 10 EUR/MWh
    list is as small as the activations).  They are summed per price level, and the running sum within the
    band gives the price.
 
-Raw bids are never shuffled as rows.  Where a capacity is negative, running sums can fall again, and a band's sum does not tell
-whether they reached the volume inside it: such intervals, which an input error makes, are cleared on all
-their price levels instead.
+Raw bids are never shuffled as rows, and read twice.  Where a capacity is negative, running sums can fall again, and a band's sum does
+not tell whether they reached the volume inside it: of such intervals, which an input error makes, the second reading takes all
+bands, and the running sum goes over the whole interval.
 """
 
 from __future__ import annotations
@@ -142,86 +142,57 @@ def clear(
     beyond = F.col("b.is_last") & (volume.isNull() | (volume > F.col("b.mw_through")))
     bands = band_sums(stack).alias("b")
     same_interval = (F.col("d.date") == F.col("b.date")) & (F.col("d.quarter_no") == F.col("b.quarter_no"))
+    # Of an interval with falling sums every band is needed, of all others the one that clears.
+    wanted = F.when(F.col("b.falls"), F.lit(True)).otherwise(in_band | beyond)
     located = (
         demand.alias("d")
-        .join(bands, same_interval & active & F.when(F.col("b.falls"), F.col("b.is_last")).otherwise(in_band | beyond), "left")
+        .join(bands, same_interval & active & wanted, "left")
         .select(
             "d.*",
-            *[F.col(f"b.{name}") for name in ("match_tier", "band", "mw_before", "available_mw", "priced_mw", "top_price")],
-            F.coalesce(volume > F.col("b.priced_mw"), F.lit(False)).alias("is_short"),
+            *[F.col(f"b.{name}") for name in ("match_tier", "band", "mw_before", "available_mw", "priced_mw", "top_price", "is_last")],
+            F.coalesce(volume > F.col("b.priced_mw"), F.lit(False)).alias("beyond_all"),
             F.coalesce(F.col("b.falls"), F.lit(False)).alias("falls"),
         )
     )
-    falling = _cleared_on_levels(located.filter("falls"), stack, demand.columns, on_short)
-    located = located.filter("NOT falls")
-
     needed = (
-        located.filter(~F.col("is_short") & F.col("band").isNotNull())
-        .select(*INTERVAL, F.col("match_tier").alias("tier"), "band")
+        located.filter((F.col("falls") | ~F.col("beyond_all")) & F.col("band").isNotNull())
+        .select(*INTERVAL, F.col("match_tier").alias("tier"), "band", "falls")
         .distinct()
     )
-    in_band_order = Window.partitionBy(*INTERVAL, "band").orderBy("price")
+    # Sums run within a band, or over the whole interval where they can fall.
+    segment = F.when(F.col("falls"), F.lit(None)).otherwise(F.col("band"))
+    by_price = Window.partitionBy(*INTERVAL, segment).orderBy("price")
     levels = (
         with_match(with_band(stack))
         .join(needed, [*INTERVAL, "tier", "band"])
-        .groupBy(*INTERVAL, "band", "price")
+        .groupBy(*INTERVAL, "band", "falls", "price")
         .agg(F.sum("capacity_mw").alias("level_mw"))
-        .withColumn("mw_in_band", F.sum("level_mw").over(in_band_order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("lowest", F.row_number().over(in_band_order) == 1)
+        .withColumn("through", F.sum("level_mw").over(by_price.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("reached", F.max("through").over(by_price.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("segment", segment)
         .alias("l")
     )
-    rest = F.col("activated_volume_mw") - F.col("mw_before")
-    at_level = (rest <= F.col("l.mw_in_band")) & ((rest > F.col("l.mw_in_band") - F.col("l.level_mw")) | F.col("lowest"))
-    same_band = [F.col(f"c.{name}") == F.col(f"l.{name}") for name in (*INTERVAL, "band")]
-    short_price = F.col("top_price") if on_short == "last" else F.lit(None)
-    in_bands = (
-        located.alias("c")
-        .join(levels, same_band[0] & same_band[1] & same_band[2] & ~F.col("is_short") & at_level, "left")
-        .select(
-            *[F.col(f"c.`{name}`") for name in demand.columns],
-            F.coalesce(F.col("available_mw"), F.lit(0)).cast(POWER).alias("available_mw"),
-            F.when(F.col("is_short"), F.col("priced_mw"))
-            .when(F.col("available_mw").isNull(), F.lit(0))
-            .otherwise(F.col("mw_before") + F.col("mw_in_band"))
-            .cast(POWER)
-            .alias("cleared_mw"),
-            F.when(F.col("is_short"), short_price).otherwise(F.col("l.price")).alias("price"),
-            "match_tier",
-            "is_short",
-        )
-    )
-    return in_bands.unionByName(falling)
-
-
-def _cleared_on_levels(located: DataFrame, stack: DataFrame, kept: list[str], on_short: str) -> DataFrame:
-    """Rows of ``located`` cleared at the first price level whose running sum reaches the volume, whatever it does afterwards."""
-    wanted = located.select(*INTERVAL, F.col("match_tier").alias("tier")).distinct()
-    order = Window.partitionBy(*INTERVAL).orderBy("price")
-    levels = (
-        with_match(stack.filter("price IS NOT NULL"))
-        .join(wanted, [*INTERVAL, "tier"])
-        .groupBy(*INTERVAL, "price")
-        .agg(F.sum("capacity_mw").alias("level_mw"))
-        .withColumn("mw_through", F.sum("level_mw").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("reached", F.max("mw_through").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("l")
-    )
-    volume = F.col("c.activated_volume_mw")
-    first = (volume <= F.col("l.mw_through")) & (F.col("l.reached").isNull() | (F.col("l.reached") < volume))
+    base = F.when(F.col("falls"), F.lit(0)).otherwise(F.col("mw_before"))
+    rows = located.filter(~F.col("falls") | F.col("is_last")).withColumns({"base": base, "segment": segment}).alias("c")
+    rest = F.col("c.activated_volume_mw") - F.col("c.base")
+    first = (rest <= F.col("l.through")) & (F.col("l.reached").isNull() | (F.col("l.reached") < rest))
     same = [F.col(f"c.{name}") == F.col(f"l.{name}") for name in INTERVAL]
-    short_price = F.col("top_price") if on_short == "last" else F.lit(None)
-    short = F.col("l.price").isNull() & volume.isNotNull()
-    return (
-        located.alias("c")
-        .join(levels, same[0] & same[1] & first, "left")
-        .select(
-            *[F.col(f"c.`{name}`") for name in kept],
-            F.col("available_mw").cast(POWER).alias("available_mw"),
-            F.when(short, F.col("priced_mw")).otherwise(F.col("l.mw_through")).cast(POWER).alias("cleared_mw"),
-            F.when(short, short_price).otherwise(F.col("l.price")).alias("price"),
-            "match_tier",
-            short.alias("is_short"),
-        )
+    same_segment = F.col("c.segment").eqNullSafe(F.col("l.segment")) & (F.col("c.falls") == F.col("l.falls"))
+    found = rows.join(levels, same[0] & same[1] & same_segment & (F.col("c.falls") | ~F.col("c.beyond_all")) & first, "left")
+    unreached = F.col("l.price").isNull() & F.col("c.activated_volume_mw").isNotNull()
+    short = F.when(F.col("c.falls"), unreached).otherwise(F.col("c.beyond_all"))
+    short_price = F.col("c.top_price") if on_short == "last" else F.lit(None)
+    return found.select(
+        *[F.col(f"c.`{name}`") for name in demand.columns],
+        F.coalesce(F.col("c.available_mw"), F.lit(0)).cast(POWER).alias("available_mw"),
+        F.when(short, F.col("c.priced_mw"))
+        .when(F.col("c.available_mw").isNull(), F.lit(0))
+        .otherwise(F.col("c.base") + F.col("l.through"))
+        .cast(POWER)
+        .alias("cleared_mw"),
+        F.when(short, short_price).otherwise(F.col("l.price")).alias("price"),
+        "c.match_tier",
+        short.alias("is_short"),
     )
 
 
@@ -233,8 +204,13 @@ def marginal_prices(
     capacity: Column | None = None,
     on_short: str = "null",
 ) -> DataFrame:
-    """The clearing price of every activated quarter-hour in ``start``..``end`` (both included, None = open)."""
+    """The clearing price of every activated quarter-hour in ``start``..``end`` (both included, None = open).
+
+    ``time_zone`` tells the two hours of the night apart on which clocks go back; it is NULL where activations have none.
+    """
     wanted = date_range(activations, "date", start, end)
+    if "time_zone" not in wanted.columns:
+        wanted = wanted.withColumn("time_zone", F.lit(None).cast("string"))
     cleared = clear(wanted, date_range(bids, "delivery_date", start, end), capacity, on_short)
     return cleared.select(
         "date",
@@ -248,6 +224,7 @@ def marginal_prices(
         product_code(F.col("quarter_no")).alias("product_code"),
         "match_tier",
         "is_short",
+        "time_zone",
     )
 
 

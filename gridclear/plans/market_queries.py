@@ -41,7 +41,7 @@ DAY = "2024-01-15"
        quarter_hour_end, CAST(activated_volume_mw AS DOUBLE) AS activated_volume_mw,
        CAST(available_capacity_mw AS DOUBLE) AS available_capacity_mw,
        CAST(cleared_capacity_mw AS DOUBLE) AS cleared_capacity_mw, CAST(marginal_price AS DOUBLE) AS marginal_price,
-       product_code, match_tier, is_short FROM prices"""
+       product_code, match_tier, is_short, time_zone FROM prices"""
     )
 )
 def marginal_prices(spark, sf):

@@ -82,7 +82,8 @@ PRICES = f"""prices AS (
   SELECT date, quarter_no, date + (quarter_no - 1) * INTERVAL 15 MINUTE AS timestamp,
          {START} AS quarter_hour_start, {END} AS quarter_hour_end,
          v AS activated_volume_mw, available AS available_capacity_mw, cleared_mw AS cleared_capacity_mw,
-         price AS marginal_price, {CODE} AS product_code, tier AS match_tier, is_short
+         price AS marginal_price, {CODE} AS product_code, tier AS match_tier, is_short,
+         'CET' AS time_zone
   FROM cleared)"""
 
 
