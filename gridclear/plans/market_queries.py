@@ -11,6 +11,7 @@ from gridclear.functions import parsing as ps
 from gridclear.functions import timecode as tc
 from gridclear.operators import cleaning as cl
 from gridclear.operators import coverage as cv
+from gridclear.operators import local_days as ld
 from gridclear.operators import merit_order as mo
 from gridclear.plans import market_views as mv
 from gridclear.plans.oracle_views import (
@@ -27,7 +28,7 @@ from gridclear.plans.oracle_views import (
     with_prices,
 )
 from gridclear.plans.registry import query
-from gridclear.schema import PRICE
+from gridclear.schema import POWER, PRICE
 from gridclear.session import scratch_dir
 
 DAY = "2024-01-15"
@@ -853,3 +854,89 @@ FROM (SELECT *, hour - lag(hour) OVER (PARTITION BY date ORDER BY hour) AS gap_h
 )
 def price_gaps(spark, sf):
     return cv.price_gaps(mv.prices(spark, sf))
+
+
+# --- days on which clocks change -----------------------------------------------------------------
+
+#: January's activations moved to the weeks around the last Sundays of March and October, which are 92 and 100 quarter-hours long.
+MOVES = (70, 285)
+ZONE_NAME = "CASE WHEN summer = 1 THEN 'CEST' ELSE 'CET' END AS time_zone"
+ZONED = """moved_days AS (
+  SELECT DISTINCT CAST(date + CAST(m AS INTEGER) AS DATE) AS date, m FROM act, (SELECT unnest([70, 285]) AS m)),
+slots AS (
+  SELECT d.date, d.m, CAST(q.n AS INTEGER) AS quarter_no, z.n AS summer,
+         CAST(q.n - 1 + CASE WHEN d.date = DATE '2024-03-31' AND q.n > 12 THEN -4
+           WHEN d.date = DATE '2024-10-27' AND z.n = 0 THEN 4 ELSE 0 END AS DOUBLE) / 4 AS elapsed_hours
+  FROM moved_days d, range(1, 97) q(n), range(0, 2) z(n)
+  WHERE CASE WHEN d.date = DATE '2024-03-31' THEN q.n NOT BETWEEN 9 AND 12 AND (z.n = 1) = (q.n > 12)
+    WHEN d.date = DATE '2024-10-27' THEN (z.n = 1 AND q.n <= 12) OR (z.n = 0 AND q.n >= 9)
+    ELSE (z.n = 1) = (d.date > DATE '2024-03-31' AND d.date < DATE '2024-10-27') END),
+zoned AS (
+  SELECT s.date, s.quarter_no, s.summer, s.elapsed_hours, a.date AS was,
+         CASE WHEN s.date = DATE '2024-10-27' AND s.summer = 0 AND s.quarter_no <= 12 THEN a.v + 40 ELSE a.v END AS v
+  FROM slots s JOIN act a ON a.date = s.date - CAST(s.m AS INTEGER) AND a.quarter_no = s.quarter_no)"""
+ZONED_PRICES = """zoned_prices AS (
+  SELECT a.date, a.quarter_no, a.summer, MIN(a.elapsed_hours) AS elapsed_hours, MIN(a.v) AS v, MIN(CASE WHEN s.cum >= a.v THEN s.price END) AS price
+  FROM zoned a LEFT JOIN stack s ON s.delivery_date = a.was AND s.quarter_no = a.quarter_no AND abs(a.v) >= 0.001
+  GROUP BY a.date, a.quarter_no, a.summer)"""
+
+
+def _moved_bids(spark, sf):
+    bids = mv.messy_bids(spark, sf)
+    day = F.explode(F.array(*[F.date_add("delivery_date", m) for m in MOVES]))
+    return bids.withColumn("delivery_date", day)
+
+
+def _moved_activations(spark, sf):
+    """A row for each quarter-hour that the local day has; the second of two equal ones has 40 MW more."""
+    moved = mv.activations(spark, sf).withColumn("date", F.explode(F.array(*[F.date_add("date", m) for m in MOVES]))).drop("time_zone")
+    zoned = moved.join(ld.day_slots(moved), ["date", "quarter_no"])
+    second = (F.col("time_zone") == "CET") & (F.col("time_zone") != ld.zone_at(F.col("date"), F.col("quarter_no")))
+    return zoned.withColumn("activated_volume_mw", (F.col("activated_volume_mw") + F.when(second, 40).otherwise(0)).cast(POWER))
+
+
+def _moved_prices(spark, sf):
+    return mo.marginal_prices(_moved_activations(spark, sf), _moved_bids(spark, sf))
+
+
+@query(
+    with_market(
+        f"""SELECT CAST(s.date AS VARCHAR) AS date, s.quarter_no, {ZONE_NAME.replace("summer", "s.summer")}, s.elapsed_hours, CAST(p.v AS DOUBLE) AS activated_volume_mw,
+       CAST(p.price AS DOUBLE) AS marginal_price
+FROM slots s LEFT JOIN zoned_prices p ON p.date = s.date AND p.quarter_no = s.quarter_no AND p.summer = s.summer""",
+        ZONED,
+        ZONED_PRICES,
+    )
+)
+def local_day_grid(spark, sf):
+    return ld.day_grid(_moved_prices(spark, sf)).drop("quarter_hour_start")
+
+
+@query(
+    with_market(
+        f"""SELECT CAST(date AS VARCHAR) AS date, quarter_no, {ZONE_NAME}, elapsed_hours, CAST(price AS DOUBLE) AS marginal_price, gap_hours,
+       coalesce(gap_hours <= 0.25, FALSE) AS connected, segment
+FROM (
+  SELECT *, SUM(CASE WHEN price IS NULL OR gap_hours <= 0.25 THEN 0 ELSE 1 END) OVER (PARTITION BY date ORDER BY elapsed_hours)::BIGINT AS segment
+  FROM (
+    SELECT s.*, p.price, s.elapsed_hours - MAX(CASE WHEN p.price IS NOT NULL THEN s.elapsed_hours END) OVER (
+        PARTITION BY s.date ORDER BY s.elapsed_hours ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap_hours
+    FROM slots s LEFT JOIN zoned_prices p ON p.date = s.date AND p.quarter_no = s.quarter_no AND p.summer = s.summer))
+WHERE price IS NOT NULL""",
+        ZONED,
+        ZONED_PRICES,
+    )
+)
+def elapsed_price_gaps(spark, sf):
+    return ld.elapsed_price_gaps(_moved_prices(spark, sf)).drop("quarter_hour_start")
+
+
+@query(
+    with_act(
+        """SELECT CAST(date AS VARCHAR) AS date, COUNT(*) AS slots, COUNT(*) FILTER (v IS NULL) AS missing, CAST(0 AS BIGINT) AS impossible
+FROM slots LEFT JOIN zoned USING (date, quarter_no, summer) GROUP BY date""",
+        ZONED,
+    )
+)
+def incomplete_days(spark, sf):
+    return ld.incomplete_days(_moved_activations(spark, sf))
