@@ -30,6 +30,7 @@ from gridclear.functions.timecode import (
     quarter_of_product,
     quarter_start,
 )
+from gridclear.operators.overlap import overlap_join  # noqa: F401
 from gridclear.schema import POWER
 
 BAND_WIDTH = 10
@@ -426,30 +427,3 @@ def bids_overlapping_interval(activations: DataFrame, bids: DataFrame) -> DataFr
         .join(blocks, ["date", "block_index"], "left")
         .withColumn("active_bids", F.coalesce("active_bids", F.lit(0)))
     )
-
-
-def overlap_join(left: DataFrame, right: DataFrame, bucket_minutes: int, keep: list[str] | None = None) -> DataFrame:
-    """Pairs of rows whose ``[start_ts, end_ts)`` ranges overlap.
-
-    Both sides are cut into buckets of ``bucket_minutes`` and joined on the bucket; a pair is kept in the
-    first bucket both ranges share, so it appears once.
-    """
-
-    def bucketed(df: DataFrame) -> DataFrame:
-        def bucket(ts: Column) -> Column:
-            return F.floor(F.timestamp_diff("MINUTE", F.lit("1970-01-01").cast("timestamp_ntz"), ts) / bucket_minutes)
-
-        last = bucket(F.timestamp_add("MINUTE", F.lit(-1), F.col("end_ts")))
-        first = bucket(F.col("start_ts"))
-        return df.withColumn("first_bucket", first).withColumn("bucket", F.explode(F.sequence(first, F.greatest(first, last))))
-
-    a, b = bucketed(left).alias("a"), bucketed(right).alias("b")
-    joined = a.join(
-        b,
-        (F.col("a.bucket") == F.col("b.bucket"))
-        & (F.col("a.start_ts") < F.col("b.end_ts"))
-        & (F.col("a.end_ts") > F.col("b.start_ts"))
-        & (F.col("a.bucket") == F.greatest("a.first_bucket", "b.first_bucket")),
-    )
-    right_only = [name for name in right.columns if name not in left.columns] if keep is None else keep
-    return joined.select(*[F.col(f"a.`{n}`") for n in left.columns], *[F.col(f"b.`{n}`") for n in right_only])

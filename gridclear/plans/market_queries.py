@@ -13,6 +13,7 @@ from gridclear.operators import cleaning as cl
 from gridclear.operators import coverage as cv
 from gridclear.operators import local_days as ld
 from gridclear.operators import merit_order as mo
+from gridclear.operators import overlap as ov
 from gridclear.plans import market_views as mv
 from gridclear.plans.oracle_views import (
     ACT,
@@ -223,12 +224,31 @@ def overlapping_ranges(spark, sf):
         .agg(F.count("*").alias("events"))
         .withColumn("end_ts", F.timestamp_add("HOUR", F.lit(4), F.col("start_ts")))
     )
-    pairs = mo.overlap_join(
+    pairs = ov.overlap_join(
         blocks, spells.select("user_id", "start_ts", "end_ts", F.col("start_ts").alias("spell_start")), 240
     )
     return pairs.select(F.col("start_ts").alias("block_start"), "events", "user_id", "spell_start")
 
 
+@query(
+    """WITH ids AS (SELECT user_id, MIN(ts) AS lo, MAX(ts) + INTERVAL 10 YEAR AS hi FROM events GROUP BY user_id HAVING user_id % 10 = 0),
+moments AS (
+  SELECT event_id, user_id, CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-10 12:00:00' + (event_id % 3600) * INTERVAL 1 SECOND ELSE ts END AS lo FROM events),
+spans AS (SELECT event_id, lo, lo + (1 + event_id % 90) * INTERVAL 1 SECOND AS hi FROM moments)
+SELECT s.event_id % 100 AS part, COUNT(*) AS pairs, CAST(SUM(i.user_id) AS BIGINT) AS user_ids
+FROM spans s JOIN ids i ON s.lo < i.hi AND s.hi > i.lo GROUP BY 1"""
+)
+def overlapping_long_ranges(spark, sf):
+    """A third of all short ranges in one hour, and ranges of ten years."""
+    events = mv.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    ids = events.groupBy("user_id").agg(F.min("ts").alias("start_ts"), F.timestamp_add("YEAR", F.lit(10), F.max("ts")).alias("end_ts"))
+    hour = F.timestamp_add("SECOND", (F.col("event_id") % 3600).cast("int"), F.lit("2024-01-10 12:00:00").cast("timestamp_ntz"))
+    spans = events.select("event_id", F.when(F.col("event_id") % 3 == 0, hour).otherwise(F.col("ts")).alias("start_ts"))
+    spans = spans.withColumn("end_ts", F.timestamp_add("SECOND", (1 + F.col("event_id") % 90).cast("int"), F.col("start_ts")))
+    pairs = ov.overlap_join(spans, ids.filter("user_id % 10 = 0"), 15, hot_rows=1000)
+    return pairs.groupBy((F.col("event_id") % 100).alias("part")).agg(F.count("*").alias("pairs"), F.sum("user_id").alias("user_ids"))
+
+
 # --- activations ---------------------------------------------------------------------------------
 
 
