@@ -57,24 +57,34 @@ def pieces(all_texts: Iterable[str], overlap: int) -> Iterator[tuple[int, str]]:
             yield i, text[start : start + PIECE + overlap]
 
 
-def cells_of(owners: np.ndarray, group: list[str], how: Training) -> tuple[np.ndarray, np.ndarray]:
-    """Owner and cell of every n-gram of the pieces, repeated as often as it occurs."""
+def cells_of(owners: np.ndarray, group: list[str], how: Training, feature: np.ndarray | None) -> np.ndarray:
+    """owner * 2^32 + cell of every n-gram of the pieces, repeated as often as it occurs; with ``feature``, of those that have one."""
     codes = np.frombuffer("".join(group).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    sizes = np.array([len(p) for p in group])
-    ends, owner = np.repeat(np.cumsum(sizes), sizes), np.repeat(owners, sizes)
-    places = np.arange(len(codes))
-    whose, cells = [], []
-    rolling = codes.copy()
+    ends = np.cumsum([len(p) for p in group])
+    found = []
+    rolling = codes
     for n in range(2, max(how.lengths) + 1):
         rolling = rolling[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1 :]
         if n in how.lengths:
-            inside = places[: len(rolling)] + n <= ends[: len(rolling)]
-            mixed = (rolling[inside] ^ np.uint64(n)) * np.uint64(0xD6E8FEB86659FD93)
-            mixed ^= mixed >> np.uint64(32)
-            mixed *= np.uint64(0xD6E8FEB86659FD93)
-            cells.append((mixed >> np.uint64(64 - how.bits)).astype(np.int64))
-            whose.append(owner[: len(rolling)][inside])
-    return np.concatenate(whose), np.concatenate(cells)
+            cell = (rolling ^ np.uint64(n)) * np.uint64(0xD6E8FEB86659FD93)
+            cell >>= np.uint64(64 - how.bits)
+            cell = cell.view(np.int64)
+            if feature is None:
+                at = np.arange(len(cell))
+            else:
+                known = feature[cell]
+                at = np.flatnonzero(known >= 0)
+                cell = known[at].astype(np.int64)
+            piece = np.searchsorted(ends, at, "right")
+            inside = at + n <= ends[piece]
+            found.append(owners[piece[inside]] << 32 | cell[inside])
+    return np.concatenate(found)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order, by sorting."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
 
 
 def presence(all_texts: list[str], how: Training, feature: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -83,11 +93,7 @@ def presence(all_texts: list[str], how: Training, feature: np.ndarray | None = N
     overlap = max(how.lengths) - 1
 
     def add(group: list[tuple[int, str]]) -> None:
-        owner, cell = cells_of(np.array([i for i, _ in group]), [p for _, p in group], how)
-        if feature is not None:
-            cell = feature[cell]
-            owner, cell = owner[cell >= 0], cell[cell >= 0]
-        found.append(np.unique(owner << 32 | cell))
+        found.append(distinct(cells_of(np.array([i for i, _ in group]), [p for _, p in group], how, feature)))
 
     group, chars = [], 0
     for i, piece in pieces(all_texts, overlap):
@@ -98,7 +104,7 @@ def presence(all_texts: list[str], how: Training, feature: np.ndarray | None = N
             group, chars = [], 0
     if group:
         add(group)
-    both = np.unique(np.concatenate(found))
+    both = distinct(np.concatenate(found))
     return both >> 32, both & 0xFFFFFFFF
 
 
@@ -115,8 +121,9 @@ class Model:
     def features(self) -> np.ndarray:
         """The place of each cell's weight, or -1."""
         if self._feature is None:
-            self._feature = np.full(1 << self.how.bits, -1, np.int64)
-            self._feature[self.cells] = np.arange(len(self.cells))
+            kind = np.int16 if len(self.cells) < 1 << 15 else np.int32  # small, as it is looked up at random
+            self._feature = np.full(1 << self.how.bits, -1, kind)
+            self._feature[self.cells] = np.arange(len(self.cells), dtype=kind)
         return self._feature
 
     def scores(self, all_texts: list[str]) -> np.ndarray:

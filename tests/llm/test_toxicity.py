@@ -20,7 +20,6 @@ def brute_cells(text, how):
             for c in text[i : i + n]:
                 h = (h * 0x9E3779B97F4A7C15 + ord(c)) & mask
             h = ((h ^ n) * 0xD6E8FEB86659FD93) & mask
-            h = ((h ^ (h >> 32)) * 0xD6E8FEB86659FD93) & mask
             found.add(h >> (64 - how.bits))
     return found
 
