@@ -79,7 +79,7 @@ def test_long_lines_are_read_whole():
 def test_scan_of_a_table_finds_its_license_lines(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     lines = {"Released under the MIT License.": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC", "Licensed under the Apache License, Version 2.0.": "Apache",
-             "This work is licensed under the GNU General Public License, version 3.": "GPL"}
+             "This work is licensed under the GNU General Public License, version 3.": "GPL", "All rights reserved.": "Proprietary"}
     got = {r.doc_id: r.families for r in ls.scan(docs).collect()}
     for doc_id, text in docs.select("doc_id", "text").collect():
         assert got[doc_id] == sorted({f for line, f in lines.items() if line in text.split("\n")})
