@@ -136,3 +136,33 @@ def audit_columns(versions: DataFrame, keys: list[str], load_column: str = "load
         quoted(load_column).alias("effective_from"),
         "effective_to",
     )
+
+
+def content_checksums(rows: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
+    """Per ``group``: rows, and two sums over them that don't depend on their order, of hashes of ``columns``.
+
+    They tell multisets of rows apart: one is a plain sum, so repeated rows count, the other a bitwise one of a second hash.  NULLs are part of a
+    hash by their place.  Both combine before the shuffle, so a group of any size is one row per task.
+    """
+    told = [part for c in columns for part in (quoted(c), quoted(c).isNull())]
+    return rows.groupBy(*[quoted(c).alias(c) for c in group]).agg(
+        F.count("*").alias("rows"),
+        F.sum(F.xxhash64(*told).cast("decimal(38,0)")).alias("sum"),
+        F.bit_xor(F.xxhash64(F.lit("second"), *told)).alias("xor"),
+    )
+
+
+def reconcile_content(before: DataFrame, after: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
+    """Per ``group`` of either table: rows before and after, and whether their contents are ``equal``, ``changed``, ``missing`` or ``new``.
+
+    Values that were exchanged or altered are found though counts agree.  Columns must have the same types on both sides.
+    """
+    old = content_checksums(before, group, columns).alias("old")
+    new = content_checksums(after, group, columns).alias("new")
+    same_group = [F.col(f"old.`{c}`").eqNullSafe(F.col(f"new.`{c}`")) for c in group]
+    same = (F.col("old.rows") == F.col("new.rows")) & (F.col("old.sum") == F.col("new.sum")) & (F.col("old.xor") == F.col("new.xor"))
+    status = F.when(F.col("old.rows").isNull(), "new").when(F.col("new.rows").isNull(), "missing").when(same, "equal").otherwise("changed")
+    return old.join(new, same_group, "full").select(
+        *[F.coalesce(F.col(f"old.`{c}`"), F.col(f"new.`{c}`")).alias(c) for c in group],
+        F.coalesce("old.rows", F.lit(0)).alias("rows_before"), F.coalesce("new.rows", F.lit(0)).alias("rows_after"), status.alias("status"),
+    )

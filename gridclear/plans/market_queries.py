@@ -14,6 +14,7 @@ from gridclear.operators import coverage as cv
 from gridclear.operators import local_days as ld
 from gridclear.operators import merit_order as mo
 from gridclear.operators import overlap as ov
+from gridclear.operators import reconcile as rc
 from gridclear.plans import market_views as mv
 from gridclear.plans.oracle_views import (
     ACT,
@@ -960,3 +961,27 @@ FROM slots LEFT JOIN zoned USING (date, quarter_no, summer) GROUP BY date""",
 )
 def incomplete_days(spark, sf):
     return ld.incomplete_days(_moved_activations(spark, sf))
+
+
+# --- contents of loads ---------------------------------------------------------------------------
+
+
+@query(
+    with_bids(
+        """SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, source_file,
+       CASE WHEN delivery_date = DATE '2024-01-10' THEN 0 ELSE COUNT(*) END AS rows_before,
+       CASE WHEN delivery_date = DATE '2024-01-20' THEN 0 ELSE COUNT(*) END AS rows_after,
+       CASE WHEN delivery_date = DATE '2024-01-10' THEN 'new' WHEN delivery_date = DATE '2024-01-20' THEN 'missing'
+         WHEN delivery_date = DATE '2024-01-12' AND bool_or(price <> 0) THEN 'changed' ELSE 'equal' END AS status
+FROM bids GROUP BY bids.delivery_date, source_file"""
+    )
+)
+def reconciled_content(spark, sf):
+    """Days stored otherwise than delivered: signs turned on one, another lost, and one that was not delivered."""
+    bids = mv.bids(spark, sf)
+    day = F.col("delivery_date").cast("string")
+    stored = bids.filter(day != "2024-01-20").repartition(7)
+    price = F.when(day == "2024-01-12", -F.col("energy_price_eur_mwh")).otherwise(F.col("energy_price_eur_mwh")).cast(PRICE)
+    columns = ["delivery_date", "product", "energy_price_eur_mwh", "offered_capacity_mw", "allocated_capacity_mw"]
+    delivered = bids.filter(day != "2024-01-10")
+    return rc.reconcile_content(delivered, stored.withColumn("energy_price_eur_mwh", price), ["delivery_date", "source_file"], columns)
