@@ -1,18 +1,21 @@
 """Harmonic packing of token sequences.
 
-Lengths are partitioned into classes by reciprocals of the capacity C: class j holds pieces of floor(C / j) tokens and its
-bins take exactly j of them.  As documents may be cut, each one is cut into such pieces, largest first, so a
-full bin of class j wastes C mod j tokens at most.  Every task fills its own bins and needs nothing of other tasks.  What
-its unfilled bins hold in the end is laid end to end and cut again: into full sequences, and a last rest
-of fewer than C tokens by its powers of two, which need no padding.
+Lengths are partitioned into classes by reciprocals of the capacity C: a document of class j is at most C / j tokens long, longer than
+the next class admits, and a bin of class j takes exactly j whole documents.  The room that they leave is filled by the tokens of a few other
+documents, which are cut: what lies beyond the whole sequences of those longer than C, and now and then a long document while room is
+waiting.  Every task fills its own bins and needs nothing of other tasks.  The documents of its unfilled bins fill the last room, what
+is left of them is laid end to end and cut into full sequences, and a last rest of fewer than C tokens by its powers of two, which
+need no padding.
 """
 
 from __future__ import annotations
 
 import zlib
 from bisect import bisect_right
+from collections import deque
 from collections.abc import Iterable, Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,8 @@ from gridclear.llm.tokenizer_files import PreTokens
 MEMO = 1 << 19  # words of a generation whose ids a worker keeps: two of them take about 200 MB
 GO = 1 << 13  # words encoded at a time
 ID_BYTES = 4
+PATIENCE = 16  # waiting bins after which the next class may be cut for them too
+MOST_PATIENCE = 6  # times that many: any document may
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -95,64 +100,154 @@ def encoder_of(file: str, memo: int) -> Encoder:
     return resident(("encoder", file, memo), lambda: Encoder(file, memo))
 
 
-def reciprocal_sizes(capacity: int) -> dict[int, int]:
-    """Piece length -> pieces per bin: all reciprocals to a sixteenth, then each half of the one before."""
-    sizes = {capacity // j: j for j in range(16, 0, -1) if capacity // j}
-    j = 32
-    while capacity // j:
-        sizes[capacity // j] = j
-        j *= 2
-    sizes.setdefault(1, capacity)
-    return sizes
+def class_counts(capacity: int) -> list[int]:
+    """Documents per bin of each class, rising: 1 to 16, then four steps to each doubling, so that few bins stay open at the end."""
+    counts = set(range(1, 17)) | {16 * (4 + k) // 4 << i for i in range(capacity.bit_length()) for k in range(4)}
+    return sorted(j for j in counts if j <= capacity)
+
+
+class Piece(NamedTuple):
+    """``ids`` of a document from ``start``; ``total`` are its tokens."""
+
+    doc_id: int | None
+    start: int
+    ids: bytes
+    total: int
+
+    @property
+    def length(self) -> int:
+        return len(self.ids) // ID_BYTES
+
+    def cut(self, length: int) -> tuple[Piece, Piece]:
+        at = length * ID_BYTES
+        return self._replace(ids=self.ids[:at]), self._replace(start=self.start + length, ids=self.ids[at:])
+
+
+def tokens(pieces: Iterable[Piece]) -> int:
+    return sum(piece.length for piece in pieces)
+
+
+class Bin:
+    """A sequence that is being filled."""
+
+    def __init__(self, pieces: Iterable[Piece], capacity: int):
+        self.pieces = list(pieces)
+        self.room = capacity - tokens(self.pieces)
+
+    def put(self, piece: Piece) -> Piece | None:
+        """Takes what there is room for and returns the rest."""
+        rest = None
+        if piece.length > self.room:
+            piece, rest = piece.cut(self.room)
+        self.pieces.append(piece)
+        self.room -= piece.length
+        return rest
 
 
 class HarmonicPacker:
-    """Rows (doc_id, start, length, crc, doc_tokens, sequence_id, offset) of one worker's sequences."""
+    """Rows (doc_id, start, length, crc, doc_tokens, sequence_id, offset) of one worker's sequences.
+
+    It holds an open bin per class, and waiting ones while their room is smaller than the next document: no more than a sequence has
+    tokens, and a hundred as a rule.
+    """
 
     def __init__(self, capacity: int, first_sequence: int):
         self.capacity, self.sequence = capacity, first_sequence
-        self.per_bin = reciprocal_sizes(capacity)
-        self.sizes = sorted(self.per_bin)
-        self.bins: dict[int, list[tuple]] = {size: [] for size in self.sizes}
+        self.counts = class_counts(capacity)
+        self.open: dict[int, list[Piece]] = {j: [] for j in self.counts}
+        self.waiting: deque[Bin] = deque()  # they have their number of documents, and room
+        self.room = 0  # of all that wait
+        self.loose: deque[Piece] = deque()  # pieces to fill it, less than a sequence
         self.rows: list[tuple] = []
 
+    def class_of(self, length: int) -> int:
+        """The number of documents of this length that a bin takes."""
+        return self.counts[bisect_right(self.counts, self.capacity // length) - 1]
+
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        total, start = len(ids) // ID_BYTES, 0
-        while start < total:
-            size = self.sizes[bisect_right(self.sizes, total - start) - 1]
-            self.bins[size].append((doc_id, start, ids[start * ID_BYTES : (start + size) * ID_BYTES], total))
-            if len(self.bins[size]) == self.per_bin[size]:
-                self.emit(self.bins[size])
-                self.bins[size] = []
-            start += size
-
-    def emit(self, pieces: list[tuple]) -> None:
+        total, c = len(ids) // ID_BYTES, self.capacity
+        if total > c:
+            ends = total - total % c
+            for start in range(0, ends, c):
+                self.emit([Piece(doc_id, start, ids[start * ID_BYTES : (start + c) * ID_BYTES], total)])
+            if ends < total:
+                self.fill(Piece(doc_id, ends, ids[ends * ID_BYTES :], total))
+            return
+        doc, j = Piece(doc_id, 0, ids, total), self.class_of(total)
+        if self.is_filler(total, j):
+            self.fill(doc)
+            return
+        self.open[j].append(doc)
+        if len(self.open[j]) == j:
+            self.finish(Bin(self.open[j], self.capacity))
+            self.open[j] = []
+
+    def is_filler(self, length: int, j: int) -> bool:
+        """Whether a document is cut for the room that waits: only the longest are while little does, so that few are cut."""
+        patience = len(self.waiting) // PATIENCE
+        return length <= self.room and (j <= 1 + patience or patience >= MOST_PATIENCE)
+
+    def finish(self, full: Bin) -> None:
+        if full.room:
+            self.waiting.append(full)
+            self.room += full.room
+            self.pour()
+        else:
+            self.emit(full.pieces)
+
+    def fill(self, piece: Piece) -> None:
+        """Cuts a piece into waiting room; pieces that find none make sequences of their own once they suffice for one."""
+        self.loose.append(piece)
+        self.pour()
+        if tokens(self.loose) >= self.capacity:
+            own = Bin([], self.capacity)
+            while own.room:
+                self.feed(own)
+            self.emit(own.pieces)
+
+    def pour(self) -> None:
+        """Loose pieces into waiting bins, oldest first."""
+        while self.loose and self.waiting:
+            first = self.waiting[0]
+            self.room -= first.room
+            self.feed(first)
+            self.room += first.room
+            if not first.room:
+                self.emit(self.waiting.popleft().pieces)
+
+    def feed(self, target: Bin) -> None:
+        rest = target.put(self.loose.popleft())
+        if rest:
+            self.loose.appendleft(rest)
+
+    def emit(self, pieces: Iterable[Piece]) -> None:
         offset = 0
-        for doc_id, start, ids, total in pieces:
-            length = len(ids) // ID_BYTES
-            self.rows.append((doc_id, start, length, zlib.crc32(ids), total, self.sequence, offset))
-            offset += length
+        for piece in pieces:
+            self.rows.append((piece.doc_id, piece.start, piece.length, zlib.crc32(piece.ids), piece.total, self.sequence, offset))
+            offset += piece.length
         self.sequence += 1
 
     def close(self) -> None:
-        """Lays the pieces of unfilled bins end to end and cuts them into sequences without padding."""
-        pieces = [p for size in reversed(self.sizes) for p in self.bins[size]]
-        left = sum(len(p[2]) for p in pieces) // ID_BYTES
-        current: list[tuple] = []
-        room = target = self.cut(left)
-        for doc_id, start, ids, total in pieces:
-            while ids:
-                take = min(room, len(ids) // ID_BYTES)
-                current.append((doc_id, start, ids[: take * ID_BYTES], total))
-                ids, start, room = ids[take * ID_BYTES :], start + take, room - take
-                if not room:
-                    self.emit(current)
-                    current, left = [], left - target
-                    room = target = self.cut(left)
-        self.bins = {size: [] for size in self.sizes}
-
-    def cut(self, left: int) -> int:
-        return self.capacity if left >= self.capacity else 1 << max(left, 1).bit_length() - 1
+        """Fills the waiting bins with what unfilled bins hold, and cuts what is left of that into sequences without padding.
+
+        Where it does not suffice, the bins that came last are given up, and their documents join it.
+        """
+        self.loose.extend(p for j in self.counts for p in self.open[j])
+        self.open = {j: [] for j in self.counts}
+        left = tokens(self.loose)
+        while self.room > left:
+            given_up = self.waiting.pop()
+            self.room -= given_up.room
+            left += self.capacity - given_up.room
+            self.loose.extend(given_up.pieces)
+        left -= self.room
+        self.pour()
+        while left:
+            last = Bin([], self.capacity if left >= self.capacity else 1 << left.bit_length() - 1)
+            left -= last.room
+            while last.room:
+                self.feed(last)
+            self.emit(last.pieces)
 
     def take(self) -> pa.RecordBatch:
         names = [c.split()[0] for c in SCHEMA.split(", ")]

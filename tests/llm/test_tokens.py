@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from helpers import empty, frame, odd_texts, sentence
 from tokenizers import Tokenizer
@@ -117,12 +118,53 @@ def test_memo_generations():
     assert [np.frombuffer(b, "<u4").tolist() for b in got] == library_ids(WORDS, texts)
 
 
-def test_class_bins_hold_a_fixed_number():
-    packer = packing.HarmonicPacker(2048, 0)
-    for i in range(50):
-        packer.add(i, b"\1\0\0\0" * 700)
-    by_sequence = defaultdict(list)
+def by_sequence(packer):
+    found = defaultdict(list)
     for r in packer.rows:
-        by_sequence[r[5]].append(r[2])
-    assert all(len(set(lengths)) == 1 and len(lengths) == packer.per_bin[lengths[0]] for lengths in by_sequence.values())
-    assert [682, 682, 682] in by_sequence.values()
+        found[r[5]].append(r)
+    return found
+
+
+def lengths_packed(lengths, capacity=2048):
+    packer = packing.HarmonicPacker(capacity, 0)
+    for i, n in enumerate(lengths):
+        packer.add(i, b"\1\0\0\0" * n)
+    done = by_sequence(packer)
+    packer.close()
+    assert sum(r[2] for r in packer.rows) == sum(lengths)
+    sizes = [sum(r[2] for r in rows) for rows in by_sequence(packer).values()]
+    assert all(n == capacity or n & (n - 1) == 0 for n in sizes)
+    return packer, done
+
+
+def test_class_bins_hold_a_fixed_number_of_whole_documents(sf_dir):
+    rng = random.Random(3)
+    texts = [r["text"] for r in pq.read_table(f"{sf_dir}/documents.parquet", columns=["text"]).to_pylist()]
+    real = [len(ids) + 1 for ids in library_ids(WORDS, texts)]
+    for lengths in (real * 4, [max(1, int(rng.lognormvariate(6, 1))) for _ in range(10000)]):
+        packer, done = lengths_packed(lengths)
+        for rows in done.values():
+            whole = [r for r in rows if r[2] == r[4]]
+            if rows[0][2] == rows[0][4]:  # a class bin begins with its documents
+                j = packer.class_of(rows[0][2])
+                assert len(whole) >= j and {packer.class_of(r[2]) for r in whole[:j]} == {j}
+                assert rows[:j] == whole[:j]
+            else:  # what is left of long documents
+                assert all(r[2] < r[4] for r in rows[:1])
+        pieces = Counter(r[0] for r in packer.rows)
+        fitting = [i for i, n in enumerate(lengths) if n <= 2048]
+        assert sum(pieces[i] > 1 for i in fitting) < 0.1 * len(fitting)
+
+
+@pytest.mark.parametrize("lengths", [[], [1] * 5000, [2048] * 9, [2047] * 300, [1023] * 501, [900] * 5, [5000] * 40, [2049] * 7, [1, 2048, 3]])
+def test_packing_pads_nothing(lengths):
+    lengths_packed(lengths)
+    for capacity in (1, 2, 4, 64):
+        lengths_packed(lengths, capacity)
+
+
+def test_waiting_bins_are_bounded():
+    packer = packing.HarmonicPacker(2048, 0)
+    for i in range(20000):
+        packer.add(i, b"\1\0\0\0" * (2048 // (1 + i % 7) - 1))
+        assert len(packer.waiting) <= packing.PATIENCE * packing.MOST_PATIENCE + 2048
