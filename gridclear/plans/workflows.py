@@ -1,4 +1,4 @@
-"""The three regular jobs: load activations, load bids, and price the activated quarter-hours."""
+"""The regular jobs: load activations, load bids, price the activated quarter-hours, keep views of them."""
 
 from __future__ import annotations
 
@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridclear.operators import cleaning as cl
-from gridclear.operators.merit_order import date_range, marginal_prices
-from gridclear.schema import ACTIVATIONS, BIDS, MARGINAL_PRICES
+from gridclear.operators import price_curve as pc
+from gridclear.operators.merit_order import active_bids, date_range, marginal_prices
+from gridclear.schema import ACTIVATIONS, ACTIVE_BIDS, BIDS, MARGINAL_PRICES
 from gridclear.sources.bid_import import BidImport
 from gridclear.sources.delimited import scan_activation_csv
 from gridclear.sources.landing import read_binary
 from gridclear.sources.period_table import PeriodTable
+from gridclear.sources.stored_view import Range, Source, StoredView
 from gridclear.sources.workbooks import scan_sheets
 
 
@@ -31,6 +33,36 @@ def price_table(spark: SparkSession, root: str) -> PeriodTable:
     return PeriodTable(spark, root, MARGINAL_PRICES, ["date"], sort_by=["timestamp"])
 
 
+def active_bid_view(spark: SparkSession, root: str, activations: PeriodTable, bids: PeriodTable) -> StoredView:
+    """Every bid whose block covers an activated quarter-hour; a load is taken over by ``refresh``, which computes its days only."""
+    month = F.make_date("year", "month", F.lit(1))
+    sources = {"activations": Source(activations, "date", month, F.last_day(month)), "bids": Source(bids, "delivery_date")}
+    table = PeriodTable(spark, root, ACTIVE_BIDS, ["date"], sort_by=["quarter_no", "price"])
+    return StoredView(table, sources, lambda rows: active_bids(rows["activations"], rows["bids"]))
+
+
+class PriceCurve:
+    """Stored price curves of all bids, and prices of any demand read off them."""
+
+    def __init__(self, spark: SparkSession, root: str, bids: PeriodTable):
+        levels = PeriodTable(spark, f"{root}/levels", pc.CURVE_LEVELS, ["date"], sort_by=["quarter_no", "band", "price"])
+        bands = PeriodTable(spark, f"{root}/bands", pc.CURVE_BANDS, ["date"], sort_by=["quarter_no", "band"])
+        self.levels = StoredView(levels, {"bids": Source(bids, "delivery_date")}, lambda rows: pc.curve_levels(rows["bids"]))
+        self.bands = StoredView(bands, {"levels": Source(levels, "date")}, lambda rows: pc.curve_bands(rows["levels"]))
+
+    def refresh(self) -> list[Range]:
+        """Takes over what was loaded since the last refresh; returns the ranges of days computed anew."""
+        changed = self.levels.refresh()
+        self.bands.refresh()
+        return changed
+
+    def prices(self, demand: DataFrame, on_short: str = "null") -> DataFrame:
+        return pc.look_up(demand, self.bands.read(), self.levels.read(), on_short)
+
+    def what_if(self, activations: DataFrame, factors: dict[str, float], absolute_mw: dict[str, float] | None = None, on_short: str = "null") -> DataFrame:
+        return pc.what_if_from_curve(activations, self.bands.read(), self.levels.read(), factors, absolute_mw, on_short)
+
+
 def load_activations(
     spark: SparkSession, path: str, table: PeriodTable, month: tuple[int, int] | None = None, zone: str = cl.ZONE_COLUMN
 ) -> int:

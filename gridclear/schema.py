@@ -79,6 +79,16 @@ MARGINAL_PRICES = _struct(
     time_zone=T.StringType(),
 )
 
+ACTIVE_BIDS = _struct(
+    date=T.DateType(),
+    quarter_no=T.IntegerType(),
+    activated_volume_mw=POWER,
+    block_index=T.IntegerType(),
+    product=T.StringType(),
+    price=PRICE,
+    capacity_mw=POWER,
+)
+
 # The columns a bid sheet must have, and those of an activation file.
 REQUIRED_BID_COLUMNS = [
     "DELIVERY_DATE",

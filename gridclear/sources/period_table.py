@@ -13,9 +13,10 @@ import getpass
 import hashlib
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +35,11 @@ LINEAGE_SCHEMA = T.StructType(
 )
 
 
+def within(day: Column, ranges: Iterable[tuple[dt.date, dt.date]]) -> Column:
+    """Whether a day lies in one of the ranges (first, last)."""
+    return reduce(lambda a, b: a | b, [day.between(F.lit(a), F.lit(b)) for a, b in ranges], F.lit(False))
+
+
 class PeriodTable:
     """``sort_by`` orders the rows inside each file, so that scans can skip parts of files by their statistics."""
 
@@ -101,9 +107,29 @@ class PeriodTable:
     ) -> str:
         """Replaces everything between the first and the last date of the import; days that it lacks are emptied but for those to ``spare``.
 
-        The first partition column is the date.  One job commits the rows, and observes their days.  Partitions to be emptied are then noted
-        in ``pending`` and leave the catalog by one statement; if anything stops in between, ``recover`` carries the note
-        out.  It runs before the next such load, and can be called at any time.
+        The first partition column is the date.
+        """
+        day, kept = F.col(self.partition_by[0]), list(spare)
+
+        def lost(days: list[dt.date]) -> Column:
+            return day.between(F.lit(min(days)), F.lit(max(days))) & ~day.isin([*days, *kept]) if days else F.lit(False)
+
+        return self._replace(df, lost, operation, source_files)
+
+    def replace_ranges(
+        self, df: DataFrame, ranges: Iterable[tuple[dt.date, dt.date]], operation: str = "replace_ranges", source_files: Iterable[str] = ()
+    ) -> str:
+        """Replaces the days of ``ranges`` (first, last), whether the rows, which all lie within them, have those days or not."""
+        day = self.partition_by[0]
+        inside = within(F.col(day), ranges)
+        return self._replace(df, lambda days: inside & ~F.col(day).isin(days), operation, source_files)
+
+    def _replace(self, df: DataFrame, lost: Callable[[list[dt.date]], Column], operation: str, source_files: Iterable[str]) -> str:
+        """Replaces the days that ``df`` has rows for and empties those that ``lost`` names, given the former.
+
+        One job commits the rows, and observes their days.  Partitions to be emptied are then noted in ``pending`` and leave the catalog by
+        one statement; if anything stops in between, ``recover`` carries the note out.  It runs before the next such load, and can
+        be called at any time.
         """
         self.recover()
         day, seen = self.partition_by[0], Observation()
@@ -112,11 +138,8 @@ class PeriodTable:
         write_note(self.spark, path, json.dumps(note))
         observed = self._gathered(df).observe(seen, F.collect_set(quoted(day)).alias("days"))
         observed.write.mode("overwrite").insertInto(self.name)
-        days = seen.get["days"]
-        gone = []
-        if days:
-            lost = F.col(day).between(F.lit(min(days)), F.lit(max(days))) & ~F.col(day).isin([*days, *spare])
-            gone = self.spark.table(self.name).filter(lost).select(*[quoted(c) for c in self.partition_by]).distinct().collect()  # calendar days
+        gone = self.spark.table(self.name).filter(lost(seen.get["days"] or []))
+        gone = gone.select(*[quoted(c) for c in self.partition_by]).distinct().collect()  # calendar days
         write_note(self.spark, path, json.dumps({**note, "gone": [[str(v) for v in row] for row in gone]}))
         return self._complete(path)
 
