@@ -4,6 +4,9 @@ Each paragraph of a text is the set of its word n-grams (one and two words).  Sp
 templates gives a probability for each licence family and for ``unknown``; the probabilities are calibrated on examples
 kept apart, and so is the least probability at which a family is predicted at all.  A prediction counts as confirmed if the
 paragraph shares enough word pairs with a template of that family.
+
+A notice inside a long line, or wrapped over several, is only a part of paragraphs.  So chains of words whose pairs all occur in templates,
+across line ends, are classified too, as if each stood alone; a chain is confirmed by how much of a template it holds.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -107,15 +111,19 @@ WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 
 @dataclass(frozen=True)
 class Training:
-    """``background`` bounds the paragraphs of the corpus that are learned as ``unknown``; the rest is the descent."""
+    """``background`` bounds the paragraphs of the corpus that are learned as ``unknown``, ``background_ngrams`` their n-grams beyond those
+    of templates, the most frequent ones; the rest is the descent."""
 
     background: int = 600
+    background_ngrams: int = 4000
     variants: int = 20  # altered copies of each template sentence
     steps: int = 200
     rate: float = 2.0
     penalty: float = 1e-4
     least_shared: float = 0.5  # of the word pairs of the shorter of paragraph and template
     piece_words: int = 60  # longer paragraphs are read in overlapping pieces
+    chain_shared: float = 0.6  # of a template's word pairs, in a chain
+    chain_pairs: int = 16  # templates with more pairs count as having so many there
     seed: int = 3
 
 
@@ -127,16 +135,42 @@ def pairs(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:]))
 
 
-def paragraphs(text: str, piece_words: int) -> Iterable[tuple[int, int, list[str]]]:
-    """(start, end, words) of every line with words, long ones in pieces that overlap by half."""
-    start = 0
+Piece = tuple[int, int, list[str]]  # start, end, words
+
+
+def pieces(found: list[tuple[int, int, str]], piece_words: int) -> Iterable[Piece]:
+    """Words in pieces that overlap by half."""
+    for k in range(0, max(1, len(found) - piece_words // 2), piece_words // 2):
+        piece = found[k : k + piece_words]
+        yield piece[0][0], piece[-1][1], [w for *_, w in piece]
+
+
+def paragraphs(text: str) -> list[list[tuple[int, int, str]]]:
+    """(start, end, word) of every word of each line that has words."""
+    lines, start = [], 0
     for line in text.split("\n"):
-        found = list(WORD.finditer(line.lower())) if len(line) > 2 else []
-        for k in range(0, max(1, len(found) - piece_words // 2), piece_words // 2):
-            piece = found[k : k + piece_words]
-            if piece:
-                yield start + piece[0].start(), start + piece[-1].end(), [m[0] for m in piece]
+        low = line.lower()
+        if len(low) != len(line):  # a letter whose small form is longer; the places of the others stay
+            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in line)
+        found = [(start + m.start(), start + m.end(), m[0]) for m in WORD.finditer(low)]
+        if found:
+            lines.append(found)
         start += len(line) + 1
+    return lines
+
+
+def chains(lines: list[list[tuple[int, int, str]]], known: set[tuple[str, str]]) -> Iterable[list[tuple[int, int, str]]]:
+    """The longest runs of three or more words of a text whose pairs are all known."""
+    every = [word for line in lines for word in line]
+    words = [w for *_, w in every]
+    begin = None
+    for i, is_known in enumerate([*map(known.__contains__, zip(words, words[1:])), False]):
+        if is_known:
+            begin = i if begin is None else begin
+        elif begin is not None:
+            if i - begin > 1:
+                yield every[begin : i + 1]
+            begin = None
 
 
 @dataclass
@@ -147,26 +181,31 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.5
-    known_pairs: set[str] = field(default_factory=set)
+    known_pairs: set[tuple[str, str]] = field(default_factory=set)
     templates: list[tuple[str, set[tuple[str, str]]]] = field(default_factory=list)
 
-    def probabilities(self, words: list[str]) -> np.ndarray:
-        grams = ngrams(words)
-        at = [self.vocabulary[g] for g in grams if g in self.vocabulary]
-        logits = (self.weights[at].sum(axis=0) / math.sqrt(max(len(grams), 1)) + self.bias) / self.temperature
-        p = np.exp(logits - logits.max())
-        return p / p.sum()
-
-    def classify(self, words: list[str]) -> tuple[str, float]:
-        """The family of a paragraph and its probability; ``unknown`` below the calibrated threshold.
-
-        A paragraph without any word pair of a template is unknown: no template could confirm it.
-        """
-        if not any(map(self.known_pairs.__contains__, map(" ".join, zip(words, words[1:])))):
-            return UNKNOWN, 1.0
-        p = self.probabilities(words)
-        best = int(p[:-1].argmax())
-        return (self.families[best], float(p[best])) if p[best] >= self.threshold else (UNKNOWN, float(p[-1]))
+    def probabilities(self, paragraphs: list[list[str]]) -> np.ndarray:
+        """(paragraphs, families)"""
+        at, sizes, starts = [], [], []
+        for words in paragraphs:
+            grams = ngrams(words)
+            starts.append(len(at))
+            sizes.append(len(grams))
+            at.append(len(self.vocabulary))  # a row of zeros, so that no paragraph is without
+            at += [k for k in map(self.vocabulary.get, grams) if k is not None]
+        if not starts:
+            return np.zeros((0, len(self.families)))
+        rows = np.vstack([self.weights, np.zeros_like(self.weights[:1])])[at]
+        sums = np.add.reduceat(rows, starts, axis=0) / np.sqrt(np.maximum(sizes, 1))[:, None]
+        return softmax((sums + self.bias) / self.temperature)
+
+    def classify(self, paragraphs: list[list[str]]) -> list[tuple[str, float]]:
+        """The family of each paragraph and its probability; ``unknown`` below the calibrated threshold."""
+        p = self.probabilities(paragraphs)
+        best = p[:, :-1].argmax(axis=1)
+        return [
+            (self.families[k], float(row[k])) if row[k] >= self.threshold else (UNKNOWN, float(row[-1])) for row, k in zip(p, best)
+        ]
 
     def shared(self, words: list[str], family: str) -> float:
         """The largest share of word pairs that the paragraph has in common with a template of the family."""
@@ -175,6 +214,14 @@ class Model:
             (len(own & t) / max(1, min(len(own), len(t))) for name, t in self.templates if name == family), default=0.0
         )
 
+    def held(self, words: list[str], family: str, most: int) -> float:
+        """The largest part of a template of the family that a chain holds, of ``most`` word pairs where it has more."""
+        return largest_part(pairs(words), (t for name, t in self.templates if name == family), most)
+
+
+def largest_part(own: set[tuple[str, str]], templates: Iterable[set[tuple[str, str]]], most: int) -> float:
+    return max((min(1.0, len(own & t) / max(1, min(len(t), most))) for t in templates), default=0.0)
+
 
 def altered(words: list[str], rng: random.Random) -> list[str]:
     """A template as projects change it: a line of it, words left out or exchanged, a name and a year before it."""
@@ -205,11 +252,17 @@ def fit(background: list[str], how: Training = Training()) -> Model:
         own = pairs(words)
         if words and all(len(own & t) < how.least_shared * min(len(own), len(t)) or not own for _, t in sets):
             examples.append((words, UNKNOWN))
-    vocabulary: dict[str, int] = {}
-    for words, family in examples:
-        if family != UNKNOWN or len(vocabulary) < 4000:
-            for gram in sorted(ngrams(words)):
-                vocabulary.setdefault(gram, len(vocabulary))
+    known = {p for _, t in sets for p in t}
+    for words in ordinary:  # what a scan meets as chains
+        for chain in chains([[(0, 0, w) for w in words]], known):
+            run = [w for *_, w in chain]
+            if largest_part(pairs(run), (t for _, t in sets), how.chain_pairs) < how.chain_shared:
+                examples.append((run, UNKNOWN))
+    grams_of = [(sorted(ngrams(words)), family) for words, family in examples]
+    vocabulary = {gram: k for k, gram in enumerate(sorted({g for grams, family in grams_of if family != UNKNOWN for g in grams}))}
+    others = Counter(g for grams, family in grams_of if family == UNKNOWN for g in grams if g not in vocabulary)
+    for gram, _ in sorted(others.items(), key=lambda item: (-item[1], item[0]))[: how.background_ngrams]:
+        vocabulary[gram] = len(vocabulary)
     rng.shuffle(examples)
     rows = np.zeros((len(examples), len(vocabulary)), np.float32)
     for row, (words, _) in zip(rows, examples):
@@ -235,7 +288,7 @@ def fit(background: list[str], how: Training = Training()) -> Model:
     # Above all but one in a hundred of the family probabilities that would have been wrong.
     model.threshold = float(min(0.95, max(0.5, np.quantile(wrong, 0.99) if len(wrong) else 0.5)))
     model.templates = sets
-    model.known_pairs = {" ".join(p) for _, s in sets for p in s}
+    model.known_pairs = known
     return model
 
 
@@ -245,11 +298,17 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def background(docs: DataFrame, how: Training = Training()) -> list[str]:
-    """At most ``how.background`` lines of the corpus, one of each of as many documents, chosen by a hash."""
+    """At most ``how.background`` lines of the corpus, one of each of as many documents, chosen by a hash.
+
+    Of a large corpus only documents under a bound of the hash are considered, some eight for each line wanted, so that partitions have few to send.
+    """
+    scale = 1 << 40
+    bound = scale * 8 * how.background // max(docs.select("doc_id").count(), 1)
     hashed = F.xxhash64("doc_id", F.lit(how.seed))
     lines = F.split(F.col("text"), "\n")
     line = F.element_at(lines, (F.pmod(hashed, F.size(lines)) + 1).cast("int"))
-    sample = docs.filter("text IS NOT NULL").select(F.substring(line, 1, 400).alias("line"), hashed.alias("hash"))
+    chosen = docs.filter(F.pmod(hashed, F.lit(scale)) < bound).filter("text IS NOT NULL")
+    sample = chosen.select(F.substring(line, 1, 400).alias("line"), hashed.alias("hash"))
     return [r[0] for r in sample.filter("length(line) > 0").orderBy("hash", "line").limit(how.background).collect()]
 
 
@@ -259,11 +318,16 @@ FINDING = pa.struct(
 FINDING_DDL = "struct<start: long, end: long, family: string, probability: double, shared: double, confirmed: boolean>"
 
 
+def finding(start: int, end: int, family: str, probability: float, shared: float, confirmed: bool) -> dict:
+    return {"start": start, "end": end, "family": family, "probability": probability, "shared": shared, "confirmed": confirmed}
+
+
 def scan(docs: DataFrame, how: Training = Training(), model: Model | None = None) -> DataFrame:
     """(doc_id, n_paragraphs, families, findings) of each row of ``docs`` (doc_id, text), whatever else it has.
 
-    ``findings`` are all paragraphs predicted to belong to a family, with their code points, probability, the share of word pairs in
-    common with a template and whether that confirms them; ``families`` the confirmed ones in order.  A null or
+    ``n_paragraphs`` are the lines with words.  ``findings`` are all paragraphs (pieces of them, where they are long) predicted to belong to a
+    family, with their code points, probability, the share of word pairs in common with a template and whether that confirms them, and
+    confirmed chains outside of confirmed paragraphs of their family; ``families`` the confirmed ones in order.  A null or
     empty text has no paragraphs and empty lists; repeated rows are scanned each for itself, null ids stay null; an empty table
     gives no rows.
     """
@@ -275,16 +339,21 @@ def scan(docs: DataFrame, how: Training = Training(), model: Model | None = None
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         model, counts, families, findings = known.value, [], [], []
         for text in texts(batch):
-            n, found = 0, []
-            for start, end, words in paragraphs(text, how.piece_words):
-                n += 1
-                family, probability = model.classify(words)
+            lines = paragraphs(text)
+            read = [piece for line in lines for piece in pieces(line, how.piece_words)]
+            found = []
+            for (start, end, words), (family, probability) in zip(read, model.classify([words for *_, words in read])):
                 if family != UNKNOWN:
                     shared = model.shared(words, family)
-                    found.append(
-                        {"start": start, "end": end, "family": family, "probability": probability, "shared": shared, "confirmed": shared >= how.least_shared}
-                    )
-            counts.append(n)
+                    found.append(finding(start, end, family, probability, shared, shared >= how.least_shared))
+            runs = [piece for chain in chains(lines, model.known_pairs) for piece in pieces(chain, how.piece_words)]
+            inside = [(f["start"], f["end"], f["family"]) for f in found if f["confirmed"]]
+            for (start, end, words), (family, probability) in zip(runs, model.classify([words for *_, words in runs])):
+                if family != UNKNOWN and not any(a < end and start < b and name == family for a, b, name in inside):
+                    part = model.held(words, family, how.chain_pairs)
+                    if part >= how.chain_shared:
+                        found.append(finding(start, end, family, probability, part, True))
+            counts.append(len(lines))
             findings.append(found)
             families.append(sorted({f["family"] for f in found if f["confirmed"]}))
         return pa.RecordBatch.from_arrays(
