@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from gridclear.functions import parsing as ps
 from gridclear.functions import timecode as tc
+from gridclear.operators.rules import Rule, check_rules
 from gridclear.schema import (
     ACTIVATION_COLUMNS,
     BIDS,
@@ -326,21 +327,22 @@ def quality_rules(
     price_limits: tuple[float, float] = (-99999.0, 99999.0),
     max_capacity_mw: float = 5000.0,
 ) -> DataFrame:
-    """Rows failing each rule, all rules in one pass: ``(rule, failed_rows, checked_rows)``."""
-    rules = {
-        "date_in_range": F.col("delivery_date").between(F.lit(first_date).cast("date"), F.lit(last_date).cast("date")),
-        "product_pattern": F.col("product").rlike(PRODUCT_PATTERN),
-        "price_in_range": F.col("energy_price_eur_mwh").between(*price_limits),
-        "capacity_in_range": F.col("allocated_capacity_mw").between(0, max_capacity_mw),
-        "no_nulls": F.col("delivery_date").isNotNull()
-        & F.col("product").isNotNull()
-        & F.col("energy_price_eur_mwh").isNotNull()
-        & F.col("allocated_capacity_mw").isNotNull(),
-    }
-    failed = [F.count_if(~F.coalesce(ok, F.lit(False))).alias(name) for name, ok in rules.items()]
-    return (
-        bids.agg(F.count("*").alias("checked_rows"), *failed)
-        .unpivot("checked_rows", list(rules), "rule", "failed_rows")
-        .select("rule", "failed_rows", "checked_rows")
-    )
+    """Rows failing each rule, all rules in one pass: ``(rule, failed_rows, checked_rows)``.  ``bid_rules`` are the rules."""
+    return check_rules(bids, bid_rules(first_date, last_date, price_limits, max_capacity_mw))
+
 
+def bid_rules(
+    first_date: str,
+    last_date: str,
+    price_limits: tuple[float, float] = (-99999.0, 99999.0),
+    max_capacity_mw: float = 5000.0,
+) -> list[Rule]:
+    """The rules for bids, which can be stored as rows of a table and extended there."""
+    price, capacity = "energy_price_eur_mwh", "allocated_capacity_mw"
+    return [
+        Rule("date_in_range", "range", ("delivery_date",), first_date, last_date),
+        Rule("product_pattern", "pattern", ("product",), pattern=PRODUCT_PATTERN),
+        Rule("price_in_range", "range", (price,), *map(str, price_limits)),
+        Rule("capacity_in_range", "range", (capacity,), "0", str(max_capacity_mw)),
+        Rule("no_nulls", "not_null", ("delivery_date", "product", price, capacity)),
+    ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridclear.plans import file_queries, market_queries, table_queries, view_queries  # noqa: F401
+from gridclear.plans import file_queries, history_queries, market_queries, table_queries, view_queries  # noqa: F401
 from gridclear.plans.registry import ORACLE, QUERIES, Query
 
 
