@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridclear.operators import profile_state as ps
+from gridclear.operators import profiling as pf
 from gridclear.plans import market_views as mv
 from gridclear.plans import workflows as wf
 from gridclear.plans.market_queries import SCENARIOS
@@ -69,3 +71,32 @@ def refreshed_active_bids(spark, sf):
     _reload(bids, mv.bids(spark, sf))
     view.refresh()
     return view.read()
+
+
+PROFILED = {"product": "product", "energy_price_eur_mwh": "price", "allocated_capacity_mw": "mw", "type_of_reserves": "type_of_reserves"}
+
+
+@query(
+    with_(
+        RAW, ALL_BIDS, RELOADED, "period AS (SELECT * FROM bids WHERE delivery_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20')",
+        select=" UNION ALL ".join(
+            f"""SELECT '{name}' AS column_name, COUNT(*) AS total_count, COUNT(*) - COUNT({c}) AS null_count, CAST(MIN({c}) AS VARCHAR) AS min_value,
+       CAST(MAX({c}) AS VARCHAR) AS max_value, TRUE AS estimate_is_near FROM period"""
+            for name, c in PROFILED.items()
+        ),
+    )
+)
+def profile_from_states(spark, sf):
+    """Sixteen days from states of single days, of which a second load changed some; distinct values within four standard errors."""
+    root = scratch_dir(spark, "profile")
+    bids = wf.bid_table(spark, f"{root}/bids")
+    bids.replace_range(mv.bids(spark, sf))
+    view = wf.bid_profile_view(spark, f"{root}/view", bids, list(PROFILED))
+    view.refresh()
+    _reload(bids, mv.bids(spark, sf))
+    view.refresh()
+    days = F.col("delivery_date").between("2024-01-05", "2024-01-20")
+    exact = pf.distinct_counts(bids.read().filter(days), list(PROFILED))
+    near = F.abs(F.col("unique_estimate") - F.col("unique_values")) <= F.greatest(F.lit(1), F.col("unique_values") * 0.032)
+    found = ps.profile_of(view.read().filter(days)).join(exact, "column_name")
+    return found.select("column_name", "total_count", "null_count", "min_value", "max_value", near.alias("estimate_is_near"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridclear.operators import cleaning as cl
 from gridclear.operators import price_curve as pc
+from gridclear.operators import profile_state as ps
 from gridclear.operators.merit_order import active_bids, date_range, marginal_prices
 from gridclear.schema import ACTIVATIONS, ACTIVE_BIDS, BIDS, MARGINAL_PRICES
 from gridclear.sources.bid_import import BidImport
@@ -33,6 +34,16 @@ def price_table(spark: SparkSession, root: str) -> PeriodTable:
     return PeriodTable(spark, root, MARGINAL_PRICES, ["date"], sort_by=["timestamp"])
 
 
+def bid_profile_view(spark: SparkSession, root: str, bids: PeriodTable, columns: list[str]) -> StoredView:
+    """Profile states of the bids by delivery day; ``profile_state.profile_of`` merges those of any days."""
+
+    def build(found: dict[str, DataFrame]) -> DataFrame:
+        return ps.profile_states(found["bids"], "delivery_date", columns)
+
+    table = PeriodTable(spark, root, build({"bids": bids.read()}).schema, ["delivery_date"])
+    return StoredView(table, {"bids": Source(bids, "delivery_date")}, build)
+
+
 def active_bid_view(spark: SparkSession, root: str, activations: PeriodTable, bids: PeriodTable) -> StoredView:
     """Every bid whose block covers an activated quarter-hour; a load is taken over by ``refresh``, which computes its days only."""
     month = F.make_date("year", "month", F.lit(1))
