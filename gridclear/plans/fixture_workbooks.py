@@ -24,7 +24,7 @@ def land_sheets(df: DataFrame, path: str, prefix: str = "book", sheets: int = 8,
     book = F.concat(F.lit(prefix), F.floor(F.col("_no") / 2).cast("string"), F.lit(".xlsx"))
     named = header.unionByName(data).select("_r", "c", book.alias("source_file"), F.concat(F.lit("S"), F.pmod("_no", F.lit(2)).cast("string")).alias("sheet"))
     writer = named.write.mode("append").partitionBy("source_file", "sheet").format("xml")
-    writer.options(rootTag="worksheet", rowTag="row", compression=compression).save(path)
+    writer.options(rootTag="worksheet", rowTag="row", indent="", compression=compression).save(path)
 
 
 def land_broken_file(spark, path: str, name: str = "broken.xlsx") -> None:

@@ -2,11 +2,16 @@
 
 A workbook lands as a folder per sheet, ``source_file=<workbook>/sheet=<name>/``, with the sheet's XML inside, plain or
 compressed by gzip: ``row`` elements with their number ``r``, of ``c`` elements that may name their place (``r="B7"``) and
-hold a value ``v`` or an inline text ``is/t``.  Rows are read by all tasks; large files are split.
+hold a value ``v`` or an inline text ``is/t``.  Rows are read by all tasks.  Files whose rows are all plain, as most programs write
+them, are split and cut by patterns; any other file goes through Spark's XML source, which gives the same for plain ones.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +38,25 @@ XML_SCHEMA = T.StructType(
 )
 XML_OPTIONS = {"rowTag": "row", "ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 SHEET = ["source_file", "sheet"]
+ROW_START = "<row"
+TEXT_SCHEMA = "value string, source_file string, sheet string"
+_GAP = r"[ \t\r\n]*+"
+# A text is empty or has a character that is no white space; characters that XML forbids or changes are left to its parser.
+_CHARACTER = r"[^<>&\r\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F\uD800-\uDFFF\uFFFD-\uFFFF]"
+_TEXT = rf"(?:(?=[ \t\n]*+[^ \t\n<]){_CHARACTER}*+(?:&(?:amp|lt|gt|quot|apos);{_CHARACTER}*+)*+)?"
+_PLAIN_CELL = (
+    rf'<c(?: r="[A-Z]{{1,3}}[0-9]{{1,9}}")?(?: s="[0-9]+")?(?: t="[A-Za-z]+")?>{_GAP}'
+    rf"(?:<is>{_GAP}<t>{_TEXT}</t>{_GAP}</is>|<v>{_TEXT}</v>)?{_GAP}</c>{_GAP}"
+)
+PLAIN_ROW = re.compile(rf' r="[0-9]{{1,18}}"(?: spans="[0-9:]*")?>{_GAP}(?:<c><is><t>{_TEXT}</t></is></c>|{_PLAIN_CELL})*+</row>{_GAP}((?:</[A-Za-z]+>{_GAP})*)')
+_OPEN = r'<[A-Za-z]+(?: xmlns="[^"<>&]*")?>'
+PLAIN_BEGINNING = re.compile(
+    rf'(?:<\?xml version="1\.0"(?: encoding="UTF-8")?(?: standalone="(?:yes|no)")?\?>)?{_GAP}'
+    rf'(?:{_OPEN}{_GAP})+(?:<dimension ref="[A-Z0-9:]+"/>{_GAP})?(?:{_OPEN}{_GAP})*'
+)
+OPENED, CLOSED = re.compile(r"<([A-Za-z]+)(?: xmlns=[^<>]*)?>"), re.compile(r"</([A-Za-z]+)>")
+CELL = re.compile(rf'<c(?: r="([A-Z]+)[0-9]+")?[^>]*>{_GAP}(?:(<is>{_GAP}<t>|<v>)([^<]*))?')
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}  # the last one last
 
 
 def scan_sheets(spark: SparkSession, *paths: str, base: str | None = None) -> DataFrame:
@@ -42,17 +66,116 @@ def scan_sheets(spark: SparkSession, *paths: str, base: str | None = None) -> Da
     A row that is no XML has only its text, in ``corrupt``.
     """
     raw = spark.read.format("xml").schema(XML_SCHEMA).options(**XML_OPTIONS)
-    raw = (raw.option("basePath", base) if base else raw).load(list(paths))
-    value = F.transform("c", lambda c: F.coalesce(c["is"]["t"], c["v"]))
-    rows = raw.select(*SHEET, F.col("_r").alias("row_no"), _in_place(F.col("c"), value).alias("cells"), F.col(CORRUPT).alias("corrupt"))
-    headers = rows.filter("row_no = 1 AND corrupt IS NULL").groupBy(*SHEET).agg(_unique(F.first("cells")).alias("header"))
+    text = spark.read.format("text").schema(TEXT_SCHEMA).option("lineSep", ROW_START)
+    raw, text = ((r.option("basePath", base) if base else r).load(list(paths)) for r in (raw, text))
+    path = F.col("_metadata.file_path")
+    odd = [r["path"] for r in _not_plain(text).collect()]  # names of files
+    plain = text.filter(~path.isin(odd)) if odd else text
+    rows, first = _plain_rows(plain), _plain_rows(plain.filter(F.col("value").rlike('^ r="0*1"')))
+    if odd:
+        value = F.transform("c", lambda c: F.coalesce(c["is"]["t"], c["v"]))
+        parsed = raw.filter(path.isin(odd)).select(*SHEET, F.col("_r").alias("row_no"), _in_place(F.col("c"), value).alias("cells"), F.col(CORRUPT).alias("corrupt"))
+        rows, first = rows.unionByName(parsed), first.unionByName(parsed)
+    headers = first.filter("row_no = 1 AND corrupt IS NULL").groupBy(*SHEET).agg(_unique(F.first("cells")).alias("header"))
     filled = F.exists("cells", lambda c: F.coalesce(c, F.lit("")) != "")
-    data = rows.filter(F.col("corrupt").isNotNull() | ((F.col("row_no") > 1) & filled)).join(headers, SHEET, "left")
+    data = rows.filter(F.col("corrupt").isNotNull() | ((F.col("row_no") > 1) & filled)).join(F.broadcast(headers), SHEET, "left")
     columns = [*SHEET, "row_no", "header", "cells", "corrupt"]
     nothing = {"row_no": F.lit(0).cast("long"), "cells": F.lit(None).cast("array<string>"), "corrupt": F.lit(None).cast("string")}
     return headers.withColumns(nothing).select(*columns).unionByName(data.select(*columns))
 
 
+def _not_plain(text: DataFrame) -> DataFrame:
+    """Files (path) with a row, or anything around the rows, of a shape not known here.
+
+    A record is the text from one ``<row`` to the next.  In a plain file the first one opens elements, each other one is a whole row, and the last
+    one closes those elements too.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [kind_of(value) for value in batch.column("value").to_pylist()]
+            kinds, tags = (pa.array([t[k] for t in told], pa.string()) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("path", "block", "at")), kinds, tags], ["path", "block", "at", "kind", "tags"])
+
+    place = F.struct("block", "at")
+    records = text.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("value").cast("binary").alias("value"),
+    )
+    per_file = records.mapInArrow(run, "path string, block long, at long, kind string, tags string").groupBy("path").agg(
+        F.count_if(F.col("kind") == "strange").alias("strange"),
+        F.count_if(F.col("kind") == "beginning").alias("beginnings"),
+        F.count_if(F.col("kind") == "end").alias("ends"),
+        F.min_by(F.struct("kind", "tags"), place).alias("first"),
+        F.max_by(F.struct("kind", "tags"), place).alias("last"),
+    )
+    plain = "strange = 0 AND beginnings = 1 AND ends = 1 AND first.kind = 'beginning' AND last.kind = 'end' AND first.tags = last.tags"
+    return per_file.filter(f"NOT coalesce({plain}, false)").select("path")
+
+
+def kind_of(record: bytes) -> tuple[str, str | None]:
+    """What a record is, and the tags that it opens or, from the outermost one, closes."""
+    text = record.decode("utf-8", "replace")
+    row = PLAIN_ROW.fullmatch(text)
+    if row:
+        if '<c r="' in text:
+            places = [place for place, _, _ in CELL.findall(text)]
+            if all(places) and len(set(places)) < len(places):
+                return "strange", None
+        return ("end", " ".join(CLOSED.findall(row[1])[::-1])) if row[1] else ("row", None)
+    if PLAIN_BEGINNING.fullmatch(text):
+        return "beginning", " ".join(OPENED.findall(text))
+    return "strange", None
+
+
+def _plain_rows(text: DataFrame) -> DataFrame:
+    """``source_file, sheet, row_no, cells, corrupt`` of files whose records are all plain."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column("value").to_pylist()
+            numbers = pa.array([int(v[4 : v.index('"', 4)]) for v in values], pa.int64())
+            cells = pa.array(list(map(cells_of, values)), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in SHEET), numbers, cells], [*SHEET, "row_no", "cells"])
+
+    rows = text.filter(F.startswith("value", F.lit(" r="))).select(*SHEET, "value")
+    found = rows.mapInArrow(run, "source_file string, sheet string, row_no long, cells array<string>")
+    return found.withColumn("corrupt", F.lit(None).cast("string"))
+
+
+def cells_of(row: str) -> list[str | None] | None:
+    """Values of a plain row, as by ``_in_place``; None if it has no cells."""
+    found = CELL.findall(row)
+    if not found:
+        return None
+    values = [text if tag else None for _, tag, text in found]
+    if "&" in row:
+        values = [v and unescaped(v) for v in values]
+    if '<c r="' not in row or not all(place for place, _, _ in found):
+        return values
+    places = [column_no(place) for place, _, _ in found]
+    named = [None] * max(places)
+    for place, value in zip(places, values):
+        named[place - 1] = value
+    return named
+
+
+def unescaped(text: str) -> str:
+    for entity, character in ENTITIES.items():
+        text = text.replace(entity, character)
+    return text
+
+
+def column_no(letters: str) -> int:
+    """Place of a column from 1: ``B`` is the second."""
+    number = 0
+    for letter in letters:
+        number = number * 26 + ord(letter) - 64
+    return number
+
+
 def _in_place(cells: Column, values: Column) -> Column:
     """Values at the places their cells name (``B7`` is the second), else in the order they come."""
     letters = F.transform(cells, lambda c: F.split(F.regexp_extract(c["_r"], "^[A-Z]+", 0), ""))

@@ -187,3 +187,59 @@ def test_columns_are_found_by_name(spark, tmp_path):
     ]
     raw = dl.scan_activation_csv(spark, land_bytes(tmp_path / "..", x__csv=b"Datum;von\n\xfc;1\n") + "/x.csv", encoding="ISO-8859-1")
     assert raw.first().Datum == "\u00fc"
+
+
+def as_xml(spark, path):
+    """Row numbers and cells by Spark's XML source alone."""
+    raw = spark.read.format("xml").schema(wb.XML_SCHEMA).options(**wb.XML_OPTIONS).load(path)
+    values = F.transform("c", lambda c: F.coalesce(c["is"]["t"], c["v"]))
+    return raw.select(*wb.SHEET, F.col("_r").alias("row_no"), wb._in_place(F.col("c"), values).alias("cells"), F.col(wb.CORRUPT).alias("corrupt"))
+
+
+CELLS = "<c><is><t>x</t></is></c>"
+SHAPES = {
+    "plain": (sheet_xml([["A", "B"], ["a & b <c> \"q\" 'z'", " lead"], [None, 2.5]]), True),
+    "places": (sheet_xml([["A", "B", "C"], ["x", None, " y "], [None, None, "&amp;"]], places=True), True),
+    "indented": ('<worksheet>\n  <row r="1">\n    <c s="1" t="s">\n      <v>7</v>\n    </c>\n  </row>\n</worksheet>', True),
+    "empty": ('<w><row r="1"><c></c><c><v></v></c><c><is><t></t></is></c></row>\n<row r="2"></row></w>', True),
+    "comment": (f'<w><row r="1">{CELLS}</row><!-- <row r="2">{CELLS}</row> --></w>', False),
+    "section": ('<w><row r="1"><c><v><![CDATA[a</row>b]]></v></c></row></w>', False),
+    "blank": ('<w><row r="1"><c><v> </v></c><c><v>\n</v></c></row></w>', False),
+    "number": ('<w><row r="1"><c><v>&#65;</v></c></row></w>', False),
+    "cut": (f'<w><row r="1">{CELLS}</row><row r="2">{CELLS}', False),
+    "closed": (f'<w><row r="1">{CELLS}</row></w><row r="2">{CELLS}</row>', False),
+    "alone": (f'<w><row r="1"/><row r="2">{CELLS}</row></w>', False),
+}
+
+
+def test_plain_rows_are_those_of_the_xml_source(spark, tmp_path):
+    for name, (text, _) in SHAPES.items():
+        land(tmp_path, f"{name}.xlsx", {"S": text})
+    path = str(tmp_path)
+    text = spark.read.format("text").schema(wb.TEXT_SCHEMA).option("lineSep", wb.ROW_START).load(path)
+    odd = [r.path for r in wb._not_plain(text).collect()]
+    assert {n for n in SHAPES if not any(f"={n}.xlsx" in p for p in odd)} == {n for n, (_, plain) in SHAPES.items() if plain}
+    plain = [str(tmp_path / f"source_file={n}.xlsx") for n, (_, is_plain) in SHAPES.items() if is_plain]
+    texts = spark.read.format("text").schema(wb.TEXT_SCHEMA).option("lineSep", wb.ROW_START).option("basePath", path).load(plain)
+    order = ["source_file", "row_no"]
+    expected = as_xml(spark, path).filter(F.col("source_file").isin([n + ".xlsx" for n, (_, p) in SHAPES.items() if p])).orderBy(*order).collect()
+    assert wb._plain_rows(texts).orderBy(*order).collect() == expected
+
+
+def test_a_large_plain_sheet_is_read_by_several_tasks(spark, tmp_path):
+    path = land(tmp_path, "a.xlsx", {"S": [HEADER, *[ROW] * 3000]})
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "60000")
+    try:
+        rows = wb.scan_sheets(spark, path).filter("cells IS NOT NULL")
+        assert rows.count() == 3000 and rows.groupBy(F.spark_partition_id()).count().count() > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+
+
+def test_landed_sheets_have_no_blanks_between_tags(spark, tmp_path):
+    from gridclear.plans.fixture_workbooks import land_sheets
+
+    land_sheets(spark.createDataFrame([("x", None)], "a string, b string"), str(tmp_path / "x"), sheets=1)
+    text = "".join(r.value for r in spark.read.text(str(tmp_path / "x")).collect())
+    assert "> " not in text and '<row r="1"><c><is><t>a</t></is></c><c><is><t>b</t></is></c></row>' in text
