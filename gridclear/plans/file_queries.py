@@ -516,8 +516,9 @@ def _second_delivery(spark, sf):
     return told.withColumn("ENERGY_PRICE_[EUR/MWh]", F.when(day == F.lit("2024-01-12").cast("date"), "abc").otherwise(raised))
 
 
-def _land_sheet_rows(text, path):
-    land_sheets(text.select(*[f"`{c}`" for c in BID_TEXT], "NOTE"), path)
+def _land_sheet_rows(text, path, prefix="book"):
+    """Compressed, as two whole deliveries are kept at a time."""
+    land_sheets(text.select(*[f"`{c}`" for c in BID_TEXT], "NOTE"), path, prefix, compression="gzip")
 
 
 def _kept(table, refused):
@@ -541,7 +542,7 @@ def refused_bids_keep_their_day_in_streams(spark, sf):
     root = scratch_dir(spark, "refused-stream")
     table = _bid_table(spark, "refused-stream-table")
     for prefix, rows in (("first", mv.bid_text(spark, sf)), ("second", _second_delivery(spark, sf))):
-        land_sheets(rows.select(*[f"`{c}`" for c in BID_TEXT], "NOTE"), f"{root}/landing", prefix)
+        _land_sheet_rows(rows, f"{root}/landing", prefix)
         st.bid_workbook_load(spark, f"{root}/landing", table, f"{root}/checkpoint")
     return _kept(table, lg.dead_letters(spark, table))
 

@@ -243,3 +243,12 @@ def test_landed_sheets_have_no_blanks_between_tags(spark, tmp_path):
     land_sheets(spark.createDataFrame([("x", None)], "a string, b string"), str(tmp_path / "x"), sheets=1)
     text = "".join(r.value for r in spark.read.text(str(tmp_path / "x")).collect())
     assert "> " not in text and '<row r="1"><c><is><t>a</t></is></c><c><is><t>b</t></is></c></row>' in text
+
+
+def test_deliveries_that_are_kept_are_compressed(spark, tmp_path, sf_dir):
+    from gridclear.plans import file_queries as fq
+    from gridclear.plans import market_views as mv
+
+    fq._land_sheet_rows(mv.bid_text(spark, sf_dir), str(tmp_path / "two"), "second")
+    files = [p for p in (tmp_path / "two").rglob("part-*")]
+    assert files and all(p.name.endswith(".xml.gz") and "source_file=second" in str(p) for p in files)
