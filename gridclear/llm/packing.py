@@ -28,6 +28,7 @@ from gridclear.llm.tokenizer_files import PreTokens
 
 MEMO = 1 << 19  # words of a generation whose ids a worker keeps: two of them take about 200 MB
 GO = 1 << 13  # words encoded at a time
+CUT_AT_ONCE = 1 << 18  # bytes of text that are words at a time: those take some twenty times as much
 ID_BYTES = 4
 PATIENCE = 16  # waiting bins after which the next class may be cut for them too
 MOST_PATIENCE = 6  # times that many: any document may
@@ -272,8 +273,9 @@ def pack(docs: DataFrame, file: str, capacity: int = 2048, end_id: int = 1, memo
         encoder = encoder_of(file, memo)
         packer = HarmonicPacker(capacity, TaskContext.get().partitionId() << 40)
         for batch in small_batches(batches):
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(texts(batch))):
-                packer.add(doc_id, ids + end)
+            for part in small_batches([batch], CUT_AT_ONCE):
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.ids(texts(part))):
+                    packer.add(doc_id, ids + end)
             yield packer.take()
         packer.close()
         yield packer.take()

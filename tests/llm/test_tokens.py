@@ -168,3 +168,36 @@ def test_waiting_bins_are_bounded():
     for i in range(20000):
         packer.add(i, b"\1\0\0\0" * (2048 // (1 + i % 7) - 1))
         assert len(packer.waiting) <= packing.PATIENCE * packing.MOST_PATIENCE + 2048
+
+
+def test_packing_cuts_few_texts_at_a_time(spark, monkeypatch):
+    from gridclear.llm import common, packing
+
+    trimmed = []
+    monkeypatch.setattr(common, "trim", lambda: trimmed.append(len(common._model)))
+    common.resident(("trimmed",), object)
+    assert trimmed[-1] == 1  # after it was built
+    monkeypatch.undo()
+    common.release()
+    sizes = []
+
+    class Noted:
+        def ids(self, texts):
+            sizes.append(sum(map(len, texts)))
+            return [b"\x05\x00\x00\x00"] * len(texts)
+
+    monkeypatch.setattr(packing, "encoder_of", lambda file, memo: Noted())
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            import pyarrow as pa
+
+            batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "text": ["x" * 1000] * 2000})
+            return pa.Table.from_batches(run([batch]))
+
+    assert packing.pack(Rows(), "").num_rows >= 2000
+    assert max(sizes) < 1 << 19 and sum(sizes) == 2_000_000
