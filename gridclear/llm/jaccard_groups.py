@@ -129,10 +129,11 @@ def meetings(described: DataFrame) -> DataFrame:
     """(token, row): prefix shingles that several rows have.
 
     Frequent shingles are few and known: they are counted in the tasks first and the result is broadcast (at most
-    ``MAX_FREQUENT`` rows), so a hot shingle moves no rows.  All others are dealt out once by shingle.
+    ``MAX_FREQUENT`` rows), so a hot shingle moves no rows.  All others are dealt out once by shingle: a row has a shingle once, so
+    its least and greatest row tell whether several have it, from the rows that are looked up then.
     """
     rare = described.select("row", F.explode("rare").alias("token")).repartition("token")
-    several = rare.groupBy("token").agg(F.count("*").alias("rows")).filter("rows > 1").select("token")
+    several = rare.groupBy("token").agg(F.min("row").alias("x"), F.max("row").alias("y")).filter("x <> y").select("token")
     often = described.select("row", F.explode("frequent").alias("token"))
     often_several = often.groupBy("token").agg(F.count("*").alias("rows")).filter("rows > 1").select("token")
     return rare.join(several.hint("shuffle_hash"), "token").unionAll(often.join(F.broadcast(often_several), "token")).select("token", "row")
@@ -283,7 +284,7 @@ class Join:
         tried: DataFrame | None = None
         least = min(CLOSE, self.percent)
         for _ in range(ROUNDS):
-            at = met.join(joined, "row", "left").withColumn("component", F.coalesce("component", "row"))
+            at = met.join(joined, "row", "left").withColumn("component", F.coalesce("component", "row")).repartition("token")
             ends = at.groupBy("token").agg(F.min(F.struct("component", "row")).alias("x"), F.max(F.struct("component", "row")).alias("y"))
             apart = at.join(ends.filter("x.component <> y.component"), "token")
             other = F.when(F.col("component") != F.col("x.component"), F.col("x.row")).otherwise(F.col("y.row"))
@@ -352,13 +353,14 @@ class Join:
         joined = named.groupBy("component").agg(F.count("*").alias("joined"))
         named = written(named.join(joined, "component"), "named")
         ranges = named.groupBy("group").agg(F.count("*").alias("group_rows"), F.min("n").alias("low"), F.max("n").alias("high"))
-        placed = written(met.join(named, "row").select("token", "row", "n", "joined", "component", "group"), "placed")
-        several = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
-        placed = placed.join(several, "token", "left_semi")
-        order = F.struct("joined", "component")
-        matrix = placed.groupBy("token", "group").agg(F.max(order).alias("top"))
-        meet = placed.withColumnRenamed("group", "own").join(matrix, "token").filter(order < F.col("top"))
-        candidates = meet.select("row", "n", "joined", "component", "group").distinct().join(ranges, "group")
+        # Dealt out by shingle once: tops are whole rows and candidates keep their own group, so that both uses ask for the same columns, none of which
+        # is ever null.  A shingle of one component has that as its only top, and makes no candidate.
+        placed = met.join(named, "row").select("token", "row", "n", "joined", "component", "group")
+        placed = written(placed, "placed").filter(" AND ".join(f"`{c}` IS NOT NULL" for c in placed.columns)).repartition("token")
+        order, top = F.struct("joined", "component"), F.max(F.struct("joined", "component", "row", "n"))
+        matrix = placed.groupBy("token", "group").agg(top.alias("top"))
+        meet = placed.withColumnRenamed("group", "own").join(matrix, "token").filter(order < F.struct("top.joined", "top.component"))
+        candidates = meet.select("row", "n", "joined", "component", "own", "group").distinct().join(ranges, "group")
         fits = self.may_fit(F.col("n"), F.col("low"), F.col("high"))
         fitting = written(candidates.filter(fits).select("row", "n", "joined", "component", "group"), "candidates")
         members = named.join(fitting.select("group").distinct(), "group").join(ranges.select("group", "group_rows"), "group")

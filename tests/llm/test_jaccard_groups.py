@@ -108,3 +108,20 @@ def test_shingles_of_any_text():
             rows = [np.frombuffer(sh.bit_row(s), np.uint8) for s in (sets[i], sets[j])]
             lacks, reverse = sh.missing_bits(rows[0], rows[1][None])
             assert lacks[0] <= len(x - y) and reverse[0] <= len(y - x)
+
+
+def test_prefix_shingles_are_dealt_out_once(spark, tmp_path):
+    """Counting a shingle's rows and looking them up take one shuffle of them."""
+    rows = [(i, [i % 3, 100 + i], [7] if i else []) for i in range(6)] + [(6, [1000], None)]
+    spark.createDataFrame(rows, "row long, rare array<long>, frequent array<long>").write.parquet(f"{tmp_path}/described")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        met = jg.meetings(spark.read.parquet(f"{tmp_path}/described"))
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        found = sorted((r.token, r.row) for r in met.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert found == sorted([(i % 3, i) for i in range(6)] + [(7, i) for i in range(1, 6)])
+    dealt = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    assert len([line for line in dealt if "ReusedExchange" not in line]) == 1 and len(dealt) == 2, plan
