@@ -18,6 +18,9 @@ bands, and the running sum goes over the whole interval.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +38,9 @@ from gridclear.schema import POWER
 
 BAND_WIDTH = 10
 ZERO_VOLUME = 0.001
+CELL_BIDS = 50_000  # bids of a cell, about, which a task holds in memory while quarter-hours meet them
 INTERVAL = ["date", "quarter_no"]
+CELL = ["date", "cell", "part"]
 
 
 def total_capacity() -> Column:
@@ -388,6 +393,9 @@ def active_bids(activations: DataFrame, bids: DataFrame) -> DataFrame:
 
     An interval that ends with its block is covered by that block.  A day's block of bids meets its sixteen quarter-hours at most, so
     rows grow with the bids.  Store the result where it is asked for often.
+
+    Bids are dealt out by cells before they meet the quarter-hours, so a sixteenth of the rows is shuffled and sorted; rows come by date, quarter-hour
+    and price within a cell.  A cell is a day, or a part of a block of a day with more than ``CELL_BIDS`` bids; only exact copies from one input task stay together.
     """
     offered = bids.select(
         F.col("delivery_date").alias("date"),
@@ -395,9 +403,42 @@ def active_bids(activations: DataFrame, bids: DataFrame) -> DataFrame:
         "product",
         F.col("energy_price_eur_mwh").alias("price"),
         total_capacity().alias("capacity_mw"),
-    )
+    ).filter(F.col("date").isNotNull() & F.col("block_index").isNotNull())
     wanted = activations.select(*INTERVAL, "activated_volume_mw").withColumn("block_index", block_index(F.col("quarter_no")))
-    return wanted.join(offered, ["date", "block_index"])
+    cells = F.broadcast(_bid_cells(offered))  # at most a row per block of the calendar
+    copies = F.xxhash64("product", "price", "capacity_mw", F.spark_partition_id())
+    dealt = offered.join(cells, ["date", "block_index"]).withColumn("part", F.pmod(copies, "parts").cast("int"))
+    asked = wanted.join(cells, ["date", "block_index"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    left, right = _by_cell(asked, "quarter_no").alias("a"), _by_cell(dealt, "price").alias("b")
+    # Equal blocks, but no key of the join: a day that is one cell stays in one task.
+    same_block = F.col("a.block_index").between(F.col("b.block_index"), F.col("b.block_index"))
+    same_cell = reduce(lambda x, y: x & y, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in CELL])
+    return left.hint("merge").join(right, same_cell & same_block).select(
+        "a.date", "a.block_index", "a.quarter_no", "a.activated_volume_mw", "b.product", "b.price", "b.capacity_mw"
+    )
+
+
+def _bid_cells(offered: DataFrame) -> DataFrame:
+    """Per day and block with bids: its ``cell``, -1 where the day is one, and the number of ``parts`` of it."""
+    counts = offered.groupBy("date", "block_index").agg(F.count("*").alias("n"))
+    small = F.sum("n").over(Window.partitionBy("date")) <= CELL_BIDS
+    return counts.select(
+        "date",
+        "block_index",
+        F.when(small, -1).otherwise(F.col("block_index")).alias("cell"),
+        F.when(small, 1).otherwise(F.ceil(F.col("n") / CELL_BIDS)).cast("int").alias("parts"),
+    )
+
+
+def _by_cell(rows: DataFrame, order: str) -> DataFrame:
+    """Whole cells in tasks, in order.
+
+    The number of tasks is fixed, as few bytes of bids become many rows; a task without a cell costs next to nothing.  The observed
+    count is not needed: it keeps the optimizer from dropping the order, as it does below a join.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(tasks, *CELL).sortWithinPartitions(*CELL, order)
+    return dealt.observe(f"cells by {order} {uuid.uuid4().hex}", F.count("*").alias("n"))
 
 
 def bids_overlapping_interval(activations: DataFrame, bids: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def active_bid_view(spark: SparkSession, root: str, activations: PeriodTable, bi
     month = F.make_date("year", "month", F.lit(1))
     sources = {"activations": Source(activations, "date", month, F.last_day(month)), "bids": Source(bids, "delivery_date")}
     table = PeriodTable(spark, root, ACTIVE_BIDS, ["date"], sort_by=["quarter_no", "price"])
-    return StoredView(table, sources, lambda rows: active_bids(rows["activations"], rows["bids"]))
+    return StoredView(table, sources, lambda rows: active_bids(rows["activations"], rows["bids"]), arranged=True)
 
 
 class PriceCurve:

@@ -85,12 +85,20 @@ class PeriodTable:
 
     # --- loads ---
 
-    def _gathered(self, df: DataFrame) -> DataFrame:
-        """Rows in the table's columns, few files per partition; one without its period fails the job before it commits."""
+    def _gathered(self, df: DataFrame, arranged: bool = False) -> DataFrame:
+        """Rows in the table's columns, few files per partition; one without its period fails the job before it commits.
+
+        Rows that are ``arranged`` are dealt out and ordered as files shall have them, partition columns first, and stay so.
+        """
         rows = conform_to_schema(df, self.schema)
         for c in self.partition_by:
             refused = F.raise_error(F.lit(f"rows without {c} cannot be loaded; quarantine them first"))
+            if arranged:  # a changed column would have no order, and the writer would sort all rows
+                rows = rows.filter(F.when(quoted(c).isNull(), refused.cast("boolean")).otherwise(True))
+                continue
             rows = rows.withColumn(c, F.when(quoted(c).isNull(), refused.cast(self.schema[c].dataType)).otherwise(quoted(c)))
+        if arranged:
+            return rows.select(*[quoted(c) for c in self.columns])
         # A rebalance splits a partition that is too large for a task.
         gathered = rows.hint("rebalance", *self.partition_by)
         if self.sort_by:
@@ -117,14 +125,24 @@ class PeriodTable:
         return self._replace(df, lost, operation, source_files)
 
     def replace_ranges(
-        self, df: DataFrame, ranges: Iterable[tuple[dt.date, dt.date]], operation: str = "replace_ranges", source_files: Iterable[str] = ()
+        self,
+        df: DataFrame,
+        ranges: Iterable[tuple[dt.date, dt.date]],
+        operation: str = "replace_ranges",
+        source_files: Iterable[str] = (),
+        arranged: bool = False,
     ) -> str:
-        """Replaces the days of ``ranges`` (first, last), whether the rows, which all lie within them, have those days or not."""
+        """Replaces the days of ``ranges`` (first, last), whether the rows, which all lie within them, have those days or not.
+
+        Rows that are ``arranged`` are written as they come, without a shuffle or a sort.
+        """
         day = self.partition_by[0]
         inside = within(F.col(day), ranges)
-        return self._replace(df, lambda days: inside & ~F.col(day).isin(days), operation, source_files)
+        return self._replace(df, lambda days: inside & ~F.col(day).isin(days), operation, source_files, arranged)
 
-    def _replace(self, df: DataFrame, lost: Callable[[list[dt.date]], Column], operation: str, source_files: Iterable[str]) -> str:
+    def _replace(
+        self, df: DataFrame, lost: Callable[[list[dt.date]], Column], operation: str, source_files: Iterable[str], arranged: bool = False
+    ) -> str:
         """Replaces the days that ``df`` has rows for and empties those that ``lost`` names, given the former.
 
         One job commits the rows, and observes their days.  Partitions to be emptied are then noted in ``pending`` and leave the catalog by
@@ -136,7 +154,7 @@ class PeriodTable:
         note = {"operation": operation, "source_files": list(source_files), "gone": None}
         path = self._pending(uuid.uuid4().hex)
         write_note(self.spark, path, json.dumps(note))
-        observed = self._gathered(df).observe(seen, F.collect_set(quoted(day)).alias("days"))
+        observed = self._gathered(df, arranged).observe(seen, F.collect_set(quoted(day)).alias("days"))
         observed.write.mode("overwrite").insertInto(self.name)
         gone = self.spark.table(self.name).filter(lost(seen.get["days"] or []))
         gone = gone.select(*[quoted(c) for c in self.partition_by]).distinct().collect()  # calendar days

@@ -78,11 +78,14 @@ class StoredView:
 
     A row of the result has to depend only on source rows of its own day, which is the table's first partition column.  The states of the sources are taken before
     rows are read, and become the view's when its rows are stored: a refresh that stops is repeated by the next one,
-    and a load that comes in between is seen by it.  One process may refresh a view at a time.
+    and a load that comes in between is seen by it.  One process may refresh a view at a time.  Rows that ``build`` gives ``arranged``
+    (by day, dealt out and ordered as files shall have them) are stored without another shuffle or sort.
     """
 
-    def __init__(self, table: PeriodTable, sources: dict[str, Source], build: Callable[[dict[str, DataFrame]], DataFrame]):
-        self.table, self.sources, self.build = table, sources, build
+    def __init__(
+        self, table: PeriodTable, sources: dict[str, Source], build: Callable[[dict[str, DataFrame]], DataFrame], arranged: bool = False
+    ):
+        self.table, self.sources, self.build, self.arranged = table, sources, build, arranged
         self.spark, self.root = table.spark, table.root
 
     def read(self) -> DataFrame:
@@ -102,7 +105,7 @@ class StoredView:
         ranges = self._changed(before, now)
         if ranges:
             rows = self.build({name: source.rows(ranges) for name, source in self.sources.items()})
-            self.table.replace_ranges(rows, ranges, "refresh", self.sources)
+            self.table.replace_ranges(rows, ranges, "refresh", self.sources, self.arranged)
         write_note(self.spark, f"{self.root}/current_state", now)
         for name in names_in(self.spark, f"{self.root}/states"):
             if name != now:

@@ -216,6 +216,35 @@ def test_bids_active_in_an_interval(spark):
     ]
 
 
+@pytest.mark.parametrize("most", [1, 7, 50_000])
+def test_active_bids_of_cells(spark, monkeypatch, most):
+    """Days in one cell, blocks and parts of blocks give what pairs row by row give, with copies, nulls and codes that mean nothing."""
+    monkeypatch.setattr(mo, "CELL_BIDS", most, raising=False)
+    rng = random.Random(5)
+    days = [dt.date(2024, 9, 1), dt.date(2024, 9, 2), dt.date(2024, 9, 3), None]
+    codes = ["NEG_001", "NEG_016", "NEG_017", "POS_017", "NEG_090", "NEG_000", "NEG_XYZ", None]
+    amounts = [None, Decimal("1.000"), Decimal("2.500")]
+    offers = [(rng.choice(days), rng.choice(codes), rng.choice(amounts), rng.choice(amounts), rng.choice(amounts)) for _ in range(150)]
+    offers += [(days[0], "NEG_001", amounts[1], amounts[2], None)] * 20
+    demand = [(rng.choice(days), rng.choice([None, 0, 1, 16, 17, 32, 96]), rng.choice(amounts)) for _ in range(40)]
+    bids = spark.createDataFrame(
+        offers,
+        "delivery_date date, product string, energy_price_eur_mwh decimal(18,3), allocated_capacity_mw decimal(18,3), offered_capacity_mw decimal(18,3)",
+    )
+    wanted = spark.createDataFrame(demand, "date date, quarter_no int, activated_volume_mw decimal(18,3)")
+    expected = [
+        (date, (quarter - 1) // 16, quarter, volume, product, price, allocated if offered is None else offered)
+        for date, quarter, volume in demand
+        for day, product, price, allocated, offered in offers
+        if date is not None and date == day and quarter is not None and (product or "").lstrip("NEGPOS_").isdigit()
+        if (int(product[-3:]) - 1) // 16 == (quarter - 1) // 16
+    ]
+    found = mo.active_bids(wanted, bids)
+    assert found.columns == ["date", "block_index", "quarter_no", "activated_volume_mw", "product", "price", "capacity_mw"]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr) != []
+    assert found.union(mo.active_bids(wanted, bids)).union(found).count() == 3 * len(expected)
+
+
 SPELLINGS = ["NEG_{0:03d}", "NEG-{0:03d}", "NEG{0:03d}", "neg_{0:03d}", "NEG_{0}", "NEG_X{0:03d}", "neg-{0:03d}", "POS_{0:03d}"]
 
 

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from gridclear.operators import merit_order as mo
 from gridclear.operators import price_curve as pc
 from gridclear.plans import workflows as wf
+from gridclear.sources.period_table import PeriodTable
 from gridclear.sources.stored_view import merged
 
 MONTH = "delivery_date date, product string, energy_price_eur_mwh decimal(18,3), allocated_capacity_mw decimal(18,3), offered_capacity_mw decimal(18,3)"
@@ -71,6 +73,33 @@ def test_only_changed_days_are_computed(spark, loaded):
     assert {d for d in after if after[d] != before[d]} == {f"date={day(n)}" for n in (10, 11, 13)}
 
 
+@pytest.mark.parametrize("most", [2, 50_000])
+def test_rows_are_neither_shuffled_nor_sorted_once_bids_met_quarter_hours(spark, loaded, monkeypatch, most):
+    activations, bids, view = loaded
+    monkeypatch.setattr(mo, "CELL_BIDS", most, raising=False)
+    gathered, seen = PeriodTable._gathered, []
+    monkeypatch.setattr(PeriodTable, "_gathered", lambda *args: seen.append(gathered(*args)) or seen[-1])
+    view.refresh()
+    plan = seen[-1]._jdf.queryExecution().executedPlan()
+    above = re.split(r"\w+Join", plan.toString())[0]
+    assert "Exchange" not in above and "Sort" not in above
+    assert re.match(r"\w+\(date#", str(plan.finalPhysicalPlan().outputOrdering()))  # so the writer of the days adds no sort
+    assert rows_of(view.read()) == rebuilt(activations, bids) != []
+    if most > 2:  # each day is a cell, and its file is in order
+        assert {len(files) for files in files_by_day(view).values()} == {1}
+        for name, (file,) in files_by_day(view).items():
+            stored = [(r.quarter_no, r.price) for r in spark.read.parquet(f"{view.root}/rows/{name}/{file}").collect()]
+            assert stored == sorted(stored) != []
+
+
+def test_arranged_rows_without_a_day_are_refused(spark, loaded):
+    activations, bids, view = loaded
+    rows = spark.createDataFrame([(None, 1)], "date date, quarter_no int")
+    with pytest.raises(Exception, match="quarantine"):
+        view.table.replace_ranges(rows, [(day(0), day(1))], "refresh", [], True)
+    assert view.read().isEmpty()
+
+
 def test_a_changed_month_and_a_restored_snapshot_are_found(spark, loaded):
     activations, bids, view = loaded
     view.refresh()
