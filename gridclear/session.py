@@ -7,7 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +31,18 @@ def build_session(app_name: str = "gridclear", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+@contextmanager
+def compiled_in_parts(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside don't fuse operators into methods of more than 8,000 bytes, which the JVM never compiles: those take four times as long."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    usual = spark.conf.get(limit)
+    spark.conf.set(limit, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(limit, usual)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for one job's intermediate files.
 

@@ -11,7 +11,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +58,14 @@ PLAIN_BEGINNING = re.compile(
 )
 OPENED, CLOSED = re.compile(r"<([A-Za-z]+)(?: xmlns=[^<>]*)?>"), re.compile(r"</([A-Za-z]+)>")
 CELL = re.compile(rf'<c(?: r="([A-Z]+)[0-9]+")?[^>]*>{_GAP}(?:(<is>{_GAP}<t>|<v>)([^<]*))?')
+# Rows whose cells are all a bare inline text, a part of the plain ones, as RE2 spells it: whole batches of them are told and cut at once.
+_SIMPLE_CHARACTER = r"[^<>&\r\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x{9F}\x{FFFD}-\x{FFFF}]"
+_SIMPLE_FILLED = _SIMPLE_CHARACTER.replace("<>&", r"<>& \t\n")
+_ENTITY = "&(?:amp|lt|gt|quot|apos);"
+_SIMPLE_TEXT = rf"(?:[ \t\n]*(?:{_SIMPLE_FILLED}|{_ENTITY})(?:{_SIMPLE_CHARACTER}|{_ENTITY})*)?"
+FIRST_CELL, NEXT_CELL, LAST_CELL = '"><c><is><t>', "</t></is></c><c><is><t>", "</t></is></c></row>"
+SIMPLE_ROW = rf'\A r="[0-9]{{1,18}}{FIRST_CELL}{_SIMPLE_TEXT}(?:{NEXT_CELL}{_SIMPLE_TEXT})*{LAST_CELL}[ \t\r\n]*\z'
+FIRST_ROW, NUMBER_ONE = r'\A r="0*1"', re.compile(rb' r="0*1"')
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}  # the last one last
 
 
@@ -69,23 +79,39 @@ def scan_sheets(spark: SparkSession, *paths: str, base: str | None = None) -> Da
     text = spark.read.format("text").schema(TEXT_SCHEMA).option("lineSep", ROW_START)
     raw, text = ((r.option("basePath", base) if base else r).load(list(paths)) for r in (raw, text))
     path = F.col("_metadata.file_path")
-    odd = [r["path"] for r in _not_plain(text).collect()]  # names of files
-    plain = text.filter(~path.isin(odd)) if odd else text
-    rows, first = _plain_rows(plain), _plain_rows(plain.filter(F.col("value").rlike('^ r="0*1"')))
+    odd, headers = _told(spark, text)
+    rows = _plain_rows(text.filter(~path.isin(odd)) if odd else text)
     if odd:
         value = F.transform("c", lambda c: F.coalesce(c["is"]["t"], c["v"]))
         parsed = raw.filter(path.isin(odd)).select(*SHEET, F.col("_r").alias("row_no"), _in_place(F.col("c"), value).alias("cells"), F.col(CORRUPT).alias("corrupt"))
-        rows, first = rows.unionByName(parsed), first.unionByName(parsed)
-    headers = first.filter("row_no = 1 AND corrupt IS NULL").groupBy(*SHEET).agg(_unique(F.first("cells")).alias("header"))
-    filled = F.exists("cells", lambda c: F.coalesce(c, F.lit("")) != "")
+        rows = rows.unionByName(parsed)
+        headers = headers.unionByName(parsed.filter("row_no = 1 AND corrupt IS NULL").select(*SHEET, "cells"))
+    headers = headers.groupBy(*SHEET).agg(_unique(F.first("cells")).alias("header"))
+    filled = F.array_join("cells", "") != ""
     data = rows.filter(F.col("corrupt").isNotNull() | ((F.col("row_no") > 1) & filled)).join(F.broadcast(headers), SHEET, "left")
     columns = [*SHEET, "row_no", "header", "cells", "corrupt"]
     nothing = {"row_no": F.lit(0).cast("long"), "cells": F.lit(None).cast("array<string>"), "corrupt": F.lit(None).cast("string")}
     return headers.withColumns(nothing).select(*columns).unionByName(data.select(*columns))
 
 
+def _told(spark: SparkSession, text: DataFrame) -> tuple[list[str], DataFrame]:
+    """Names of files that are not plain, and ``source_file, sheet, cells`` of a row 1 of each sheet among the others, by one pass over all."""
+    plain = F.col("is_plain")
+    of_plain = [F.when(plain, F.col(c)).alias(c) for c in SHEET]
+    told = _files(text).select(F.when(~plain, F.col("path")).alias("odd"), *of_plain, F.when(plain, F.col("header")).alias("header"))
+    found = told.groupBy("odd", *SHEET).agg(F.first("header", ignorenulls=True).alias("header")).collect()  # a row per sheet or odd file
+    headers = [{**{c: r[c] for c in SHEET}, "cells": cells_of(r["header"])} for r in found if r["header"] is not None]
+    kind = pa.schema([*((c, pa.string()) for c in SHEET), ("cells", pa.list_(pa.string()))])
+    return [r["odd"] for r in found if r["odd"] is not None], spark.createDataFrame(pa.Table.from_pylist(headers, kind))
+
+
 def _not_plain(text: DataFrame) -> DataFrame:
-    """Files (path) with a row, or anything around the rows, of a shape not known here.
+    """Files (path) with a row, or anything around the rows, of a shape not known here."""
+    return _files(text).filter("NOT is_plain").select("path")
+
+
+def _files(text: DataFrame) -> DataFrame:
+    """``path, source_file, sheet, is_plain, header``: whether a file has rows of known shapes and nothing else, and its first row of number 1 as text.
 
     A record is the text from one ``<row`` to the next.  In a plain file the first one opens elements, each other one is a whole row, and the last
     one closes those elements too.
@@ -93,26 +119,55 @@ def _not_plain(text: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = [kind_of(value) for value in batch.column("value").to_pylist()]
+            simple = is_simple(batch.column("value"))
+            # Of simple rows only the first and the last of a run matter, as the first and last record of a file.
+            first = pc.match_substring_regex(batch.column("value"), FIRST_ROW)
+            batch = batch.filter(pc.or_(pc.or_(pc.invert(simple), first), run_ends(batch, ["path", "block"])))
+            values = batch.column("value").to_pylist()
+            told = [kind_of(value) for value in values]
             kinds, tags = (pa.array([t[k] for t in told], pa.string()) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("path", "block", "at")), kinds, tags], ["path", "block", "at", "kind", "tags"])
+            headers = [v.decode() if t[0] in ("row", "end") and NUMBER_ONE.match(v) else None for v, t in zip(values, told)]
+            found = [*(batch.column(c) for c in names), kinds, tags, pa.array(headers, pa.string())]
+            yield pa.RecordBatch.from_arrays(found, [*names, "kind", "tags", "header"])
 
-    place = F.struct("block", "at")
+    place, names = F.struct("block", "at"), ["path", *SHEET, "block", "at"]
     records = text.select(
+        *SHEET,
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
         F.col("value").cast("binary").alias("value"),
     )
-    per_file = records.mapInArrow(run, "path string, block long, at long, kind string, tags string").groupBy("path").agg(
+    kinds = "path string, source_file string, sheet string, block long, at long, kind string, tags string, header string"
+    per_file = records.select(*names, "value").mapInArrow(run, kinds).groupBy("path", *SHEET).agg(
         F.count_if(F.col("kind") == "strange").alias("strange"),
         F.count_if(F.col("kind") == "beginning").alias("beginnings"),
         F.count_if(F.col("kind") == "end").alias("ends"),
         F.min_by(F.struct("kind", "tags"), place).alias("first"),
         F.max_by(F.struct("kind", "tags"), place).alias("last"),
+        F.min_by("header", F.when(F.col("header").isNotNull(), place)).alias("header"),
     )
     plain = "strange = 0 AND beginnings = 1 AND ends = 1 AND first.kind = 'beginning' AND last.kind = 'end' AND first.tags = last.tags"
-    return per_file.filter(f"NOT coalesce({plain}, false)").select("path")
+    return per_file.select("path", *SHEET, F.expr(f"coalesce({plain}, false)").alias("is_plain"), "header")
+
+
+def is_simple(records: pa.Array) -> pa.Array:
+    """Whether each record is a simple row, with nothing behind it."""
+    try:
+        return pc.match_substring_regex(records.cast(pa.string()), SIMPLE_ROW)
+    except pa.ArrowInvalid:  # no UTF-8: each record is looked at by itself
+        return pa.array(np.zeros(len(records), dtype=bool))
+
+
+def run_ends(batch: pa.RecordBatch, names: list[str]) -> pa.Array:
+    """Whether each row is the first or the last of a run of rows that agree in the named columns."""
+    n = batch.num_rows
+    changes = np.zeros(max(n - 1, 0), dtype=bool)
+    for name in names:
+        column = batch.column(name)
+        changes |= pc.not_equal(column.slice(1), column.slice(0, max(n - 1, 0))).to_numpy(zero_copy_only=False)
+    edge = np.ones(min(n, 1), dtype=bool)
+    return pa.array(np.concatenate([edge, changes]) | np.concatenate([changes, edge]))
 
 
 def kind_of(record: bytes) -> tuple[str, str | None]:
@@ -135,16 +190,38 @@ def _plain_rows(text: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column("value").to_pylist()
-            numbers = pa.array([int(v[4 : v.index('"', 4)]) for v in values], pa.int64())
-            cells = pa.array(list(map(cells_of, values)), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in SHEET), numbers, cells], [*SHEET, "row_no", "cells"])
+            simple = is_simple(batch.column("value"))
+            for rows, cut in ((batch.filter(simple), simple_cells), (batch.filter(pc.invert(simple)), plain_cells)):
+                if rows.num_rows:
+                    found = [*(rows.column(c) for c in SHEET), *cut(rows.column("value"))]
+                    yield pa.RecordBatch.from_arrays(found, [*SHEET, "row_no", "cells"])
 
     rows = text.filter(F.startswith("value", F.lit(" r="))).select(*SHEET, "value")
     found = rows.mapInArrow(run, "source_file string, sheet string, row_no long, cells array<string>")
     return found.withColumn("corrupt", F.lit(None).cast("string"))
 
 
+def simple_cells(rows: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Numbers and values of simple rows."""
+    pieces = pc.split_pattern(pc.replace_substring(pc.replace_substring(rows, FIRST_CELL, NEXT_CELL), LAST_CELL, NEXT_CELL), NEXT_CELL)
+    ends, texts = pieces.offsets.to_numpy(), pieces.values
+    numbers = pc.cast(pc.utf8_slice_codeunits(texts.take(pa.array(ends[:-1])), 4), pa.int64())  # the first piece: r="7
+    cell = np.ones(len(texts), dtype=bool)
+    cell[ends[:-1]] = cell[ends[1:] - 1] = False
+    values = texts.filter(pa.array(cell))
+    if pc.any(pc.match_substring(values, "&")).as_py():
+        for entity, character in ENTITIES.items():
+            values = pc.replace_substring(values, entity, character)
+    return numbers, pa.ListArray.from_arrays(pa.array(ends - 2 * np.arange(len(ends), dtype=ends.dtype)), values)
+
+
+def plain_cells(rows: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Numbers and values of plain rows of any shape."""
+    values = rows.to_pylist()
+    numbers = pa.array([int(v[4 : v.index('"', 4)]) for v in values], pa.int64())
+    return numbers, pa.array(list(map(cells_of, values)), pa.list_(pa.string()))
+
+
 def cells_of(row: str) -> list[str | None] | None:
     """Values of a plain row, as by ``_in_place``; None if it has no cells."""
     found = CELL.findall(row)
@@ -221,7 +298,8 @@ def sheet_manifest(rows: DataFrame, required: list[str] = REQUIRED_BID_COLUMNS)
     """
     good = rows.filter("header IS NOT NULL AND corrupt IS NULL")
     last_filled = F.count_if(F.coalesce(F.get("cells", F.size("header") - 1), F.lit("")) != "")
-    beyond = F.exists(F.slice("cells", F.size("header") + 1, F.greatest(F.size("cells"), F.lit(0))), lambda c: F.coalesce(c, F.lit("")) != "")
+    rest = F.slice("cells", F.size("header") + 1, F.greatest(F.size("cells"), F.lit(0)))
+    beyond = F.when(F.size("cells") > F.size("header"), F.array_join(rest, "") != "")
     per_sheet = good.groupBy(*SHEET, "header").agg(
         F.count("cells").alias("row_count"), last_filled.alias("last_filled"), F.count_if(beyond).alias("beyond_header")
     )

@@ -252,3 +252,65 @@ def test_deliveries_that_are_kept_are_compressed(spark, tmp_path, sf_dir):
     fq._land_sheet_rows(mv.bid_text(spark, sf_dir), str(tmp_path / "two"), "second")
     files = [p for p in (tmp_path / "two").rglob("part-*")]
     assert files and all(p.name.endswith(".xml.gz") and "source_file=second" in str(p) for p in files)
+
+
+def test_whole_batches_of_simple_rows_are_cut_as_row_by_row():
+    import pyarrow as pa
+
+    texts = ["x", "", " lead", "a &amp; b &lt;c&gt; &quot;q&apos;", "&amp;lt;", "ü € \U0001f600", "1,5", "a\tb\nc", " &amp;"]
+    rows = [f' r="{i + 1:03d}">' + "".join(f"<c><is><t>{t}</t></is></c>" for t in (texts[i:] + [t])) + "</row>\n " for i, t in enumerate(texts)]
+    odd = [
+        f' r="1">{CELLS}</row></w>', f' r="1" spans="1:2">{CELLS}</row>', ' r="2"></row>', ' r="1"><c></c></row>', ' r="1"><c><v>1</v></c></row>',
+        ' r="1"><c><is><t> </t></is></c></row>', ' r="1"><c><is><t>&#65;</t></is></c></row>', ' r="1"><c><is><t>\x01</t></is></c></row>',
+        ' r="1"><c><is><t>￾</t></is></c></row>', f' r="1">{CELLS}</row><!-- x -->', f' r="1">{CELLS}\n{CELLS}</row>', f' r="1">{CELLS}', "<w>", "",
+    ]
+    told = wb.is_simple(pa.array([t.encode() for t in rows + odd], pa.binary())).to_pylist()
+    assert told == [True] * len(rows) + [False] * len(odd)
+    assert all(wb.kind_of(t.encode()) == ("row", None) for t in rows)
+    assert [a.to_pylist() for a in wb.simple_cells(pa.array(rows))] == [a.to_pylist() for a in wb.plain_cells(pa.array(rows))]
+    assert wb.is_simple(pa.array([rows[0].encode(), b"\xff"], pa.binary())).to_pylist() == [False, False]
+
+
+def test_simple_rows_of_a_plain_file_are_not_told_one_by_one(spark, tmp_path, monkeypatch):
+    """Only the ends of a file, and its header, go through the slow way."""
+    def told_slowly(record):
+        if record.startswith(b' r="7"'):
+            raise AssertionError("a simple row was looked at by itself")
+        return kind_of(record)
+
+    kind_of = wb.kind_of
+    monkeypatch.setattr(wb, "kind_of", told_slowly)
+    path = land(tmp_path, "a.xlsx", {"S": [["A", "B"], *[["x", "y"]] * 20]})
+    rows = wb.to_columns(wb.scan_sheets(spark, path), ["A", "B"])
+    assert rows.count() == 20 and rows.distinct().count() == 20 and {(r.A, r.B) for r in rows.collect()} == {("x", "y")}
+
+
+def test_landed_sheets_keep_every_text_and_are_whole(spark, tmp_path):
+    from gridclear.plans.fixture_workbooks import land_sheets
+
+    texts = ["a & b", "<c>", '"q" \'z\'', "back\\slash", "a;b", "line\nend", "return\r\nend", "ü", " lead", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, t string").repartition(2)
+    for compression in ("none", "gzip"):
+        path = str(tmp_path / compression)
+        land_sheets(rows, path, sheets=4, compression=compression)
+        found = wb.to_columns(wb.scan_sheets(spark, path), ["n", "t"]).collect()
+        assert sorted((int(r.n), r.t) for r in found) == list(enumerate(texts))
+        assert {(r.source_file, r.sheet) for r in found} == {(f"book{b}.xlsx", f"S{s}") for b in (0, 1) for s in (0, 1)}
+    for text in (r.value for r in spark.read.text(str(tmp_path / "none"), wholetext=True).collect()):
+        assert text.startswith("<?xml") and text.count("<worksheet>") == 1 and text.endswith("</worksheet>\n") and "\x00" not in text
+
+
+def test_many_batches_of_a_sheet_stay_in_order(spark, tmp_path):
+    from gridclear.plans.fixture_workbooks import land_sheets
+
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(size)
+    spark.conf.set(size, "10")
+    try:
+        land_sheets(spark.range(500).select(F.col("id").cast("string").alias("n")).coalesce(1), str(tmp_path / "x"), sheets=2)
+        scanned = wb.to_columns(wb.scan_sheets(spark, str(tmp_path / "x")), ["n"])
+        assert sorted(int(r.n) for r in scanned.collect()) == list(range(500))
+    finally:
+        spark.conf.set(size, usual)
+    text = spark.read.format("text").schema(wb.TEXT_SCHEMA).option("lineSep", wb.ROW_START).load(str(tmp_path / "x"))
+    assert wb._not_plain(text).count() == 0
