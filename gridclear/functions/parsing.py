@@ -17,6 +17,8 @@ GERMAN_DATE = "dd.MM.yyyy"
 PARTS = {"yyyy": r"\d{4}", "MM": r"(0[1-9]|1[0-2])", "dd": r"(0[1-9]|[12]\d|3[01])", "HH": r"([01]\d|2[0-3])", "mm": r"[0-5]\d", "ss": r"[0-5]\d"}
 NUMBER = r"^[+-]?(\d+[.,]?\d*|[.,]\d+)([eE][+-]?\d+)?$"
 
+SHORT_NUMBER = r"^[+-]?\d{1,15}([.,]\d{0,3})?$"  # those that POWER holds as they are
+
 
 def layout_pattern(layout: str) -> str:
     """The texts that a layout may fit: whoever asks it first spares the parser those that would make it throw."""
@@ -29,6 +31,12 @@ def decimal_comma(text: Column, kind: T.DataType = POWER) -> Column:
     return F.when(trimmed.rlike(NUMBER), F.replace(trimmed, F.lit(","), F.lit(".")).try_cast(kind))
 
 
+def short_decimal_comma(text: Column) -> Column:
+    """``decimal_comma`` of numbers with up to 15 digits and three decimals, NULL for all others; it needs no wide decimals."""
+    trimmed = F.trim(text.cast("string"))
+    return F.when(trimmed.rlike(SHORT_NUMBER), F.replace(trimmed, F.lit(","), F.lit(".")).try_cast(POWER))
+
+
 def unreadable_number(text: Column, kind: T.DataType = POWER) -> Column:
     """Whether a filled text is no number, or one that the type would round."""
     wide = decimal_comma(text, T.DecimalType(38, 12))

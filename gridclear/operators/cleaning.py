@@ -182,7 +182,8 @@ def bid_problem() -> Column:
     reason = F.when(F.col("product").isNull() | (F.trim("product") == ""), "no product")
     reason = reason.when(F.col("delivery_date").isNull(), "unreadable date")
     for text, typed, problem in BID_NUMBERS:
-        exact = F.coalesce(F.col(typed).try_cast(PRICE) == F.col(typed), F.lit(False))
+        wide = F.col(f"{typed}_wide")
+        exact = F.col(typed).isNotNull() | F.coalesce(wide.try_cast(PRICE) == wide, F.lit(False))
         reason = reason.when((F.trim(F.col("raw")[text]) != "") & ~exact, problem)
     return reason
 
@@ -208,7 +209,8 @@ def read_bids(raw: DataFrame) -> DataFrame:
         F.struct(*[quoted(f.name) for f in BIDS_RAW.fields]).alias("raw"),
         ps.parse_date(F.col("DELIVERY_DATE")).alias("delivery_date"),
         F.col("PRODUCT").alias("product"),
-        *[ps.decimal_comma(quoted(text), wide).alias(typed) for text, typed, _ in BID_NUMBERS],
+        *[ps.short_decimal_comma(quoted(text)).alias(typed) for text, typed, _ in BID_NUMBERS],
+        *[F.when(ps.short_decimal_comma(quoted(text)).isNull(), ps.decimal_comma(quoted(text), wide)).alias(f"{typed}_wide") for text, typed, _ in BID_NUMBERS],
         F.col("ENERGY_PRICE_PAYMENT_DIRECTION").alias("payment_direction"),
         F.col("TYPE_OF_RESERVES").alias("type_of_reserves"),
         F.col("COUNTRY").alias("country"),
@@ -216,12 +218,10 @@ def read_bids(raw: DataFrame) -> DataFrame:
         "source_file",
         tc.quarter_of_product(F.col("PRODUCT")).alias("quarter"),
     )
-    price = F.col("energy_price_eur_mwh").try_cast(PRICE)
-    typed = {
-        "energy_price_eur_mwh": ps.signed_price(price, F.col("payment_direction")).cast(PRICE),
-        **{name: F.col(name).try_cast(POWER) for _, name, _ in BID_NUMBERS[1:]},
-    }
-    return parsed.select(*[typed.get(c, F.col(c)).alias(c) for c in parsed.columns], bid_problem().alias("reason"))
+    typed = {name: F.coalesce(name, F.col(f"{name}_wide").try_cast(POWER)) for _, name, _ in BID_NUMBERS}
+    typed["energy_price_eur_mwh"] = ps.signed_price(typed["energy_price_eur_mwh"].cast(PRICE), F.col("payment_direction")).cast(PRICE)
+    columns = [c for c in parsed.columns if not c.endswith("_wide")]
+    return parsed.select(*[typed.get(c, F.col(c)).alias(c) for c in columns], bid_problem().alias("reason"))
 
 
 def accepted_bids(read: DataFrame) -> DataFrame:

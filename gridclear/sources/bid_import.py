@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridclear.operators.cleaning import accepted_bids, read_bids, refused_bids, route_invalid_sheets
 from gridclear.operators.reconcile import load_errors, load_summary
-from gridclear.session import scratch_dir
+from gridclear.session import compiled_in_parts, scratch_dir
 from gridclear.sources.period_table import PeriodTable
 from gridclear.sources.workbooks import sheet_manifest, to_raw_bids, unreadable_sheets
 
@@ -24,13 +24,16 @@ class BidImport:
 
     def __init__(self, spark: SparkSession, rows: DataFrame, files: DataFrame):
         staging = scratch_dir(spark, "staging")
-        rows.write.parquet(f"{staging}/rows")
+        with compiled_in_parts(spark):
+            rows.write.parquet(f"{staging}/rows")
         self.rows = spark.read.parquet(f"{staging}/rows")
         self.manifest = sheet_manifest(self.rows)
         self.unreadable = unreadable_sheets(files, self.rows)
         self.first_unreadable = self.unreadable.head()
         valid, _ = route_invalid_sheets(self.rows)
-        read_bids(to_raw_bids(valid)).write.parquet(f"{staging}/read")
+        with compiled_in_parts(spark):
+            as_it_came = F.when(F.col("reason").isNotNull(), F.col("raw"))  # of refused bids only
+            read_bids(to_raw_bids(valid)).withColumn("raw", as_it_came).write.parquet(f"{staging}/read")
         self.read = spark.read.parquet(f"{staging}/read")
 
     def summary(self) -> DataFrame:

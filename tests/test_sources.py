@@ -314,3 +314,28 @@ def test_many_batches_of_a_sheet_stay_in_order(spark, tmp_path):
         spark.conf.set(size, usual)
     text = spark.read.format("text").schema(wb.TEXT_SCHEMA).option("lineSep", wb.ROW_START).load(str(tmp_path / "x"))
     assert wb._not_plain(text).count() == 0
+
+
+def test_wide_jobs_of_an_import_are_compiled(spark, tmp_path, monkeypatch):
+    from gridclear.sources import bid_import as bi
+
+    limits = []
+    read = bi.read_bids
+    monkeypatch.setattr(bi, "read_bids", lambda raw: limits.append(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) or read(raw))
+    usual = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    path = land(tmp_path, "a.xlsx", {"S": [HEADER, ROW, ["2024-09-01", "NEG_001", "abc", "GRID_TO_PROVIDER", 1, None]]})
+    found = bi.BidImport(spark, wb.scan_sheets(spark, path), ln.read_binary(spark, path, "*", recursive=True).select("path"))
+    assert limits == ["8000"] and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == usual
+    assert [(r.reason, r["ENERGY_PRICE_[EUR/MWh]"]) for r in found.refused().collect()] == [("unreadable price", "abc")]
+    assert found.read.filter("reason IS NULL AND raw IS NOT NULL").count() == 0  # what came is kept of refused bids only
+
+
+def test_short_numbers_are_those_of_the_wide_way(spark):
+    from gridclear.functions import parsing as ps
+
+    texts = ["1", "-1,5", "+0.125", " 7, ", "1.", "999999999999999,999", "1000000000000000", "1,0005", "1e3", ".5", "", " ", "abc", None, "1,2,3", "1\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    short, wide = ps.short_decimal_comma(F.col("t")), ps.decimal_comma(F.col("t"), "decimal(38,12)")
+    rows = df.select("t", short.alias("short"), wide.alias("wide")).collect()
+    assert {r.t for r in rows if r.short is not None} == {"1", "-1,5", "+0.125", " 7, ", "1.", "999999999999999,999", "1\n"}
+    assert all(r.short == r.wide for r in rows if r.short is not None)
